@@ -6,6 +6,7 @@ instead of raising, whatever ``spark.sql.ansi.enabled`` says.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column
@@ -144,14 +145,18 @@ def id_from_location(c: Column | str, marker: str = LOCATION_MARKER) -> Column:
 
 
 def id_from_url(
-    c: Column | str, pattern: str = PAPER_URL, *, strip_slash: bool = False
+    c: Column | str,
+    pattern: str = PAPER_URL,
+    *,
+    extension: str = ".pdf",
+    strip_slash: bool = False,
 ) -> Column:
-    """Paper id in a URL (group 1 of ``pattern``), without ``.pdf`` and version."""
+    """Paper id in a URL (group 1 of ``pattern``), without extension and version."""
     found = F.lower(F.regexp_extract(_col(c), pattern, 1))
     if strip_slash:
         found = F.regexp_replace(found, r"/$", "")
-    bare = F.regexp_replace(F.regexp_replace(found, r"\.pdf$", ""), VERSION_SUFFIX, "")
-    return blank_to_null(bare)
+    bare = F.regexp_replace(found, re.escape(extension) + "$", "")
+    return blank_to_null(F.regexp_replace(bare, VERSION_SUFFIX, ""))
 
 
 def null_normalize(c: Column | str) -> Column:

@@ -15,8 +15,7 @@ SMALL_BYTES = 1 << 30
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a frame (no job runs)."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def broadcast_join(

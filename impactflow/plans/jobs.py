@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as c
 from ..operators import clean, matching, scoring
-from ..session import builder
-from ..sinks.tables import keyed_overwrite, rebuild
+from ..session import builder, scratch_dir
+from ..sinks.tables import keyed_overwrite, rebuild, write_parquet
 from ..sources import jsonl
 from ..sources.files import latest_snapshot, scan_parquet
 from ..streaming import posts as stream
@@ -98,9 +98,15 @@ def gold_table(
 
 
 def write_gold(spark: SparkSession, silver: str, gold: str, as_of: str) -> None:
-    """Score the cleaned tables and replace the gold table."""
+    """Score the cleaned tables and replace the gold table.
+
+    The scores are written once to scratch, so the key check before the
+    replacement reads one column instead of scoring again.
+    """
     tables = [scan_parquet(spark, f"{silver}/{t}") for t in ("papers", "citations", "posts")]
-    keyed_overwrite(gold_table(*tables, as_of), gold, "paper_id")
+    staged = scratch_dir(spark, "gold")
+    write_parquet(gold_table(*tables, as_of), staged)
+    keyed_overwrite(scan_parquet(spark, staged), gold, "paper_id")
 
 
 def stream_posts(spark: SparkSession, source: str, target: str, checkpoint: str, **options):

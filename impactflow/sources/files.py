@@ -48,13 +48,19 @@ def input_inventory(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def latest_snapshot(spark: SparkSession, path: str) -> str:
-    """Path of the last file (by name) of a stamped family such as ``works_*.jsonl``.
+def latest_snapshot(spark: SparkSession, path: str, *, folders: bool = False) -> str:
+    """Path of the last member (by name) of a stamped family such as ``works_*.jsonl``.
 
-    Brings one path to the driver, because a read needs it.
+    With ``folders`` the members are folders, as Spark writes them. Brings one
+    path to the driver, because a read needs it.
     """
     try:
-        newest = list_files(spark, path).agg(F.max_by("path", "name")).first()[0]
+        files = list_files(spark, f"{path.rstrip('/')}/*" if folders else path)
+        if folders:
+            files = files.where(~F.col("name").rlike(r"^[_.]")).select(
+                F.regexp_replace("path", r"/[^/]*$", "").alias("path")
+            )
+        newest = files.agg(F.max("path")).first()[0]
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -62,16 +62,16 @@ class JsonlScan:
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Raw lines with ``arrival``, a sortable (file name, offset, line) position.
+    """Raw lines with ``arrival``, a sortable (file, offset, line) position.
 
-    File names sort in landing order, so a later micro-batch arrives later. The
+    File paths sort in landing order, so a later micro-batch arrives later. The
     last part grows along a split, and splits of one file sort by their offset.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     return spark.read.text(paths).select(
         "value",
         F.struct(
-            F.col("_metadata.file_name").alias("file_name"),
+            F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_block_start").alias("block_start"),
             F.monotonically_increasing_id().alias("line"),
         ).alias(ARRIVAL),

@@ -18,6 +18,8 @@ WHITESPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
+# The same characters as a regular expression of ranges.
+SPACES = "[\t-\r\x1c- \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 # What identifies a DOI prefix, an archive id and a paper URL.
 DOI_PREFIX = r"^(https?://(dx\.)?doi\.org/|doi:)"
@@ -49,7 +51,7 @@ def clean_text(c: Column | str) -> Column:
 
 def split_categories(c: Column | str) -> Column:
     """Whitespace-separated codes -> array without empty entries."""
-    parts = F.split(F.coalesce(_col(c).cast("string"), F.lit("")), f"[{WHITESPACE}]+")
+    parts = F.split(F.coalesce(_col(c).cast("string"), F.lit("")), SPACES)
     return F.filter(parts, lambda x: x != "")
 
 
@@ -93,16 +95,9 @@ def epoch_to_timestamp(c: Column | str) -> Column:
 
 def epoch_to_iso(c: Column | str) -> Column:
     """Epoch seconds -> ``yyyy-MM-ddTHH:mm:ssZ``, always UTC."""
-    seconds = _epoch_seconds(c)
-    day = F.date_format(utc_date(seconds), "yyyy-MM-dd")
-    left = F.pmod(seconds, F.lit(86400))
-    clock = F.format_string(
-        "%02d:%02d:%02d",
-        F.floor(left / 3600),
-        F.floor(F.pmod(left, F.lit(3600)) / 60),
-        F.pmod(left, F.lit(60)),
-    )
-    return F.when(seconds.isNotNull(), F.concat(day, F.lit("T"), clock, F.lit("Z")))
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    stamp = epoch + F.make_dt_interval(secs=_epoch_seconds(c).cast("decimal(18,6)"))
+    return F.concat(F.translate(stamp.cast("string"), " ", "T"), F.lit("Z"))
 
 
 def to_number(c: Column | str) -> Column:
@@ -180,11 +175,13 @@ def growth_pct(current: Column, previous: Column) -> Column:
 
 # Letters that fold to more than one ASCII letter.
 FOLD_MULTI = {
-    "æ": "ae", "œ": "oe", "ß": "ss", "þ": "th", "ĳ": "ij", "ŉ": "'n", "ǆ": "dz",
-    "ǉ": "lj", "ǌ": "nj", "ǳ": "dz",
+    "æ": "ae", "œ": "oe", "ß": "ss", "þ": "th", "ĳ": "ij", "ǆ": "dz", "ǉ": "lj",
+    "ǌ": "nj", "ǳ": "dz",
 }
 # Letters without a Unicode decomposition that fold to one letter.
-FOLD_SINGLE = {"ð": "d", "đ": "d", "ħ": "h", "ı": "i", "ł": "l", "ø": "o", "ŧ": "t"}
+FOLD_SINGLE = {
+    "ð": "d", "đ": "d", "ħ": "h", "ı": "i", "ł": "l", "ŉ": "n", "ø": "o", "ŧ": "t",
+}
 
 
 def _fold_pairs() -> tuple[str, str]:
@@ -200,14 +197,14 @@ def _fold_pairs() -> tuple[str, str]:
 
 FOLD_FROM, FOLD_TO = _fold_pairs()
 
-# Fixed pattern: a word is letters, digits, marks and underscores; . : ' join two
-# letters and . , ; ' join two digits; an ideograph or hiragana sign stands alone.
-# Possessive groups keep Java's matcher from recursing on long runs.
+# Han and hiragana signs, each of which is a word of its own.
+_SIGNS = r"\u3041-\u309f\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\x{20000}-\x{3134f}"
+_LETTERS = rf"[a-z\p{{L}}\p{{M}}&&[^{_SIGNS}]]++"
+# A word is letters, digits, marks and underscores; . : ' join two letters and
+# . , ; ' join two digits. Possessive repeats keep Java's matcher from recursing.
 WORD = (
-    r"[\p{IsHan}\p{IsHiragana}]"
-    r"|(?:[\p{L}\p{M}&&[^\p{IsHan}\p{IsHiragana}]]"
-    r"(?:[.:'’·][\p{L}\p{M}&&[^\p{IsHan}\p{IsHiragana}]])*+"
-    r"|\p{N}(?:[.,;'’]\p{N})*+|_)++"
+    rf"(?:{_LETTERS}(?:[.:'’·]{_LETTERS})*+|\p{{N}}++(?:[.,;'’]\p{{N}}++)*+|_)++"
+    rf"|[{_SIGNS}]"
 )
 
 
@@ -220,6 +217,9 @@ def fold_ascii(c: Column | str) -> Column:
 
 
 def fold_text(c: Column | str) -> Column:
-    """Analysed tokens for matching: word tokens, lower-cased, folded to ASCII."""
-    words = F.regexp_extract_all(F.coalesce(_col(c), F.lit("")), F.lit(WORD), F.lit(0))
-    return F.transform(words, fold_ascii)
+    """Analysed tokens for matching: word tokens, lower-cased, folded to ASCII.
+
+    Folding turns letters into letters, so it can run over the whole text first.
+    """
+    folded = fold_ascii(F.coalesce(_col(c), F.lit("")))
+    return F.regexp_extract_all(folded, F.lit(WORD), F.lit(0))

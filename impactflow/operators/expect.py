@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import salted_join
+
 # Rule names as written in suite files.
 NOT_NULL = "expect_column_values_to_not_be_null"
 UNIQUE = "expect_column_values_to_be_unique"
@@ -223,7 +225,7 @@ def quality_gate(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataF
                 .where("_n > 1")
                 .select(rule.column, F.lit(True).alias(f"_repeated{i}"))
             )
-            flagged = flagged.join(repeated, rule.column, "left")
+            flagged = salted_join(flagged, repeated, [rule.column], "left")
             flags.append(F.when(F.col(f"_repeated{i}"), label))
         else:
             checked = Rule(NOT_NULL, rule.column) if rule.kind == UNIQUE else rule

@@ -4,20 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sizes import estimated_bytes
+
 HOT_ROWS = 2_000_000
 MAX_HOT_KEYS = 1_000
+NULL_SALTS = 1_024
 BROADCAST_BYTES = 64 << 20
 SMALL_BYTES = 1 << 30
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a frame (no job runs)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
 def broadcast_join(
     left: DataFrame,
     right: DataFrame,
@@ -45,28 +43,41 @@ def left_join_fill(
     return left.join(right, list(on), "left").fillna(dict(fill))
 
 
+def spread_nulls(key: Column, spread: Column) -> Column:
+    """A second join key: 0, or one of ``NULL_SALTS`` values where ``key`` is NULL.
+
+    NULL keys match nothing, but outer and anti joins still shuffle their rows;
+    with this they do not all land in one task.
+    """
+    return F.when(key.isNull(), F.pmod(spread, F.lit(NULL_SALTS)).cast("int")).otherwise(0)
+
+
 def salted_join(
     many: DataFrame,
     one: DataFrame,
     on: Sequence[str],
     how: str = "inner",
     *,
-    row_id: Sequence[str],
+    row_id: Sequence[str] = (),
     key_counts: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
     small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
-    """Join a side with hot keys to a side with few rows per key.
+    """Inner or left join of a side with hot keys to a side with few rows per key.
 
     Keys of ``many`` with more than ``hot_rows`` rows are counted first (a
     map-side combined aggregate on the key alone). Their rows are spread over
-    ceil(n / hot_rows) salts derived from ``row_id``, columns that tell the rows
-    of one key apart, and the matching rows of ``one`` are copied to each salt.
-    Only the ``MAX_HOT_KEYS`` hottest keys are salted, so the broadcast key list
-    is bounded; any other key holds under 1/1000 of the rows. No row is dropped.
-    Inputs below ``small_bytes`` are joined plainly. ``key_counts(on..., _n)``
-    saves the count where the caller has it.
+    ceil(n / hot_rows) salts, and the matching rows of ``one`` are copied to
+    each salt. The salt comes from ``row_id``, columns that tell the rows of one
+    key apart, or else from the number of the input partition; both are the
+    same when a task is run again. Only the ``MAX_HOT_KEYS`` hottest keys are
+    salted, so the broadcast key list is bounded; any other key holds under
+    1/1000 of the rows. No row is dropped. Inputs below ``small_bytes`` are
+    joined plainly. ``key_counts(on..., _n)`` saves the count where the caller
+    has it.
     """
+    if how not in ("inner", "left"):
+        raise ValueError(f"salted join cannot be {how}")
     on = list(on)
     if estimated_bytes(many) < small_bytes:
         return many.join(one, on, how)
@@ -74,12 +85,25 @@ def salted_join(
         key_counts = many.groupBy(*on).agg(F.count("*").alias("_n"))
     hot = (
         key_counts.where(F.col("_n") > hot_rows)
+        .dropna(subset=on)
         .orderBy(F.desc("_n"), *on)
         .limit(MAX_HOT_KEYS)
         .select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
     )
-    spread = F.pmod(F.xxhash64(*row_id), F.coalesce("_salts", F.lit(1))).cast("int")
-    copies = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
-    left = many.join(F.broadcast(hot), on, "left").withColumn("_salt", spread)
-    right = one.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(copies))
-    return left.drop("_salts").join(right.drop("_salts"), [*on, "_salt"], how).drop("_salt")
+    source = F.xxhash64(*row_id) if row_id else F.spark_partition_id()
+    salts = F.coalesce("_salts", F.lit(1))
+    no_key = F.greatest(*[F.col(k).isNull() for k in on], F.lit(False))
+    copies = F.sequence(F.lit(0), salts - 1)
+    left = many.withColumn("_source", source).join(F.broadcast(hot), on, "left")
+    left = left.withColumn(
+        "_salt",
+        F.when(no_key, F.pmod("_source", F.lit(NULL_SALTS)))
+        .otherwise(F.pmod("_source", salts))
+        .cast("int"),
+    ).drop("_source", "_salts")
+    right = (
+        one.join(F.broadcast(hot), on, "left")
+        .withColumn("_salt", F.explode(copies))
+        .drop("_salts")
+    )
+    return left.join(right, [*on, "_salt"], how).drop("_salt")

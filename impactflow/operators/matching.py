@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import salted_join
+from .joins import salted_join, spread_nulls
 
 KeyPair = tuple[Column, Column]
 
@@ -31,6 +31,17 @@ def unmatched(right: DataFrame, pairs: DataFrame, right_id: str) -> DataFrame:
     return right.join(pairs.select(right_id), right_id, "left_anti")
 
 
+def without_key(rows: DataFrame, key: Column, others: DataFrame, other_key: Column) -> DataFrame:
+    """Rows whose key no row of ``others`` has; rows without a key stay.
+
+    Works on the keys alone, so nothing waits for the pairs to be formed.
+    """
+    taken = others.select(other_key.alias("_k"), F.lit(0).alias("_s")).where("_k IS NOT NULL")
+    keyed = rows.withColumn("_k", key)
+    keyed = keyed.withColumn("_s", spread_nulls(F.col("_k"), F.spark_partition_id()))
+    return keyed.join(taken, ["_k", "_s"], "left_anti").drop("_k", "_s")
+
+
 def match_cascade(
     left: DataFrame,
     right: DataFrame,
@@ -39,18 +50,27 @@ def match_cascade(
     right_id: str,
     *,
     one_to_one: bool = False,
+    unique_right: bool = True,
 ) -> DataFrame:
     """Distinct pairs from an ordered list of keys.
 
     A right row matched by an earlier key takes no part in later ones; a left
-    row may match again unless ``one_to_one`` removes it as well.
+    row may match again unless ``one_to_one`` removes it as well. Where several
+    right rows share an id (``unique_right=False``), a match of one of them
+    takes out all.
     """
     stages: list[DataFrame] = []
-    for pair in keys:
-        stages.append(match_by_key(left, right, pair, left_id, right_id))
-        right = unmatched(right, stages[-1], right_id)
+    for i, (lk, rk) in enumerate(keys):
+        stages.append(match_by_key(left, right, (lk, rk), left_id, right_id))
+        if i + 1 == len(keys):
+            break
+        left_before = left
         if one_to_one:
-            left = unmatched(left, stages[-1], left_id)
+            left = without_key(left, lk, right, rk)
+        if unique_right:
+            right = without_key(right, rk, left_before, lk)
+        else:
+            right = unmatched(right, stages[-1], right_id)
     return reduce(DataFrame.unionByName, stages).dropDuplicates([left_id, right_id])
 
 

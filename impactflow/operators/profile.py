@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import WHITESPACE, strip
+from ..functions.columns import SPACES, strip
 
 # What counts as missing: NULL or an empty value; NULL or ''; NULL or blank.
 EMPTY, NULL_OR_EMPTY_STRING, BLANK = "empty", "null_or_empty_string", "blank"
@@ -72,9 +72,11 @@ def json_field_profile(lines: DataFrame, column: str = "value") -> DataFrame:
     it is NULL or '', in how many records it is absent, and the kinds of value
     seen (BIGINT, STRING, ARRAY, OBJECT, VOID for null, ...).
     """
-    parsed = lines.select(column, F.try_parse_json(column).alias("_v")).where(
-        F.schema_of_variant("_v").startswith("OBJECT")
-    )
+    text = F.col(column)
+    parsed = lines.where(
+        F.startswith(F.ltrim(text, F.lit(" \t\r\n")), F.lit("{"))
+        & F.try_parse_json(text).isNotNull()
+    ).select(column)
     entries = parsed.select(
         F.explode(F.from_json(column, "map<string,variant>")).alias("field", "_value")
     ).select(
@@ -116,7 +118,7 @@ def value_frequencies(
 
 def token_frequencies(df: DataFrame, text: Column, top: int | None = None) -> DataFrame:
     """Frequencies of whitespace-separated tokens."""
-    tokens = df.select(F.explode(F.split(text, f"[{WHITESPACE}]+")).alias("token"))
+    tokens = df.select(F.explode(F.split(text, SPACES)).alias("token"))
     return value_frequencies(tokens.where("token <> ''"), F.col("token"), top=top)
 
 

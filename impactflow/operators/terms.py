@@ -29,6 +29,21 @@ def remove_stopwords(tokens: Column | str, words: Sequence[str] = ENGLISH) -> Co
     return F.filter(tokens, lambda t: ~F.lower(t).isin(lowered))
 
 
+def _count_terms(
+    df: DataFrame, id: str, text: str, stop_words: Sequence[str], marker: bool
+) -> DataFrame:
+    """(id, term, tf). With ``marker`` each document also has the term '' with tf 0."""
+    tokens = tokenize(text)
+    if marker:
+        tokens = F.concat(F.array(F.lit("")), tokens)
+    terms = filter_nonblank(df.select(id, text), text).select(
+        id, F.explode(tokens).alias("term")
+    )
+    if stop_words:
+        terms = terms.where(~F.col("term").isin([w.lower() for w in stop_words]))
+    return terms.groupBy(id, "term").agg(F.count_if(F.col("term") != "").alias("tf"))
+
+
 def term_frequency(
     df: DataFrame, id: str, text: str, stop_words: Sequence[str] = ENGLISH
 ) -> DataFrame:
@@ -37,17 +52,12 @@ def term_frequency(
     The tokens of a document sit in one task, so the map-side combine already
     yields one row per document and term before the shuffle.
     """
-    terms = filter_nonblank(df.select(id, text), text).select(
-        id, F.explode(tokenize(text)).alias("term")
-    )
-    if stop_words:
-        terms = terms.where(~F.col("term").isin([w.lower() for w in stop_words]))
-    return terms.groupBy(id, "term").agg(F.count("*").alias("tf"))
+    return _count_terms(df, id, text, stop_words, marker=False)
 
 
 def document_frequency(tf: DataFrame) -> DataFrame:
     """(term, df): in how many documents a term occurs."""
-    return tf.groupBy("term").agg(F.count("*").alias("df"))
+    return tf.groupBy("term").agg(F.count_if(F.col("tf") >= 0).alias("df"))
 
 
 def tfidf(
@@ -59,12 +69,15 @@ def tfidf(
 ) -> DataFrame:
     """(id, term, tf, tfidf) with tfidf = tf * ln((N + 1) / (df + 1)).
 
-    A very common term is a hot join key; the document frequencies say which
-    ones are, so those are salted. ``id`` is unique.
+    A marker term in every document makes N the highest document frequency.
+    The term counts, the document frequencies and N then all come from the same
+    shuffle (ReusedExchange): the texts are read and tokenised once. A very
+    common term is a hot join key; its document frequency says so and it is
+    salted. ``id`` is unique.
     """
-    tf = term_frequency(df, id, text, stop_words)
+    tf = _count_terms(df, id, text, stop_words, marker=True)
     freq = document_frequency(tf)
-    n = filter_nonblank(df.select(text), text).agg(F.count("*")).scalar()
+    n = freq.agg(F.max("df")).scalar()
     joined = salted_join(
         tf,
         freq,
@@ -72,7 +85,7 @@ def tfidf(
         row_id=[id],
         key_counts=freq.withColumnRenamed("df", "_n"),
         **join_options,
-    )
+    ).where("tf > 0")
     idf = F.log((n + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     return joined.select(id, "term", "tf", (F.col("tf") * idf).alias("tfidf"))
 

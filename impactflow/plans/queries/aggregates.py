@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...operators import profile as p
-from .registry import query, table
+from ...sources.files import spread_small
+from .registry import documents, query, table
 
 
 @query(
@@ -42,7 +43,7 @@ def row_count(spark: SparkSession, sf: str) -> DataFrame:
     WHERE token <> '' GROUP BY 1 ORDER BY n DESC, value LIMIT 15""",
 )
 def value_frequencies(spark: SparkSession, sf: str) -> DataFrame:
-    return p.token_frequencies(table(spark, sf, "documents"), F.col("text"), top=15)
+    return p.token_frequencies(documents(spark, sf), F.col("text"), top=15)
 
 
 @query(
@@ -58,7 +59,7 @@ def value_frequencies_missing(spark: SparkSession, sf: str) -> DataFrame:
 def sparse_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with their labels: gaps of every kind."""
     return (
-        table(spark, sf, "documents")
+        documents(spark, sf)
         .join(table(spark, sf, "labels"), "doc_id", "left")
         .select(
             "doc_id",
@@ -158,7 +159,7 @@ def field_presence_types(spark: SparkSession, sf: str) -> DataFrame:
     quoted = F.when(kind == "view", F.concat(F.lit('"u'), "user_id", F.lit('"'))).otherwise(
         F.col("user_id").cast("string")
     )
-    lines = table(spark, sf, "events").select(
+    lines = spread_small(table(spark, sf, "events")).select(
         F.concat(
             F.lit('{"event_id":'),
             "event_id",
@@ -180,7 +181,7 @@ def field_presence_types(spark: SparkSession, sf: str) -> DataFrame:
 )
 def duplicate_rows(spark: SparkSession, sf: str) -> DataFrame:
     # A digest stands for the text, so the shuffle does not carry whole texts.
-    return p.duplicate_rows(table(spark, sf, "documents"), F.sha2("text", 256))
+    return p.duplicate_rows(documents(spark, sf), F.sha2("text", 256))
 
 
 @query(
@@ -189,7 +190,7 @@ def duplicate_rows(spark: SparkSession, sf: str) -> DataFrame:
     SELECT text FROM documents WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1)""",
 )
 def duplicate_keys(spark: SparkSession, sf: str) -> DataFrame:
-    return p.duplicate_keys(table(spark, sf, "documents"), F.sha2("text", 256))
+    return p.duplicate_keys(documents(spark, sf), F.sha2("text", 256))
 
 
 @query(

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from ...functions import columns as c
 from ...operators import clean as k
-from ...operators.profile import EMPTY  # noqa: F401
 from ...session import scratch_dir
 from ...sources import files, jsonl
-from .registry import query, table
+from ...sources.files import spread_small
+from .registry import documents, query, table
 
 # The stripped characters, usable inside a SQL string literal.
 WS = c.WHITESPACE
@@ -36,7 +36,7 @@ def clean_text(spark: SparkSession, sf: str) -> DataFrame:
     raw = F.concat(F.lit(WS), "text", F.lit(" \t\n"))
     text = c.clean_text(F.when(F.col("lang") != "de", raw))
     return (
-        table(spark, sf, "documents")
+        documents(spark, sf)
         .select("doc_id", text.alias("t"))
         .select("doc_id", F.length("t").cast("bigint").alias("chars"), F.md5("t").alias("digest"))
     )
@@ -306,10 +306,10 @@ def null_normalize(spark: SparkSession, sf: str) -> DataFrame:
 )
 def filter_nonblank(spark: SparkSession, sf: str) -> DataFrame:
     lang = F.col("lang")
-    documents = table(spark, sf, "documents").select(
+    texts = documents(spark, sf).select(
         "doc_id", F.when(lang == "fr", "   ").when(lang != "de", F.col("text")).alias("text")
     )
-    kept = k.filter_nonblank(documents, "text")
+    kept = k.filter_nonblank(texts, "text")
     return kept.select("doc_id", F.length("text").cast("bigint").alias("chars"))
 
 
@@ -318,7 +318,7 @@ def filter_nonblank(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT doc_id, CASE WHEN length(text) <= 512 THEN md5(text) END AS digest FROM documents",
 )
 def ignore_above(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id", F.md5(c.ignore_above("text", 512)).alias("digest")
     )
 
@@ -330,7 +330,7 @@ def raw_posts(spark: SparkSession, sf: str) -> DataFrame:
     """Events as raw post lines: one id per user and type, so ids repeat by design."""
     kind = F.col("event_type")
     quoted = F.concat(F.lit('"'), F.col("value").cast("string"), F.lit('"'))
-    return table(spark, sf, "events").select(
+    return spread_small(table(spark, sf, "events")).select(
         "event_id",
         F.concat(
             F.lit('{"id":'),

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ...operators import expect as e
 from ...session import scratch_dir
 from ...sinks.contract import PAPER_DOCUMENT, schema_differences
-from ...operators import profile as p  # noqa: F401
 from .registry import query, table
 
 

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ...sources.files import spread_small
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -36,6 +38,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The texts; a table of few small files is spread over the cores first."""
+    return spread_small(table(spark, sf, "documents"))
+
+
 def event_key() -> Column:
     """The id inside the JSON properties of an event."""
     return F.get_json_object("props", "$.k").cast("bigint")

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from ...functions.columns import FOLD_FROM, FOLD_MULTI, FOLD_TO, fold_text
 from ...functions.stopwords import ENGLISH
 from ...operators import terms as t
-from .registry import query, table
+from .registry import documents, query
 
-STOP_SQL = ", ".join("('" + w.replace("'", "''") + "')" for w in ENGLISH)
+STOP_LIST_SQL = ", ".join("'" + w.replace("'", "''") + "'" for w in ENGLISH)
 TOKENS_SQL = r"""tokens AS (
   SELECT doc_id, term, pos FROM (
     SELECT doc_id, unnest(parts) AS term, unnest(range(len(parts))) AS pos FROM (
@@ -18,7 +18,7 @@ TOKENS_SQL = r"""tokens AS (
       FROM documents WHERE length(trim(text)) > 0))
   WHERE length(term) >= 2)"""
 WORDS_SQL = f"""{TOKENS_SQL},
-words AS (SELECT * FROM tokens WHERE term NOT IN (SELECT w FROM (VALUES {STOP_SQL}) v(w)))"""
+words AS (SELECT * FROM tokens WHERE term NOT IN ({STOP_LIST_SQL}))"""
 TF_SQL = f"""{WORDS_SQL},
 tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY 1, 2)"""
 TFIDF_SQL = f"""{TF_SQL},
@@ -36,35 +36,38 @@ def _digested(df: DataFrame) -> DataFrame:
     )
 
 
+TOKEN_LIST_SQL = r"""list_filter(string_split_regex(lower(text), '\W+'),
+                       lambda x: length(x) >= 2)"""
+DIGEST_SQL = "len(t) AS tokens, md5(array_to_string(t, ' ')) AS digest"
+
+
 @query(
     "tokenize",
-    f"""WITH {TOKENS_SQL} SELECT doc_id, count(*) AS tokens,
-    md5(string_agg(term, ' ' ORDER BY pos)) AS digest FROM tokens GROUP BY doc_id""",
+    f"SELECT doc_id, {DIGEST_SQL} FROM (SELECT doc_id, {TOKEN_LIST_SQL} AS t FROM documents)",
 )
 def tokenize(spark: SparkSession, sf: str) -> DataFrame:
-    documents = table(spark, sf, "documents").select("doc_id", t.tokenize("text").alias("tokens"))
-    return _digested(documents).where("tokens > 0")
+    return _digested(documents(spark, sf).select("doc_id", t.tokenize("text").alias("tokens")))
 
 
 @query(
     "remove_stopwords",
-    f"""WITH {WORDS_SQL} SELECT doc_id, count(*) AS tokens,
-    md5(string_agg(term, ' ' ORDER BY pos)) AS digest FROM words GROUP BY doc_id""",
+    f"""SELECT doc_id, {DIGEST_SQL} FROM (
+      SELECT doc_id, list_filter({TOKEN_LIST_SQL}, lambda x: x NOT IN ({STOP_LIST_SQL})) AS t
+      FROM documents)""",
 )
 def remove_stopwords(spark: SparkSession, sf: str) -> DataFrame:
     tokens = t.remove_stopwords(t.tokenize("text"))
-    documents = table(spark, sf, "documents").select("doc_id", tokens.alias("tokens"))
-    return _digested(documents).where("tokens > 0")
+    return _digested(documents(spark, sf).select("doc_id", tokens.alias("tokens")))
 
 
 @query("term_frequency", f"WITH {TF_SQL} SELECT doc_id, term, tf FROM tf")
 def term_frequency(spark: SparkSession, sf: str) -> DataFrame:
-    return t.term_frequency(table(spark, sf, "documents"), "doc_id", "text")
+    return t.term_frequency(documents(spark, sf), "doc_id", "text")
 
 
 @query("term_frequency_hashed")
 def term_frequency_hashed(spark: SparkSession, sf: str) -> DataFrame:
-    vectors = t.hashed_term_frequency(table(spark, sf, "documents"), "doc_id", "text")
+    vectors = t.hashed_term_frequency(documents(spark, sf), "doc_id", "text")
     return vectors.select("doc_id", F.col("tf_vector").cast("string").alias("tf_vector"))
 
 
@@ -72,15 +75,15 @@ def term_frequency_hashed(spark: SparkSession, sf: str) -> DataFrame:
     "tfidf", f"WITH {TFIDF_SQL} SELECT doc_id, term, tf, round(tfidf, 6) AS tfidf FROM weights"
 )
 def tfidf(spark: SparkSession, sf: str) -> DataFrame:
-    weights = t.tfidf(table(spark, sf, "documents"), "doc_id", "text")
+    weights = t.tfidf(documents(spark, sf), "doc_id", "text")
     return weights.withColumn("tfidf", F.round("tfidf", 6))
 
 
 @query("tfidf_hashed")
 def tfidf_hashed(spark: SparkSession, sf: str) -> DataFrame:
-    documents = table(spark, sf, "documents")
-    model = t.fit_hashed_tfidf(documents, "text")
-    vectors = t.hashed_tfidf(model, documents, "doc_id", "text")
+    texts = documents(spark, sf)
+    model = t.fit_hashed_tfidf(texts, "text")
+    vectors = t.hashed_tfidf(model, texts, "doc_id", "text")
     return vectors.select("doc_id", F.col("tfidf_vector").cast("string").alias("tfidf_vector"))
 
 
@@ -92,7 +95,7 @@ def tfidf_hashed(spark: SparkSession, sf: str) -> DataFrame:
       FROM (SELECT doc_id, term, round(tfidf, 6) AS tfidf FROM weights)) WHERE rank <= 5""",
 )
 def top_terms(spark: SparkSession, sf: str) -> DataFrame:
-    weights = t.tfidf(table(spark, sf, "documents"), "doc_id", "text").withColumn(
+    weights = t.tfidf(documents(spark, sf), "doc_id", "text").withColumn(
         "tfidf", F.round("tfidf", 6)
     )
     return t.top_terms(weights, "doc_id", 5).select(
@@ -109,17 +112,14 @@ def _fold_sql(text: str) -> str:
 
 # The word pattern without Java's possessive quantifiers and class arithmetic;
 # the texts have no Han or Hiragana signs.
-WORD_SQL = r"(?:[\p{L}\p{M}](?:[.:''’·][\p{L}\p{M}])*|\p{N}(?:[.,;''’]\p{N})*|_)+"
+WORD_SQL = r"(?:[\p{L}\p{M}]+(?:[.:''’·][\p{L}\p{M}]+)*|\p{N}+(?:[.,;''’]\p{N}+)*|_)+"
 
 
 @query(
     "fold_text",
-    f"""SELECT doc_id, count(*) AS tokens, md5(string_agg({_fold_sql("word")}, ' ' ORDER BY pos))
-      AS digest FROM (
-      SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS pos FROM (
-        SELECT doc_id, regexp_extract_all(text, '{WORD_SQL}') AS words FROM documents))
-    GROUP BY doc_id""",
+    f"""SELECT doc_id, len(words) AS tokens, md5(array_to_string(words, ' ')) AS digest FROM (
+      SELECT doc_id, regexp_extract_all({_fold_sql("text")}, '{WORD_SQL}') AS words
+      FROM documents)""",
 )
 def fold_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    documents = table(spark, sf, "documents").select("doc_id", fold_text("text").alias("tokens"))
-    return _digested(documents).where("tokens > 0")
+    return _digested(documents(spark, sf).select("doc_id", fold_text("text").alias("tokens")))

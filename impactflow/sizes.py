@@ -1,0 +1,10 @@
+"""Plan-time size estimates."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of a frame (no job runs)."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

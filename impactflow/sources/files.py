@@ -9,6 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..sizes import estimated_bytes
+
+# Default size of a scan partition (spark.sql.files.maxPartitionBytes).
+SPLIT_BYTES = 128 << 20
+
 
 def scan_parquet(
     spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None
@@ -19,6 +24,18 @@ def scan_parquet(
     return reader.parquet(*paths)
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a scan that is too small to keep all cores busy.
+
+    For costly per-row work over one or a few files. Scans with enough files or
+    bytes are returned as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if estimated_bytes(df) >= cores * SPLIT_BYTES or len(df.inputFiles()) >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: path, name, size_bytes, modified. Contents are not read."""
     return (

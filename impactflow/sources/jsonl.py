@@ -82,21 +82,26 @@ def parse_lines(lines: DataFrame, fields: Mapping[str, str]) -> JsonlScan:
     """Split lines into records and rejects; only JSON objects are records.
 
     Each line is parsed once, then every field is taken with its own cast, so a
-    mistyped value nulls that field and nothing else.
+    mistyped value nulls that field and nothing else. Unpacking the parsed
+    value from an array keeps later filters from parsing the line again.
     """
-    parsed = lines.withColumn("_record", F.try_parse_json("value"))
-    is_record = F.coalesce(
-        F.schema_of_variant("_record").startswith("OBJECT"), F.lit(False)
+    value = F.col("value")
+    looks_like_object = F.coalesce(
+        F.startswith(F.ltrim(value, F.lit(" \t\r\n")), F.lit("{")), F.lit(False)
     )
+    parsed = F.try_parse_json(value)
+    is_record = looks_like_object & parsed.isNotNull()
+    passthrough = [c for c in lines.columns if c != "value"]
     columns = [
         F.try_variant_get("_record", f"$['{name}']", dtype).alias(name)
         for name, dtype in fields.items()
     ]
-    passthrough = [c for c in lines.columns if c != "value"]
     return JsonlScan(
-        records=parsed.where(is_record).select(*columns, *passthrough),
-        rejects=parsed.where(~is_record).drop("_record"),
-        report=parsed.agg(
+        records=lines.where(looks_like_object)
+        .select(*passthrough, F.explode(F.array_compact(F.array(parsed))).alias("_record"))
+        .select(*columns, *passthrough),
+        rejects=lines.where(~is_record),
+        report=lines.agg(
             F.count("*").alias("lines"),
             F.count_if(is_record).alias("records"),
             F.count_if(~is_record).alias("invalid_lines"),

@@ -18,17 +18,19 @@ def match_by_key(
 ) -> DataFrame:
     """Pairs (left_id, right_id) with equal, non-NULL keys.
 
-    ``right`` may have any number of rows per key; hot keys are salted.
+    Either side may have any number of rows per key; hot keys are salted.
     """
     lk, rk = keys
     one = left.select(lk.alias("_k"), F.col(left_id)).where("_k IS NOT NULL")
     many = right.select(rk.alias("_k"), F.col(right_id)).where("_k IS NOT NULL")
-    return salted_join(many, one, ["_k"], row_id=[right_id]).select(left_id, right_id)
+    return salted_join(many, one, ["_k"], row_id=[right_id], both_sides=True).select(
+        left_id, right_id
+    )
 
 
 def unmatched(right: DataFrame, pairs: DataFrame, right_id: str) -> DataFrame:
     """Rows of ``right`` whose id is in no pair."""
-    return right.join(pairs.select(right_id), right_id, "left_anti")
+    return right.join(pairs.select(right_id).distinct(), right_id, "left_anti")
 
 
 def without_key(rows: DataFrame, key: Column, others: DataFrame, other_key: Column) -> DataFrame:
@@ -36,7 +38,8 @@ def without_key(rows: DataFrame, key: Column, others: DataFrame, other_key: Colu
 
     Works on the keys alone, so nothing waits for the pairs to be formed.
     """
-    taken = others.select(other_key.alias("_k"), F.lit(0).alias("_s")).where("_k IS NOT NULL")
+    taken = others.select(other_key.alias("_k")).where("_k IS NOT NULL").distinct()
+    taken = taken.withColumn("_s", F.lit(0))
     keyed = rows.withColumn("_k", key)
     keyed = keyed.withColumn("_s", spread_nulls(F.col("_k"), F.spark_partition_id()))
     return keyed.join(taken, ["_k", "_s"], "left_anti").drop("_k", "_s")
@@ -101,7 +104,9 @@ def three_way_match(
     making the joined rows distinct. Attributes of a post depend on its id.
     """
     posts = post_matches.dropDuplicates([paper_id, post_id])
-    return salted_join(posts, pairs.distinct(), [paper_id], row_id=[post_id])
+    return salted_join(
+        posts, pairs.distinct(), [paper_id], row_id=[post_id], both_sides=True
+    )
 
 
 def match_coverage(

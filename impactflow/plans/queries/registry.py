@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ...sources.files import spread_small
 
@@ -34,8 +35,15 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table. Its schema is read from the files once per process."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:

@@ -65,10 +65,19 @@ def term_frequency(spark: SparkSession, sf: str) -> DataFrame:
     return t.term_frequency(documents(spark, sf), "doc_id", "text")
 
 
-@query("term_frequency_hashed")
+@query(
+    "term_frequency_hashed",
+    f"""SELECT doc_id, CAST(len(list_filter({TOKEN_LIST_SQL}, lambda x: x NOT IN ({STOP_LIST_SQL})))
+      AS DOUBLE) AS terms FROM documents WHERE length(trim(text)) > 0""",
+)
 def term_frequency_hashed(spark: SparkSession, sf: str) -> DataFrame:
+    """Hashed vectors, shown by the sum of their counts, which collisions keep."""
     vectors = t.hashed_term_frequency(documents(spark, sf), "doc_id", "text")
-    return vectors.select("doc_id", F.col("tf_vector").cast("string").alias("tf_vector"))
+    counts = F.regexp_extract(F.col("tf_vector").cast("string"), r"\[([^\[\]]*)\]\)$", 1)
+    total = F.aggregate(
+        F.split(counts, ","), F.lit(0.0), lambda a, x: a + F.coalesce(x.try_cast("double"), F.lit(0.0))
+    )
+    return vectors.select("doc_id", total.alias("terms"))
 
 
 @query(

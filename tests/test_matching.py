@@ -36,6 +36,18 @@ def test_salted_join_loses_nothing(spark, how, row_id):
     assert Counter(map(tuple, joined.select("k", "row", "name").collect())) == expected(how)
 
 
+def test_salting_both_sides_loses_nothing(spark):
+    left = [(i, 0 if i % 2 else i % 9) for i in range(90)]
+    right = [(100 + i, 0 if i % 3 else i % 9) for i in range(60)]
+    joined = j.salted_join(
+        spark.createDataFrame(left, "l int, k int").repartition(5),
+        spark.createDataFrame(right, "r int, k int").repartition(4),
+        ["k"], both_sides=True, hot_rows=7, small_bytes=0,
+    )
+    brute = Counter((lk, a, b) for a, lk in left for b, rk in right if lk == rk)
+    assert Counter(map(tuple, joined.select("k", "l", "r").collect())) == brute
+
+
 def test_salted_join_spreads_the_hot_key(spark):
     many, one = frames(spark)
     spark.conf.set("spark.sql.adaptive.enabled", "false")

@@ -115,6 +115,11 @@ def valid_date(c: Column, strftime: str = "%Y-%m-%d") -> Column:
     return F.coalesce(shape & F.try_to_date(c, "yyyy-M-d").isNotNull(), F.lit(False))
 
 
+def missing(c: Column, dtype: str) -> Column:
+    """NULL, which for raw JSON values includes the JSON null."""
+    return c.isNull() | F.is_variant_null(c) if dtype == "variant" else c.isNull()
+
+
 def violation(rule: Rule, dtypes: Mapping[str, str]) -> Column:
     """Is a row unexpected under a row-level rule? Never NULL; NULL values pass
     all rules but not_null. A missing column fails every row."""
@@ -122,12 +127,12 @@ def violation(rule: Rule, dtypes: Mapping[str, str]) -> Column:
         return F.lit(True)
     c = F.col(f"`{rule.column}`")
     if rule.kind == NOT_NULL:
-        return c.isNull()
+        return missing(c, dtypes[rule.column])
     if rule.kind == OF_TYPE:
         wanted = _TYPES.get(rule.kwargs["type_"], rule.kwargs["type_"])
         found = dtypes[rule.column]
         if found == "variant":
-            return c.isNotNull() & ~F.schema_of_variant(c).isin(wanted.upper(), "VOID")
+            return ~missing(c, found) & (F.schema_of_variant(c) != wanted.upper())
         return F.lit(found != wanted)
     if rule.kind == BETWEEN:
         low, high = rule.kwargs.get("min_value"), rule.kwargs.get("max_value")
@@ -156,7 +161,9 @@ def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     uniques: dict[str, Column] = {}
     for i, rule in enumerate(rules):
         known = rule.column in dtypes
-        nulls = F.col(f"`{rule.column}`").isNull() if known else F.lit(True)
+        nulls = (
+            missing(F.col(f"`{rule.column}`"), dtypes[rule.column]) if known else F.lit(True)
+        )
         counts.append(F.count_if(nulls).alias(f"n{i}"))
         if rule.kind == UNIQUE and known:
             groups = (

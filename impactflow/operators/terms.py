@@ -32,16 +32,22 @@ def remove_stopwords(tokens: Column | str, words: Sequence[str] = ENGLISH) -> Co
 def _count_terms(
     df: DataFrame, id: str, text: str, stop_words: Sequence[str], marker: bool
 ) -> DataFrame:
-    """(id, term, tf). With ``marker`` each document also has the term '' with tf 0."""
-    tokens = tokenize(text)
+    """(id, term, tf). With ``marker`` each document also has the term '' with tf 0.
+
+    Splitting a text that starts with a blank always yields a leading ''. Short
+    tokens and stop words are dropped after the explode, in generated code.
+    """
+    words = F.split(F.concat(F.lit(" "), F.lower(text)), r"\W+")
+    term = F.col("term")
+    keep = F.length(term) >= MIN_TOKEN
+    if stop_words:
+        keep = keep & ~term.isin([w.lower() for w in stop_words])
     if marker:
-        tokens = F.concat(F.array(F.lit("")), tokens)
+        keep = keep | (term == "")
     terms = filter_nonblank(df.select(id, text), text).select(
-        id, F.explode(tokens).alias("term")
+        id, F.explode(words).alias("term")
     )
-    if stop_words:
-        terms = terms.where(~F.col("term").isin([w.lower() for w in stop_words]))
-    return terms.groupBy(id, "term").agg(F.count_if(F.col("term") != "").alias("tf"))
+    return terms.where(keep).groupBy(id, "term").agg(F.count_if(term != "").alias("tf"))
 
 
 def term_frequency(

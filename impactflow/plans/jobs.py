@@ -1,7 +1,8 @@
 """The batch and streaming jobs, as functions and as a spark-submit entry point.
 
-    spark-submit -m impactflow.plans.jobs papers  <raw glob> <silver folder>
-    spark-submit -m impactflow.plans.jobs gold    <silver folder> <gold folder> --as-of 2026-01-01
+    python -m impactflow.plans.jobs papers <raw glob> <silver>/papers
+    python -m impactflow.plans.jobs gold   <silver> <gold> --as-of 2026-01-01
+    python -m impactflow.plans.jobs stream <raw folder> <target> --checkpoint <folder>
 """
 
 from __future__ import annotations
@@ -12,11 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
-from ..operators import clean, matching, scoring
+from ..operators import clean, expect, marts, matching, scoring
 from ..session import builder, scratch_dir
+from ..sinks.contract import PAPER_DOCUMENT, PAPER_KEYWORD_LIMITS
 from ..sinks.tables import keyed_overwrite, rebuild, write_parquet
 from ..sources import jsonl
-from ..sources.files import latest_snapshot, scan_parquet
+from ..sources.files import input_inventory, latest_snapshot, scan_parquet
 from ..streaming import posts as stream
 
 
@@ -35,13 +37,12 @@ def posts_table(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def citations_table(spark: SparkSession, raw: str) -> DataFrame:
-    """Cleaned citation records of the latest snapshot, first record per id wins.
+    """Cleaned citation records of one snapshot, first record per id wins.
 
     A line that is no JSON fails the job, as a truncated snapshot must not pass.
     """
     schema = ", ".join(f"`{n}` {t}" for n, t in jsonl.CITATION_FIELDS.items())
-    snapshot = latest_snapshot(spark, raw)
-    lines = jsonl.read_lines(spark, snapshot)
+    lines = jsonl.read_lines(spark, raw)
     strict = lines.select(
         F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r"), jsonl.ARRIVAL
     ).select("r.*", jsonl.ARRIVAL)
@@ -51,6 +52,74 @@ def citations_table(spark: SparkSession, raw: str) -> DataFrame:
     )
 
 
+# Raw fields the rules of each source look at. Variants keep the JSON type.
+RULES = {
+    "papers": (
+        {n: "string" for n in ("id", "title", "abstract", "categories", "update_date")},
+        expect.paper_rules,
+    ),
+    "citations": (
+        {"id": "string", "cited_by_count": "bigint", "publication_year": "bigint"},
+        expect.citation_rules,
+    ),
+    "posts": (
+        {"id": "variant", "time": "variant"}
+        | {n: "string" for n in ("title", "type", "by", "score")},
+        expect.post_rules,
+    ),
+}
+TABLES = {"papers": papers_table, "citations": citations_table, "posts": posts_table}
+
+
+def validate_raw(spark: SparkSession, source: str, raw: str) -> DataFrame:
+    """The rules of a source over all of its raw records."""
+    fields, rules = RULES[source]
+    return expect.run_suite(jsonl.scan_jsonl(spark, raw, fields).records, rules())
+
+
+def refresh(
+    spark: SparkSession,
+    source: str,
+    raw: str,
+    target: str,
+    *,
+    validations: str,
+    run_id: str,
+    run_at: str,
+    newest: str | None = None,
+    strict: bool = False,
+) -> DataFrame:
+    """Check, clean and rebuild one source; returns its monitoring row.
+
+    ``raw`` is a file, a folder or a glob of them, and must exist. With ``newest``
+    ('file' or 'folder') only the last member of the glob is taken. Rule results
+    are stored; with ``strict`` a failed rule stops the job before anything is
+    replaced.
+    """
+    if newest:
+        raw = latest_snapshot(spark, raw, folders=newest == "folder")
+    inventory = input_inventory(spark, raw)
+    stored = f"{validations}/suite={source}/run_id={run_id}"
+    expect.store_validation(
+        validate_raw(spark, source, raw),
+        validations,
+        suite=source,
+        run_id=run_id,
+        run_at=run_at,
+    )
+    results = scan_parquet(spark, stored)
+    if strict:
+        expect.require_success(results)
+    rebuild(TABLES[source](spark, raw), target)
+    return marts.monitoring_row(
+        inventory,
+        expect.suite_summary(results),
+        source=source,
+        layer="bronze",
+        at=F.lit(run_at).cast("timestamp"),
+    )
+
+
 def citation_matches(papers: DataFrame, citations: DataFrame) -> DataFrame:
     """(paper_id, citation_id): by paper id, then by DOI for the rest."""
     left = papers.select("id", "doi").withColumnRenamed("id", "paper_id")
@@ -67,6 +136,20 @@ def citation_matches(papers: DataFrame, citations: DataFrame) -> DataFrame:
     )
 
 
+def paper_documents(papers: DataFrame) -> DataFrame:
+    """Cleaned papers in the strict document layout of the index, long keywords
+    left out. Columns the layout does not know are dropped here, not rejected there."""
+    documents = papers.withColumn("update_date", c.iso_date("update_date"))
+    return documents.select(
+        *[
+            c.ignore_above(f"`{n}`", PAPER_KEYWORD_LIMITS[n]).alias(n)
+            if n in ("doi", "license")
+            else F.col(f"`{n}`")
+            for n in PAPER_DOCUMENT
+        ]
+    )
+
+
 def post_matches(papers: DataFrame, posts: DataFrame) -> DataFrame:
     """Posts that link to a known paper."""
     return matching.match_url_join(
@@ -125,9 +208,9 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--checkpoint")
     a = args.parse_args(argv)
     spark = builder(f"impactflow-{a.job}").getOrCreate()
-    tables = {"papers": papers_table, "posts": posts_table, "citations": citations_table}
-    if a.job in tables:
-        rebuild(tables[a.job](spark, a.source), a.target)
+    if a.job in TABLES:
+        raw = latest_snapshot(spark, a.source) if a.job == "citations" else a.source
+        rebuild(TABLES[a.job](spark, raw), a.target)
     elif a.job == "gold":
         if not a.as_of:
             args.error("gold needs --as-of")

@@ -3,6 +3,7 @@
 from . import (  # noqa: F401
     aggregates,
     cleaning,
+    endtoend,
     marts,
     matching,
     quality,

@@ -243,6 +243,18 @@ def upsert_report(spark: SparkSession, sf: str) -> DataFrame:
     return tables.upsert_report(base, batch, "c_custkey")
 
 
+@query(
+    "part_report",
+    f"""WITH {UPSERT_SQL} SELECT c_custkey < 0 AS is_new, count(*) AS rows, count(*) AS accepted,
+    0 AS rejected FROM batch GROUP BY 1
+    UNION ALL SELECT NULL, count(*), 0, count(*) FROM supplier""",
+)
+def part_report(spark: SparkSession, sf: str) -> DataFrame:
+    _, batch = balances(spark, sf)
+    parts = batch.withColumn("is_new", F.col("c_custkey") < 0)
+    return tables.part_report(parts, "c_custkey", "is_new")
+
+
 @query(
     "schema_conformance",
     """SELECT event_id, CASE event_type WHEN 'error' THEN 'published_date' WHEN 'view' THEN 'title'

@@ -36,7 +36,7 @@ MONITORING_DOCUMENT = {
     "ge_error_rate": "double",
     "freshness_timestamp": "timestamp",
 }
-# Longest keyword kept per field.
+# Longest keyword kept per field (for title and authors, in a side field).
 PAPER_KEYWORD_LIMITS = {"title": 512, "authors": 512, "doi": 512, "license": 1024}
 
 

@@ -113,6 +113,15 @@ def upsert_report(base: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     )
 
 
+def part_report(batch: DataFrame, key: str, part: str) -> DataFrame:
+    """(part, rows, accepted, rejected): keyed and keyless rows per part of a batch."""
+    return batch.groupBy(part).agg(
+        F.count("*").alias("rows"),
+        F.count(key).alias("accepted"),
+        F.count_if(F.col(key).isNull()).alias("rejected"),
+    )
+
+
 def append_changes(batch: DataFrame, batch_id: int, path: str) -> None:
     """Store one batch of changes under its id; a replay of the batch replaces it.
 

@@ -98,7 +98,8 @@ def test_clean_citations_from_latest_snapshot(spark, tmp_path):
         tmp_path / "works_2.jsonl",
         [json.dumps(record), json.dumps({**record, "title": "second"})],
     )
-    rows = jobs.citations_table(spark, f"{tmp_path}/works_*.jsonl").collect()
+    newest = files.latest_snapshot(spark, f"{tmp_path}/works_*.jsonl")
+    rows = jobs.citations_table(spark, newest).collect()
     assert len(rows) == 1
     r = rows[0]
     assert (r["citation_id"], r["doi"], r["paper_id"], r["title"]) == (

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
-from ..sources.jsonl import ARRIVAL
+from ..sources.jsonl import ARRIVAL, CITATION_FIELDS, PAPER_FIELDS, POST_FIELDS
 
 
 def project_existing(
@@ -61,35 +61,14 @@ def dedup_keep_first(
     return _first_row(df, key, [F.asc_nulls_last(o) for o in order])
 
 
-# Output layouts of the cleaners.
-PAPER_COLUMNS = {
-    "id": "string", "title": "string", "abstract": "string", "authors": "string",
-    "categories": "string", "update_date": "string", "doi": "string",
-    "journal-ref": "string", "comments": "string", "license": "string",
-    "versions": "array<struct<version:string,created:string>>",
-}
-POST_COLUMNS = {
-    "id": "bigint", "by": "string", "time": "string", "type": "string",
-    "title": "string", "url": "string", "score": "string", "descendants": "string",
-    "text": "string", "kids": "array<bigint>",
-}
-CITATION_COLUMNS = {
-    "id": "string", "doi": "string", "title": "string", "publication_year": "bigint",
-    "publication_date": "string", "cited_by_count": "string",
-    "counts_by_year": "array<struct<year:bigint,cited_by_count:bigint>>",
-    "referenced_works_count": "string", "type": "string",
-    "primary_location": "struct<id:string>",
-}
-
-
 def clean_papers(df: DataFrame) -> DataFrame:
     """Paper records -> stripped text, category list, dates; rows without id dropped.
 
     Optional text becomes '' when missing. ``arrival`` is passed through for
     the deduplication that follows.
     """
-    raw = require_key(project_existing(df, PAPER_COLUMNS, [ARRIVAL]), "id")
-    text = [n for n in PAPER_COLUMNS if n not in ("id", "categories", "update_date", "versions")]
+    raw = require_key(project_existing(df, PAPER_FIELDS, [ARRIVAL]), "id")
+    text = [n for n in PAPER_FIELDS if n not in ("id", "categories", "update_date", "versions")]
     return raw.select(
         c.strip(F.col("id")).alias("id"),
         *[c.clean_text(F.col(f"`{n}`")).alias(n) for n in text],
@@ -105,7 +84,7 @@ def clean_posts(df: DataFrame) -> DataFrame:
 
     ``event_time`` is the timestamp behind the ISO ``time`` string.
     """
-    raw = require_key(project_existing(df, POST_COLUMNS, [ARRIVAL]), "id")
+    raw = require_key(project_existing(df, POST_FIELDS, [ARRIVAL]), "id")
     return raw.select(
         "id",
         c.clean_text("by").alias("by"),
@@ -120,7 +99,7 @@ def clean_posts(df: DataFrame) -> DataFrame:
 
 def clean_citations(df: DataFrame) -> DataFrame:
     """Citation records -> normalised DOI and paper id, counts as longs."""
-    raw = project_existing(df, CITATION_COLUMNS, [ARRIVAL])
+    raw = project_existing(df, CITATION_FIELDS, [ARRIVAL])
     return raw.select(
         F.col("id").alias("citation_id"),
         c.normalize_doi("doi").alias("doi"),

@@ -114,27 +114,23 @@ def match_coverage(
 ) -> DataFrame:
     """One row: totals, distinct matched ids and percentages of both sides.
 
-    Empty sides give NULL percentages.
+    The pairs are formed once. Empty sides give NULL percentages.
     """
 
     def rows(df: DataFrame) -> Column:
         return df.agg(F.count("*")).scalar()
 
-    def ids(name: str) -> Column:
-        return pairs.agg(F.count_distinct(name)).scalar()
-
     def pct(part: str, whole: str) -> Column:
         return F.round(F.try_divide(F.col(part) * F.lit(100.0), F.col(whole)), 4)
 
     return (
-        pairs.agg(F.count("*").alias("pairs"))
-        .select(
-            "pairs",
-            rows(left).alias("left_rows"),
-            rows(right).alias("right_rows"),
-            ids(left_id).alias("left_matched"),
-            ids(right_id).alias("right_matched"),
+        pairs.agg(
+            F.count("*").alias("pairs"),
+            F.count_distinct(left_id).alias("left_matched"),
+            F.count_distinct(right_id).alias("right_matched"),
         )
+        .withColumn("left_rows", rows(left))
+        .withColumn("right_rows", rows(right))
         .withColumn("left_pct", pct("left_matched", "left_rows"))
         .withColumn("right_pct", pct("right_matched", "right_rows"))
     )

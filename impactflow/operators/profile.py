@@ -70,30 +70,35 @@ def json_field_profile(lines: DataFrame, column: str = "value") -> DataFrame:
     (field, present, empty, null_or_empty_string, absent, kinds): in how many
     records a field occurs, how often its value is NULL, '', [] or {}, how often
     it is NULL or '', in how many records it is absent, and the kinds of value
-    seen (BIGINT, STRING, ARRAY, OBJECT, VOID for null, ...).
+    seen (BIGINT, STRING, ARRAY, OBJECT, VOID for null, ...). A nameless entry
+    per record makes the number of records the highest count, so the lines are
+    parsed once for both (ReusedExchange).
     """
     text = F.col(column)
     parsed = lines.where(
         F.startswith(F.ltrim(text, F.lit(" \t\r\n")), F.lit("{"))
         & F.try_parse_json(text).isNotNull()
     ).select(column)
+    fields = F.map_entries(F.from_json(column, "map<string,variant>"))
+    record = F.struct(
+        F.lit(None).cast("string").alias("key"), F.lit(None).cast("variant").alias("value")
+    )
     entries = parsed.select(
-        F.explode(F.from_json(column, "map<string,variant>")).alias("field", "_value")
+        F.inline(F.concat(F.array(record), fields)).alias("field", "_value")
     ).select(
         "field",
         F.to_json("_value").alias("text"),
         F.regexp_extract(F.schema_of_variant("_value"), r"^([A-Z]+)", 1).alias("kind"),
     )
-    total = parsed.agg(F.count("*")).scalar()
-    return (
-        entries.groupBy("field")
-        .agg(
-            F.count("*").alias("present"),
-            F.count_if(F.col("text").isin("null", '""', "[]", "{}")).alias("empty"),
-            F.count_if(F.col("text").isin("null", '""')).alias("null_or_empty_string"),
-            F.array_sort(F.collect_set("kind")).alias("kinds"),
-        )
-        .withColumn("absent", total - F.col("present"))
+    counts = entries.groupBy("field").agg(
+        F.count("*").alias("present"),
+        F.count_if(F.col("text").isin("null", '""', "[]", "{}")).alias("empty"),
+        F.count_if(F.col("text").isin("null", '""')).alias("null_or_empty_string"),
+        F.array_sort(F.collect_set("kind")).alias("kinds"),
+    )
+    most = counts.agg(F.max(F.struct(*[c for c in counts.columns if c != "field"])).alias("m"))
+    return counts.where(F.size("kinds") > 0).withColumn(
+        "absent", most.select("m.present").scalar() - F.col("present")
     )
 
 

@@ -39,20 +39,23 @@ def growth_by_group(
     date: str,
     categories: str = "categories",
     calendar: bool = False,
+    approximate: float | None = None,
 ) -> DataFrame:
     """Distinct papers per category and year, with growth against an earlier year.
 
     The earlier year is the previous one with data, or with ``calendar`` the
     previous calendar year (NULL where it has no data). The window runs over
     the counts, so a partition holds one row per year however big a category is.
+    ``approximate`` counts papers with that relative error instead of exactly.
     """
+    papers = F.approx_count_distinct(id, approximate) if approximate else F.count_distinct(id)
     counts = (
         explode_categories(
             df.select(id, F.year(date).alias("year"), categories).where("year IS NOT NULL"),
             categories,
         )
         .groupBy("category", "year")
-        .agg(F.count_distinct(id).alias("publication_count"))
+        .agg(papers.alias("publication_count"))
     )
     w = Window.partitionBy("category").orderBy("year")
     previous = F.lag("publication_count").over(w)

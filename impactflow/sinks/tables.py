@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.clean import dedup_keep_last
+
 BATCH = "batch_id"
 
 
@@ -68,16 +70,6 @@ def keyed_overwrite(
     df.write.mode("overwrite").format(format).options(**options).save(path)
 
 
-def latest_by_key(df: DataFrame, key: Sequence[str], version: Sequence[str]) -> DataFrame:
-    """One row per key, the highest ``version`` columns win.
-
-    The filter on row_number lets Spark keep one row per key in every map task
-    (WindowGroupLimit), so a hot key does not reach the shuffle in full.
-    """
-    w = Window.partitionBy(*key).orderBy(*[F.desc_nulls_last(v) for v in version])
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-
-
 def upsert_by_key(
     base: DataFrame, batch: DataFrame, key: str, version: Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
@@ -92,7 +84,7 @@ def upsert_by_key(
     both = base.withColumn("_from_batch", F.lit(0)).unionByName(
         incoming, allowMissingColumns=True
     )
-    merged = latest_by_key(both, [key], [*version, "_from_batch"]).drop("_from_batch")
+    merged = dedup_keep_last(both, [key], [*version, "_from_batch"]).drop("_from_batch")
     return merged, rejects
 
 
@@ -134,4 +126,4 @@ def read_current(
     spark: SparkSession, path: str, key: Sequence[str], version: Sequence[str]
 ) -> DataFrame:
     """Current state of a change folder: per key the highest version, then the last batch."""
-    return latest_by_key(spark.read.parquet(path), key, [*version, BATCH]).drop(BATCH)
+    return dedup_keep_last(spark.read.parquet(path), key, [*version, BATCH]).drop(BATCH)

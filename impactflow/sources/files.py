@@ -11,8 +11,7 @@ from pyspark.sql.types import StructType
 
 from ..sizes import estimated_bytes
 
-# Default size of a scan partition (spark.sql.files.maxPartitionBytes).
-SPLIT_BYTES = 128 << 20
+SPREAD_BYTES = 1 << 30
 
 
 def scan_parquet(
@@ -27,11 +26,11 @@ def scan_parquet(
 def spread_small(df: DataFrame) -> DataFrame:
     """Spread a scan that is too small to keep all cores busy.
 
-    For costly per-row work over one or a few files. Scans with enough files or
-    bytes are returned as they are, without a shuffle.
+    For costly per-row work over one or a few small files. Anything from
+    ``SPREAD_BYTES`` up, or with enough files, is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) >= cores * SPLIT_BYTES or len(df.inputFiles()) >= cores:
+    if estimated_bytes(df) >= SPREAD_BYTES or len(df.inputFiles()) >= cores:
         return df
     return df.repartition(cores)
 

@@ -11,6 +11,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import columns as c
 from ..operators import clean, expect, marts, matching, scoring
@@ -192,9 +193,18 @@ def write_gold(spark: SparkSession, silver: str, gold: str, as_of: str) -> None:
     keyed_overwrite(scan_parquet(spark, staged), gold, "paper_id")
 
 
-def stream_posts(spark: SparkSession, source: str, target: str, checkpoint: str, **options):
+def stream_posts(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    checkpoint: str,
+    *,
+    state_partitions: int | None = None,
+    **options,
+) -> StreamingQuery:
     """The posts stream: clean, watermark, first arrival per id, append to Parquet."""
-    cleaned = stream.stream_clean(stream.stream_records(spark, source))
+    own = stream.stream_session(spark, state_partitions)
+    cleaned = stream.stream_clean(stream.stream_records(own, source))
     once = stream.stream_dedup(stream.with_watermark(cleaned), ["id"])
     return stream.stream_to_parquet(once, target, checkpoint, **options)
 

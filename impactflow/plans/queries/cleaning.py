@@ -417,7 +417,8 @@ def raw_papers(spark: SparkSession, sf: str) -> DataFrame:
             ).alias("versions"),
         )
     )
-    both = table(spark, sf, "part").withColumn("revision", F.explode(F.array(F.lit(1), F.lit(2))))
+    parts = spread_small(table(spark, sf, "part"))
+    both = parts.withColumn("revision", F.explode(F.array(F.lit(1), F.lit(2))))
     return both.select(record.alias("value"), F.col("revision").alias(jsonl.ARRIVAL))
 
 

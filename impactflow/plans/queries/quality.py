@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...operators import expect as e
+from ...operators import profile as p
 from ...session import scratch_dir
 from ...sinks.contract import PAPER_DOCUMENT, schema_differences
 from .registry import query, table
@@ -144,15 +145,37 @@ def quality_gate(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+MISSING_FIELDS = (
+    "abstract", "authors", "categories", "comments", "doi", "id", "journal-ref", "license",
+    "update_date",
+)
+EXTRA_COUNTS = {
+    "day": "event_type <> 'view'", "key": "event_type <> 'view'", "type": "true", "value": "true",
+}
+
+
 @query(
     "schema_differences",
-    """SELECT * FROM (VALUES ('abstract', 'missing column'), ('authors', 'missing column'),
-      ('categories', 'missing column'), ('comments', 'missing column'), ('day', 'unexpected column'),
-      ('doi', 'missing column'), ('id', 'missing column'), ('journal-ref', 'missing column'),
-      ('key', 'unexpected column'), ('license', 'missing column'), ('type', 'unexpected column'),
-      ('update_date', 'missing column'), ('value', 'unexpected column'))
-      v("column", problem)""",
+    " UNION ALL ".join(
+        [
+            *[
+                f"""SELECT '{n}' AS "column", 'missing column' AS problem, 0 AS values"""
+                for n in MISSING_FIELDS
+            ],
+            *[
+                f"""SELECT '{n}', 'unexpected column', ({_count(where)})"""
+                for n, where in EXTRA_COUNTS.items()
+            ],
+        ]
+    ),
 )
 def schema_check(spark: SparkSession, sf: str) -> DataFrame:
-    found = records(spark, sf).drop("event_id").schema
-    return schema_differences(spark, found, PAPER_DOCUMENT).select("column", "problem")
+    """Columns that break the paper layout, with the values each would lose."""
+    found = records(spark, sf).drop("event_id")
+    problems = schema_differences(spark, found.schema, PAPER_DOCUMENT)
+    present = p.coverage_pct(found, found.columns).select(
+        F.col("field").alias("column"), "present"
+    )
+    return problems.join(present, "column", "left").select(
+        "column", "problem", F.coalesce("present", F.lit(0)).alias("values")
+    )

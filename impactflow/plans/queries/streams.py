@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ...session import scratch_dir
 from ...sinks.tables import read_current, write_parquet
@@ -16,8 +17,8 @@ from .cleaning import POSTS_CLEAN_SQL, raw_posts
 from .registry import query, table
 
 
-def events_stream(spark: SparkSession, path: str, schema) -> DataFrame:
-    return st.stream_files(spark, path, schema, format="parquet")
+def events_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return st.stream_files(st.stream_session(spark), path, schema, format="parquet")
 
 
 def table_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -59,7 +60,7 @@ def stream_clean(spark: SparkSession, sf: str) -> DataFrame:
     """Raw post lines through the batch cleaner, as a stream; bad lines stay out."""
     folder = scratch_dir(spark, "landing")
     land_raw(raw_posts(spark, sf).select("value"), folder, "20240101")
-    cleaned = st.stream_clean(st.stream_records(spark, f"{folder}/batch=*"))
+    cleaned = st.stream_clean(st.stream_records(st.stream_session(spark), f"{folder}/batch=*"))
     return run(spark, cleaned).select("id", "by", "time", "title", "score")
 
 

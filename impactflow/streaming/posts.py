@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.clean import clean_posts
+from ..session import ROCKSDB_PROVIDER
 from ..sinks.tables import append_changes
 from ..sources.jsonl import POST_FIELDS, parse_lines
 
@@ -18,6 +19,21 @@ TRIGGER = "30 seconds"
 LATENESS = "7 days"
 
 
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session for streams that leaves the caller's settings alone.
+
+    State lives in RocksDB in ``state_partitions`` parts (one per core if not
+    given). The first run of a checkpoint settles that number for good, so choose
+    it for the state expected later.
+    """
+    own = spark.newSession()
+    parts = state_partitions or spark.sparkContext.defaultParallelism
+    own.conf.set("spark.sql.shuffle.partitions", str(parts))
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    own.conf.set("spark.sql.session.timeZone", "UTC")
+    return own
+
+
 def stream_files(
     spark: SparkSession,
     path: str,

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import SPACES, strip
+from ..sources.jsonl import is_record
 
 # What counts as missing: NULL or an empty value; NULL or ''; NULL or blank.
 EMPTY, NULL_OR_EMPTY_STRING, BLANK = "empty", "null_or_empty_string", "blank"
@@ -74,11 +75,7 @@ def json_field_profile(lines: DataFrame, column: str = "value") -> DataFrame:
     per record makes the number of records the highest count, so the lines are
     parsed once for both (ReusedExchange).
     """
-    text = F.col(column)
-    parsed = lines.where(
-        F.startswith(F.ltrim(text, F.lit(" \t\r\n")), F.lit("{"))
-        & F.try_parse_json(text).isNotNull()
-    ).select(column)
+    parsed = lines.where(is_record(F.col(column))).select(column)
     fields = F.map_entries(F.from_json(column, "map<string,variant>"))
     record = F.struct(
         F.lit(None).cast("string").alias("key"), F.lit(None).cast("variant").alias("value")

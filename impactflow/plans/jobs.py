@@ -42,12 +42,8 @@ def citations_table(spark: SparkSession, raw: str) -> DataFrame:
 
     A line that is no JSON fails the job, as a truncated snapshot must not pass.
     """
-    schema = ", ".join(f"`{n}` {t}" for n, t in jsonl.CITATION_FIELDS.items())
-    lines = jsonl.read_lines(spark, raw)
-    strict = lines.select(
-        F.from_json("value", schema, {"mode": "FAILFAST"}).alias("r"), jsonl.ARRIVAL
-    ).select("r.*", jsonl.ARRIVAL)
-    cleaned = clean.clean_citations(strict)
+    records = jsonl.parse_lines_strict(jsonl.read_lines(spark, raw), jsonl.CITATION_FIELDS)
+    cleaned = clean.clean_citations(records)
     return clean.dedup_keep_first(cleaned, ["citation_id"], [jsonl.ARRIVAL]).drop(
         jsonl.ARRIVAL
     )

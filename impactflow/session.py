@@ -31,6 +31,8 @@ def builder(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.parquet.compression.codec", "snappy")
+        # A repeated field in a record is no error, its last value counts.
+        .config("spark.sql.variant.allowDuplicateKeys", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     )
     if shuffle_partitions is not None:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..sources.jsonl import is_record
+
 # The strict document layouts of the two published indexes.
 PAPER_DOCUMENT = {
     "id": "string",
@@ -100,8 +102,9 @@ def conform_records(
         ),
         lambda e: e["key"],
     )
+    bad = F.when(is_record(F.col(column)), F.array_sort(bad))
     checked = lines.withColumn(
-        "bad_fields", F.array_sort(F.coalesce(bad, F.array(F.lit("<not an object>"))))
+        "bad_fields", F.coalesce(bad, F.array(F.lit("<not an object>")))
     )
     record = F.from_json(column, ", ".join(f"`{n}` {t}" for n, t in contract.items()))
     return (

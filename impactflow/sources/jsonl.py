@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -78,37 +78,76 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def parse_lines(lines: DataFrame, fields: Mapping[str, str]) -> JsonlScan:
-    """Split lines into records and rejects; only JSON objects are records.
+def _bracketed(line: Column) -> Column:
+    """The line as first element of a JSON array that ends in a 0, parsed."""
+    return F.try_parse_json(F.concat(F.lit("["), line, F.lit(",0]")))
 
-    Each line is parsed once, then every field is taken with its own cast, so a
-    mistyped value nulls that field and nothing else. Unpacking the parsed
-    value from an array keeps later filters from parsing the line again.
+
+def _is_record(line: Column, bracketed: Column) -> Column:
+    """Is the line one JSON object and nothing else?
+
+    The parser stops after a value and ignores what follows. In a bracketed line
+    anything that follows breaks the array or moves its last element.
     """
-    value = F.col("value")
-    looks_like_object = F.coalesce(
-        F.startswith(F.ltrim(value, F.lit(" \t\r\n")), F.lit("{")), F.lit(False)
+    blank = F.lit(" \t\r\n")
+    return F.coalesce(
+        F.startswith(F.ltrim(line, blank), F.lit("{"))
+        & F.endswith(F.rtrim(line, blank), F.lit("}"))
+        & (F.try_variant_get(bracketed, "$[1]", "int") == 0)
+        & F.try_variant_get(bracketed, "$[2]", "variant").isNull(),
+        F.lit(False),
     )
-    parsed = F.try_parse_json(value)
-    is_record = looks_like_object & parsed.isNotNull()
-    passthrough = [c for c in lines.columns if c != "value"]
-    columns = [
-        F.try_variant_get("_record", f"$['{name}']", dtype).alias(name)
+
+
+def is_record(line: Column) -> Column:
+    """Is a line a JSON object?"""
+    return _is_record(line, _bracketed(line))
+
+
+def _parsed(lines: DataFrame) -> DataFrame:
+    """Lines with ``_line``, the bracketed parse. Unpacking it from an array keeps
+    the conditions and fields that follow from parsing the line again."""
+    return lines.select("*", F.explode(F.array(_bracketed(F.col("value")))).alias("_line"))
+
+
+def _fields(fields: Mapping[str, str]) -> list[Column]:
+    return [
+        F.try_variant_get("_line", f"$[0]['{name}']", dtype).alias(name)
         for name, dtype in fields.items()
     ]
+
+
+def parse_lines(lines: DataFrame, fields: Mapping[str, str]) -> JsonlScan:
+    """Split lines into records and rejects; only JSON objects are records.
+
+    Each line is parsed once, then every field is taken with its own cast, so a
+    mistyped value nulls that field and nothing else.
+    """
+    good = _is_record(F.col("value"), F.col("_line"))
+    parsed = _parsed(lines)
     return JsonlScan(
-        records=lines.where(looks_like_object)
-        .select(*passthrough, F.explode(F.array_compact(F.array(parsed))).alias("_record"))
-        .select(*columns, *passthrough),
-        rejects=lines.where(~is_record),
-        report=lines.agg(
+        records=parsed.where(good).select(
+            *_fields(fields), *[c for c in lines.columns if c != "value"]
+        ),
+        rejects=parsed.where(~good).select(*lines.columns),
+        report=parsed.agg(
             F.count("*").alias("lines"),
-            F.count_if(is_record).alias("records"),
-            F.count_if(~is_record).alias("invalid_lines"),
+            F.count_if(good).alias("records"),
+            F.count_if(~good).alias("invalid_lines"),
         ),
     )
 
 
+def parse_lines_strict(lines: DataFrame, fields: Mapping[str, str]) -> DataFrame:
+    """Records of lines that must all be JSON objects; the first other line fails
+    the job."""
+    good = _is_record(F.col("value"), F.col("_line"))
+    shown = F.concat(F.lit("not a JSON record: "), F.substring("value", 1, 200))
+    checked = F.when(good, F.col("_line")).otherwise(F.raise_error(shown))
+    rest = [c for c in lines.columns if c != "value"]
+    return _parsed(lines).select(checked.alias("_line"), *rest).select(*_fields(fields), *rest)
+
+
 def scan_jsonl(
     spark: SparkSession, paths: str | Sequence[str], fields: Mapping[str, str]
 ) -> JsonlScan:

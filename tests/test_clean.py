@@ -21,12 +21,21 @@ def write_lines(path, lines):
 
 def test_tolerant_scan_counts_every_bad_line(spark, tmp_path):
     path = write_lines(
-        tmp_path / "a.jsonl", ['{"id": 1}', "not json", "", "{'id': 1}", "5", '[{"id": 2}]']
-    )
+        tmp_path / "a.jsonl",
+        [
+            ' {"id": 1} ', "not json", "", "{'id': 1}", "5", '[{"id": 2}]', '{"id": 3} x',
+            '{"id": 4}{"id": 5}', '{"id": 6},{"id": 7}', '{"id": 8}] [{}', '{"id": 9', "null",
+        ],
+    )
     scan = jsonl.scan_jsonl(spark, path, {"id": "bigint"})
     assert [r["id"] for r in scan.records.collect()] == [1]
-    assert scan.report.first().asDict() == {"lines": 6, "records": 1, "invalid_lines": 5}
-    assert scan.rejects.count() == 5
+    assert scan.report.first().asDict() == {"lines": 12, "records": 1, "invalid_lines": 11}
+    assert scan.rejects.count() == 11
+
+
+def test_last_value_of_a_repeated_field_counts(spark, tmp_path):
+    path = write_lines(tmp_path / "a.jsonl", ['{"id": 1, "id": 2}'])
+    assert jsonl.scan_jsonl(spark, path, {"id": "bigint"}).records.first()["id"] == 2
 
 
 def test_mistyped_field_nulls_only_itself(spark, tmp_path):
@@ -108,9 +117,10 @@ def test_clean_citations_from_latest_snapshot(spark, tmp_path):
 
 
 def test_citations_refuse_a_broken_snapshot(spark, tmp_path):
-    write_lines(tmp_path / "works_1.jsonl", ['{"id": "W1"}', '{"id": "W2'])
-    with pytest.raises(Exception):
-        jobs.citations_table(spark, f"{tmp_path}/works_*.jsonl").collect()
+    for bad in ('{"id": "W2', '{"id": "W2"}{"id": "W3"}', ""):
+        path = write_lines(tmp_path / "works_1.jsonl", ['{"id": "W1"}', bad])
+        with pytest.raises(Exception, match="not a JSON record"):
+            jobs.citations_table(spark, path).collect()
 
 
 def test_no_snapshot(spark, tmp_path):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..sources.jsonl import is_record
+from ..sources.jsonl import flag_records
 
 # The strict document layouts of the two published indexes.
 PAPER_DOCUMENT = {
@@ -102,9 +102,9 @@ def conform_records(
         ),
         lambda e: e["key"],
     )
-    bad = F.when(is_record(F.col(column)), F.array_sort(bad))
-    checked = lines.withColumn(
-        "bad_fields", F.coalesce(bad, F.array(F.lit("<not an object>")))
+    bad = F.when(F.col("_record"), F.array_sort(bad))
+    checked = flag_records(lines, "_record", column).select(
+        *lines.columns, F.coalesce(bad, F.array(F.lit("<not an object>"))).alias("bad_fields")
     )
     record = F.from_json(column, ", ".join(f"`{n}` {t}" for n, t in contract.items()))
     return (

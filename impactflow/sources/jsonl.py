@@ -99,15 +99,16 @@ def _is_record(line: Column, bracketed: Column) -> Column:
     )
 
 
-def is_record(line: Column) -> Column:
-    """Is a line a JSON object?"""
-    return _is_record(line, _bracketed(line))
-
-
-def _parsed(lines: DataFrame) -> DataFrame:
+def _parsed(lines: DataFrame, column: str = "value") -> DataFrame:
     """Lines with ``_line``, the bracketed parse. Unpacking it from an array keeps
     the conditions and fields that follow from parsing the line again."""
-    return lines.select("*", F.explode(F.array(_bracketed(F.col("value")))).alias("_line"))
+    return lines.select("*", F.explode(F.array(_bracketed(F.col(column)))).alias("_line"))
+
+
+def flag_records(lines: DataFrame, flag: str, column: str = "value") -> DataFrame:
+    """Add ``flag``: is the line a JSON object?"""
+    parsed = _parsed(lines, column)
+    return parsed.withColumn(flag, _is_record(F.col(column), F.col("_line"))).drop("_line")
 
 
 def _fields(fields: Mapping[str, str]) -> list[Column]:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from .bpe import op7_byte_bpe
 from .exact_dedup import OP1_SQL, op1_exact_dedup
+from .sharding import op10_sharding
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op7_byte_bpe": op7_byte_bpe,
+    "op10_sharding": op10_sharding,
 }
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,

@@ -5,12 +5,18 @@ from __future__ import annotations
 from .bpe import op7_byte_bpe
 from .exact_dedup import OP1_SQL, op1_exact_dedup
 from .sharding import op10_sharding
+from .topk import OP5_SQL, op5_topk
+from .url_filter import OP6_SQL, op6_url_filter
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op5_topk": op5_topk,
+    "op6_url_filter": op6_url_filter,
     "op7_byte_bpe": op7_byte_bpe,
     "op10_sharding": op10_sharding,
 }
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
+    "op5_topk": OP5_SQL,
+    "op6_url_filter": OP6_SQL,
 }

@@ -7,9 +7,11 @@ from .exact_dedup import OP1_SQL, op1_exact_dedup
 from .sharding import op10_sharding
 from .topk import OP5_SQL, op5_topk
 from .url_filter import OP6_SQL, op6_url_filter
+from .warc import OP2_SQL, op2_warc
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_warc": op2_warc,
     "op5_topk": op5_topk,
     "op6_url_filter": op6_url_filter,
     "op7_byte_bpe": op7_byte_bpe,
@@ -17,6 +19,7 @@ QUERIES = {
 }
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,
+    "op2_warc": OP2_SQL,
     "op5_topk": OP5_SQL,
     "op6_url_filter": OP6_SQL,
 }

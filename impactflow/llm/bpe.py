@@ -34,8 +34,8 @@ CHUNK, OVERLAP = 1 << 16, 1 << 10
 #: A match of the pattern is settled once so many code points behind it are known.
 LOOK = 8
 #: A worker forgets its pre-tokens beyond so many; they are then encoded again.
-REMEMBERED = 200_000
-BATCH_BYTES = 8 << 20
+REMEMBERED = 100_000
+BATCH_BYTES = 4 << 20
 
 
 class Codec(dict):
@@ -85,18 +85,23 @@ def stitch(tail: list[int], head: list[int]) -> int | None:
     return min(common) if common else None
 
 
-def _add_ids(df: DataFrame, text: str, out: str, ranks: str, pattern: str) -> DataFrame:
-    """Replace the text column by its ids."""
+def _add_ids(df: DataFrame, text: str, outs: list[str], ranks: str, pattern: str) -> DataFrame:
+    """Replace the text column by its ids and, if ``outs`` names a second column, what they decode to."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks, pattern)
         for batch in slices(batches, text, BATCH_BYTES):
             at = batch.schema.get_field_index(text)
             ids = [c.encode(t or "") for t in batch.column(at).to_pylist()]
-            yield batch.remove_column(at).append_column(out, binaries(ids))
+            result = batch.remove_column(at).append_column(outs[0], binaries(ids))
+            for out in outs[1:]:
+                result = result.append_column(out, binaries([c.decode(x) for x in ids]))
+            yield result
 
     fields = [f for f in df.schema.fields if f.name != text]
-    return df.mapInArrow(encode, T.StructType([*fields, T.StructField(out, T.BinaryType())]))
+    return df.mapInArrow(
+        encode, T.StructType([*fields, *(T.StructField(out, T.BinaryType()) for out in outs)])
+    )
 
 
 def _chunks(df: DataFrame, text: str, chunk: int, overlap: int) -> DataFrame:
@@ -183,7 +188,7 @@ def _stitches(chunks: DataFrame) -> DataFrame:
     return lists.mapInArrow(meet, "_row long, _starts array<int>")
 
 
-def _encode_long(df: DataFrame, text: str, out: str, chunk: int, overlap: int, ranks: str, pattern: str) -> DataFrame:
+def _encode_long(df: DataFrame, text: str, outs: list[str], chunk: int, overlap: int, ranks: str, pattern: str) -> DataFrame:
     cut = _chunks(df.withColumn("_row", F.monotonically_increasing_id()), text, chunk, overlap)
     spread = cut.repartition("_row", "_no")
     chunks = materialise(_with_boundaries(spread, chunk, overlap, ranks, pattern), "bpe-chunks")
@@ -215,26 +220,32 @@ def _encode_long(df: DataFrame, text: str, out: str, chunk: int, overlap: int, r
             )
 
     pieces = _add_ids(
-        segments.mapInArrow(join, "_row long, _segment int, _text string"), "_text", "_ids", ranks, pattern
+        segments.mapInArrow(join, "_row long, _segment int, _text string"), "_text", ["_ids"], ranks, pattern
     )
     lists = pieces.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("_segment", "_ids"))).alias("_all"))
 
     def concat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c = codec(ranks, pattern)
         for batch in batches:
             ids = [b"".join(p["_ids"] for p in x) for x in batch.column("_all").to_pylist()]
+            more = [binaries([c.decode(x) for x in ids])] if len(outs) > 1 else []
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), binaries(ids)], names=["_row", "_ids"]
+                [batch.column("_row"), binaries(ids), *more], names=["_row", "_ids", "_bytes"][: 2 + len(more)]
             )
 
-    whole = lists.mapInArrow(concat, "_row long, _ids binary").join(rest, "_row")
+    schema = "_row long, _ids binary, _bytes binary" if len(outs) > 1 else "_row long, _ids binary"
+    whole = lists.mapInArrow(concat, schema).join(rest, "_row")
     names = [f.name for f in rest.schema["_rest"].dataType.fields if f.name != "_"]
-    return whole.select(*(F.col("_rest")[n].alias(n) for n in names), F.col("_ids").alias(out))
+    return whole.select(*(F.col("_rest")[n].alias(n) for n in names),
+        *(F.col(c).alias(out) for c, out in zip(("_ids", "_bytes"), outs, strict=False)),
+    )
 
 
 def encode(
     df: DataFrame,
     text: str = "text",
     out: str = "token_ids",
+    decoded: str | None = None,
     carry: list[str] | None = None,
     ranks: str = RANKS,
     pattern: str = PATTERN,
@@ -244,17 +255,18 @@ def encode(
     """The carried columns with the ids of each text: four bytes each, little-endian, unsigned.
 
     Null is encoded like the empty text, to no ids. ``carry`` names the columns to return (default: all; a
-    column named like ``out`` is replaced). Repeated rows stay repeated; an empty table gives an empty result.
+    column named like ``out`` is replaced). ``decoded`` adds a column of the bytes that the ids decode to, in the same pass. Repeated rows stay repeated; an empty table gives an empty result.
     """
     if overlap <= LOOK or chunk <= overlap:
         raise ValueError("chunk > overlap > LOOK")
-    df = without(df, [out])
+    outs = [out] if decoded is None else [out, decoded]
+    df = without(df, outs)
     carry = [c for c in (df.columns if carry is None else carry) if c in df.columns]
     held = df.select(*carry, F.col(text).alias("_bpe_text"))
     is_long = F.coalesce(F.length("_bpe_text") > chunk, F.lit(False))
-    short = _add_ids(held.where(~is_long), "_bpe_text", out, ranks, pattern)
-    long = _encode_long(held.where(is_long), "_bpe_text", out, chunk, overlap, ranks, pattern)
-    return short.select(*carry, out).union(long.select(*carry, out))
+    short = _add_ids(held.where(~is_long), "_bpe_text", outs, ranks, pattern)
+    long = _encode_long(held.where(is_long), "_bpe_text", outs, chunk, overlap, ranks, pattern)
+    return short.select(*carry, *outs).union(long.select(*carry, *outs))
 
 
 def decode(
@@ -288,7 +300,7 @@ def decode(
 
 def token_digests(df: DataFrame, carry: list[str]) -> DataFrame:
     """Number of tokens, and digests of the ids and of what they decode to."""
-    both = decode(encode(df, carry=carry))
+    both = encode(df, decoded="decoded", carry=carry)
     return both.select(
         *carry,
         (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),

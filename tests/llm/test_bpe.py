@@ -30,11 +30,11 @@ def texts():
 @pytest.mark.parametrize("chunk,overlap", [(64, 40), (200, 50), (1 << 16, 1 << 10)])
 def test_same_as_the_library_and_back(docs_of, reference, chunk, overlap):
     rows = list(enumerate(texts()))
-    out = decode(encode(docs_of(rows), chunk=chunk, overlap=overlap)).collect()
+    out = decode(encode(docs_of(rows), decoded="again", chunk=chunk, overlap=overlap)).collect()
     assert len(out) == len(rows)
     for r in out:
         assert np.frombuffer(r.token_ids, "<u4").tolist() == reference.encode_ordinary(r.text or "")
-        assert bytes(r.decoded).decode() == (r.text or "")
+        assert bytes(r.decoded).decode() == (r.text or "") and r.again == r.decoded
 
 
 def test_clashes_repeats_and_nulls(docs_of):

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from .bpe import op7_byte_bpe
 from .exact_dedup import OP1_SQL, op1_exact_dedup
+from .lang_id import op4_language_id
+from .mixing import op3_mixing
 from .sharding import op10_sharding
 from .topk import OP5_SQL, op5_topk
 from .url_filter import OP6_SQL, op6_url_filter
@@ -12,6 +14,8 @@ from .warc import OP2_SQL, op2_warc
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_warc": op2_warc,
+    "op3_mixing": op3_mixing,
+    "op4_language_id": op4_language_id,
     "op5_topk": op5_topk,
     "op6_url_filter": op6_url_filter,
     "op7_byte_bpe": op7_byte_bpe,

@@ -81,6 +81,29 @@ def fit(
     return take + rest
 
 
+def allot(lengths: np.ndarray, counts: np.ndarray, target: int, whole: int, most: int) -> tuple[int, np.ndarray]:
+    """Whole passes over a source, and how many documents of each length come on top.
+
+    As many passes as the target holds; one pass less (and so on) only where that comes nearer, as in a
+    source of a few documents.
+    """
+    if whole == 0:
+        return 0, np.zeros(len(lengths), np.int64)
+    best = None
+    for passes in range(min(most, target // whole), -1, -1):
+        budget = target - passes * whole
+        if passes == most:
+            chosen = np.zeros(len(lengths), np.int64)
+        else:
+            chosen = fit(lengths, counts, budget, most - passes - 1)
+        off = abs(budget - int(chosen @ lengths))
+        if best is None or off < best[0]:
+            best = off, passes, chosen
+        if off == 0 or budget > WINDOW:
+            break
+    return best[1], best[2]
+
+
 def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """Bounded subset-sum: counts of each length whose sum is nearest to the budget, the lower one of two."""
     take = np.zeros(len(lengths), np.int64)
@@ -170,12 +193,8 @@ def mix(
     def choose(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("size", ignore_index=True)
         whole, target = int(group["source_size"][0]), float(group["target"][0])
-        passes = min(most, int(target // whole)) if whole else 0
-        budget = round(target) - passes * whole
         lengths, counts = group["size"].to_numpy(np.int64), group["n"].to_numpy(np.int64)
-        chosen = np.zeros(len(group), np.int64)
-        if passes < most and budget > 0:
-            chosen = fit(lengths, counts, budget, most - passes - 1)
+        passes, chosen = allot(lengths, counts, round(target), whole, most)
         return group[["_none", "_name", "size"]].assign(passes=passes + chosen // counts, chosen=chosen % counts)
 
     chosen = materialise(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op7_byte_bpe
 from .exact_dedup import OP1_SQL, op1_exact_dedup
+from .jaccard_join import op9_jaccard_join
 from .lang_id import op4_language_id
 from .mixing import op3_mixing
 from .sharding import op10_sharding
@@ -19,6 +20,7 @@ QUERIES = {
     "op5_topk": op5_topk,
     "op6_url_filter": op6_url_filter,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_sharding": op10_sharding,
 }
 ORACLES = {

@@ -8,6 +8,7 @@ from .jaccard_join import op9_jaccard_join
 from .lang_id import op4_language_id
 from .mixing import op3_mixing
 from .sharding import op10_sharding
+from .suffix_dedup import op8_suffix_dedup
 from .topk import OP5_SQL, op5_topk
 from .url_filter import OP6_SQL, op6_url_filter
 from .warc import OP2_SQL, op2_warc
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_topk": op5_topk,
     "op6_url_filter": op6_url_filter,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_sharding": op10_sharding,
 }

@@ -1,10 +1,84 @@
-"""A corpus pipeline from the operators in ``impactflow.llm``."""
+"""A corpus pipeline from the operators in ``impactflow.llm``.
+
+Language ID drops texts that are in no language it knows, exact dedup keeps one row of equal texts,
+the Jaccard join keeps one document of each group of near duplicates, mixing repeats or drops documents to meet the
+sources' targets, and the rest is tokenised. Each stage reads what the one before has written.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from impactflow.llm.bpe import token_digests
+from impactflow.llm.common import materialise
+from impactflow.llm.exact_dedup import exact_dedup
+from impactflow.llm.jaccard_join import jaccard_join
+from impactflow.llm.lang_id import fit, held_out, identify
+from impactflow.llm.mixing import mix, word_count
+
+
+#: The columns that the operators read; all others are carried under names that nothing else has.
+READ = ("doc_id", "text", "lang", "source")
+
+
+def _shielded(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """The documents with their other columns renamed, and what gives the documents' columns back."""
+    names = [c if c in READ else f"_document_{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), lambda df: df.select(*names).toDF(*docs.columns)
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language; null, empty and letterless texts go, and those the model rejects.
+
+    The model learns from labelled rows outside the held-out fold.
+    """
+    held, restored = _shielded(docs)
+    return restored(identify(held, fit(held, ~held_out())).where("NOT rejected"))
+
+
+def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for the case of A-Z, the row with the smallest doc_id."""
+    held, restored = _shielded(docs)
+    return restored(exact_dedup(held).where("kept"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest doc_id; rows without an id stay."""
+    held, restored = _shielded(docs)
+    joined = jaccard_join(held)
+    return restored(joined.where(F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True))))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it, at most three times, or not at all."""
+    held, restored = _shielded(docs)
+    mixed = mix(held.withColumn("_text_hash", F.xxhash64("text")), word_count(), ["doc_id", "_text_hash"])
+    return restored(mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))))
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, number of tokens and digests of the ids and of what they decode to, for each row of the mix."""
+    return token_digests(docs, ["doc_id", "source"])
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("exact_dedup", drop_exact_copies),
+    ("jaccard_join", drop_near_copies),
+    ("mixing", mix_sources),
+    ("byte_bpe", tokenise),
+]
+
+#: The model's decisions and the selection of the mix cannot be written in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again before the next."""
+    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, materialise, read, slices, without
+from .common import binaries, materialise, read, ship, slices, without
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -259,6 +259,7 @@ def encode(
     """
     if overlap <= LOOK or chunk <= overlap:
         raise ValueError("chunk > overlap > LOOK")
+    ship(df.sparkSession)
     outs = [out] if decoded is None else [out, decoded]
     df = without(df, outs)
     carry = [c for c in (df.columns if carry is None else carry) if c in df.columns]
@@ -281,6 +282,7 @@ def decode(
 
     An id that the vocabulary does not have is an error.
     """
+    ship(df.sparkSession)
     df = without(df, [out])
     carry = [c for c in (df.columns if carry is None else carry) if c in df.columns]
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -11,9 +14,24 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 
+_SHIPPED: dict[str, str] = {}
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+def ship(spark: SparkSession) -> None:
+    """Put this package on the Python workers' path, wherever the driver found it.
+
+    The archive is code only; Spark's own file server hands it to the executors.
+    """
+    context = spark.sparkContext
+    if _SHIPPED.get("to") != context.applicationId:
+        package = Path(__file__).resolve().parent.parent
+        name = str(Path(tempfile.mkdtemp(prefix="package-")) / package.name)
+        context.addPyFile(shutil.make_archive(name, "zip", package.parent, package.name))
+        _SHIPPED["to"] = context.applicationId
+
+
 def materialise(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to a new folder below the shared scratch folder and read it back.
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, bytes_of, lower_ascii, materialise, read, without
+from .common import binaries, bytes_of, lower_ascii, materialise, read, ship, without
 
 PREFIX = 64
 OUTPUT = ("keep_id", "group_size", "kept", "text_sha256")
@@ -129,6 +129,7 @@ def exact_dedup(
     if keep not in ("smallest", "largest"):
         raise ValueError("keep is 'smallest' or 'largest'")
     spark = df.sparkSession
+    ship(spark)
     df = without(df, [*OUTPUT, *_KEYS, "_part", "_group", "_first", "_head", "_tail"])
     carry = [c for c in (df.columns if carry is None else carry) if c in df.columns]
     if key not in carry:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, bytes_of, discard, materialise, partitions_for, read, slices, total_bytes, without
+from .common import binaries, bytes_of, discard, materialise, partitions_for, read, ship, slices, total_bytes, without
 from .components import components
 from .shingles import mix64, shingle_sets
 
@@ -44,6 +44,8 @@ FACTOR = 1.5
 HOT = 32
 #: Chance that a set of the same band holds a given element, for the allocation's cost.
 CHANCE = 0.01
+#: Sizes of a class, for hot sets, lie within this factor.
+CLASS = 1.02
 SLICE_BYTES = 4 << 20
 #: Index entries a task holds before it deals them out, and bytes of text that one bucket of the index stands for.
 ENTRIES, BUCKET_BYTES = 1 << 20, 8 << 20
@@ -110,11 +112,11 @@ def allocate(number: int, sets: int, percent: int = PERCENT) -> Band:
     return best[1]
 
 
-def entries_of(tokens: np.ndarray, band: Band) -> tuple[np.ndarray, int, int]:
-    """Index entries of a set in a band; the subsets it fills for the count filter; what it can spare if some are hot.
+def entries_of(tokens: np.ndarray, band: Band) -> tuple[np.ndarray, int]:
+    """Index entries of a set in a band, and how many segments it fills.
 
     The low six bits of an entry are the band's number. A set that fills too few segments has its single elements
-    as entries too, and counts as filling none.
+    as entries too; such a set, and one with one-deletion neighbourhoods, counts as filling none.
     """
     n, m = len(tokens), band.segments
     segment = ((tokens >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)  # ascending, as the elements are
@@ -130,14 +132,14 @@ def entries_of(tokens: np.ndarray, band: Band) -> tuple[np.ndarray, int, int]:
         more = sizes[owner] > 1
         out.append(mix64((sums[owner] - values)[more] ^ place[owner[more]]))
         enough = int(np.minimum(sizes, 2).sum()) > band.bound
-        filled = spare = 0
+        filled = 0
     else:
-        enough, spare = filled > band.bound, filled - band.bound - 1
+        enough = filled > band.bound
     if not enough:
         out.append(mix64(values + np.uint64((band.number + 1) << 20)))
-        filled = spare = 0
+        filled = 0
     entries = np.unique(np.concatenate(out) & ~np.uint64(63)) | np.uint64(band.number)
-    return entries, filled, spare
+    return entries, filled
 
 
 def bands_for(n: int, percent: int = PERCENT) -> range:
@@ -165,7 +167,7 @@ def describe(df: DataFrame, text: str, carry: list[str]) -> DataFrame:
     return df.select(*dict.fromkeys([*carry, text])).mapInArrow(sets, T.StructType([*fields, *added]))
 
 
-_HEAD = np.dtype([("node", "<i8"), ("same", "<u8"), ("n", "<i4"), ("filled", "<i4"), ("spare", "<i4")])
+_HEAD = np.dtype([("node", "<i8"), ("same", "<u8"), ("n", "<i4"), ("filled", "<i4")])
 _ENTRY = np.dtype([("entry", "<u8"), ("row", "<u4")])
 
 
@@ -211,9 +213,9 @@ def _index(df: DataFrame, text: str, key: str, bands: dict[int, Band], buckets:
             for same, i in smallest.items():
                 own = tokens[at[i] : at[i + 1]]
                 for b in bands_for(len(own), percent):
-                    entries, filled, spare = entries_of(own, bands[b])
+                    entries, filled = entries_of(own, bands[b])
                     held.append((entries, len(heads)))
-                    heads.append((nodes[i], int.from_bytes(same, "little"), len(own), filled, spare))
+                    heads.append((nodes[i], int.from_bytes(same, "little"), len(own), filled))
                     count += len(entries)
                     if count >= ENTRIES:
                         yield from out(held, heads)
@@ -290,7 +292,7 @@ def _group(heads: np.ndarray, entries: np.ndarray, percent: int, hot: int) -> pa
             band=(e & np.uint64(63)).astype(np.int64),
             entry=e.view(np.int64),
             number=np.repeat(size, size)[large],
-            need=x["spare"].astype(np.int64),
+            need=x["filled"].astype(np.int64),
         )
     if not out["a"]:
         return None
@@ -357,16 +359,81 @@ def _verify(links: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long").distinct()
 
 
-def _members(grouped: DataFrame) -> DataFrame:
-    """(entry, a, n): what each set keeps of its hot entries, the rarest it needs."""
+def _size_class(n: F.Column) -> F.Column:
+    return F.floor(F.log(n.cast("double")) / math.log(CLASS))
+
+
+def _members(grouped: DataFrame, percent: int) -> DataFrame:
+    """(entry, node, n): what each set keeps of its hot entries, the rarest it needs.
+
+    Sets of two narrow classes of sizes differ in at most ``bound`` elements, so of two similar ones each has a common entry among
+    its bound + 1 rarest. Every set keeps those for each class that its partners can be in; an entry is
+    one of the two classes from here on.
+    """
     rarest = Window.partitionBy("a", "band").orderBy("number", "entry")
-    total = Window.partitionBy("a", "band")
+    n = F.col("n")
+    own, other = F.col("own"), F.col("other")
+
+    def top(c: F.Column) -> F.Column:
+        return F.floor(F.pow(F.lit(CLASS), c + 1)) + 1
+
+    bound = F.floor((top(own) + top(other)) * F.lit((100 - percent) / (100 + percent)) + F.lit(1e-9))
     return (
         grouped.where("hot")
-        .withColumn("held", F.count("*").over(total))
+        .withColumnRenamed("b", "n")
+        .withColumn("held", F.count("*").over(Window.partitionBy("a", "band")))
         .withColumn("place", F.row_number().over(rarest))
-        .where(F.col("place") <= F.col("held") - F.col("need"))
-        .select("entry", F.col("a").alias("node"), F.col("b").alias("n"), "band")
+        .withColumn("own", _size_class(n))
+        .withColumn(
+            "other",
+            F.explode(
+                F.sequence(_size_class(F.ceil(n * percent / 100)), _size_class(F.floor(n * 100 / percent)))
+            ),
+        )
+        .where((F.col("need") == 0) | (F.col("place") <= F.col("held") - (F.col("need") - bound - 1)))
+        .select(
+            F.xxhash64("entry", F.least(own, other), F.greatest(own, other)).alias("entry"),
+            F.col("a").alias("node"),
+            "n",
+        )
+        .distinct()
+    )
+
+
+def _groups(members: DataFrame) -> DataFrame:
+    """(entry, size, least): the groups of several members."""
+    return members.groupBy("entry").agg(F.count("*").alias("size"), F.min("node").alias("least")).where("size > 1")
+
+
+def _stars(members: DataFrame, groups: DataFrame, labels: DataFrame, turn: int, percent: int) -> DataFrame:
+    """Links between the centres of each hot group and its members in other components.
+
+    The first centre is the smallest member; in each further turn a hashed share of the members, four times as large as
+    before, until every member has been one.
+    """
+    named = (
+        members.join(groups, "entry")
+        .join(labels, "node", "left")
+        .withColumn("label", F.coalesce("label", "node"))
+        .withColumn("unit", F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / float(1 << 20) * F.col("size"))
+    )
+    if turn == 0:
+        centre = F.col("node") == F.col("least")
+    else:
+        since = 4.0 ** (turn - 1) if turn > 1 else 0.0
+        centre = (F.col("unit") >= since) & (F.col("unit") < 4.0**turn) & (F.col("node") != F.col("least"))
+    centres = named.where(centre).select(
+        "entry", F.col("node").alias("centre"), F.col("n").alias("m"), F.col("label").alias("centre_label")
+    )
+    return (
+        named.join(
+            centres,
+            (named["entry"] == centres["entry"])
+            & (F.col("label") != F.col("centre_label"))
+            & (100 * F.least("n", "m") >= percent * F.greatest("n", "m")),
+        )
+        .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+        .distinct()
     )
 
 
@@ -378,6 +445,7 @@ def linked_components(
     Nodes are the smallest identifiers of equal sets.
     """
     spark = df.sparkSession
+    ship(spark)
     docs = df.select(F.col(key).cast("long").alias("node"), F.col(text).alias("text"))
     size = F.octet_length("text")
     # The number of sets in each band is estimated from the texts' sizes; it only steers the allocation.
@@ -406,49 +474,33 @@ def linked_components(
         .distinct()
     )
     open_ = materialise(pairs, "jaccard-candidates")
-    members = materialise(_members(grouped), "jaccard-members")
+    members = materialise(_members(grouped, percent), "jaccard-members")
+    groups = materialise(_groups(members), "jaccard-hot-groups")
     discard(grouped, hot_of)
 
     active = open_.select(F.col("a").alias("node")).union(open_.select("b")).union(members.select("node")).distinct()
     texts = materialise(docs.join(materialise(active, "jaccard-active"), "node", "left_semi"), "jaccard-texts")
     verified = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "node long, label long")
-    pivots = None
-    tries = 1
+    largest = groups.agg(F.max("size")).first()[0] or 0
+    turn = 0
     while True:
-        # Stars: the smallest member of a hot group that has not been one yet, to all members of other components.
-        stars = None
-        if members.limit(1).count():
-            left = members
-            if pivots is not None:
-                left = members.join(pivots, "entry").where(F.col("node") > F.col("pivot")).drop("pivot")
-            pivots = materialise(left.groupBy("entry").agg(F.min("node").alias("pivot")), "jaccard-pivots")
-            centre = members.select("entry", F.col("node").alias("pivot"), F.col("n").alias("m")).join(
-                pivots, ["entry", "pivot"]
-            )
-            fits = (
-                (100 * F.least("n", "m") >= percent * F.greatest("n", "m"))
-                & (F.col("node") > F.col("pivot"))
-            )
-            stars = members.join(centre, "entry").where(fits).select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-            stars = _apart(stars.distinct(), labels)
-        # Candidate pairs: the smallest few partners of each set, four times as many in every round.
+        # Candidate pairs: the smallest few partners of each set, four times as many in every turn.
         order = Window.partitionBy("b").orderBy("a")
-        some = open_.withColumn("k", F.row_number().over(order)).where(F.col("k") <= tries).drop("k")
-        links = materialise(some if stars is None else some.union(stars).distinct(), "jaccard-links")
-        if not links.limit(1).count() and (stars is None or not pivots.limit(1).count()):
-            break
-        good = materialise(_verify(links, texts, percent), "jaccard-verified")
-        verified = materialise(verified.union(good).distinct(), "jaccard-all-verified")
-        labels = components(verified)
-        open_ = materialise(_apart(open_.join(links, ["a", "b"], "left_anti"), labels), "jaccard-candidates")
-        if stars is not None:
-            # A hot group that has become one component is done.
-            named = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            mixed = named.groupBy("entry").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-            members = materialise(members.join(mixed.select("entry"), "entry", "left_semi"), "jaccard-members")
-        tries *= 4
-    return labels
+        tries = F.lit(4 ** min(turn, 15))
+        links = open_.withColumn("k", F.row_number().over(order)).where(F.col("k") <= tries).drop("k")
+        starred = 4 ** max(turn - 1, 0) <= largest
+        if starred:
+            links = links.union(_stars(members, groups, labels, turn, percent)).distinct()
+        links = materialise(links, "jaccard-links")
+        if links.limit(1).count():
+            good = materialise(_verify(links, texts, percent), "jaccard-verified")
+            verified = materialise(verified.union(good).distinct(), "jaccard-all-verified")
+            labels = components(verified)
+            open_ = materialise(_apart(open_.join(links, ["a", "b"], "left_anti"), labels), "jaccard-candidates")
+        elif not starred:
+            return labels
+        turn += 1
 
 
 def _apart(links: DataFrame, labels: DataFrame) -> DataFrame:
@@ -472,6 +524,7 @@ def jaccard_join(
     of its own text. Rows without an identifier link with nothing and have no component. ``carry`` names the columns to return (default: all; columns named
     like the added ones are replaced). An empty table gives an empty result.
     """
+    ship(df.sparkSession)
     df = without(df, [*OUTPUT, "_digest", "_label"])
     carry = [c for c in (df.columns if carry is None else carry) if c in df.columns]
     if key not in carry:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bytes_of, lower_ascii, read, slices, without
+from .common import bytes_of, lower_ascii, read, ship, slices, without
 
 BUCKETS, DIM = 1 << 14, 16
 SIZES = (3, 4)
@@ -155,6 +155,7 @@ def fit(df: DataFrame, labelled: Column, text: str = "text", label: str = "lang"
     The sample takes the rows whose seeded hash is below their language's share, about ``per_language`` rows of each.
     Their whole texts become bucket counts on the executors, at most BUCKETS pairs a text; only those reach the driver.
     """
+    ship(df.sparkSession)
     known = df.where(labelled & F.col(label).isNotNull() & F.col(text).isNotNull())
     counts = {r[0]: r[1] for r in known.groupBy(label).count().collect()}
     if not counts:
@@ -198,6 +199,7 @@ def identify(df: DataFrame, model: Model | None, text: str = "text", carry: list
     text if there is no model. Nothing but the text is looked at. ``carry`` names the columns to return (default: all; a column
     named like an added one is replaced). Rows are neither moved nor dropped; an empty table gives an empty result.
     """
+    ship(df.sparkSession)
     df = without(df, [*OUTPUT, "_lettered", "_text"])
     carry = [c for c in (df.columns if carry is None else carry) if c in df.columns]
     held = df.select(

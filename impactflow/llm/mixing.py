@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, read, without
+from .common import materialise, read, ship, without
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -161,6 +161,7 @@ def mix(
     gives an empty result; columns named like the added ones are replaced.
     """
     spark = df.sparkSession
+    ship(spark)
     spare = ("_none", "_name", "_hash", "_range")
     names = [c for c in without(df, [*OUTPUT, *spare]).columns]
     rows = without(

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, partitions_for, read, total_bytes, without
+from .common import materialise, partitions_for, read, ship, total_bytes, without
 
 SHARDS = 24
 SEED = 20_177
@@ -76,6 +76,7 @@ def shuffle_into_shards(
     columns named like the added ones are replaced.
     """
     spark = df.sparkSession
+    ship(spark)
     df = without(df, [*OUTPUT, "_bucket", "_crc", "_hash", "_at"])
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 8
     buckets = max(shards, -(-total_bytes(df, text) // bucket_bytes))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, bytes_of, discard, materialise, partitions_for, read, slices, total_bytes, without
+from .common import binaries, bytes_of, discard, materialise, partitions_for, read, ship, slices, total_bytes, without
 from .shingles import mix64
 
 LENGTH, K = 50, 24
@@ -570,6 +570,7 @@ def remove_repeats(
     if not K < length < 128:
         raise ValueError(f"length is over {K} and under 128")
     spark = df.sparkSession
+    ship(spark)
     df = without(df, OUTPUT)
     carry = [c for c in (df.columns if carry is None else carry) if c in df.columns]
     body = F.coalesce(F.col(text).cast("binary"), F.lit(b""))

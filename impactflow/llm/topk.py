@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, read
+from .common import materialise, read, ship
 
 K = 10
 SCALE = 1024
@@ -142,6 +142,7 @@ def top_k(
     is filled up with zeros, so an empty one scores 0 everywhere. Scores must fit into 64 bits. Of query rows that repeat an identifier the
     smallest vector asks; repeated candidates are returned as often as they are there. An empty table, or no query, gives an empty result.
     """
+    ship(df.sparkSession)
     vectors = integer_vectors(df, key, vector, scale)
     asked = (
         integer_vectors(df.where(queries), key, vector, scale).groupBy("id").agg(F.min("v").alias("v"))

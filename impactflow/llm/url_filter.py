@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import read, without
+from .common import read, ship, without
 
 STRICT = ("porn", "xxx", "hentai", "escort", "escorts", "viagra", "camgirl", "camgirls", "malware", "phishing", "warez")
 SOFT = ("sex", "nude", "adult", "casino", "poker", "betting", "gambling", "torrent", "crack", "keygen", "payday", "loans", "cheap", "pills", "dating")
@@ -94,6 +94,7 @@ def filter_urls(
     has no terms, so it is allowed. Terms are looked up in the whole address, A-Z in lower case. Rows are neither moved nor
     dropped; columns named like the added ones are replaced; an empty table gives an empty result.
     """
+    ship(df.sparkSession)
     df = without(df, [*OUTPUT, "_low"])
     after = F.regexp_extract(url, r"(?s)^.*?://(.*)$", 1)
     parsed = df.withColumns(

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_dir
-from .common import materialise, read
+from .common import materialise, read, ship
 
 VERSION = b"WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
@@ -143,6 +143,7 @@ def write_archives(
     key revisit the smallest key, or are responses where their group has none. Only keys and digests are grouped, with sums that combine before
     they move, and a payload that a third of all rows have is dealt over many tasks by the join.
     """
+    ship(df.sparkSession)
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     held = df.select(
         F.col(key).alias("key"), F.col(url).cast("string").alias("url"), body.alias("payload")
@@ -222,6 +223,7 @@ def parse(raw: bytes) -> dict | None:
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """Every record of the archives; ``type`` is null for one that is cut off."""
+    ship(spark)
     raw = spark.read.option("lineSep", (VERSION + b"\r\n").decode()).text(path)
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -26,6 +26,9 @@ _TYPES = {
 }
 
 
+KEY_SALTS = 16
+
+
 @dataclass(frozen=True)
 class Rule:
     """One expectation on one column."""
@@ -153,12 +156,13 @@ def violation(rule: Rule, dtypes: Mapping[str, str]) -> Column:
 def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """(position, rule, column, rows, nulls, unexpected, success), one row per rule.
 
-    All row-level rules share one aggregate. A uniqueness rule adds one grouped
-    count of its column; every row of a repeated value is unexpected.
+    All rules share one pass: counts of the row-level rules are taken per value of the uniqueness
+    rule's column and then summed, so the input is read once. Every row of a repeated value is
+    unexpected. Uniqueness of further columns takes one more grouped count each.
     """
     dtypes = dict(df.dtypes)
     counts: list[Column] = []
-    uniques: dict[str, Column] = {}
+    uniques: dict[str, str] = {}
     for i, rule in enumerate(rules):
         known = rule.column in dtypes
         nulls = (
@@ -166,20 +170,30 @@ def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         )
         counts.append(F.count_if(nulls).alias(f"n{i}"))
         if rule.kind == UNIQUE and known:
-            groups = (
-                df.select(F.col(f"`{rule.column}`").alias("_k"))
-                .where("_k IS NOT NULL")
-                .groupBy("_k")
-                .agg(F.count("*").alias("_n"))
-            )
-            repeated = F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0))
-            uniques[f"u{i}"] = groups.agg(F.coalesce(repeated, F.lit(0))).scalar()
+            uniques[f"u{i}"] = rule.column
         else:
             checked = Rule(NOT_NULL, rule.column) if rule.kind == UNIQUE else rule
             counts.append(F.count_if(violation(checked, dtypes)).alias(f"u{i}"))
-    wide = df.agg(F.count("*").alias("rows"), *counts)
-    for name, value in uniques.items():
-        wide = wide.withColumn(name, value)
+    repeated = F.when((F.col("rows") > 1) & F.col("_k").isNotNull(), F.col("rows")).otherwise(0)
+    columns = list(dict.fromkeys(uniques.values()))
+
+    def total(name: Column | str, alias: str) -> Column:
+        return F.coalesce(F.sum(name), F.lit(0)).alias(alias)
+
+    if columns:
+        by = df.withColumn("_k", F.col(f"`{columns[0]}`")).groupBy("_k")
+        names = [f"n{i}" for i in range(len(rules))]
+        names += [f"u{i}" for i in range(len(rules)) if f"u{i}" not in uniques]
+        wide = by.agg(F.count("*").alias("rows"), *counts).agg(
+            *[total(n, n) for n in ["rows", *names]],
+            *[total(repeated, u) for u, c in uniques.items() if c == columns[0]],
+        )
+        for other in columns[1:]:
+            groups = df.groupBy(F.col(f"`{other}`").alias("_k")).agg(F.count("*").alias("rows"))
+            value = groups.agg(total(repeated, "v")).scalar()
+            wide = wide.withColumns({u: value for u, c in uniques.items() if c == other})
+    else:
+        wide = df.agg(F.count("*").alias("rows"), *counts)
     entries = [
         F.struct(
             F.lit(i + 1).alias("position"),
@@ -217,8 +231,11 @@ def store_validation(
     ).parquet(f"{path.rstrip('/')}/suite={suite}/run_id={run_id}")
 
 
-def quality_gate(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
-    """Split into (good, quarantine); quarantine adds ``failed_rules``."""
+def quality_gate(df: DataFrame, rules: Sequence[Rule], salts: int = KEY_SALTS) -> DataFrame:
+    """``df`` with ``failed_rules``, empty for a good row; callers split by it.
+
+    Repeated values of a uniqueness rule's column are dealt over ``salts`` tasks.
+    """
     dtypes = dict(df.dtypes)
     flagged = df
     flags: list[Column] = []
@@ -232,17 +249,12 @@ def quality_gate(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataF
                 .where("_n > 1")
                 .select(rule.column, F.lit(True).alias(f"_repeated{i}"))
             )
-            flagged = salted_join(flagged, repeated, [rule.column], "left")
+            flagged = salted_join(flagged, repeated, [rule.column], "left", salts=salts)
             flags.append(F.when(F.col(f"_repeated{i}"), label))
         else:
             checked = Rule(NOT_NULL, rule.column) if rule.kind == UNIQUE else rule
             flags.append(F.when(violation(checked, dtypes), label))
-    failed = F.array_compact(F.array(*flags))
-    flagged = flagged.select(*df.columns, failed.alias("failed_rules"))
-    return (
-        flagged.where(F.size("failed_rules") == 0).drop("failed_rules"),
-        flagged.where(F.size("failed_rules") > 0),
-    )
+    return flagged.select(*df.columns, F.array_compact(F.array(*flags)).alias("failed_rules"))
 
 
 def require_success(results: DataFrame) -> None:

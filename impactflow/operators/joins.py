@@ -7,26 +7,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sizes import estimated_bytes
-
-HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 1_000
 NULL_SALTS = 1_024
-BROADCAST_BYTES = 32 << 20
-SMALL_BYTES = 1 << 30
 
 
 def broadcast_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    max_bytes: int = BROADCAST_BYTES,
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner"
 ) -> DataFrame:
-    """Broadcast ``right`` if it is estimated to fit ``max_bytes``; else leave the
-    choice to Spark, which still broadcasts at run time if the side proves small."""
-    side = F.broadcast(right) if estimated_bytes(right) <= max_bytes else right
-    return left.join(side, list(on), how)
+    """Join with a small ``right``: Spark broadcasts it below its own threshold, by estimate or by the
+    size found at run time, and falls back to a shuffled join beyond."""
+    return left.join(right, list(on), how)
 
 
 def sort_merge_join(
@@ -52,70 +41,36 @@ def spread_nulls(key: Column, spread: Column) -> Column:
     return F.when(key.isNull(), F.pmod(spread, F.lit(NULL_SALTS)).cast("int")).otherwise(0)
 
 
-def _hot_keys(keys: DataFrame, on: list[str], hot_rows: int, out: str) -> DataFrame:
-    """The hottest keys (at most MAX_HOT_KEYS) with the number of salts each needs."""
-    return (
-        keys.where(F.col("_n") > hot_rows)
-        .dropna(subset=on)
-        .orderBy(F.desc("_n"), *on)
-        .limit(MAX_HOT_KEYS)
-        .select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias(out))
-    )
-
-
-def _count(df: DataFrame, on: list[str]) -> DataFrame:
-    return df.groupBy(*on).agg(F.count("*").alias("_n"))
-
-
 def salted_join(
     many: DataFrame,
     one: DataFrame,
     on: Sequence[str],
     how: str = "inner",
     *,
+    salts: int,
+    one_salts: int = 1,
     row_id: Sequence[str] = (),
-    key_counts: DataFrame | None = None,
-    both_sides: bool = False,
-    hot_rows: int = HOT_ROWS,
-    small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
-    """Inner or left join that keeps hot keys of ``many`` out of a single task.
-
-    Keys of ``many`` with more than ``hot_rows`` rows are counted first (a
-    map-side combined aggregate on the key alone). Their rows are spread over
-    ceil(n / hot_rows) salts, and the matching rows of ``one`` are copied to
-    each salt. ``both_sides`` does the same for hot keys of ``one``, in inner
-    joins. The salt comes from ``row_id``, columns that tell the rows of one key
-    apart, or else from the number of the input partition; both are the same
-    when a task is run again. Only the ``MAX_HOT_KEYS`` hottest keys of a side
-    are salted, so the broadcast key list is bounded; any other key holds under
-    1/1000 of its rows. No row is dropped. Where both sides prove small they
-    are joined plainly. ``key_counts(on..., _n)`` saves a count the caller has.
+    """Inner or left join that deals every key of ``many`` over ``salts`` tasks.
+
+    For joins whose keys are known to be hot and whose plan keeps Spark from splitting them itself
+    (a side that is an aggregate by the key). Each row of ``one`` is copied ``salts`` times, so ``one`` should be the far
+    smaller side; ``one_salts`` deals its keys out as well, in inner joins. The salt comes from ``row_id``, columns that tell the rows of a
+    key apart, or else from the number of the input partition; both are the same when a task is run again. The
+    plan is the same at every size.
     """
-    if how not in ("inner", "left") or (both_sides and how == "left"):
+    if how not in ("inner", "left") or (one_salts > 1 and how == "left"):
         raise ValueError(f"this salted join cannot be {how}")
     on = list(on)
-    if max(map(estimated_bytes, (many, one) if both_sides else (many,))) < small_bytes:
-        return many.join(one, on, how)
-    hot = _hot_keys(key_counts or _count(many, on), on, hot_rows, "_m_salts")
-    if both_sides:
-        hot = hot.join(_hot_keys(_count(one, on), on, hot_rows, "_o_salts"), on, "full")
-    else:
-        hot = hot.withColumn("_o_salts", F.lit(1))
-    hot = F.broadcast(hot)
-    m_salts, o_salts = (F.coalesce(c, F.lit(1)) for c in ("_m_salts", "_o_salts"))
-
-    def own(salts: Column) -> Column:
-        return F.pmod("_source", salts).cast("int")
-
-    no_key = F.greatest(*[F.col(k).isNull() for k in on], F.lit(False))
-    left = many.withColumn("_source", F.xxhash64(*row_id) if row_id else F.spark_partition_id())
-    left = left.join(hot, on, "left").withColumn(
-        "_m", F.when(no_key, own(F.lit(NULL_SALTS))).otherwise(own(m_salts))
-    )
-    right = one.withColumn("_source", F.spark_partition_id()).join(hot, on, "left")
-    right = right.withColumn("_o", own(o_salts))
-    helpers = ("_source", "_m_salts", "_o_salts")
-    left = left.withColumn("_o", F.explode(F.sequence(F.lit(0), o_salts - 1))).drop(*helpers)
-    right = right.withColumn("_m", F.explode(F.sequence(F.lit(0), m_salts - 1))).drop(*helpers)
+
+    def salt(n: int) -> Column:
+        source = F.xxhash64(*row_id) if row_id else F.spark_partition_id()
+        return F.pmod(source, F.lit(n)).cast("int")
+
+    def copies(n: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(n - 1))) if n > 1 else F.lit(0)
+
+    left = many.withColumn("_m", salt(salts)).withColumn("_o", copies(one_salts))
+    right = one.withColumn("_o", F.pmod(F.spark_partition_id(), F.lit(one_salts)).cast("int"))
+    right = right.withColumn("_m", copies(salts))
     return left.join(right, [*on, "_m", "_o"], how).drop("_m", "_o")

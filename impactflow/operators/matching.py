@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import salted_join, spread_nulls
+from .joins import spread_nulls
 
 KeyPair = tuple[Column, Column]
 
@@ -18,19 +18,26 @@ def match_by_key(
 ) -> DataFrame:
     """Pairs (left_id, right_id) with equal, non-NULL keys.
 
-    Either side may have any number of rows per key; hot keys are salted.
+    Either side may have any number of rows per key. Both go into the join as they are, so
+    Spark splits the partitions of hot keys by the sizes it finds.
     """
     lk, rk = keys
     one = left.select(lk.alias("_k"), F.col(left_id)).where("_k IS NOT NULL")
     many = right.select(rk.alias("_k"), F.col(right_id)).where("_k IS NOT NULL")
-    return salted_join(many, one, ["_k"], row_id=[right_id], both_sides=True).select(
-        left_id, right_id
-    )
+    return many.join(one, "_k").select(left_id, right_id)
+
+
+def _without(rows: DataFrame, key: Column, taken: DataFrame) -> DataFrame:
+    """Rows whose key is not among ``taken`` (_k). Rows without a key stay; they are dealt over many tasks, and
+    Spark splits hot keys of the many side of an anti join."""
+    keyed = rows.withColumn("_k", key)
+    keyed = keyed.withColumn("_s", spread_nulls(F.col("_k"), F.spark_partition_id()))
+    return keyed.join(taken.withColumn("_s", F.lit(0)), ["_k", "_s"], "left_anti").drop("_k", "_s")
 
 
 def unmatched(right: DataFrame, pairs: DataFrame, right_id: str) -> DataFrame:
     """Rows of ``right`` whose id is in no pair."""
-    return right.join(pairs.select(right_id).distinct(), right_id, "left_anti")
+    return _without(right, F.col(right_id), pairs.select(F.col(right_id).alias("_k")))
 
 
 def without_key(rows: DataFrame, key: Column, others: DataFrame, other_key: Column) -> DataFrame:
@@ -38,11 +45,7 @@ def without_key(rows: DataFrame, key: Column, others: DataFrame, other_key: Colu
 
     Works on the keys alone, so nothing waits for the pairs to be formed.
     """
-    taken = others.select(other_key.alias("_k")).where("_k IS NOT NULL").distinct()
-    taken = taken.withColumn("_s", F.lit(0))
-    keyed = rows.withColumn("_k", key)
-    keyed = keyed.withColumn("_s", spread_nulls(F.col("_k"), F.spark_partition_id()))
-    return keyed.join(taken, ["_k", "_s"], "left_anti").drop("_k", "_s")
+    return _without(rows, key, others.select(other_key.alias("_k")).where("_k IS NOT NULL"))
 
 
 def match_cascade(
@@ -90,9 +93,11 @@ def match_url_join(
     """Posts joined to the papers they link to: one row per post and paper."""
     many = posts.select(post_key.alias("_k"), post_id, *post_columns)
     one = papers.select(paper_key.alias("_k"), paper_id)
-    return salted_join(
-        many.where("_k IS NOT NULL"), one.where("_k IS NOT NULL"), ["_k"], row_id=[post_id]
-    ).select(post_id, paper_id, *post_columns)
+    return (
+        many.where("_k IS NOT NULL")
+        .join(one.where("_k IS NOT NULL"), "_k")
+        .select(post_id, paper_id, *post_columns)
+    )
 
 
 def three_way_match(
@@ -100,13 +105,10 @@ def three_way_match(
 ) -> DataFrame:
     """Citation pairs joined with post matches: one row per paper, citation and post.
 
-    Both inputs are made distinct before the join, which is far smaller than
-    making the joined rows distinct. Attributes of a post depend on its id.
+    The joined rows are made distinct where they are, without another shuffle.
+    Attributes of a post depend on its id.
     """
-    posts = post_matches.dropDuplicates([paper_id, post_id])
-    return salted_join(
-        posts, pairs.distinct(), [paper_id], row_id=[post_id], both_sides=True
-    )
+    return pairs.join(post_matches, paper_id).dropDuplicates([*pairs.columns, post_id])
 
 
 def match_coverage(
@@ -114,7 +116,7 @@ def match_coverage(
 ) -> DataFrame:
     """One row: totals, distinct matched ids and percentages of both sides.
 
-    The pairs are formed once. Empty sides give NULL percentages.
+    The pairs are counted by each id; no row is copied. Empty sides give NULL percentages.
     """
 
     def rows(df: DataFrame) -> Column:
@@ -123,12 +125,14 @@ def match_coverage(
     def pct(part: str, whole: str) -> Column:
         return F.round(F.try_divide(F.col(part) * F.lit(100.0), F.col(whole)), 4)
 
+    def by(id: str) -> DataFrame:
+        return pairs.where(F.col(id).isNotNull()).groupBy(id).agg(F.count("*").alias("_n"))
+
     return (
-        pairs.agg(
-            F.count("*").alias("pairs"),
-            F.count_distinct(left_id).alias("left_matched"),
-            F.count_distinct(right_id).alias("right_matched"),
-        )
+        by(left_id)
+        .agg(F.count("*").alias("left_matched"))
+        .withColumn("pairs", rows(pairs))
+        .withColumn("right_matched", rows(by(right_id)))
         .withColumn("left_rows", rows(left))
         .withColumn("right_rows", rows(right))
         .withColumn("left_pct", pct("left_matched", "left_rows"))

@@ -15,6 +15,7 @@ from .joins import salted_join
 
 MIN_TOKEN = 2
 BUCKETS = 1 << 18
+TERM_SALTS = 16
 
 
 def tokenize(text: Column | str, min_length: int = MIN_TOKEN) -> Column:
@@ -71,27 +72,20 @@ def tfidf(
     id: str,
     text: str,
     stop_words: Sequence[str] = ENGLISH,
-    **join_options: int,
+    salts: int = TERM_SALTS,
 ) -> DataFrame:
     """(id, term, tf, tfidf) with tfidf = tf * ln((N + 1) / (df + 1)).
 
     A marker term in every document makes N the highest document frequency.
     The term counts, the document frequencies and N then all come from the same
     shuffle (ReusedExchange): the texts are read and tokenised once. A very
-    common term is a hot join key; its document frequency says so and it is
-    salted. ``id`` is unique.
+    common term is a hot join key, so every term is dealt over ``salts`` tasks; the
+    vocabulary, which is copied for it, is far smaller than the counts. ``id`` is unique.
     """
     tf = _count_terms(df, id, text, stop_words, marker=True)
     freq = document_frequency(tf)
     n = freq.agg(F.max("df")).scalar()
-    joined = salted_join(
-        tf,
-        freq,
-        ["term"],
-        row_id=[id],
-        key_counts=freq.withColumnRenamed("df", "_n"),
-        **join_options,
-    ).where("tf > 0")
+    joined = salted_join(tf, freq, ["term"], salts=salts, row_id=[id]).where("tf > 0")
     idf = F.log((n + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     return joined.select(id, "term", "tf", (F.col("tf") * idf).alias("tfidf"))
 

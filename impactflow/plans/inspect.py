@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-import io
 import re
 from collections.abc import Mapping
-from contextlib import redirect_stdout
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def plan_text(df: DataFrame, mode: str = "simple") -> str:
-    out = io.StringIO()
-    with redirect_stdout(out):
-        df.explain(mode)
-    return out.getvalue()
+    """The plan as Spark explains it in a mode (simple, extended, formatted, ...)."""
+    java = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode
+    return df._jdf.queryExecution().explainString(java.fromString(mode))
 
 
 def join_operators(df: DataFrame) -> list[str]:

@@ -9,7 +9,6 @@ from ...functions import columns as c
 from ...operators import clean as k
 from ...session import scratch_dir
 from ...sources import files, jsonl
-from ...sources.files import spread_small
 from .registry import documents, query, table
 
 # The stripped characters, usable inside a SQL string literal.
@@ -330,7 +329,7 @@ def raw_posts(spark: SparkSession, sf: str) -> DataFrame:
     """Events as raw post lines: one id per user and type, so ids repeat by design."""
     kind = F.col("event_type")
     quoted = F.concat(F.lit('"'), F.col("value").cast("string"), F.lit('"'))
-    return spread_small(table(spark, sf, "events")).select(
+    return table(spark, sf, "events").select(
         "event_id",
         F.concat(
             F.lit('{"id":'),
@@ -417,7 +416,7 @@ def raw_papers(spark: SparkSession, sf: str) -> DataFrame:
             ).alias("versions"),
         )
     )
-    parts = spread_small(table(spark, sf, "part"))
+    parts = table(spark, sf, "part")
     both = parts.withColumn("revision", F.explode(F.array(F.lit(1), F.lit(2))))
     return both.select(record.alias("value"), F.col("revision").alias(jsonl.ARRIVAL))
 

@@ -133,15 +133,9 @@ def store_validation(spark: SparkSession, sf: str) -> DataFrame:
 )
 def quality_gate(spark: SparkSession, sf: str) -> DataFrame:
     rules = [e.not_null("title"), e.between("value", 0, 300), e.unique("key")]
-    good, quarantine = e.quality_gate(records(spark, sf), rules)
-    return good.select(
-        "event_id", F.lit("good").alias("part"), F.lit("").alias("failed_rules")
-    ).unionByName(
-        quarantine.select(
-            "event_id",
-            F.lit("quarantine").alias("part"),
-            F.concat_ws(",", "failed_rules").alias("failed_rules"),
-        )
+    part = F.when(F.size("failed_rules") == 0, "good").otherwise("quarantine")
+    return e.quality_gate(records(spark, sf), rules).select(
+        "event_id", part.alias("part"), F.concat_ws(",", "failed_rules").alias("failed_rules")
     )
 
 

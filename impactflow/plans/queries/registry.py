@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ...sources.files import spread_small
-
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -47,8 +45,8 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    """The texts; a table of few small files is spread over the cores first."""
-    return spread_small(table(spark, sf, "documents"))
+    """The texts."""
+    return table(spark, sf, "documents")
 
 
 def event_key() -> Column:

@@ -9,10 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..sizes import estimated_bytes
-
-SPREAD_BYTES = 1 << 30
-
 
 def scan_parquet(
     spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None
@@ -23,18 +19,6 @@ def scan_parquet(
     return reader.parquet(*paths)
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread a scan that is too small to keep all cores busy.
-
-    For costly per-row work over one or a few small files. Anything from
-    ``SPREAD_BYTES`` up, or with enough files, is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if estimated_bytes(df) >= SPREAD_BYTES or len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores)
-
-
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file: path, name, size_bytes, modified. Contents are not read."""
     return (

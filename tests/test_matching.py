@@ -32,7 +32,7 @@ def expected(how):
 @pytest.mark.parametrize("row_id", [["row"], []])
 def test_salted_join_loses_nothing(spark, how, row_id):
     many, one = frames(spark)
-    joined = j.salted_join(many, one, ["k"], how, row_id=row_id, hot_rows=20, small_bytes=0)
+    joined = j.salted_join(many, one, ["k"], how, row_id=row_id, salts=7)
     assert Counter(map(tuple, joined.select("k", "row", "name").collect())) == expected(how)
 
 
@@ -42,7 +42,7 @@ def test_salting_both_sides_loses_nothing(spark):
     joined = j.salted_join(
         spark.createDataFrame(left, "l int, k int").repartition(5),
         spark.createDataFrame(right, "r int, k int").repartition(4),
-        ["k"], both_sides=True, hot_rows=7, small_bytes=0,
+        ["k"], salts=5, one_salts=3,
     )
     brute = Counter((lk, a, b) for a, lk in left for b, rk in right if lk == rk)
     assert Counter(map(tuple, joined.select("k", "l", "r").collect())) == brute
@@ -53,7 +53,7 @@ def test_salted_join_spreads_the_hot_key(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = j.salted_join(many, one, ["k"], row_id=["row"], hot_rows=20, small_bytes=0)
+        joined = j.salted_join(many, one, ["k"], row_id=["row"], salts=8)
         tasks = joined.where("k = 0").select(F.spark_partition_id().alias("p")).distinct().count()
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
@@ -61,10 +61,21 @@ def test_salted_join_spreads_the_hot_key(spark):
     assert tasks > 3
 
 
-def test_small_inputs_are_joined_plainly(spark):
-    many = spark.range(600).withColumn("k", F.col("id") % 50)
-    one = spark.range(60).withColumnRenamed("id", "k")
-    assert "_salt" not in plan_text(j.salted_join(many, one, ["k"], row_id=["id"]))
+def test_no_join_counts_its_keys_first(spark):
+    """One plan at every size: a match is one join, without a pass over the keys."""
+    left = spark.range(600).withColumn("k", F.col("id") % 50).toDF("l", "k")
+    right = spark.range(60).withColumn("k", F.col("id") % 50).toDF("r", "k")
+    plan = plan_text(m.match_by_key(left, right, (F.col("k"), F.col("k")), "l", "r"))
+    assert plan.count("Join ") == 1 and "Aggregate" not in plan
+
+
+def test_matching_survives_a_hot_key(spark):
+    left = spark.range(40).withColumn("k", F.col("id") % 4).toDF("l", "k")
+    right = spark.range(900).withColumn("k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 9)).toDF("r", "k")
+    brute = sum(10 for r in range(900) if (0 if r % 3 == 0 else r % 9) < 4)
+    assert m.match_by_key(left, right, (F.col("k"), F.col("k")), "l", "r").count() == brute
+    rest = m.without_key(right, F.col("k"), left, F.col("k"))
+    assert rest.count() == sum((0 if r % 3 == 0 else r % 9) >= 4 for r in range(900))
 
 
 def papers(spark):
@@ -140,11 +151,16 @@ def test_join_strategies_are_used_and_agree(spark):
     assert len({(r["rows"], r["content_hash"]) for r in report}) == 1
 
 
-def test_broadcast_is_not_forced_on_a_big_side(spark):
+def test_broadcast_is_left_to_spark(spark):
     left = spark.range(10).withColumnRenamed("id", "k")
     right = spark.range(10).withColumnRenamed("id", "k")
-    joined = j.broadcast_join(left, right, ["k"], max_bytes=1)
-    assert "ResolvedHint" not in plan_text(joined, "extended")
+    assert "ResolvedHint" not in plan_text(j.broadcast_join(left, right, ["k"]), "extended")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = join_operators(j.broadcast_join(left, right, ["k"]))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found == ["SortMergeJoin"]
 
 
 def test_left_join_fill(spark):

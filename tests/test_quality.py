@@ -62,17 +62,26 @@ def test_suite_is_one_scan_plus_one_per_uniqueness_rule(spark, tmp_path):
     spark.createDataFrame([("1", 5, 2000)], "id string, cited_by_count long, publication_year long"
                           ).write.parquet(path)
     plan = plan_text(e.run_suite(spark.read.parquet(path), e.citation_rules()))
-    assert plan.count("FileScan") == 2
+    assert plan.count("FileScan") == 1
 
 
 def test_gate_quarantines_rows_with_their_reasons(spark):
     df = spark.createDataFrame(
         [(1, "a", 5), (2, "a", 5), (3, None, 5), (4, "b", -1), (5, "c", 1)], "i int, k string, n int"
     )
-    good, bad = e.quality_gate(df, [e.unique("k"), e.not_null("k"), e.between("n", 0)])
-    assert [r["i"] for r in good.collect()] == [5]
-    assert {r["i"]: len(r["failed_rules"]) for r in bad.collect()} == {1: 1, 2: 1, 3: 1, 4: 1}
-    assert good.columns == df.columns
+    flagged = e.quality_gate(df, [e.unique("k"), e.not_null("k"), e.between("n", 0)])
+    found = {r["i"]: len(r["failed_rules"]) for r in flagged.collect()}
+    assert found == {1: 1, 2: 1, 3: 1, 4: 1, 5: 0}
+    assert flagged.columns == [*df.columns, "failed_rules"]
+
+
+def test_suite_of_several_unique_columns_and_of_nothing(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "b"), (None, None)], "i int, k string")
+    rules = [e.unique("i"), e.unique("k"), e.not_null("i")]
+    rows = e.run_suite(df, rules).orderBy("position").collect()
+    assert [(r["rows"], r["nulls"], r["unexpected"]) for r in rows] == [(4, 2, 2), (4, 1, 2), (4, 2, 2)]
+    rows = e.run_suite(df.where("false"), rules).orderBy("position").collect()
+    assert [(r["rows"], r["nulls"], r["unexpected"]) for r in rows] == [(0, 0, 0)] * 3
 
 
 def test_require_success(spark):
@@ -167,7 +176,7 @@ def brute_tfidf():
     }
 
 
-@pytest.mark.parametrize("options", [{}, {"small_bytes": 0, "hot_rows": 1}])
+@pytest.mark.parametrize("options", [{}, {"salts": 1}, {"salts": 5}])
 def test_tfidf_equals_brute_force(spark, options):
     df = spark.createDataFrame(DOCS, "id int, text string").repartition(3)
     got = {

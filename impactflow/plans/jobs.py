@@ -195,13 +195,17 @@ def stream_posts(
     target: str,
     checkpoint: str,
     *,
-    state_partitions: int | None = None,
+    state_partitions: int,
+    bounded: bool = False,
     **options,
 ) -> StreamingQuery:
-    """The posts stream: clean, watermark, first arrival per id, append to Parquet."""
+    """The posts stream: clean, watermark, first arrival per id, append to Parquet.
+
+    Exact over all time, with state that grows by the ids; ``bounded`` forgets ids behind the watermark.
+    """
     own = stream.stream_session(spark, state_partitions)
     cleaned = stream.stream_clean(stream.stream_records(own, source))
-    once = stream.stream_dedup(stream.with_watermark(cleaned), ["id"])
+    once = stream.stream_dedup(stream.with_watermark(cleaned), ["id"], bounded=bounded)
     return stream.stream_to_parquet(once, target, checkpoint, **options)
 
 

@@ -20,12 +20,19 @@ EVENT_FIELDS = {"event_id": "bigint", "user_id": "bigint", "event_type": "string
 
 
 def event_lines(spark: SparkSession, sf: str) -> DataFrame:
-    """Events as JSON lines; those of type 'error' lose their closing brace."""
+    """Events as JSON lines; those of type 'error' lose their closing brace. Some have a field twice, the last value
+    counts, and some a number that is none."""
     line = F.to_json(F.struct(*EVENT_FIELDS))
     broken = F.substring(line, F.lit(1), F.length(line) - 1)
-    events = table(spark, sf, "events")
-    return events.select(
-        F.when(F.col("event_type") == "error", broken).otherwise(line).alias("value")
+    twice = F.concat(F.lit('{"event_id":-1,'), F.substring(line, F.lit(2), F.length(line)))
+    odd = F.concat(broken, F.lit(',"rate":NaN}'))
+    kind = F.col("event_type")
+    return table(spark, sf, "events").select(
+        F.when(kind == "error", broken)
+        .when(kind == "click", twice)
+        .when(kind == "view", odd)
+        .otherwise(line)
+        .alias("value")
     )
 
 
@@ -68,7 +75,7 @@ def scan_jsonl_strict(spark: SparkSession, sf: str) -> DataFrame:
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"),
     )
     orders.write.json(folder)
-    return jsonl.scan_jsonl_strict(spark, folder, orders.schema)
+    return jsonl.scan_jsonl_strict(spark, folder, dict(orders.dtypes)).drop(jsonl.ARRIVAL)
 
 
 @query("scan_parquet", "SELECT p_partkey, p_brand FROM part WHERE p_size >= 25")
@@ -255,14 +262,22 @@ def part_report(spark: SparkSession, sf: str) -> DataFrame:
     return tables.part_report(parts, "c_custkey", "is_new")
 
 
+CONTRACT = contract.PAPER_DOCUMENT | {"object_count": "int", "timestamp": "timestamp"}
+
+
 @query(
     "schema_conformance",
-    """SELECT event_id, CASE event_type WHEN 'error' THEN 'published_date' WHEN 'view' THEN 'title'
-      WHEN 'click' THEN '<not an object>' ELSE '' END AS bad_fields FROM events""",
+    """SELECT event_id, CASE WHEN event_type = 'error' THEN 'published_date'
+      WHEN event_type = 'view' THEN 'title' WHEN event_type = 'click' THEN '<not an object>'
+      WHEN event_type = 'signup' THEN 'categories' WHEN event_id % 3 = 0 THEN 'object_count'
+      WHEN event_id % 3 = 1 THEN 'timestamp' ELSE '' END AS bad_fields,
+      event_type = 'purchase' AND event_id % 3 = 2 AS conforms,
+      CASE WHEN event_type = 'purchase' AND event_id % 3 = 2 THEN 7 END AS object_count FROM events""",
 )
 def schema_conformance(spark: SparkSession, sf: str) -> DataFrame:
-    """Strict document layout; an extra field, a wrong type and a broken line."""
-    kind = F.col("event_type")
+    """Strict document layout: an extra field, wrong kinds (also of an element), a broken line, a
+    number and a time that the type cannot hold."""
+    kind, third = F.col("event_type"), F.col("event_id") % 3
     events = table(spark, sf, "events").select(
         "event_id",
         F.concat(
@@ -270,10 +285,20 @@ def schema_conformance(spark: SparkSession, sf: str) -> DataFrame:
             "event_id",
             F.when(kind == "view", F.lit('","title":5')).otherwise(F.lit('","title":"t"')),
             F.when(kind == "error", F.lit(',"published_date":"2024-01-01"')).otherwise(""),
+            F.when(kind == "signup", F.lit(',"categories":[1,{"a":2}]')).otherwise(
+                F.lit(',"categories":["a",null]')
+            ),
+            F.when((kind == "purchase") & (third == 0), F.lit(',"object_count":3000000000'))
+            .when((kind == "purchase") & (third == 1), F.lit(',"timestamp":"soon"'))
+            .otherwise(F.lit(',"object_count":7,"timestamp":"2024-01-01T00:00:00Z"')),
             F.when(kind == "click", "").otherwise("}"),
         ).alias("value"),
     )
-    good, bad = contract.conform_records(events, contract.PAPER_DOCUMENT)
-    return good.select(
-        F.col("id").cast("bigint").alias("event_id"), F.lit("").alias("bad_fields")
-    ).unionByName(bad.select("event_id", F.concat_ws(",", "bad_fields").alias("bad_fields")))
+    checked = contract.check_records(events, CONTRACT)
+    conforms = F.size("bad_fields") == 0
+    return checked.select(
+        "event_id",
+        F.concat_ws(",", "bad_fields").alias("bad_fields"),
+        conforms.alias("conforms"),
+        F.when(conforms, F.col("record.object_count")).alias("object_count"),
+    )

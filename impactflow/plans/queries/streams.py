@@ -17,8 +17,12 @@ from .cleaning import POSTS_CLEAN_SQL, raw_posts
 from .registry import query, table
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    return st.stream_session(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def events_stream(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return st.stream_files(st.stream_session(spark), path, schema, format="parquet")
+    return st.stream_files(own_session(spark), path, schema, format="parquet")
 
 
 def table_stream(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,7 +64,7 @@ def stream_clean(spark: SparkSession, sf: str) -> DataFrame:
     """Raw post lines through the batch cleaner, as a stream; bad lines stay out."""
     folder = scratch_dir(spark, "landing")
     land_raw(raw_posts(spark, sf).select("value"), folder, "20240101")
-    cleaned = st.stream_clean(st.stream_records(st.stream_session(spark), f"{folder}/batch=*"))
+    cleaned = st.stream_clean(st.stream_records(own_session(spark), f"{folder}/batch=*"))
     return run(spark, cleaned).select("id", "by", "time", "title", "score")
 
 
@@ -124,16 +128,22 @@ LATE_DAYS = 7
     f"""WITH n AS (SELECT count(*) AS n, max(ts) AS newest FROM events)
     SELECT 'on time' AS arrival, count(*) AS n FROM events
     UNION ALL SELECT 'late, kept', count(*) FROM events, n
-      WHERE ts > date_trunc('milliseconds', newest) - INTERVAL {LATE_DAYS} DAY""",
+      WHERE ts > date_trunc('milliseconds', newest) - INTERVAL {LATE_DAYS} DAY
+    UNION ALL SELECT 'late, dropped', count(*) FROM events, n
+      WHERE ts <= date_trunc('milliseconds', newest) - INTERVAL {LATE_DAYS} DAY
+    UNION ALL SELECT 'input', 3 * count(*) FROM events""",
 )
 def late_data(spark: SparkSession, sf: str) -> DataFrame:
     """All events arrive, then a repeat of them, then copies under new ids: the
-    copies older than the watermark are dropped."""
+    copies older than the watermark are dropped and counted."""
     events = table(spark, sf, "events").select("event_id", "ts")
     copies = events.withColumn("event_id", -1 - F.col("event_id"))
-    out, _ = resumed(spark, [events, events, copies], dedup=True)
+    out, totals = resumed(spark, [events, events, copies], dedup=True)
     arrival = F.when(F.col("event_id") >= 0, "on time").otherwise("late, kept")
-    return out.groupBy(arrival.alias("arrival")).agg(F.count("*").alias("n"))
+    counts = [("late, dropped", sum(t["late_rows"] for t in totals)), ("input", sum(t["input_rows"] for t in totals))]
+    return out.groupBy(arrival.alias("arrival")).agg(F.count("*").alias("n")).unionByName(
+        spark.createDataFrame(counts, "arrival string, n bigint")
+    )
 
 
 @query(

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..sources.jsonl import flag_records
+from ..sources.jsonl import flag_records, last_entries
 
 # The strict document layouts of the two published indexes.
 PAPER_DOCUMENT = {
@@ -65,49 +65,54 @@ def schema_differences(
     )
 
 
-def _kind(dtype: str) -> list[str]:
-    """JSON kinds (as named by schema_of_variant) acceptable for a contract type."""
-    if dtype.startswith("array"):
-        return ["ARRAY", "VOID"]
+def _kinds(dtype: str) -> list[str]:
+    """JSON kinds (as named by schema_of_variant, without a decimal's digits) that a contract type takes."""
+    if dtype == "array<string>":
+        return ["ARRAY<STRING>", "ARRAY<VOID>"]
     if dtype in ("int", "bigint"):
-        return ["BIGINT", "VOID"]
+        return ["BIGINT"]
     if dtype == "double":
-        return ["BIGINT", "DECIMAL", "DOUBLE", "FLOAT", "VOID"]
-    return ["STRING", "VOID"]
+        return ["BIGINT", "DECIMAL", "DOUBLE", "FLOAT"]
+    if dtype in ("string", "timestamp"):
+        return ["STRING"]
+    raise ValueError(f"no such type in a contract: {dtype}")
 
 
-def conform_records(
+def check_records(
     lines: DataFrame, contract: Mapping[str, str], column: str = "value"
-) -> tuple[DataFrame, DataFrame]:
-    """Strict check of JSON lines: (conforming, violations).
+) -> DataFrame:
+    """Strict check of JSON lines: ``lines`` with ``record`` and ``bad_fields``.
 
-    A record with an unknown field or a value of the wrong kind is a violation
-    as a whole; ``violations`` adds the offending fields. Missing fields are
-    fine and read as NULL.
+    A field that the contract does not know, or whose value (elements included) is of another kind or does not fit the
+    type, is bad; a JSON null and a missing field are fine and read as NULL. A record conforms if it has no
+    bad field, and then ``record`` has all its values: both come from the same parse. Of a line that is no
+    object ``bad_fields`` says so, and ``record`` is NULL.
     """
-    known = F.create_map(
-        *[x for n, t in contract.items() for x in (F.lit(n), F.array(*map(F.lit, _kind(t))))]
-    )
-    fields = F.map_entries(F.from_json(F.col(column), "map<string,variant>"))
-    bad = F.transform(
-        F.filter(
-            fields,
-            lambda e: ~F.coalesce(
-                F.array_contains(
-                    F.try_element_at(known, e["key"]),
-                    F.regexp_extract(F.schema_of_variant(e["value"]), r"^([A-Z]+)", 1),
-                ),
-                F.lit(False),
-            ),
-        ),
-        lambda e: e["key"],
+    parsed = (
+        flag_records(lines, "_record", column, "_text")
+        .withColumn("_entries", F.explode(F.array(last_entries("_text"))))
+        .drop("_text")
     )
-    bad = F.when(F.col("_record"), F.array_sort(bad))
-    checked = flag_records(lines, "_record", column).select(
-        *lines.columns, F.coalesce(bad, F.array(F.lit("<not an object>"))).alias("bad_fields")
+
+    def value(name: str) -> Column:
+        return F.get(F.filter("_entries", lambda e: e["key"] == name), F.lit(0))["value"]
+
+    bad, typed = [], []
+    for name, dtype in contract.items():
+        found = value(name)
+        kind = F.regexp_replace(F.schema_of_variant(found), r"\(.*\)", "")
+        cast = F.try_variant_get(found, "$", dtype)
+        wrong = F.coalesce(~kind.isin(_kinds(dtype)) | cast.isNull(), F.lit(True))
+        given = found.isNotNull() & ~F.is_variant_null(found)
+        bad.append(F.when(given & wrong, F.lit(name)))
+        typed.append(cast.alias(name))
+    unknown = F.transform(
+        F.filter("_entries", lambda e: ~e["key"].isin(list(contract))), lambda e: e["key"]
     )
-    record = F.from_json(column, ", ".join(f"`{n}` {t}" for n, t in contract.items()))
-    return (
-        checked.where(F.size("bad_fields") == 0).select(record.alias("r")).select("r.*"),
-        checked.where(F.size("bad_fields") > 0),
+    readable = F.col("_record") & F.col("_entries").isNotNull()
+    fields = F.array_sort(F.array_compact(F.concat(F.array(*bad), unknown)))
+    return parsed.select(
+        *lines.columns,
+        F.when(readable, F.struct(*typed)).alias("record"),
+        F.when(readable, fields).otherwise(F.array(F.lit("<not an object>"))).alias("bad_fields"),
     )

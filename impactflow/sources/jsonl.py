@@ -7,11 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 ARRIVAL = "arrival"
 
-# Record layouts: field -> type read from the raw JSON. Scalars that need
+# Fixed values, record layouts: field -> type read from the raw JSON. Scalars that need
 # tolerant conversion are read as strings and converted by the cleaners.
 PAPER_FIELDS = {
     "id": "string",
@@ -78,42 +77,81 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
+# What the VARIANT parser refuses, or not, by a session setting: a field that is there twice
+# (its last value counts), NaN and infinite numbers.
+_LENIENT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "true"}
+
+
 def _bracketed(line: Column) -> Column:
-    """The line as first element of a JSON array that ends in a 0, parsed."""
-    return F.try_parse_json(F.concat(F.lit("["), line, F.lit(",0]")))
+    """The line as first element of a JSON array that ends in a 0."""
+    return F.concat(F.lit("["), line, F.lit(",0]"))
 
 
-def _is_record(line: Column, bracketed: Column) -> Column:
+def _parsed(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Lines with ``_p``: ``line``, the bracketed parse, and ``spare``, the same by the JSON reader for lines
+    that VARIANT does not take. Unpacking it from an array keeps the conditions and fields that
+    follow from parsing the line again."""
+    bracketed = _bracketed(F.col(column))
+    line = F.try_parse_json(bracketed)
+    spare = F.when(line.isNull(), F.from_json(bracketed, "array<string>", _LENIENT))
+    parse = F.struct(line.alias("line"), spare.alias("spare"))
+    return lines.select("*", F.explode(F.array(parse)).alias("_p"))
+
+
+def _is_record(line: Column) -> Column:
     """Is the line one JSON object and nothing else?
 
     The parser stops after a value and ignores what follows. In a bracketed line
     anything that follows breaks the array or moves its last element.
     """
     blank = F.lit(" \t\r\n")
+    variant, spare = F.col("_p.line"), F.col("_p.spare")
+    one = (F.try_variant_get(variant, "$[1]", "int") == 0) & F.try_variant_get(
+        variant, "$[2]", "variant"
+    ).isNull()
     return F.coalesce(
         F.startswith(F.ltrim(line, blank), F.lit("{"))
         & F.endswith(F.rtrim(line, blank), F.lit("}"))
-        & (F.try_variant_get(bracketed, "$[1]", "int") == 0)
-        & F.try_variant_get(bracketed, "$[2]", "variant").isNull(),
+        & F.when(variant.isNotNull(), one).otherwise(
+            (F.size(spare) == 2) & (F.try_element_at(spare, F.lit(2)) == "0")
+        ),
         F.lit(False),
     )
 
 
-def _parsed(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Lines with ``_line``, the bracketed parse. Unpacking it from an array keeps
-    the conditions and fields that follow from parsing the line again."""
-    return lines.select("*", F.explode(F.array(_bracketed(F.col(column)))).alias("_line"))
-
-
-def flag_records(lines: DataFrame, flag: str, column: str = "value") -> DataFrame:
-    """Add ``flag``: is the line a JSON object?"""
-    parsed = _parsed(lines, column)
-    return parsed.withColumn(flag, _is_record(F.col(column), F.col("_line"))).drop("_line")
+def flag_records(
+    lines: DataFrame, flag: str, column: str = "value", text: str | None = None
+) -> DataFrame:
+    """Add ``flag``: is the line a JSON object? ``text`` adds it as JSON that needs no leniency but for
+    repeated fields."""
+    parsed = _parsed(lines, column).withColumn(flag, _is_record(F.col(column)))
+    if text:
+        strict = F.when(F.col("_p.line").isNull(), F.get("_p.spare", 0)).otherwise(F.col(column))
+        parsed = parsed.withColumn(text, strict)
+    return parsed.drop("_p")
+
+
+def last_entries(text: Column | str) -> Column:
+    """Fields of a JSON object as entries (key, value: VARIANT), each name once, with its last value."""
+    entries = F.map_entries(F.from_json(text, "map<string,variant>"))
+    names = F.transform(entries, lambda e: e["key"])
+    backwards = F.reverse(names)
+    return F.when(
+        F.size(F.array_distinct(names)) == F.size(names), entries
+    ).otherwise(
+        F.filter(entries, lambda e, i: F.array_position(backwards, e["key"]) == F.size(names) - i)
+    )
 
 
 def _fields(fields: Mapping[str, str]) -> list[Column]:
+    layout = ", ".join(f"`{name}` {dtype}" for name, dtype in fields.items())
+    spare = F.from_json(F.get("_p.spare", 0), layout, _LENIENT)
     return [
-        F.try_variant_get("_line", f"$[0]['{name}']", dtype).alias(name)
+        F.when(
+            F.col("_p.line").isNotNull(), F.try_variant_get("_p.line", f"$[0]['{name}']", dtype)
+        )
+        .otherwise(spare[name])
+        .alias(name)
         for name, dtype in fields.items()
     ]
 
@@ -122,9 +160,10 @@ def parse_lines(lines: DataFrame, fields: Mapping[str, str]) -> JsonlScan:
     """Split lines into records and rejects; only JSON objects are records.
 
     Each line is parsed once, then every field is taken with its own cast, so a
-    mistyped value nulls that field and nothing else.
+    mistyped value nulls that field and nothing else. The result does not depend on
+    session settings.
     """
-    good = _is_record(F.col("value"), F.col("_line"))
+    good = _is_record(F.col("value"))
     parsed = _parsed(lines)
     return JsonlScan(
         records=parsed.where(good).select(
@@ -142,11 +181,10 @@ def parse_lines(lines: DataFrame, fields: Mapping[str, str]) -> JsonlScan:
 def parse_lines_strict(lines: DataFrame, fields: Mapping[str, str]) -> DataFrame:
     """Records of lines that must all be JSON objects; the first other line fails
     the job."""
-    good = _is_record(F.col("value"), F.col("_line"))
     shown = F.concat(F.lit("not a JSON record: "), F.substring("value", 1, 200))
-    checked = F.when(good, F.col("_line")).otherwise(F.raise_error(shown))
+    checked = F.when(_is_record(F.col("value")), F.col("_p")).otherwise(F.raise_error(shown))
     rest = [c for c in lines.columns if c != "value"]
-    return _parsed(lines).select(checked.alias("_line"), *rest).select(*_fields(fields), *rest)
+    return _parsed(lines).select(checked.alias("_p"), *rest).select(*_fields(fields), *rest)
 
 
 def scan_jsonl(
@@ -157,11 +195,10 @@ def scan_jsonl(
 
 
 def scan_jsonl_strict(
-    spark: SparkSession, paths: str | Sequence[str], schema: StructType | str
+    spark: SparkSession, paths: str | Sequence[str], fields: Mapping[str, str]
 ) -> DataFrame:
-    """Strict scan: the first bad line fails the job."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    return spark.read.schema(schema).option("mode", "FAILFAST").json(paths)
+    """Strict scan: the first line that is no JSON object, a blank one included, fails the job."""
+    return parse_lines_strict(read_lines(spark, paths), fields)
 
 
 def scan_microbatches(

@@ -17,18 +17,23 @@ from ..sources.jsonl import POST_FIELDS, parse_lines
 FILES_PER_TRIGGER = 10
 TRIGGER = "30 seconds"
 LATENESS = "7 days"
+# Progress reports a query keeps between two looks at them.
+KEPT_REPORTS = 10_000
 
 
-def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+def stream_session(spark: SparkSession, state_partitions: int) -> SparkSession:
     """A session for streams that leaves the caller's settings alone.
 
-    State lives in RocksDB in ``state_partitions`` parts (one per core if not
-    given). The first run of a checkpoint settles that number for good, so choose
-    it for the state expected later.
+    State lives in RocksDB in ``state_partitions`` parts. The first run of a checkpoint settles that
+    number for good, so choose it for the state expected later. Settings the caller made at run time
+    hold here too.
     """
     own = spark.newSession()
-    parts = state_partitions or spark.sparkContext.defaultParallelism
-    own.conf.set("spark.sql.shuffle.partitions", str(parts))
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    own.conf.set("spark.sql.streaming.numRecentProgressUpdates", str(KEPT_REPORTS))
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     own.conf.set("spark.sql.session.timeZone", "UTC")
     return own
@@ -131,13 +136,27 @@ def stream_changes(
     return _start(writer, available_now, interval)
 
 
-def finish(query: StreamingQuery) -> dict[str, int]:
-    """Wait for an available-now query; returns input rows, late rows, state rows."""
-    query.awaitTermination()
-    totals = {"input_rows": 0, "late_rows": 0, "state_rows": 0}
-    for progress in query.recentProgress:
-        totals["input_rows"] += progress["numInputRows"]
-        for op in progress["stateOperators"]:
-            totals["late_rows"] += op["numRowsDroppedByWatermark"]
-            totals["state_rows"] = max(totals["state_rows"], op["numRowsTotal"])
-    return totals
+def finish(query: StreamingQuery, poll: float = 0.5) -> dict[str, int]:
+    """Wait for an available-now query; returns input rows, late rows, state rows.
+
+    A query keeps its last progress reports only, so they are added up while it runs, each batch
+    once. Should reports be lost between two looks, that is an error and not a smaller total.
+    """
+    batches: dict[int, tuple[int, int]] = {}
+    state_rows = 0
+    done = False
+    while not done:
+        done = query.awaitTermination(poll)
+        for progress in query.recentProgress:
+            operators = progress["stateOperators"]
+            late = sum(op["numRowsDroppedByWatermark"] for op in operators)
+            state_rows = max([state_rows, *(op["numRowsTotal"] for op in operators)])
+            was = batches.get(progress["batchId"], (0, 0))
+            batches[progress["batchId"]] = (max(was[0], progress["numInputRows"]), max(was[1], late))
+    if batches and len(batches) != max(batches) - min(batches) + 1:
+        raise RuntimeError("progress reports were lost; raise spark.sql.streaming.numRecentProgressUpdates")
+    return {
+        "input_rows": sum(n for n, _ in batches.values()),
+        "late_rows": sum(n for _, n in batches.values()),
+        "state_rows": state_rows,
+    }

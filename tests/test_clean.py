@@ -47,7 +47,7 @@ def test_mistyped_field_nulls_only_itself(spark, tmp_path):
 def test_strict_scan_fails(spark, tmp_path):
     path = write_lines(tmp_path / "a.jsonl", ['{"id": 1}', "{broken"])
     with pytest.raises(Exception):
-        jsonl.scan_jsonl_strict(spark, path, "id bigint").collect()
+        jsonl.scan_jsonl_strict(spark, path, {"id": "bigint"}).collect()
 
 
 def test_dedup_over_files_keeps_the_last_file(spark, tmp_path):
@@ -204,12 +204,49 @@ def test_schema_conformance(spark):
         ],
         "value string",
     )
-    good, bad = contract.conform_records(lines, contract.PAPER_DOCUMENT)
-    assert [r["id"] for r in good.collect()] == ["1"]
-    assert sorted(r["bad_fields"] for r in bad.collect()) == [
-        ["<not an object>"], ["id"], ["published_date"],
+    rows = contract.check_records(lines, contract.PAPER_DOCUMENT).collect()
+    assert [r["record"]["id"] for r in rows if not r["bad_fields"]] == ["1"]
+    assert sorted(r["bad_fields"] for r in rows) == [
+        [], ["<not an object>"], ["id"], ["published_date"],
     ]
-    assert good.columns == list(contract.PAPER_DOCUMENT)
+    assert list(rows[0]["record"].asDict()) == list(contract.PAPER_DOCUMENT)
+
+
+def test_conforming_values_are_never_lost(spark):
+    wanted = {"n": "int", "ts": "timestamp", "cats": "array<string>", "d": "double"}
+    lines = {
+        '{"n": 3000000000}': ["n"],
+        '{"n": 1.5}': ["n"],
+        '{"ts": "soon"}': ["ts"],
+        '{"cats": [1, {"a": 2}]}': ["cats"],
+        '{"cats": ["a", null], "d": 1, "n": null}': [],
+        '{"cats": [], "d": 1.5, "ts": "2024-01-01T00:00:00Z"}': [],
+        '{"n": "x", "n": 5}': [],
+        '{"x": {"y": 1, "y": 2}, "z": 1}': None,
+    }
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = {r["value"]: r for r in contract.check_records(df, wanted).collect()}
+    for line, bad in lines.items():
+        assert bad is None or got[line]["bad_fields"] == bad, line
+        assert bad is not None or got[line]["bad_fields"], line
+    assert got['{"n": "x", "n": 5}']["record"]["n"] == 5
+    assert got['{"cats": ["a", null], "d": 1, "n": null}']["record"]["d"] == 1.0
+
+
+@pytest.mark.parametrize("allowed", ["true", "false"])
+def test_records_do_not_depend_on_the_session(spark, tmp_path, allowed):
+    lines = ['{"id": 1, "id": 2}', '{"id": 3, "x": NaN}', '{"id": 4, "x": {"a": 1, "a": 2}}', "{'id': 5}", '{"id": 6} x',
+             '{"id": 7},{}', "[1]", "", '{"id": 8, "t": "a"}']
+    path = write_lines(tmp_path / "a.jsonl", lines)
+    setting = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, allowed)
+    try:
+        scan = jsonl.scan_jsonl(spark, path, {"id": "bigint", "t": "string"})
+        assert sorted(r["id"] for r in scan.records.collect()) == [2, 3, 4, 8]
+        assert scan.report.first()["invalid_lines"] == 5
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
 
 
 def test_land_raw_is_replayable(spark, tmp_path):

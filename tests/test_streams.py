@@ -32,6 +32,7 @@ def run(spark, tmp_path, *parts):
         stage(tmp_path / "in", name, lines)
         query = jobs.stream_posts(
             spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state"),
+            state_partitions=4,
             available_now=True,
         )
         totals.append(st.finish(query))
@@ -126,3 +127,26 @@ def test_rocksdb_state_store_is_configured(spark):
 def test_unknown_time_column(spark):
     with pytest.raises(KeyError):
         st.with_watermark(spark.range(1), "absent")
+
+
+def test_totals_of_more_batches_than_a_query_remembers(spark, tmp_path):
+    for i in range(115):
+        folder = tmp_path / "in"
+        folder.mkdir(exist_ok=True)
+        (folder / f"{i:04d}.txt").write_text("a\nb\n")
+    own = st.stream_session(spark, 2)
+    lines = st.stream_files(own, str(tmp_path / "in"), "value string", format="text", files_per_trigger=1)
+    query = st.stream_to_parquet(lines, str(tmp_path / "out"), str(tmp_path / "state"), available_now=True)
+    assert st.finish(query)["input_rows"] == 230
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 230
+
+
+def test_stream_session_keeps_settings_made_at_run_time(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9m")
+    try:
+        own = st.stream_session(spark, 3)
+        assert own.conf.get("spark.sql.files.maxPartitionBytes") == "9m"
+        assert own.conf.get("spark.sql.shuffle.partitions") == "3"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

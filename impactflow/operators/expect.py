@@ -27,6 +27,7 @@ _TYPES = {
 
 
 KEY_SALTS = 16
+RECORDS = "expect_lines_to_be_records"
 
 
 @dataclass(frozen=True)
@@ -210,6 +211,11 @@ def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     )
 
 
+def line_rule(position: int, lines: int, invalid: int, allowed: int = 0) -> tuple:
+    """Result row of the rule on raw lines: at most ``allowed`` of them are no records."""
+    return (position, RECORDS, "<line>", lines, 0, invalid, invalid <= allowed)
+
+
 def suite_summary(results: DataFrame) -> DataFrame:
     """One row: evaluated, successful, unsuccessful, success_pct, success."""
     good = F.count_if("success")

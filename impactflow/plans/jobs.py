@@ -1,40 +1,77 @@
 """The batch and streaming jobs, as functions and as a spark-submit entry point.
 
-    python -m impactflow.plans.jobs papers <raw glob> <silver>/papers
-    python -m impactflow.plans.jobs gold   <silver> <gold> --as-of 2026-01-01
-    python -m impactflow.plans.jobs stream <raw folder> <target> --checkpoint <folder>
+    python -m impactflow.plans.jobs papers    <raw glob> <silver>/papers --reports <folder> --run-id 1 --run-at <time>
+    python -m impactflow.plans.jobs matches   <silver> <target>
+    python -m impactflow.plans.jobs gold      <silver> <gold> --as-of 2026-01-01 [--pairs <target>/pairs]
+    python -m impactflow.plans.jobs temporal  <silver> <target>
+    python -m impactflow.plans.jobs terms     <silver> <target>
+    python -m impactflow.plans.jobs documents <silver> <changes> --batch 1
+    python -m impactflow.plans.jobs compact   <changes> <key>
+    python -m impactflow.plans.jobs stream    <raw folder> <target> --checkpoint <folder> --state-partitions 64
 """
 
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import columns as c
-from ..operators import clean, expect, marts, matching, scoring
-from ..session import builder, scratch_dir
+from ..operators import clean, expect, marts, matching, scoring, temporal, terms
+from ..session import builder, remove_dir, scratch_dir
 from ..sinks.contract import PAPER_DOCUMENT, PAPER_KEYWORD_LIMITS
-from ..sinks.tables import keyed_overwrite, rebuild, write_parquet
+from ..sinks.tables import append_changes, compact, keyed_overwrite, part_report, rebuild, write_parquet
 from ..sources import jsonl
 from ..sources.files import input_inventory, latest_snapshot, scan_parquet
 from ..streaming import posts as stream
 
 
+@dataclass(frozen=True)
+class Source:
+    """How records of a source become its table."""
+
+    fields: Mapping[str, str]
+    clean: Callable[[DataFrame], DataFrame]
+    key: str
+    dedup: Callable[..., DataFrame]
+    dates: tuple[str, ...]
+    coverage: tuple[str, ...]
+
+    def cleaned(self, records: DataFrame) -> DataFrame:
+        return self.clean(records)
+
+    def table(self, records: DataFrame) -> DataFrame:
+        """One row per key over the whole input."""
+        return self.dedup(self.cleaned(records), [self.key], [jsonl.ARRIVAL]).drop(jsonl.ARRIVAL)
+
+
+SOURCES = {
+    "papers": Source(
+        jsonl.PAPER_FIELDS, clean.clean_papers, "id", clean.dedup_keep_last,
+        ("published_date",), ("doi",),
+    ),
+    "posts": Source(
+        jsonl.POST_FIELDS, clean.clean_posts, "id", clean.dedup_keep_last, ("time",), ("url",),
+    ),
+    "citations": Source(
+        jsonl.CITATION_FIELDS, clean.clean_citations, "citation_id", clean.dedup_keep_first,
+        ("publication_date",), ("doi", "paper_id"),
+    ),
+}
+
+
 def papers_table(spark: SparkSession, raw: str) -> DataFrame:
     """Cleaned papers, one row per id over the whole input, last record wins."""
-    records = jsonl.scan_jsonl(spark, raw, jsonl.PAPER_FIELDS).records
-    cleaned = clean.clean_papers(records)
-    return clean.dedup_keep_last(cleaned, ["id"], [jsonl.ARRIVAL]).drop(jsonl.ARRIVAL)
+    return SOURCES["papers"].table(jsonl.scan_jsonl(spark, raw, jsonl.PAPER_FIELDS).records)
 
 
 def posts_table(spark: SparkSession, folder: str) -> DataFrame:
     """Cleaned posts of all micro-batches, the last version of each id."""
-    records = jsonl.scan_microbatches(spark, folder, jsonl.POST_FIELDS).records
-    cleaned = clean.clean_posts(records)
-    return clean.dedup_keep_last(cleaned, ["id"], [jsonl.ARRIVAL]).drop(jsonl.ARRIVAL)
+    return SOURCES["posts"].table(jsonl.scan_microbatches(spark, folder, jsonl.POST_FIELDS).records)
 
 
 def citations_table(spark: SparkSession, raw: str) -> DataFrame:
@@ -42,11 +79,7 @@ def citations_table(spark: SparkSession, raw: str) -> DataFrame:
 
     A line that is no JSON fails the job, as a truncated snapshot must not pass.
     """
-    records = jsonl.parse_lines_strict(jsonl.read_lines(spark, raw), jsonl.CITATION_FIELDS)
-    cleaned = clean.clean_citations(records)
-    return clean.dedup_keep_first(cleaned, ["citation_id"], [jsonl.ARRIVAL]).drop(
-        jsonl.ARRIVAL
-    )
+    return SOURCES["citations"].table(jsonl.scan_jsonl_strict(spark, raw, jsonl.CITATION_FIELDS))
 
 
 # Raw fields the rules of each source look at. Variants keep the JSON type.
@@ -65,13 +98,15 @@ RULES = {
         expect.post_rules,
     ),
 }
-TABLES = {"papers": papers_table, "citations": citations_table, "posts": posts_table}
 
 
-def validate_raw(spark: SparkSession, source: str, raw: str) -> DataFrame:
-    """The rules of a source over all of its raw records."""
-    fields, rules = RULES[source]
-    return expect.run_suite(jsonl.scan_jsonl(spark, raw, fields).records, rules())
+@dataclass(frozen=True)
+class Refreshed:
+    """What a refresh found: its monitoring rows, rule results and cleaning report."""
+
+    monitoring: DataFrame
+    results: DataFrame
+    report: DataFrame
 
 
 def refresh(
@@ -80,40 +115,83 @@ def refresh(
     raw: str,
     target: str,
     *,
-    validations: str,
+    reports: str,
     run_id: str,
     run_at: str,
     newest: str | None = None,
     strict: bool = False,
-) -> DataFrame:
-    """Check, clean and rebuild one source; returns its monitoring row.
+    allowed_invalid: int = 0,
+) -> Refreshed:
+    """Check, clean and rebuild one source.
 
     ``raw`` is a file, a folder or a glob of them, and must exist. With ``newest``
-    ('file' or 'folder') only the last member of the glob is taken. Rule results
-    are stored; with ``strict`` a failed rule stops the job before anything is
-    replaced.
+    ('file' or 'folder') only the last member of the glob is taken. The lines are parsed once, into a scratch
+    table that is removed at the end. Below ``reports`` the run leaves, each under its source and run id: ``validations`` (the rules'
+    results, the last of them on lines that are no records, of which ``allowed_invalid`` may be there), ``rejects`` (those
+    lines), ``cleaning`` (lines, records, rows in and out, ...) and ``monitoring`` (a row for each layer). With ``strict`` a
+    failed rule stops the job before the table is replaced; the results and rejects are stored then, too.
     """
+    kind = SOURCES[source]
+    rule_fields, rules = RULES[source]
     if newest:
         raw = latest_snapshot(spark, raw, folders=newest == "folder")
     inventory = input_inventory(spark, raw)
-    stored = f"{validations}/suite={source}/run_id={run_id}"
-    expect.store_validation(
-        validate_raw(spark, source, raw),
-        validations,
-        suite=source,
-        run_id=run_id,
-        run_at=run_at,
-    )
-    results = scan_parquet(spark, stored)
-    if strict:
-        expect.require_success(results)
-    rebuild(TABLES[source](spark, raw), target)
-    return marts.monitoring_row(
-        inventory,
-        expect.suite_summary(results),
-        source=source,
-        layer="bronze",
-        at=F.lit(run_at).cast("timestamp"),
+    at = F.lit(run_at).cast("timestamp")
+
+    def stored(what: str) -> str:
+        return f"{reports.rstrip('/')}/{what}/suite={source}/run_id={run_id}"
+
+    staging = scratch_dir(spark, f"refresh-{source}")
+    try:
+        lines = jsonl.read_lines(spark, raw)
+        write_parquet(jsonl.stage_lines(lines, record=kind.fields, rules=rule_fields), staging)
+        staged = scan_parquet(spark, staging)
+        counts = staged.agg(
+            F.count("*").alias("lines"), F.count_if("is_record").alias("records")
+        ).first()
+        invalid = counts["lines"] - counts["records"]
+        staged.where("NOT is_record").select("reject").write.mode("overwrite").text(stored("rejects"))
+        suite = rules()
+        found = expect.run_suite(staged.where("is_record").select("rules.*"), suite)
+        on_lines = expect.line_rule(len(suite) + 1, counts["lines"], invalid, allowed_invalid)
+        expect.store_validation(
+            found.unionByName(spark.createDataFrame([on_lines], found.schema)),
+            f"{reports.rstrip('/')}/validations",
+            suite=source,
+            run_id=run_id,
+            run_at=run_at,
+        )
+        results = scan_parquet(spark, stored("validations"))
+        if strict:
+            expect.require_success(results)
+        records = staged.where("is_record").select("record.*", jsonl.ARRIVAL)
+        rebuild(kind.table(records), target)
+        silver = scan_parquet(spark, target)
+        report = clean.cleaning_report(
+            kind.cleaned(records), silver, dates=kind.dates, coverage=kind.coverage
+        ).select(
+            F.lit(counts["lines"]).alias("lines"),
+            F.lit(counts["records"]).alias("records"),
+            F.lit(invalid).alias("invalid_lines"),
+            "*",
+        )
+        rebuild(report, stored("cleaning"))
+    finally:
+        remove_dir(spark, staging)
+    key_rules = expect.run_suite(silver, [expect.not_null(kind.key), expect.unique(kind.key)])
+    rows = [
+        marts.monitoring_row(inventory, expect.suite_summary(results), source=source, layer="bronze", at=at),
+        marts.monitoring_row(
+            input_inventory(spark, f"{target.rstrip('/')}/*.parquet"),
+            expect.suite_summary(key_rules),
+            source=source,
+            layer="silver",
+            at=at,
+        ),
+    ]
+    rebuild(rows[0].unionByName(rows[1]), stored("monitoring"))
+    return Refreshed(
+        scan_parquet(spark, stored("monitoring")), results, scan_parquet(spark, stored("cleaning"))
     )
 
 
@@ -161,32 +239,97 @@ def post_matches(papers: DataFrame, posts: DataFrame) -> DataFrame:
 
 
 def gold_table(
-    papers: DataFrame, citations: DataFrame, posts: DataFrame, as_of: str
+    papers: DataFrame,
+    citations: DataFrame,
+    posts: DataFrame,
+    as_of: str,
+    pairs: DataFrame | None = None,
 ) -> DataFrame:
-    """Scored papers in the published layout."""
+    """Scored papers. ``pairs(paper_id, citation_id)`` takes citations by matches, DOI
+    matches included, instead of by the paper id they state."""
+    key = c.normalize_key("paper_id").alias("paper_id")
     dataset = scoring.impact_dataset(
         papers.select(
             c.normalize_key("id").alias("paper_id"), "title", "categories", "published_date"
         ),
-        citations.select(c.normalize_key("paper_id").alias("paper_id"), "cited_by_count"),
+        citations.select("citation_id", key, "cited_by_count"),
         posts.select(
             c.id_from_url("url").alias("paper_id"), "score", F.col("descendants").alias("replies")
         ),
         F.lit(as_of).cast("date"),
+        None if pairs is None else pairs.select(key, "citation_id"),
+    )
+    return scoring.impact_scores(dataset)
+
+
+def silver_tables(spark: SparkSession, silver: str) -> list[DataFrame]:
+    return [scan_parquet(spark, f"{silver.rstrip('/')}/{t}") for t in ("papers", "citations", "posts")]
+
+
+def require_scores(scored: DataFrame) -> None:
+    """Stop the job if there are no scores, or some are NULL or outside 0 to 100."""
+    found = scoring.score_validation(scored).first()
+    if not found["success"]:
+        raise ValueError(f"scores are not fit to publish: {found.asDict()}")
+
+
+def write_gold(
+    spark: SparkSession, silver: str, gold: str, as_of: str, pairs: DataFrame | None = None
+) -> None:
+    """Score the cleaned tables, check the scores, and replace the gold table.
+
+    The scores are written once to scratch, so the checks before the
+    replacement do not score again; scratch is removed.
+    """
+    staging = scratch_dir(spark, "gold")
+    try:
+        write_parquet(gold_table(*silver_tables(spark, silver), as_of, pairs), staging)
+        scored = scan_parquet(spark, staging)
+        require_scores(scored)
+        keyed_overwrite(scoring.gold_projection(scored), gold, "paper_id")
+    finally:
+        remove_dir(spark, staging)
+
+
+def write_matches(spark: SparkSession, silver: str, target: str) -> None:
+    """``pairs`` of papers and citations, ``posts`` that link to a paper, ``three_way`` and ``coverage``."""
+    papers, citations, posts = silver_tables(spark, silver)
+    base = target.rstrip("/")
+    rebuild(citation_matches(papers, citations), f"{base}/pairs")
+    rebuild(post_matches(papers, posts), f"{base}/posts")
+    pairs, linked = scan_parquet(spark, f"{base}/pairs"), scan_parquet(spark, f"{base}/posts")
+    rebuild(matching.three_way_match(pairs, linked, "paper_id", "post_id"), f"{base}/three_way")
+    coverage = matching.match_coverage(
+        papers.select(F.col("id").alias("paper_id")), citations, pairs, "paper_id", "citation_id"
     )
-    return scoring.gold_projection(scoring.impact_scores(dataset))
+    rebuild(coverage, f"{base}/coverage")
 
 
-def write_gold(spark: SparkSession, silver: str, gold: str, as_of: str) -> None:
-    """Score the cleaned tables and replace the gold table.
+def write_temporal(spark: SparkSession, silver: str, target: str) -> None:
+    """``growth`` of categories by year and ``velocity`` of citations by work."""
+    papers, citations, _ = silver_tables(spark, silver)
+    base = target.rstrip("/")
+    rebuild(temporal.growth_by_group(papers, id="id", date="published_date"), f"{base}/growth")
+    works = citations.select("citation_id", "counts_by_year")
+    rebuild(temporal.velocity_from_array(works), f"{base}/velocity")
 
-    The scores are written once to scratch, so the key check before the
-    replacement reads one column instead of scoring again.
+
+def write_terms(spark: SparkSession, silver: str, target: str, n: int = 20) -> None:
+    """The ``n`` heaviest terms of each abstract."""
+    papers = scan_parquet(spark, f"{silver.rstrip('/')}/papers")
+    rebuild(terms.top_terms(terms.tfidf(papers, "id", "abstract"), "id", n), target)
+
+
+def write_documents(spark: SparkSession, silver: str, changes: str, batch_id: int) -> DataFrame:
+    """Append the papers as one batch of document changes; (part, rows, accepted, rejected) by first letter of the id.
+
+    ``read_current`` gives the index, ``compact`` merges old batches.
     """
-    tables = [scan_parquet(spark, f"{silver}/{t}") for t in ("papers", "citations", "posts")]
-    staged = scratch_dir(spark, "gold")
-    write_parquet(gold_table(*tables, as_of), staged)
-    keyed_overwrite(scan_parquet(spark, staged), gold, "paper_id")
+    documents = paper_documents(scan_parquet(spark, f"{silver.rstrip('/')}/papers"))
+    keyed = documents.where(F.col("id").isNotNull())
+    append_changes(keyed, batch_id, changes)
+    parts = documents.withColumn("part", F.substring("id", 1, 1))
+    return part_report(parts, "id", "part")
 
 
 def stream_posts(
@@ -211,24 +354,58 @@ def stream_posts(
 
 def main(argv: list[str] | None = None) -> None:
     args = argparse.ArgumentParser(prog="impactflow")
-    args.add_argument("job", choices=["papers", "posts", "citations", "gold", "stream"])
+    args.add_argument(
+        "job", choices=[*SOURCES, "gold", "matches", "temporal", "terms", "documents", "compact", "stream"]
+    )
     args.add_argument("source")
     args.add_argument("target")
+    args.add_argument("--reports", help="folder for results, rejects and monitoring of a refresh")
+    args.add_argument("--run-id")
+    args.add_argument("--run-at", help="time of the run, as a timestamp")
+    args.add_argument("--lenient", action="store_true", help="rebuild although a rule failed")
     args.add_argument("--as-of")
+    args.add_argument("--pairs", help="folder of matched pairs, for gold")
+    args.add_argument("--batch", type=int)
     args.add_argument("--checkpoint")
+    args.add_argument("--state-partitions", type=int)
+    args.add_argument("--bounded", action="store_true", help="forget ids behind the watermark")
     a = args.parse_args(argv)
+
+    def need(*names: str) -> None:
+        missing = [n for n in names if getattr(a, n) is None]
+        if missing:
+            args.error(f"{a.job} needs " + ", ".join("--" + n.replace("_", "-") for n in missing))
+
+    if a.job in SOURCES:
+        need("reports", "run_id", "run_at")
+    elif a.job == "gold":
+        need("as_of")
+    elif a.job == "documents":
+        need("batch")
+    elif a.job == "stream":
+        need("checkpoint", "state_partitions")
     spark = builder(f"impactflow-{a.job}").getOrCreate()
-    if a.job in TABLES:
-        raw = latest_snapshot(spark, a.source) if a.job == "citations" else a.source
-        rebuild(TABLES[a.job](spark, raw), a.target)
+    if a.job in SOURCES:
+        refresh(
+            spark, a.job, a.source, a.target, reports=a.reports, run_id=a.run_id, run_at=a.run_at,
+            newest="file" if a.job == "citations" else None, strict=not a.lenient,
+        )
     elif a.job == "gold":
-        if not a.as_of:
-            args.error("gold needs --as-of")
-        write_gold(spark, a.source, a.target, a.as_of)
+        write_gold(spark, a.source, a.target, a.as_of, scan_parquet(spark, a.pairs) if a.pairs else None)
+    elif a.job == "matches":
+        write_matches(spark, a.source, a.target)
+    elif a.job == "temporal":
+        write_temporal(spark, a.source, a.target)
+    elif a.job == "terms":
+        write_terms(spark, a.source, a.target)
+    elif a.job == "documents":
+        write_documents(spark, a.source, a.target, a.batch).show()
+    elif a.job == "compact":  # the source is the change folder, the target names its key
+        compact(spark, a.source, [a.target], [], scratch_dir(spark, "compact"))
     else:
-        if not a.checkpoint:
-            args.error("stream needs --checkpoint")
-        stream_posts(spark, a.source, a.target, a.checkpoint).awaitTermination()
+        stream_posts(
+            spark, a.source, a.target, a.checkpoint, state_partitions=a.state_partitions, bounded=a.bounded
+        ).awaitTermination()
 
 
 if __name__ == "__main__":

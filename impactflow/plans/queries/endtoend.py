@@ -19,8 +19,16 @@ def number(key: str | Column) -> Column:
     return F.concat(F.lit("2001."), F.lpad(F.col(key) if isinstance(key, str) else key, 9, "0"))
 
 
-def raw_sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """Parts as papers, (part, supplier) counts as citation records, events as posts."""
+def doi(paper: Column) -> Column:
+    return F.concat(F.lit("10.1/p"), paper.cast("string"))
+
+
+def raw_sources(spark: SparkSession, sf: str, broken: bool = False) -> dict[str, DataFrame]:
+    """Parts as papers, (part, supplier) counts as citation records, events as posts.
+
+    Citation records with an even count know their paper by its DOI only. With ``broken`` some lines are cut off.
+    """
+    known = F.col("cited_by_count") % 2 == 1
     created = F.concat(
         F.date_format("published_date", "EEE, d MMM yyyy"), F.lit(" 12:00:00 GMT")
     )
@@ -30,6 +38,7 @@ def raw_sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         F.lit("text").alias("abstract"),
         F.concat_ws("  ", "categories").alias("categories"),
         F.lit("2001-02-03").alias("update_date"),
+        doi(F.col("paper_id")).alias("doi"),
         F.when(
             F.col("published_date").isNotNull(), F.array(F.struct(created.alias("created")))
         ).alias("versions"),
@@ -38,10 +47,14 @@ def raw_sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         F.concat(F.lit("W"), F.monotonically_increasing_id()).alias("id"),
         "cited_by_count",
         F.lit(2000).alias("publication_year"),
-        F.struct(
-            F.concat(
-                F.lit("pmh:oai:arXiv.org:"), number(F.col("paper_id").cast("string")), F.lit("v1")
-            ).alias("id")
+        F.when(~known, F.concat(F.lit("https://doi.org/"), F.upper(doi(F.col("paper_id"))))).alias("doi"),
+        F.when(
+            known,
+            F.struct(
+                F.concat(
+                    F.lit("pmh:oai:arXiv.org:"), number(F.col("paper_id").cast("string")), F.lit("v1")
+                ).alias("id")
+            ),
         ).alias("primary_location"),
     )
     post = F.struct(
@@ -56,32 +69,38 @@ def raw_sources(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         F.col("value").alias("score"),
         F.when(F.col("event_type") != "error", 1).alias("descendants"),
     )
+
+    def line(record: Column, cut: Column) -> Column:
+        text = F.to_json(record)
+        whole = ~cut if broken else F.lit(True)
+        return F.when(whole, text).otherwise(F.substring(text, F.lit(1), F.length(text) - 9)).alias("value")
+
     return {
-        "papers": papers(spark, sf).select(F.to_json(paper).alias("value")),
-        "citations": citations(spark, sf).select(F.to_json(work).alias("value")),
-        "posts": table(spark, sf, "events").select(F.to_json(post).alias("value")),
+        "papers": papers(spark, sf).select(line(paper, F.col("paper_id") % 10 == 0)),
+        "citations": citations(spark, sf).select(line(work, F.col("paper_id") % 7 == 0)),
+        "posts": table(spark, sf, "events").select(line(post, F.col("event_type") == "error")),
     }
 
 
-def refreshed(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
-    """Land and refresh every source; (base folder, monitoring rows)."""
+def refreshed(
+    spark: SparkSession, sf: str, broken: bool = False
+) -> tuple[str, dict[str, jobs.Refreshed]]:
+    """Land and refresh every source; (base folder, what each refresh found)."""
     base = scratch_dir(spark, "batch")
-    rows = []
-    for source, lines in raw_sources(spark, sf).items():
+    found = {}
+    for source, lines in raw_sources(spark, sf, broken).items():
         land_raw(lines, f"{base}/raw/{source}", "20240101")
-        rows.append(
-            jobs.refresh(
-                spark,
-                source,
-                f"{base}/raw/{source}/batch=*",
-                f"{base}/silver/{source}",
-                validations=f"{base}/validations",
-                run_id="run-1",
-                run_at=RUN_AT,
-                newest="folder" if source == "citations" else None,
-            )
+        found[source] = jobs.refresh(
+            spark,
+            source,
+            f"{base}/raw/{source}/batch=*",
+            f"{base}/silver/{source}",
+            reports=f"{base}/reports",
+            run_id="run-1",
+            run_at=RUN_AT,
+            newest="folder" if source == "citations" else None,
         )
-    return base, reduce(DataFrame.unionByName, rows)
+    return base, found
 
 
 @query(
@@ -93,8 +112,11 @@ def refreshed(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     round(impact_score, 2) AS impact_score FROM scored""",
 )
 def bronze_to_gold(spark: SparkSession, sf: str) -> DataFrame:
+    """Citations reach their papers by id and, for the rest, by DOI."""
     base, _ = refreshed(spark, sf)
-    jobs.write_gold(spark, f"{base}/silver", f"{base}/gold", AS_OF)
+    jobs.write_matches(spark, f"{base}/silver", f"{base}/matches")
+    pairs = scan_parquet(spark, f"{base}/matches/pairs")
+    jobs.write_gold(spark, f"{base}/silver", f"{base}/gold", AS_OF, pairs)
     gold = scan_parquet(spark, f"{base}/gold")
     return gold.select(
         "paper_id",
@@ -108,23 +130,85 @@ def bronze_to_gold(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+WORKS_SQL = "SELECT l_partkey FROM lineitem GROUP BY l_partkey, l_suppkey"
+VOLUMES_SQL = f"""volumes AS (
+      SELECT 'papers' AS source, count(*) AS lines,
+             count(*) FILTER (WHERE p_partkey % 10 = 0) AS cut FROM part
+      UNION ALL SELECT 'citations', count(*), count(*) FILTER (WHERE l_partkey % 7 = 0) FROM ({WORKS_SQL})
+      UNION ALL SELECT 'posts', count(*), count(*) FILTER (WHERE event_type = 'error') FROM events)"""
+
+
 @query(
     "source_monitoring",
-    """SELECT * FROM (VALUES ('papers', 7, 7), ('citations', 6, 6), ('posts', 9, 8))
-    v(source, ge_evaluated, ge_successful)""",
+    f"""WITH {VOLUMES_SQL}, rules AS (
+      SELECT 'papers' AS source, 8 AS n, (count(*) FILTER (WHERE p_name IS NULL) > 0)::INT AS bad FROM part
+      UNION ALL SELECT 'citations', 7, 0
+      UNION ALL SELECT 'posts', 10,
+        (count(*) FILTER (WHERE event_type <> 'story') > 0)::INT
+        + (count(*) FILTER (WHERE value IS NULL) > 0)::INT FROM events),
+    layers AS (SELECT 'bronze' AS layer UNION ALL SELECT 'silver')
+    SELECT source, layer, CAST(CASE layer WHEN 'bronze' THEN n ELSE 2 END AS INT) AS ge_evaluated,
+           CAST(CASE layer WHEN 'bronze' THEN n - bad ELSE 2 END AS INT) AS ge_successful,
+           lines AS rows, true AS has_files
+    FROM rules JOIN volumes USING (source), layers""",
 )
 def source_monitoring(spark: SparkSession, sf: str) -> DataFrame:
-    """Rules of the three sources over all raw records; posts have other types than
-    'story'."""
-    _, monitoring = refreshed(spark, sf)
-    return monitoring.select("source", "ge_evaluated", "ge_successful")
+    """Rules of the three sources over all raw records and cleaned rows; posts have other types than
+    'story'. The rows are those that the rules and the cleaned tables have."""
+    base, found = refreshed(spark, sf)
+    rows = []
+    for source, f in found.items():
+        bronze = f.results.where("rule = 'expect_lines_to_be_records'").select(F.col("rows").alias("b"))
+        silver = scan_parquet(spark, f"{base}/silver/{source}").agg(F.count("*").alias("s"))
+        volume = F.when(F.col("layer") == "bronze", bronze.scalar()).otherwise(silver.scalar())
+        rows.append(
+            f.monitoring.select(
+                "source",
+                "layer",
+                "ge_evaluated",
+                "ge_successful",
+                volume.alias("rows"),
+                ((F.col("object_count") > 0) & (F.col("size_bytes") > 0)).alias("has_files"),
+            )
+        )
+    return reduce(DataFrame.unionByName, rows)
+
+
+@query(
+    "refresh_report",
+    f"""WITH {VOLUMES_SQL}
+    SELECT source, lines, lines - cut AS records, cut AS invalid_lines, lines - cut AS rows_in,
+           lines - cut AS rows_out, 0 AS duplicates_removed, cut AS rejects, cut = 0 AS lines_pass
+    FROM volumes""",
+)
+def refresh_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Sources with cut off lines: counted, set aside, and a failed rule of their own."""
+    base, found = refreshed(spark, sf, broken=True)
+    rows = []
+    for source, f in found.items():
+        rejects = spark.read.text(f"{base}/reports/rejects/suite={source}/run_id=run-1")
+        on_lines = f.results.where("rule = 'expect_lines_to_be_records'")
+        rows.append(
+            f.report.select(
+                F.lit(source).alias("source"),
+                "lines",
+                "records",
+                "invalid_lines",
+                "rows_in",
+                "rows_out",
+                F.col("duplicates_removed").cast("int").alias("duplicates_removed"),
+                rejects.agg(F.count("*")).scalar().alias("rejects"),
+                on_lines.select("success").scalar().alias("lines_pass"),
+            )
+        )
+    return reduce(DataFrame.unionByName, rows)
 
 
 @query(
     "paper_documents",
     """SELECT '2001.' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS id, p_name AS title,
     'text' AS abstract, p_type || ' ' || p_brand AS categories, '2001-02-03' AS update_date,
-    '' AS doi FROM part""",
+    '10.1/p' || p_partkey AS doi FROM part""",
 )
 def paper_documents(spark: SparkSession, sf: str) -> DataFrame:
     folder = f"{scratch_dir(spark, 'documents')}"

@@ -44,6 +44,12 @@ def builder(
     return b
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's own file systems; nothing happens if there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 

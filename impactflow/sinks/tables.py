@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import dedup_keep_last
+from ..session import remove_dir
 
 BATCH = "batch_id"
 
@@ -77,31 +79,30 @@ def upsert_by_key(
 
     Rows of the batch without a key are rejected. At equal versions the batch
     row wins, so applying a batch twice changes nothing. Columns the batch
-    lacks become NULL.
+    lacks become NULL. Rows of the base without a key are kept as they are.
     """
     rejects = batch.where(F.col(key).isNull())
     incoming = batch.where(F.col(key).isNotNull()).withColumn("_from_batch", F.lit(1))
-    both = base.withColumn("_from_batch", F.lit(0)).unionByName(
-        incoming, allowMissingColumns=True
-    )
+    keyed = base.where(F.col(key).isNotNull()).withColumn("_from_batch", F.lit(0))
+    both = keyed.unionByName(incoming, allowMissingColumns=True)
     merged = dedup_keep_last(both, [key], [*version, "_from_batch"]).drop("_from_batch")
-    return merged, rejects
+    keyless = base.where(F.col(key).isNull())
+    return merged.unionByName(keyless, allowMissingColumns=True), rejects
 
 
 def upsert_report(base: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """One row: batch_rows, rejected, inserted_keys, updated_keys."""
-    keys = batch.where(F.col(key).isNotNull()).select(key).distinct()
-    known = keys.join(base.select(key), key, "left_semi")
-    return batch.agg(
-        F.count("*").alias("batch_rows"),
-        F.count_if(F.col(key).isNull()).alias("rejected"),
-    ).select(
-        "batch_rows",
-        "rejected",
-        (keys.agg(F.count("*")).scalar() - known.agg(F.count("*")).scalar()).alias(
-            "inserted_keys"
-        ),
-        known.agg(F.count("*")).scalar().alias("updated_keys"),
+    """One row: batch_rows, rejected, inserted_keys, updated_keys.
+
+    Keys of both sides meet in one grouped count, so each side is read once.
+    """
+    sides = base.select(key, F.lit(0).alias("_b")).union(batch.select(key, F.lit(1)))
+    by_key = sides.groupBy(key).agg(F.sum("_b").alias("_n"), F.min("_b").alias("_least"))
+    touched = F.col(key).isNotNull() & (F.col("_n") > 0)
+    return by_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("batch_rows"),
+        F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("_n"))), F.lit(0)).alias("rejected"),
+        F.count_if(touched & (F.col("_least") == 1)).alias("inserted_keys"),
+        F.count_if(touched & (F.col("_least") == 0)).alias("updated_keys"),
     )
 
 
@@ -122,8 +123,43 @@ def append_changes(batch: DataFrame, batch_id: int, path: str) -> None:
     batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{BATCH}={batch_id}")
 
 
+def _current(changes: DataFrame, key: Sequence[str], version: Sequence[str]) -> DataFrame:
+    """The last change of each key; changes without a whole key are all kept."""
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    last = dedup_keep_last(changes.where(whole), key, [*version, BATCH])
+    return last.unionByName(changes.where(~whole))
+
+
 def read_current(
     spark: SparkSession, path: str, key: Sequence[str], version: Sequence[str]
 ) -> DataFrame:
     """Current state of a change folder: per key the highest version, then the last batch."""
-    return dedup_keep_last(spark.read.parquet(path), key, [*version, BATCH]).drop(BATCH)
+    return _current(spark.read.parquet(path), key, version).drop(BATCH)
+
+
+def compact(
+    spark: SparkSession, path: str, key: Sequence[str], version: Sequence[str], scratch: str
+) -> int:
+    """Merge all batches but the newest into one; returns how many were merged.
+
+    The newest batch may still be replayed by its stream, so it stays apart. The merged
+    rows are added to the last of the merged batches before anything is removed: a reader may meet a
+    change twice, never miss one, and ``read_current`` gives the same rows before, meanwhile and after.
+    """
+    changes = spark.read.parquet(path)
+    batches = sorted(r[0] for r in changes.select(BATCH).distinct().collect())
+    merged = batches[:-1]
+    if len(merged) < 2:
+        return 0
+    last = merged[-1]
+    older = changes.where(F.col(BATCH) <= last)
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key])
+    # Of rows without a key those of the kept folder are there already.
+    state = _current(older, key, version).where(whole | (F.col(BATCH) < last)).drop(BATCH)
+    state.write.parquet(scratch)
+    folder = path.rstrip("/")
+    spark.read.schema(state.schema).parquet(scratch).write.mode("append").parquet(f"{folder}/{BATCH}={last}")
+    for batch in merged[:-1]:
+        remove_dir(spark, f"{folder}/{BATCH}={batch}")
+    remove_dir(spark, scratch)
+    return len(merged)

@@ -178,6 +178,18 @@ def parse_lines(lines: DataFrame, fields: Mapping[str, str]) -> JsonlScan:
     )
 
 
+def stage_lines(lines: DataFrame, **layouts: Mapping[str, str]) -> DataFrame:
+    """Every line once: ``is_record``, ``reject`` (the line, where it is none), a struct of fields for each
+    layout, and the lines' other columns. Written as a table it saves each later use another parse."""
+    good = _is_record(F.col("value"))
+    return _parsed(lines).select(
+        good.alias("is_record"),
+        F.when(~good, F.col("value")).alias("reject"),
+        *[F.struct(*_fields(fields)).alias(name) for name, fields in layouts.items()],
+        *[c for c in lines.columns if c != "value"],
+    )
+
+
 def parse_lines_strict(lines: DataFrame, fields: Mapping[str, str]) -> DataFrame:
     """Records of lines that must all be JSON objects; the first other line fails
     the job."""

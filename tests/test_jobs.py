@@ -8,6 +8,7 @@ import pytest
 
 from impactflow.plans import jobs
 from impactflow.sinks.contract import PAPER_DOCUMENT
+from impactflow.sinks.tables import read_current
 
 PAPERS = [
     {"id": "2301.1", "title": " A ", "abstract": "x", "categories": "cs.AI cs.LG",
@@ -50,21 +51,24 @@ def raw(tmp_path):
 
 
 def refresh(spark, base, source, folder, **options):
-    return jobs.refresh(
+    found = jobs.refresh(
         spark, source, f"{base}/raw/{folder}", f"{base}/silver/{source}",
-        validations=f"{base}/val", run_id="r1", run_at="2024-01-01", **options,
-    ).first()
+        reports=f"{base}/rep", run_id="r1", run_at="2024-01-01", **options,
+    )
+    return found.monitoring.where("layer = 'bronze'").first()
 
 
 def test_raw_to_gold(spark, raw):
     papers = refresh(spark, raw, "papers", "papers", strict=True)
     works = refresh(spark, raw, "citations", "works/works_*.jsonl", newest="file", strict=True)
     posts = refresh(spark, raw, "posts", "posts")
-    assert (papers["object_count"], papers["ge_evaluated"], papers["ge_successful"]) == (1, 7, 7)
-    assert (works["object_count"], works["ge_successful"]) == (1, 6)
-    assert (posts["object_count"], posts["ge_successful"], posts["ge_failed"]) == (3, 7, 2)
-    stored = spark.read.parquet(f"{raw}/val")
-    assert stored.count() == 22
+    assert (papers["object_count"], papers["ge_evaluated"], papers["ge_successful"]) == (1, 8, 8)
+    assert (works["object_count"], works["ge_successful"]) == (1, 7)
+    assert (posts["object_count"], posts["ge_successful"], posts["ge_failed"]) == (3, 8, 2)
+    stored = spark.read.parquet(f"{raw}/rep/validations")
+    assert stored.count() == 25
+    layers = spark.read.parquet(f"{raw}/rep/monitoring")
+    assert layers.where("layer = 'silver' AND ge_evaluated = 2 AND ge_failed = 0").count() == 3
     failed = {r["rule"].split("_")[-1] for r in stored.where("NOT success").collect()}
     assert failed == {"type", "set"}
 
@@ -75,6 +79,30 @@ def test_raw_to_gold(spark, raw):
     ]
     assert gold[0]["published_date"] == "2007-04-02"
 
+    jobs.write_matches(spark, f"{raw}/silver", f"{raw}/matches")
+    pairs = spark.read.parquet(f"{raw}/matches/pairs")
+    jobs.write_gold(spark, f"{raw}/silver", f"{raw}/gold", "2026-01-01", pairs)
+    gold = {r["paper_id"]: r["cited_by_count"] for r in spark.read.parquet(f"{raw}/gold").collect()}
+    assert gold == {"2301.1": 9, "2301.2": 4}  # the second by its DOI
+    three = spark.read.parquet(f"{raw}/matches/three_way").collect()
+    assert [(r["paper_id"], r["citation_id"], r["post_id"]) for r in three] == [("2301.1", "W1", 1)]
+    coverage = spark.read.parquet(f"{raw}/matches/coverage").first()
+    assert (coverage["pairs"], coverage["left_rows"], coverage["left_matched"], coverage["right_pct"]) == (2, 3, 2, 100.0)
+
+    jobs.write_temporal(spark, f"{raw}/silver", f"{raw}/temporal")
+    growth = spark.read.parquet(f"{raw}/temporal/growth").collect()
+    assert {(r["category"], r["year"], r["publication_count"]) for r in growth} == {("cs.AI", 2007, 1), ("cs.LG", 2007, 1)}
+    jobs.write_terms(spark, f"{raw}/silver", f"{raw}/terms")
+    assert spark.read.parquet(f"{raw}/terms").count() >= 0
+    for batch in (1, 2, 3, 4):
+        parts = jobs.write_documents(spark, f"{raw}/silver", f"{raw}/changes", batch).collect()
+        assert [(r["part"], r["rows"], r["rejected"]) for r in parts] == [("2", 3, 0)]
+    before = sorted(map(tuple, read_current(spark, f"{raw}/changes", ["id"], []).collect()))
+    jobs.main(["compact", f"{raw}/changes", "id"])
+    after = sorted(map(tuple, read_current(spark, f"{raw}/changes", ["id"], []).collect()))
+    assert before == after and len(after) == 3
+    assert sorted(p.name for p in (raw / "changes").glob("batch_id=*")) == ["batch_id=3", "batch_id=4"]
+
 
 def test_strict_refresh_replaces_nothing(spark, raw):
     with pytest.raises(ValueError, match="in_set"):
@@ -82,6 +110,34 @@ def test_strict_refresh_replaces_nothing(spark, raw):
     assert not (raw / "silver").exists()
 
 
+def test_broken_lines_stop_a_strict_refresh(spark, raw):
+    """47 of 50 lines cut off: the table stays, and the run says why."""
+    whole = [{**PAPERS[0], "id": f"p{i}"} for i in range(50)]
+    path = raw / "raw" / "papers" / "p.json"
+    path.write_text("".join(json.dumps(r) + "\n" for r in whole))
+    refresh(spark, raw, "papers", "papers", strict=True)
+    lines = [json.dumps(r)[: None if i < 3 else -20] + "\n" for i, r in enumerate(whole)]
+    path.write_text("".join(lines))
+    with pytest.raises(ValueError, match="records.*47 unexpected"):
+        refresh(spark, raw, "papers", "papers", strict=True)
+    assert spark.read.parquet(f"{raw}/silver/papers").count() == 50
+    run = "suite=papers/run_id=r1"
+    assert spark.read.text(f"{raw}/rep/rejects/{run}").count() == 47
+    failed = spark.read.parquet(f"{raw}/rep/validations/{run}").where("NOT success").collect()
+    assert [(r["rows"], r["unexpected"]) for r in failed] == [(50, 47)]
+    row = refresh(spark, raw, "papers", "papers")
+    assert (row["ge_evaluated"], row["ge_successful"]) == (8, 7)
+    report = spark.read.parquet(f"{raw}/rep/cleaning/{run}").first()
+    assert (report["lines"], report["invalid_lines"], report["rows_in"], report["rows_out"]) == (50, 47, 3, 3)
+    refresh(spark, raw, "papers", "papers", strict=True, allowed_invalid=47)
+
+
+def test_scores_are_checked_before_publishing(spark):
+    bad = spark.createDataFrame([("p", 101.0)], "paper_id string, impact_score double")
+    with pytest.raises(ValueError, match="out_of_range"):
+        jobs.require_scores(bad)
+
+
 def test_matches_between_cleaned_tables(spark, raw):
     papers = jobs.papers_table(spark, f"{raw}/raw/papers").cache()
     works = jobs.citations_table(spark, f"{raw}/raw/works/works_2.jsonl")
@@ -96,10 +152,14 @@ def test_matches_between_cleaned_tables(spark, raw):
 
 
 def test_command_line(spark, raw):
-    jobs.main(["papers", f"{raw}/raw/papers", f"{raw}/silver/papers"])
-    jobs.main(["citations", f"{raw}/raw/works/works_*.jsonl", f"{raw}/silver/citations"])
-    jobs.main(["posts", f"{raw}/raw/posts", f"{raw}/silver/posts"])
+    run = ["--reports", f"{raw}/rep", "--run-id", "1", "--run-at", "2024-01-01"]
+    jobs.main(["papers", f"{raw}/raw/papers", f"{raw}/silver/papers", *run])
+    jobs.main(["citations", f"{raw}/raw/works/works_*.jsonl", f"{raw}/silver/citations", *run])
+    with pytest.raises(ValueError, match="in_set"):
+        jobs.main(["posts", f"{raw}/raw/posts", f"{raw}/silver/posts", *run])
+    jobs.main(["posts", f"{raw}/raw/posts", f"{raw}/silver/posts", *run, "--lenient"])
     jobs.main(["gold", f"{raw}/silver", f"{raw}/gold", "--as-of", "2026-01-01"])
     assert spark.read.parquet(f"{raw}/gold").count() == 1
-    with pytest.raises(SystemExit):
-        jobs.main(["gold", f"{raw}/silver", f"{raw}/gold"])
+    for bad in (["gold", "a", "b"], ["papers", "a", "b"], ["stream", "a", "b", "--checkpoint", "c"]):
+        with pytest.raises(SystemExit):
+            jobs.main(bad)

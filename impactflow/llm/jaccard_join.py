@@ -12,7 +12,8 @@ band of its size and in those of the smaller sets it may be similar to.
   (it is checked, not assumed) is indexed by its single elements besides.
 * Hot subsets, held by more than HOT sets, are allocated nothing where the set has enough rarer ones: each set keeps the
   rarest it needs (bound + 1), in one global order, which is the prefix that any similar pair must
-  share. What remains hot is met by stars instead of pairs.
+  share. In a group that remains hot no pairs are formed: all are compared with one reference, and those that are not connected to
+  it meet by their rarest differences to it.
 * Candidates that share fewer subsets than the pigeonhole guarantees for their sizes are dropped; the others are verified on their full
   sets. As components are asked for, pairs that are connected already are not verified again: every round verifies some links of
   each set, merges, and goes on until no candidate joins two components.
@@ -401,38 +402,133 @@ def _members(grouped: DataFrame, percent: int) -> DataFrame:
 
 
 def _groups(members: DataFrame) -> DataFrame:
-    """(entry, size, least): the groups of several members."""
-    return members.groupBy("entry").agg(F.count("*").alias("size"), F.min("node").alias("least")).where("size > 1")
+    """(entry, least): the groups of several members."""
+    sizes = members.groupBy("entry").agg(F.count("*").alias("size"), F.min("node").alias("least"))
+    return sizes.where("size > 1").drop("size")
 
 
-def _stars(members: DataFrame, groups: DataFrame, labels: DataFrame, turn: int, percent: int) -> DataFrame:
-    """Links between the centres of each hot group and its members in other components.
+def _stars(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """(r, x): every member of a hot group with the group's smallest one, the reference."""
+    return (
+        members.join(groups.select("entry", F.col("least").alias("r")), "entry")
+        .where(F.col("node") != F.col("r"))
+        .select("r", F.col("node").alias("x"))
+        .distinct()
+    )
+
+
+def _differences(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(r, x, n_r, n, d): sizes of both sets and the elements that only one of them has."""
+    both = pairs.join(texts.toDF("r", "text_r"), "r").join(texts.toDF("x", "text_x"), "x")
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(slices(batches, "text_r", SLICE_BYTES), "text_x", SLICE_BYTES):
+            (p, at), (q, bt) = (shingle_sets(*bytes_of(batch.column(c))) for c in ("text_r", "text_x"))
+            found = [
+                np.setxor1d(p[at[i] : at[i + 1]], q[bt[i] : bt[i + 1]], assume_unique=True)
+                for i in range(batch.num_rows)
+            ]
+            offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
+            values = np.concatenate(found) if found else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("r"),
+                    batch.column("x"),
+                    pa.array(np.diff(at)),
+                    pa.array(np.diff(bt)),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64))),
+                ],
+                names=["r", "x", "n_r", "n", "d"],
+            )
+
+    ordered = both.select("r", "x", "text_r", "text_x")
+    return ordered.mapInArrow(differ, "r long, x long, n_r long, n long, d array<long>")
+
+
+def _similar(n: F.Column, m: F.Column, different: F.Column, percent: int) -> F.Column:
+    """Are sets of n and m elements similar that differ in so many?"""
+    both = (n + m - different) / 2
+    return 100 * both >= percent * (n + m - both)
+
 
-    The first centre is the smallest member; in each further turn a hashed share of the members, four times as large as
-    before, until every member has been one.
+def _by_differences(differences: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of hot groups that are not both connected to their reference.
+
+    Of x and y only their differences to the common reference count: x and y differ in as many elements as the two sets of
+    differences do. So similar ones share at least (|dx| + |dy| - bound) / 2 differences, and with the rarest first each
+    needs only a prefix of its own to find the other. Edits that no other copy shares come first, so members that
+    were edited on their own meet nobody. Prefixes depend on the other's number of differences, so they are taken for each class of it.
     """
-    named = (
-        members.join(groups, "entry")
-        .join(labels, "node", "left")
-        .withColumn("label", F.coalesce("label", "node"))
-        .withColumn("unit", F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / float(1 << 20) * F.col("size"))
+    share = (100 - percent) / (100 + percent)
+    tops = (
+        differences.groupBy("r")
+        .agg(F.max(F.greatest("n", "n_r")).alias("top"))
+        .join(labels.toDF("r", "label_r"), "r", "left")
+        .select("r", "top", F.coalesce("label_r", "r").alias("label_r"))
     )
-    if turn == 0:
-        centre = F.col("node") == F.col("least")
-    else:
-        since = 4.0 ** (turn - 1) if turn > 1 else 0.0
-        centre = (F.col("unit") >= since) & (F.col("unit") < 4.0**turn) & (F.col("node") != F.col("least"))
-    centres = named.where(centre).select(
-        "entry", F.col("node").alias("centre"), F.col("n").alias("m"), F.col("label").alias("centre_label")
+    known = materialise(
+        differences.select("r", "x", "n", "d", F.size("d").alias("s"))
+        .join(materialise(tops, "jaccard-references"), "r")
+        .join(labels.toDF("x", "label"), "x", "left")
+        .withColumn("label", F.coalesce("label", "x")),
+        "jaccard-known",
     )
-    return (
-        named.join(
-            centres,
-            (named["entry"] == centres["entry"])
-            & (F.col("label") != F.col("centre_label"))
-            & (100 * F.least("n", "m") >= percent * F.greatest("n", "m")),
+    tokens = known.select("r", "x", F.explode("d").alias("t"))
+    rarity = tokens.groupBy("r", "t").agg(F.count("*").alias("f"))
+    place = Window.partitionBy("r", "x").orderBy("f", "t")
+    placed = tokens.join(rarity, ["r", "t"]).withColumn("pos", F.row_number().over(place) - 1).drop("f")
+
+    def bound(n: F.Column, m: F.Column) -> F.Column:
+        return F.floor((n + m) * share + 1e-9)
+
+    most = bound(F.col("top"), F.col("top"))
+    width = F.greatest(F.lit(4), F.floor(most / 4))
+    own = F.floor(F.col("s") / width)
+    facts = known.select(
+        "r", "x", "n", "s", "label", "label_r", "top", width.alias("width"), own.alias("own"),
+        F.explode(
+            F.sequence(F.floor(F.greatest(F.lit(0), F.col("s") - most) / width), F.floor((F.col("s") + most) / width))
+        ).alias("class"),
+    ).withColumn(
+        "shared", F.ceil((F.col("s") + F.col("class") * F.col("width") - bound(F.col("n"), F.col("top"))) / 2)
+    )
+    key = ["r", "any", "t", "low", "high"]
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        return rows.withColumns({"low": F.least("own", "class"), "high": F.greatest("own", "class")}).select(
+            *key, "x", "n", "s", "label", "label_r", "pos"
         )
-        .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+
+    # Where nothing need be shared, all of the two classes meet.
+    loose = facts.where("shared <= 0").withColumns(
+        {"any": F.lit(True), "t": F.lit(0).cast("long"), "pos": F.lit(0)}
+    )
+    tight = (
+        facts.where("shared > 0")
+        .join(placed, ["r", "x"])
+        .where(F.col("pos") <= F.col("s") - F.col("shared"))
+        .withColumn("any", F.lit(False))
+    )
+    entries = materialise(keyed(loose).union(keyed(tight)), "jaccard-prefixes")
+    probes = entries.where("label <> label_r").drop("label_r")
+    others = entries.drop("label_r").toDF(*key, "y", "m", "z", "label_y", "pos_y")
+    left = F.least(F.col("s") - F.col("pos"), F.col("z") - F.col("pos_y"))
+    enough = F.col("any") | (left >= F.ceil((F.col("s") + F.col("z") - bound(F.col("n"), F.col("m"))) / 2))
+    pairs = (
+        probes.join(others, key)
+        .where((F.col("label") != F.col("label_y")) & enough)
+        .select("r", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        .distinct()
+    )
+    one = known.select("r", F.col("x").alias("a"), F.col("n").alias("n_a"), F.col("d").alias("d_a"))
+    two = known.select("r", F.col("x").alias("b"), F.col("n").alias("n_b"), F.col("d").alias("d_b"))
+    common = F.size(F.array_intersect("d_a", "d_b"))
+    different = F.size("d_a") + F.size("d_b") - 2 * common
+    return (
+        pairs.join(one, ["r", "a"])
+        .join(two, ["r", "b"])
+        .where(_similar(F.col("n_a"), F.col("n_b"), different, percent))
+        .select("a", "b")
         .distinct()
     )
 
@@ -480,27 +576,30 @@ def linked_components(
 
     active = open_.select(F.col("a").alias("node")).union(open_.select("b")).union(members.select("node")).distinct()
     texts = materialise(docs.join(materialise(active, "jaccard-active"), "node", "left_semi"), "jaccard-texts")
-    verified = spark.createDataFrame([], "a long, b long")
-    labels = spark.createDataFrame([], "node long, label long")
-    largest = groups.agg(F.max("size")).first()[0] or 0
-    turn = 0
-    while True:
-        # Candidate pairs: the smallest few partners of each set, four times as many in every turn.
+    # Hot groups: everybody is compared with the group's reference.
+    differences = materialise(_differences(_stars(members, groups), texts), "jaccard-differences")
+    near = _similar(F.col("n"), F.col("n_r"), F.size("d"), percent)
+    verified = materialise(differences.where(near).select(F.col("r").alias("a"), F.col("x").alias("b")), "jaccard-near")
+    labels = components(verified)
+    # Candidate pairs: the smallest few partners of each set, four times as many in every turn.
+    open_ = materialise(_apart(open_, labels), "jaccard-candidates")
+    tries = 1
+    while open_.limit(1).count():
         order = Window.partitionBy("b").orderBy("a")
-        tries = F.lit(4 ** min(turn, 15))
-        links = open_.withColumn("k", F.row_number().over(order)).where(F.col("k") <= tries).drop("k")
-        starred = 4 ** max(turn - 1, 0) <= largest
-        if starred:
-            links = links.union(_stars(members, groups, labels, turn, percent)).distinct()
-        links = materialise(links, "jaccard-links")
-        if links.limit(1).count():
-            good = materialise(_verify(links, texts, percent), "jaccard-verified")
-            verified = materialise(verified.union(good).distinct(), "jaccard-all-verified")
-            labels = components(verified)
-            open_ = materialise(_apart(open_.join(links, ["a", "b"], "left_anti"), labels), "jaccard-candidates")
-        elif not starred:
-            return labels
-        turn += 1
+        some = open_.withColumn("k", F.row_number().over(order)).where(F.col("k") <= tries).drop("k")
+        links = materialise(some, "jaccard-links")
+        good = materialise(_verify(links, texts, percent), "jaccard-verified")
+        verified = materialise(verified.union(good).distinct(), "jaccard-all-verified")
+        labels = components(verified)
+        open_ = materialise(_apart(open_.join(links, ["a", "b"], "left_anti"), labels), "jaccard-candidates")
+        tries = min(tries * 4, 1 << 30)
+    # Members of hot groups that are not connected to their reference may be to each other.
+    if differences.limit(1).count():
+        verified = materialise(
+            verified.union(_by_differences(differences, labels, percent)).distinct(), "jaccard-all-verified"
+        )
+        labels = components(verified)
+    return labels
 
 
 def _apart(links: DataFrame, labels: DataFrame) -> DataFrame:

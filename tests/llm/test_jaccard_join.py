@@ -56,7 +56,11 @@ def corpus(seed):
     for i in range(12):  # neighbours are similar, the ends are not
         rows.append(" ".join(chain[i * 4 :]) + " " + " ".join(vocabulary[: i * 4]))
     hot = rnd.choices(vocabulary, k=150)
-    rows += [" ".join(edited(rnd, hot, 0.005)) for _ in range(50)]
+    rows += [" ".join(edited(rnd, hot, rnd.choice([0.005, 0.02, 0.04, 0.06]))) for _ in range(60)]
+    # Copies of copies: linked to each other, not to the first.
+    for _ in range(4):
+        branch = edited(rnd, hot, 0.05)
+        rows += [" ".join(edited(rnd, branch, 0.01)) for _ in range(9)]
     rows += ["a b c d e f"] * 3 + ["A b c d e f g"] * 2 + ["", None, " \t", "one", "One", "a b c", "w " * 9000]
     rnd.shuffle(rows)
     return [(i * 3 + 1, t) for i, t in enumerate(rows)]

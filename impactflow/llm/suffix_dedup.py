@@ -26,6 +26,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -51,7 +52,7 @@ IDENT = [("doc", "<i8"), ("check", "<u4")]
 HEAD = np.dtype(IDENT)
 ANCHOR = np.dtype([("key", "<u8"), ("row", "<u4")])
 SHARED = np.dtype([*IDENT, ("key", "<u8")])
-PIECE = np.dtype([("key", "<u8"), ("row", "<u4"), ("at", "<i8"), ("size", "u1")])
+PIECE = np.dtype([("key", "<u8"), ("row", "<u4"), ("at", "<u4"), ("size", "u1")])
 SPAN = np.dtype([*IDENT, ("start", "<i8"), ("end", "<i8")])
 MANY = np.uint32(1 << 31)  # set in an anchor's row: it occurs in several documents of its task
 
@@ -358,13 +359,14 @@ def _fragments(shared: DataFrame, texts: DataFrame, buckets: int, length: int) -
         doc = heads["doc"][piece["row"]]
         rows = _rows_of(piece, start, data, width)
         _, first = first_of_equals(piece, doc, rows)
+        pack = zstandard.ZstdCompressor(level=1)  # overlapping fragments of prose, half the size of a shuffle's own
         out = []
         later = doc > first
         if later.any():
             span = np.empty(int(later.sum()), SPAN)
             span["doc"], span["check"] = doc[later], heads["check"][piece["row"][later]]
             span["start"] = piece["at"][later]
-            span["end"] = span["start"] + piece["size"][later]
+            span["end"] = span["start"] + piece["size"][later].astype(np.int64)
             span = merged(span)
             out += [(home, home, b"", s.tobytes(), b"") for home, s in _dealt(_home(span, buckets), span)]
         kept = np.flatnonzero(~later)
@@ -373,7 +375,8 @@ def _fragments(shared: DataFrame, texts: DataFrame, buckets: int, length: int) -
             used, local = np.unique(some["row"], return_inverse=True)
             some["row"] = local
             inside = np.arange(width) < some["size"][:, None]
-            out.append((bucket, -1, heads[used].tobytes(), some.tobytes(), rows[index][inside].tobytes()))
+            packed = pack.compress(rows[index][inside].tobytes())
+            out.append((bucket, -1, heads[used].tobytes(), some.tobytes(), packed))
         yield from _keyed_batch(out)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -488,7 +491,8 @@ def _search(heads: np.ndarray, piece: np.ndarray, data: np.ndarray, length: int,
     def spans(index: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
         out = np.empty(len(index), SPAN)
         out["doc"], out["check"] = doc[index], heads["check"][piece["row"][index]]
-        out["start"], out["end"] = piece["at"][index] + begin, piece["at"][index] + end
+        at = piece["at"][index].astype(np.int64)
+        out["start"], out["end"] = at + begin, at + end
         return out
 
     found = [spans(later, np.zeros(len(later), np.int64), size[later])]
@@ -540,7 +544,9 @@ def _matches(pieces: DataFrame, buckets: int, length: int, batch: int) -> DataFr
             found += [np.frombuffer(blob, SPAN) for _, blob in past]
             if entries:
                 head, piece = _joined(heads, entries, PIECE)
-                found.append(_search(head, piece, np.frombuffer(b"".join(data), np.uint8), length, batch))
+                unpack = zstandard.ZstdDecompressor()
+                strings = np.frombuffer(b"".join(map(unpack.decompress, data)), np.uint8)
+                found.append(_search(head, piece, strings, length, batch))
             if sum(map(len, found)) >= ENTRIES:
                 every = merged(np.concatenate(found))
                 yield from _homed(list(_dealt(_home(every, buckets), every)))

@@ -125,6 +125,12 @@ def fit_hashed_tfidf(df: DataFrame, text: str, buckets: int = BUCKETS) -> Pipeli
     )
 
 
+def vector_parts(vector: str) -> Column:
+    """A vector as struct: type (0: sparse), size, indices, values."""
+    layout = f"`{vector}` struct<type:tinyint,size:int,indices:array<int>,values:array<double>>"
+    return F.from_json(F.to_json(F.struct(vector)), layout)[vector]
+
+
 def hashed_tfidf(model: PipelineModel, df: DataFrame, id: str, text: str) -> DataFrame:
     """(id, tfidf_vector) by a fitted model."""
     return model.transform(filter_nonblank(df.select(id, text), text)).select(

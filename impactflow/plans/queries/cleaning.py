@@ -26,8 +26,9 @@ def project_existing(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "clean_text",
-    f"""SELECT doc_id, length(t) AS chars, md5(t) AS digest FROM (
-      SELECT doc_id, trim(CASE WHEN lang = 'de' THEN '' ELSE text END, '{WS}') AS t
+    r"""SELECT doc_id, length(t) AS chars, md5(t) AS digest FROM (
+      SELECT doc_id, regexp_replace(CASE WHEN lang = 'de' THEN '' ELSE text END,
+                                    '^[\s\x0b]+|[\s\x0b]+$', '', 'g') AS t
       FROM documents)""",
 )
 def clean_text(spark: SparkSession, sf: str) -> DataFrame:

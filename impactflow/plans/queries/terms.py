@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ...functions.columns import FOLD_FROM, FOLD_MULTI, FOLD_TO, fold_text
+from ...functions.columns import fold_text
 from ...functions.stopwords import ENGLISH
 from ...operators import terms as t
 from .registry import documents, query
@@ -73,10 +73,7 @@ def term_frequency(spark: SparkSession, sf: str) -> DataFrame:
 def term_frequency_hashed(spark: SparkSession, sf: str) -> DataFrame:
     """Hashed vectors, shown by the sum of their counts, which collisions keep."""
     vectors = t.hashed_term_frequency(documents(spark, sf), "doc_id", "text")
-    counts = F.regexp_extract(F.col("tf_vector").cast("string"), r"\[([^\[\]]*)\]\)$", 1)
-    total = F.aggregate(
-        F.split(counts, ","), F.lit(0.0), lambda a, x: a + F.coalesce(x.try_cast("double"), F.lit(0.0))
-    )
+    total = F.aggregate(t.vector_parts("tf_vector")["values"], F.lit(0.0), lambda a, x: a + x)
     return vectors.select("doc_id", total.alias("terms"))
 
 
@@ -88,12 +85,23 @@ def tfidf(spark: SparkSession, sf: str) -> DataFrame:
     return weights.withColumn("tfidf", F.round("tfidf", 6))
 
 
-@query("tfidf_hashed")
+@query(
+    "tfidf_hashed",
+    f"""SELECT doc_id, {t.BUCKETS} AS size,
+      len(list_filter({TOKEN_LIST_SQL}, lambda x: x NOT IN ({STOP_LIST_SQL}))) > 0 AS has_terms,
+      true AS sound FROM documents WHERE length(trim(text)) > 0""",
+)
 def tfidf_hashed(spark: SparkSession, sf: str) -> DataFrame:
+    """Hashed weights, shown by what collisions keep: the vector's size, whether it has terms, and that weights are
+    neither negative nor fewer than their places."""
     texts = documents(spark, sf)
     model = t.fit_hashed_tfidf(texts, "text")
     vectors = t.hashed_tfidf(model, texts, "doc_id", "text")
-    return vectors.select("doc_id", F.col("tfidf_vector").cast("string").alias("tfidf_vector"))
+    parts = vectors.select("doc_id", t.vector_parts("tfidf_vector").alias("v"))
+    sound = F.forall("v.values", lambda x: x >= 0) & (F.size("v.values") == F.size("v.indices"))
+    return parts.select(
+        "doc_id", F.col("v.size").alias("size"), (F.size("v.indices") > 0).alias("has_terms"), sound.alias("sound")
+    )
 
 
 @query(
@@ -113,9 +121,10 @@ def top_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _fold_sql(text: str) -> str:
-    out = f"translate(lower({text}), '{FOLD_FROM}', '{FOLD_TO}')"
-    for letter, ascii_letters in FOLD_MULTI.items():
-        out = f"replace({out}, '{letter}', '{ascii_letters.replace(chr(39), chr(39) * 2)}')"
+    """Folding by DuckDB's own accents, and the letters that have no decomposition."""
+    out = f"translate(strip_accents(lower({text})), 'ðđħıłŉøŧ', 'ddhilnot')"
+    for letter, ascii_letters in (("ß", "ss"), ("æ", "ae"), ("œ", "oe"), ("þ", "th"), ("ĳ", "ij")):
+        out = f"replace({out}, '{letter}', '{ascii_letters}')"
     return out
 
 

@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -172,6 +173,21 @@ _HEAD = np.dtype([("node", "<i8"), ("same", "<u8"), ("n", "<i4"), ("filled", "<i
 _ENTRY = np.dtype([("entry", "<u8"), ("row", "<u4")])
 
 
+def _columns(rows: np.ndarray) -> bytes:
+    """The fields one after the other, so that ascending and small numbers can be packed."""
+    return b"".join(np.ascontiguousarray(rows[name]).tobytes() for name in rows.dtype.names)
+
+
+def _rows(data: bytes, kind: np.dtype) -> np.ndarray:
+    out = np.empty(len(data) // kind.itemsize, kind)
+    at = 0
+    for name in kind.names:
+        field = kind[name]
+        out[name] = np.frombuffer(data, field, len(out), at)
+        at += field.itemsize * len(out)
+    return out
+
+
 def _index(df: DataFrame, text: str, key: str, bands: dict[int, Band], buckets: int, percent: int) -> DataFrame:
     """(bucket, heads, entries): index entries of all sets, packed for each bucket; equal sets of a slice go once."""
 
@@ -184,13 +200,14 @@ def _index(df: DataFrame, text: str, key: str, bands: dict[int, Band], buckets:
         entry, row, bucket = entry[order], row[order], bucket[order]
         cut = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
         names, blobs, tops = [], [], []
+        pack = zstandard.ZstdCompressor(level=1)
         for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
             rows, local = np.unique(row[a:b], return_inverse=True)
             packed = np.empty(b - a, _ENTRY)
             packed["entry"], packed["row"] = entry[a:b], local
             names.append(int(bucket[a]))
-            tops.append(head[rows].tobytes())
-            blobs.append(packed.tobytes())
+            tops.append(pack.compress(_columns(head[rows])))
+            blobs.append(pack.compress(_columns(packed)))
         for a in range(0, len(names), 64):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(names[a : a + 64], pa.int32()), binaries(tops[a : a + 64]), binaries(blobs[a : a + 64])],
@@ -317,6 +334,7 @@ def _grouped(index: DataFrame, buckets: int, percent: int, hot: int) -> DataFram
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, tops, blobs = None, [], []
+        unpack = zstandard.ZstdDecompressor()
 
         def done() -> Iterator[pa.RecordBatch]:
             heads = np.concatenate(tops)
@@ -334,8 +352,8 @@ def _grouped(index: DataFrame, buckets: int, percent: int, hot: int) -> DataFram
                     yield from done()
                     tops, blobs = [], []
                 now = bucket
-                tops.append(np.frombuffer(head, _HEAD))
-                blobs.append(np.frombuffer(blob, _ENTRY).copy())
+                tops.append(_rows(unpack.decompress(head), _HEAD))
+                blobs.append(_rows(unpack.decompress(blob), _ENTRY))
         if tops:
             yield from done()
 
@@ -581,7 +599,7 @@ def linked_components(
     near = _similar(F.col("n"), F.col("n_r"), F.size("d"), percent)
     verified = materialise(differences.where(near).select(F.col("r").alias("a"), F.col("x").alias("b")), "jaccard-near")
     labels = components(verified)
-    # Candidate pairs: the smallest few partners of each set, four times as many in every turn.
+    # Candidate pairs: the smallest partner of each set, then a few more, then all that are still apart.
     open_ = materialise(_apart(open_, labels), "jaccard-candidates")
     tries = 1
     while open_.limit(1).count():
@@ -592,7 +610,7 @@ def linked_components(
         verified = materialise(verified.union(good).distinct(), "jaccard-all-verified")
         labels = components(verified)
         open_ = materialise(_apart(open_.join(links, ["a", "b"], "left_anti"), labels), "jaccard-candidates")
-        tries = min(tries * 4, 1 << 30)
+        tries = 16 if tries == 1 else 1 << 30  # what is still apart has to be verified in any case
     # Members of hot groups that are not connected to their reference may be to each other.
     if differences.limit(1).count():
         verified = materialise(

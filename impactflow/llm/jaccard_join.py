@@ -45,7 +45,7 @@ FACTOR = 1.5
 #: A subset held by more sets than this is hot; larger groups are never expanded into pairs.
 HOT = 32
 #: Chance that a set of the same band holds a given element, for the allocation's cost.
-CHANCE = 0.01
+CHANCE = 0.001
 #: Sizes of a class, for hot sets, lie within this factor.
 CLASS = 1.02
 SLICE_BYTES = 4 << 20
@@ -118,7 +118,8 @@ def entries_of(tokens: np.ndarray, band: Band) -> tuple[np.ndarray, int]:
     """Index entries of a set in a band, and how many segments it fills.
 
     The low six bits of an entry are the band's number. A set that fills too few segments has its single elements
-    as entries too; such a set, and one with one-deletion neighbourhoods, counts as filling none.
+    as entries too, and counts as filling none. With one-deletion neighbourhoods, where segments are not counted, the number is -1
+    less the segments that the set can spare.
     """
     n, m = len(tokens), band.segments
     segment = ((tokens >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)  # ascending, as the elements are
@@ -133,8 +134,9 @@ def entries_of(tokens: np.ndarray, band: Band) -> tuple[np.ndarray, int]:
         owner = np.repeat(np.arange(filled), sizes)
         more = sizes[owner] > 1
         out.append(mix64((sums[owner] - values)[more] ^ place[owner[more]]))
-        enough = int(np.minimum(sizes, 2).sum()) > band.bound
-        filled = 0
+        capacity = int(np.minimum(sizes, 2).sum())  # differences that its segments stand for
+        enough = capacity > band.bound
+        filled = -1 - (capacity - band.bound - 1) // 2
     else:
         enough = filled > band.bound
     if not enough:
@@ -288,7 +290,7 @@ def _group(heads: np.ndarray, entries: np.ndarray, percent: int, hot: int) -> pa
         fits = (100 * less >= percent * more) & (np.searchsorted(LOWS, less, "right") - 1 == band) & (a["node"] != b["node"])
         a, b, band, less, more = a[fits], b[fits], band[fits], less[fits], more[fits]
         bound = (less + more) * (100 - percent) // (100 + percent)
-        need = np.maximum(a["filled"], b["filled"]).astype(np.int64) - bound
+        need = np.maximum(np.maximum(a["filled"], b["filled"]), 0).astype(np.int64) - bound
         if len(a):
             pair = np.empty(len(a), np.dtype([("a", "<i8"), ("b", "<i8"), ("band", "<i8"), ("need", "<i8")]))
             pair["a"], pair["b"], pair["band"], pair["need"] = a["node"], b["node"], band, need
@@ -386,7 +388,7 @@ def _members(grouped: DataFrame, percent: int) -> DataFrame:
     """(entry, node, n): what each set keeps of its hot entries, the rarest it needs.
 
     Sets of two narrow classes of sizes differ in at most ``bound`` elements, so of two similar ones each has a common entry among
-    its bound + 1 rarest. Every set keeps those for each class that its partners can be in; an entry is
+    its bound + 1 rarest. (With one-deletion neighbourhoods a set keeps none of its hot entries, if it can spare their segments, or else all.) Every set keeps those for each class that its partners can be in; an entry is
     one of the two classes from here on.
     """
     rarest = Window.partitionBy("a", "band").orderBy("number", "entry")
@@ -409,7 +411,11 @@ def _members(grouped: DataFrame, percent: int) -> DataFrame:
                 F.sequence(_size_class(F.ceil(n * percent / 100)), _size_class(F.floor(n * 100 / percent)))
             ),
         )
-        .where((F.col("need") == 0) | (F.col("place") <= F.col("held") - (F.col("need") - bound - 1)))
+        .where(
+            (F.col("need") == 0)
+            | ((F.col("need") > 0) & (F.col("place") <= F.col("held") - (F.col("need") - bound - 1)))
+            | ((F.col("need") < 0) & (F.col("held") > -F.col("need") - 1))
+        )
         .select(
             F.xxhash64("entry", F.least(own, other), F.greatest(own, other)).alias("entry"),
             F.col("a").alias("node"),

@@ -21,6 +21,8 @@ from .common import materialise, partitions_for, read, ship, total_bytes, withou
 SHARDS = 24
 SEED = 20_177
 BUCKET_BYTES = 32 << 20
+#: Offsets of up to so many buckets (16 bytes each) are sent to every executor.
+BROADCAST_ROWS = 1 << 20
 LAW = "rows"
 OUTPUT = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
@@ -105,8 +107,10 @@ def shuffle_into_shards(
     later = (F.lit(more) + F.floor((at - edge) / F.lit(max(short, 1)))).cast("int")
     shard = F.when(at < edge, first).otherwise(later)
     start = F.col("shard") * F.lit(short).cast("long") + F.least(F.col("shard"), F.lit(more))
+    # One small row for each bucket, so its size is known; the rows then stay where they were written.
+    side = F.broadcast(offsets) if buckets <= BROADCAST_ROWS else offsets
     return (
-        rows.join(offsets, "_bucket")
+        rows.join(side, "_bucket")
         .withColumns({"law": F.lit(LAW), "shard": shard, "_pos": at})
         .withColumn("slot", (F.col("_pos") - start).cast("long"))
         .select(*[c for c in df.columns], "size", "law", "shard", "slot")

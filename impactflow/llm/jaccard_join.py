@@ -171,8 +171,7 @@ def describe(df: DataFrame, text: str, carry: list[str]) -> DataFrame:
     return df.select(*dict.fromkeys([*carry, text])).mapInArrow(sets, T.StructType([*fields, *added]))
 
 
-_HEAD = np.dtype([("node", "<i8"), ("same", "<u8"), ("n", "<i4"), ("filled", "<i4")])
-_ENTRY = np.dtype([("entry", "<u8"), ("row", "<u4")])
+_ENTRY = np.dtype([("entry", "<u8"), ("same", "<u8"), ("node", "<i8"), ("n", "<i4"), ("filled", "<i4")])
 
 
 def _columns(rows: np.ndarray) -> bytes:
@@ -191,34 +190,29 @@ def _rows(data: bytes, kind: np.dtype) -> np.ndarray:
 
 
 def _index(df: DataFrame, text: str, key: str, bands: dict[int, Band], buckets: int, percent: int) -> DataFrame:
-    """(bucket, heads, entries): index entries of all sets, packed for each bucket; equal sets of a slice go once."""
-
-    def out(held: list[tuple[np.ndarray, int]], heads: list[tuple]) -> Iterator[pa.RecordBatch]:
-        head = np.array(heads, _HEAD)
-        entry = np.concatenate([e for e, _ in held])
-        row = np.repeat(np.array([r for _, r in held], np.uint32), [len(e) for e, _ in held])
-        bucket = ((mix64(entry) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-        order = np.argsort(bucket, kind="stable")
-        entry, row, bucket = entry[order], row[order], bucket[order]
+    """(bucket, entries): index entries of all sets, packed for each bucket; equal sets of a slice go once.
+
+    Each entry tells all of its set that the bucket has to know, so its size does not depend on the number of buckets.
+    """
+
+    def out(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        rows = np.concatenate(held)
+        bucket = ((mix64(rows["entry"]) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        order = np.lexsort((rows["entry"], bucket))
+        rows, bucket = rows[order], bucket[order]
         cut = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
-        names, blobs, tops = [], [], []
         pack = zstandard.ZstdCompressor(level=1)
+        names, blobs = [], []
         for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-            rows, local = np.unique(row[a:b], return_inverse=True)
-            packed = np.empty(b - a, _ENTRY)
-            packed["entry"], packed["row"] = entry[a:b], local
             names.append(int(bucket[a]))
-            tops.append(pack.compress(_columns(head[rows])))
-            blobs.append(pack.compress(_columns(packed)))
+            blobs.append(pack.compress(_columns(rows[a:b])))
         for a in range(0, len(names), 64):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names[a : a + 64], pa.int32()), binaries(tops[a : a + 64]), binaries(blobs[a : a + 64])],
-                names=["bucket", "heads", "entries"],
+                [pa.array(names[a : a + 64], pa.int32()), binaries(blobs[a : a + 64])], names=["bucket", "entries"]
             )
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, int]] = []
-        heads: list[tuple] = []
+        held: list[np.ndarray] = []
         count = 0
         for batch in slices(batches, text, SLICE_BYTES):
             tokens, at = shingle_sets(*bytes_of(batch.column(text)))
@@ -234,33 +228,34 @@ def _index(df: DataFrame, text: str, key: str, bands: dict[int, Band], buckets:
                 own = tokens[at[i] : at[i + 1]]
                 for b in bands_for(len(own), percent):
                     entries, filled = entries_of(own, bands[b])
-                    held.append((entries, len(heads)))
-                    heads.append((nodes[i], int.from_bytes(same, "little"), len(own), filled))
-                    count += len(entries)
+                    rows = np.empty(len(entries), _ENTRY)
+                    rows["entry"], rows["same"] = entries, int.from_bytes(same, "little")
+                    rows["node"], rows["n"], rows["filled"] = nodes[i], len(own), filled
+                    held.append(rows)
+                    count += len(rows)
                     if count >= ENTRIES:
-                        yield from out(held, heads)
-                        held, heads, count = [], [], 0
+                        yield from out(held)
+                        held, count = [], 0
         if held:
-            yield from out(held, heads)
+            yield from out(held)
 
-    return df.select(key, text).mapInArrow(index, "bucket int, heads binary, entries binary")
+    return df.select(key, text).mapInArrow(index, "bucket int, entries binary")
 
 
 _GROUPED = "hot boolean, a long, b long, band int, entry long, number int, need int"
 
 
-def _group(heads: np.ndarray, entries: np.ndarray, percent: int, hot: int) -> pa.RecordBatch | None:
+def _group(rows: np.ndarray, percent: int, hot: int) -> pa.RecordBatch | None:
     """Pairs of sets in the groups of a bucket; the members of its hot groups."""
-    order = np.argsort(entries["entry"], kind="stable")
-    entry, row = entries["entry"][order], entries["row"][order]
+    order = np.argsort(rows["entry"], kind="stable")
+    entry = rows["entry"][order]
     alike = np.zeros(len(entry) + 1, bool)
     alike[1:-1] = entry[1:] == entry[:-1]
     some = alike[1:] | alike[:-1]
-    entry, row = entry[some], row[some]
+    entry, h = entry[some], rows[order[some]]
     if not len(entry):
         return None
     # Equal sets of other slices: the smallest node stands for all.
-    h = heads[row]
     order = np.lexsort((h["node"], h["same"], entry))
     entry, h = entry[order], h[order]
     keep = np.ones(len(entry), bool)
@@ -335,28 +330,23 @@ def _grouped(index: DataFrame, buckets: int, percent: int, hot: int) -> DataFram
     """Pairs (a, b, band, number of shared entries in the bucket, how many they need) and members of hot groups."""
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, tops, blobs = None, [], []
+        now, blobs = None, []
         unpack = zstandard.ZstdDecompressor()
 
         def done() -> Iterator[pa.RecordBatch]:
-            heads = np.concatenate(tops)
-            shift = np.concatenate([[0], np.cumsum([len(t) for t in tops])[:-1]])
-            entries = np.concatenate(blobs)
-            entries["row"] += np.repeat(shift, [len(b) for b in blobs]).astype(np.uint32)
-            found = _group(heads, entries, percent, hot)
+            found = _group(np.concatenate(blobs), percent, hot)
             if found is not None:
                 for a in range(0, found.num_rows, 50_000):
                     yield found.slice(a, 50_000)
 
         for batch in batches:
-            for bucket, head, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if bucket != now and tops:
+            for bucket, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != now and blobs:
                     yield from done()
-                    tops, blobs = [], []
+                    blobs = []
                 now = bucket
-                tops.append(_rows(unpack.decompress(head), _HEAD))
                 blobs.append(_rows(unpack.decompress(blob), _ENTRY))
-        if tops:
+        if blobs:
             yield from done()
 
     return index.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(group, _GROUPED)
@@ -432,7 +422,7 @@ def _groups(members: DataFrame) -> DataFrame:
 
 
 def _stars(members: DataFrame, groups: DataFrame) -> DataFrame:
-    """(r, x): every member of a hot group with the group's smallest one, the reference."""
+    """(r, x): every member of a hot group with the group's smallest one."""
     return (
         members.join(groups.select("entry", F.col("least").alias("r")), "entry")
         .where(F.col("node") != F.col("r"))
@@ -600,10 +590,23 @@ def linked_components(
 
     active = open_.select(F.col("a").alias("node")).union(open_.select("b")).union(members.select("node")).distinct()
     texts = materialise(docs.join(materialise(active, "jaccard-active"), "node", "left_semi"), "jaccard-texts")
-    # Hot groups: everybody is compared with the group's reference.
-    differences = materialise(_differences(_stars(members, groups), texts), "jaccard-differences")
+    # Hot groups: everybody is compared with one smallest member, which connects most of them; then with
+    # the smallest set of the component that the smallest member of each of its groups is in.
+    stars = materialise(_stars(members, groups), "jaccard-stars")
+    links = stars.groupBy(F.col("x").alias("b")).agg(F.min("r").alias("a")).select("a", "b")
+    verified = materialise(_verify(links, texts, percent), "jaccard-verified")
+    labels = components(verified)
+    references = (
+        stars.join(labels.toDF("r", "label"), "r", "left")
+        .select(F.coalesce("label", "r").alias("r"), "x")
+        .union(stars.join(labels.toDF("r", "label"), "r").select(F.col("label").alias("r"), F.col("r").alias("x")))
+        .where("r <> x")
+        .distinct()
+    )
+    differences = materialise(_differences(references, texts), "jaccard-differences")
     near = _similar(F.col("n"), F.col("n_r"), F.size("d"), percent)
-    verified = materialise(differences.where(near).select(F.col("r").alias("a"), F.col("x").alias("b")), "jaccard-near")
+    near = differences.where(near).select(F.col("r").alias("a"), F.col("x").alias("b"))
+    verified = materialise(verified.union(near).distinct(), "jaccard-all-verified")
     labels = components(verified)
     # Candidate pairs: the smallest partner of each set, then a few more, then all that are still apart.
     open_ = materialise(_apart(open_, labels), "jaccard-candidates")

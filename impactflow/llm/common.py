@@ -16,13 +16,15 @@ from ..session import scratch_dir
 
 _SHIPPED: dict[str, str] = {}
 
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def ship(spark: SparkSession) -> None:
     """Put this package on the Python workers' path, wherever the driver found it.
 
-    The archive is code only; Spark's own file server hands it to the executors.
+    The archive is code only; Spark's own file server hands it to the executors. Whole texts make wide rows, so Arrow
+    batches are held to BATCH_ROWS rows in this session: a task has a few megabytes on either side of the pipe.
     """
     context = spark.sparkContext
     if _SHIPPED.get("to") != context.applicationId:
@@ -30,6 +32,8 @@ def ship(spark: SparkSession) -> None:
         name = str(Path(tempfile.mkdtemp(prefix="package-")) / package.name)
         context.addPyFile(shutil.make_archive(name, "zip", package.parent, package.name))
         _SHIPPED["to"] = context.applicationId
+    if int(spark.conf.get(BATCH)) > BATCH_ROWS:
+        spark.conf.set(BATCH, str(BATCH_ROWS))
 
 
 def materialise(df: DataFrame, purpose: str) -> DataFrame:

@@ -202,19 +202,23 @@ def identify(df: DataFrame, model: Model | None, text: str = "text", carry: list
     ship(df.sparkSession)
     df = without(df, [*OUTPUT, "_lettered", "_text"])
     carry = [c for c in (df.columns if carry is None else carry) if c in df.columns]
+    # A carried text is read where it is, not sent twice.
+    at = text if text in carry else "_text"
     held = df.select(
-        *carry, F.col(text).alias("_text"), F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_lettered")
+        *carry,
+        *([] if text in carry else [F.col(text).alias(at)]),
+        F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_lettered"),
     )
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "_text", BATCH_BYTES):
+        for batch in slices(batches, at, BATCH_BYTES):
             lettered = batch.column("_lettered").to_numpy(zero_copy_only=False)
             if model is None:
                 lettered = np.zeros(len(lettered), bool)
                 best, score = np.zeros(len(lettered), int), np.zeros(len(lettered))
                 names = (UNKNOWN,)
             else:
-                found = model.probabilities(model.logits(*bytes_of(batch.column("_text"))))
+                found = model.probabilities(model.logits(*bytes_of(batch.column(at))))
                 best, names = found.argmax(axis=1), model.languages
                 score = np.where(lettered, found.max(axis=1), 0.0)
             rejected = ~lettered if model is None else ~lettered | (score < model.threshold)

@@ -3,7 +3,7 @@
 Each source has a budget of words. Its documents are counted by exact length; whole passes over the
 source are taken first. For the rest of the budget every length gives a proportional share of its
 documents, so the mix keeps the source's lengths, the longest lengths fill up what is left, and a bounded-knapsack
-dynamic program over the remaining documents closes the gap to the word. Which documents of a length are taken
+dynamic program over the remaining documents, of any length, closes the gap to the word, or comes as near as they can. Which documents of a length are taken
 is decided by a seeded hash.
 """
 
@@ -21,7 +21,7 @@ from .common import materialise, read, ship, without
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 SEED = 4_711
-#: Words that the dynamic program can fit; what exceeds them is filled greedily before.
+#: Words that are left to the dynamic program at first; what exceeds them is filled greedily before. Where that does not meet the budget, all is fitted.
 WINDOW = 1 << 16
 #: Hash ranges that documents of one source and length are dealt over (a power of two).
 RANGES = 256
@@ -56,15 +56,20 @@ def fit(
 ) -> np.ndarray:
     """How many documents of each length to take, so that their words come nearest to the budget.
 
-    Every document is there once. Only if that cannot meet the budget, a few are taken up to ``spare`` times more.
+    A proportional share of each length is taken in any case; what comes on top is the nearest there is. Every document is there once.
+    Only if that cannot meet the budget, a few are taken up to ``spare`` times more.
     """
     take = np.zeros(len(lengths), np.int64)
     counts = np.where(lengths > 0, counts, 0)
     total = int(lengths @ counts)
-    if total > budget:
-        # A proportional share of each length, rounded down, in whole numbers.
-        take = np.asarray([int(c) * budget // total for c in counts.tolist()], np.int64)
-    left = budget - int(lengths @ take)
+    if total:
+        # A proportional share of each length, rounded down, in whole numbers. Where it holds whole passes, one document
+        # of each length is left open for each of them.
+        times = budget // total
+        share = [min(c * budget // total - times, c * (1 + spare)) for c in counts.tolist()]
+        take = np.maximum(np.asarray(share, np.int64), 0)
+    share, open_ = take.copy(), budget - int(lengths @ take)
+    left = open_
     for i in np.argsort(-lengths, kind="stable"):  # longest first, until the rest fits into the window
         if left <= window or lengths[i] == 0:
             break
@@ -72,13 +77,22 @@ def fit(
         if more > 0:
             take[i] += more
             left -= more * int(lengths[i])
-    left = min(left, window)
-    rest = knapsack(lengths, counts - take, left)
-    if spare and int(lengths @ rest) != left:
-        again = knapsack(lengths, counts * (1 + spare) - take, left)
-        if abs(int(lengths @ again) - left) < abs(int(lengths @ rest) - left):
-            rest = again
-    return take + rest
+    best = take + knapsack(lengths, counts - take, left)
+    # What was filled greedily may be in the way: then all of the rest is fitted, and after that with spare ones.
+    for there in (counts, counts * (1 + spare))[: 2 if spare else 1]:
+        off = abs(budget - int(lengths @ best))
+        if off <= least(lengths, counts, budget):
+            break
+        again = share + knapsack(lengths, there - share, open_)
+        if abs(budget - int(lengths @ again)) < off:
+            best = again
+    return best
+
+
+def least(lengths: np.ndarray, counts: np.ndarray, budget: int) -> int:
+    """What any selection is off the budget at least: all sums are multiples of the lengths' greatest common divisor."""
+    unit = int(np.gcd.reduce(lengths[(counts > 0) & (lengths > 0)], initial=0))
+    return min(budget % unit, -budget % unit) if unit else abs(budget)
 
 
 def allot(lengths: np.ndarray, counts: np.ndarray, target: int, whole: int, most: int) -> tuple[int, np.ndarray]:
@@ -99,44 +113,66 @@ def allot(lengths: np.ndarray, counts: np.ndarray, target: int, whole: int, most
         off = abs(budget - int(chosen @ lengths))
         if best is None or off < best[0]:
             best = off, passes, chosen
-        if off == 0 or budget > WINDOW:
+        if off <= least(lengths, counts, target):
             break
     return best[1], best[2]
 
 
 def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """Bounded subset-sum: counts of each length whose sum is nearest to the budget, the lower one of two."""
+    """Bounded subset-sum: counts of each length whose sum is nearest to the budget, the lower one of two.
+
+    The sums that can be reached are the bits of one number, in units of the lengths' greatest common divisor. Only as
+    many of these numbers are held as halving takes; those between are made again to find the way back.
+    """
     take = np.zeros(len(lengths), np.int64)
-    able = lengths[counts > 0]
+    able = lengths[(counts > 0) & (lengths > 0)]
     if budget <= 0 or len(able) == 0:
         return take
-    most = budget + min(budget, int(able.max()))
-    reached = np.zeros(most + 1, bool)
-    reached[0] = True
-    by = np.full(most + 1, -1, np.int64)  # the bundle with which a sum was reached first
-    bundles: list[tuple[int, int]] = []
+    every = np.where(lengths > 0, np.maximum(counts, 0), 0)
+    if int(lengths @ every) <= budget:
+        return every
+    unit = int(np.gcd.reduce(able))
+    low, over = divmod(budget, unit)
+    nearest = low if 2 * over <= unit else low + 1
+    most = (budget + min(budget, int(able.max()))) // unit  # what is above is no nearer than nothing, or a document too many
+    within = (1 << (most + 1)) - 1
+    bundles: list[tuple[int, int, int]] = []
+    reached = 1
     for i in np.argsort(-lengths, kind="stable").tolist():
-        length, rest, size = int(lengths[i]), int(min(counts[i], most // max(int(lengths[i]), 1))), 1
-        while rest > 0 and length > 0 and not reached[budget]:
+        length, size = int(lengths[i]) // unit, 1
+        rest = int(min(counts[i], most // length)) if length else 0
+        while rest > 0 and not reached >> nearest & 1:
             n = min(size, rest)  # bundles of 1, 2, 4, ... documents make every number up to the count
             rest, size = rest - n, size * 2
-            step = n * length
-            if step > most:
-                continue
-            new = ~reached
-            new[:step] = False
-            new[step:] &= reached[: most + 1 - step]
-            by[new] = len(bundles)
-            reached |= new
-            bundles.append((i, n))
-        if reached[budget]:
+            reached |= reached << n * length & within
+            bundles.append((i, n, n * length))
+        if reached >> nearest & 1:
             break
-    sums = np.flatnonzero(reached)
-    at = int(sums[np.argmin(np.abs(sums - budget))])
-    while at:
-        i, n = bundles[by[at]]
-        take[i] += n
-        at -= n * int(lengths[i])
+    if reached >> nearest & 1:
+        at = nearest
+    else:
+        below = (reached & (1 << (low + 1)) - 1).bit_length() - 1
+        above = reached >> (low + 1)
+        at = below
+        if above:
+            next_ = low + (above & -above).bit_length()
+            at = next_ if next_ * unit - budget < budget - below * unit else below
+
+    def back(first: int, last: int, start: int, at: int) -> int:
+        """What is left of a sum before the bundles from first to last, which take what they add to it."""
+        if last - first == 1:
+            i, n, step = bundles[first]
+            if start >> at & 1:
+                return at
+            take[i] += n
+            return at - step
+        middle, half = start, (first + last) // 2
+        for _, _, step in bundles[first:half]:
+            middle |= middle << step & within
+        return back(first, half, start, back(half, last, middle, at))
+
+    if bundles:
+        back(0, len(bundles), 1, at)
     return take
 
 

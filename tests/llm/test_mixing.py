@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from impactflow.llm.mixing import fit, knapsack, mix, op3_mixing, targets, word_count
+from impactflow.llm.mixing import allot, fit, knapsack, mix, op3_mixing, targets, word_count
 
 SF = "/root/testdata/sf0.001"
 
@@ -59,6 +59,33 @@ def test_fit_of_large_budgets():
         assert abs(min(budget, total) - int(take @ lengths)) <= 4
 
 
+def test_few_very_long_documents():
+    # One document of 200,000 words and a target of 380,000: two copies, as with 20,000 and 38,000.
+    for size in (20_000, 200_000, 2_000_000):
+        passes, chosen = allot(np.array([size]), np.array([1]), size * 19 // 10, size, 3)
+        assert passes + chosen.tolist()[0] == 2
+    rnd = random.Random(6)
+    for _ in range(150):  # all numbers of copies, from 0 to 3 of each; nothing is taken as a share in any pass
+        n = rnd.randint(1, 4)
+        lengths = np.array(sorted(rnd.sample(range(66_000, 400_000), n)))
+        counts = np.ones(n, np.int64)
+        whole = int(lengths.sum())
+        target = rnd.randint(1, 3 * whole)
+        passes, chosen = allot(lengths, counts, target, whole, 3)
+        copies = passes + chosen
+        assert (copies >= 0).all() and (copies <= 3).all()
+        sums = [int(np.dot(c, lengths)) for c in itertools.product(range(4), repeat=n)]
+        assert abs(int(copies @ lengths) - target) == min(abs(s - target) for s in sums)
+
+
+def test_greedy_filling_is_not_in_the_way():
+    lengths, counts = np.array([150_000, 200_000]), np.array([2, 1])
+    # Shares of 0 and 0: the longest first would leave 100,000 words that nothing fits.
+    assert fit(lengths, counts, 300_000, window=1000).tolist() == [2, 0]
+    # A budget above every window, documents longer than what is left.
+    assert fit(np.array([140_000]), np.array([2]), 139_000).tolist() == [1]
+
+
 def check(rows, out, most=3):
     sizes = defaultdict(int)
     for r in rows:

@@ -507,7 +507,9 @@ def _search(heads: np.ndarray, piece: np.ndarray, data: np.ndarray, length: int,
     strings = np.lib.stride_tricks.sliding_window_view(data, length) if len(data) >= length else None
     number = size[order] - length + 1
     family = Family()
-    parts = np.searchsorted(np.cumsum(number), np.arange(0, int(number.sum()) + batch, batch), "left")
+    # The last part ends behind the last fragment, also where the strings fill their batches exactly.
+    parts = np.searchsorted(np.cumsum(number), np.arange(0, int(number.sum()), batch), "left")
+    parts = np.append(parts, len(order))
     aliases = np.flatnonzero(doc == first)  # equal fragments of the first document itself
     aliases = aliases[np.argsort(leader[aliases], kind="stable")]
     for a, b in zip(parts[:-1].tolist(), parts[1:].tolist(), strict=True):

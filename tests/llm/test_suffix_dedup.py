@@ -114,6 +114,16 @@ def test_family_levels():
     assert np.concatenate(got).tolist() == want
 
 
+def test_strings_that_fill_the_batches(docs_of):
+    rnd = random.Random(9)
+    p = "".join(rnd.choices("abcdefgh", k=90))
+    rows = [(i, "%s%s%s" % (chr(105 + i), p, chr(115 + i))) for i in range(5)]
+    want = brute([(i, t.encode()) for i, t in rows])
+    # Whatever number of strings a bucket has, batches of one string end with its last one.
+    for batch in (1, 2, 3):
+        assert collected(S.remove_repeats(docs_of(rows).repartition(2), batch=batch)) == want
+
+
 def test_query(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     want = {i: (n, r, s, hashlib.sha256(k).hexdigest()) for i, n, r, s, k in brute([(i, (t or "").encode()) for i, t in docs])}

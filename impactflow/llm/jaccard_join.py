@@ -476,9 +476,9 @@ def _by_differences(differences: DataFrame, labels: DataFrame, percent: int) ->
     share = (100 - percent) / (100 + percent)
     tops = (
         differences.groupBy("r")
-        .agg(F.max(F.greatest("n", "n_r")).alias("top"))
+        .agg(F.max(F.greatest("n", "n_r")).alias("top"), F.min("n").alias("least"))
         .join(labels.toDF("r", "label_r"), "r", "left")
-        .select("r", "top", F.coalesce("label_r", "r").alias("label_r"))
+        .select("r", "top", "least", F.coalesce("label_r", "r").alias("label_r"))
     )
     known = materialise(
         differences.select("r", "x", "n", "d", F.size("d").alias("s"))
@@ -499,7 +499,7 @@ def _by_differences(differences: DataFrame, labels: DataFrame, percent: int) ->
     width = F.greatest(F.lit(4), F.floor(most / 4))
     own = F.floor(F.col("s") / width)
     facts = known.select(
-        "r", "x", "n", "s", "label", "label_r", "top", width.alias("width"), own.alias("own"),
+        "r", "x", "n", "s", "label", "label_r", "top", "least", width.alias("width"), own.alias("own"),
         F.explode(
             F.sequence(F.floor(F.greatest(F.lit(0), F.col("s") - most) / width), F.floor((F.col("s") + most) / width))
         ).alias("class"),
@@ -513,14 +513,18 @@ def _by_differences(differences: DataFrame, labels: DataFrame, percent: int) ->
             *key, "x", "n", "s", "label", "label_r", "pos"
         )
 
-    # Where nothing need be shared, all of the two classes meet.
+    # Where neither need share anything, all of the two classes meet.
     loose = facts.where("shared <= 0").withColumns(
         {"any": F.lit(True), "t": F.lit(0).cast("long"), "pos": F.lit(0)}
     )
+    # Members of the other class decide by their own size and differences. If one of them has to share some, so has
+    # whoever it is similar to: then a set that need not share any by its own count is found by each of its differences.
+    most_of_other = (F.col("class") + 1) * F.col("width") - 1
+    asked = F.ceil((most_of_other + F.col("own") * F.col("width") - bound(F.col("least"), F.col("top"))) / 2)
     tight = (
-        facts.where("shared > 0")
+        facts.where((F.col("shared") > 0) | (asked > 0))
         .join(placed, ["r", "x"])
-        .where(F.col("pos") <= F.col("s") - F.col("shared"))
+        .where(F.col("pos") <= F.col("s") - F.greatest(F.col("shared"), F.lit(1)))
         .withColumn("any", F.lit(False))
     )
     entries = materialise(keyed(loose).union(keyed(tight)), "jaccard-prefixes")

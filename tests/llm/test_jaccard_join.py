@@ -66,6 +66,38 @@ def corpus(seed):
     return [(i * 3 + 1, t) for i, t in enumerate(rows)]
 
 
+def test_differences_of_mixed_sizes(spark):
+    """Every similar pair of a hot group is found, whichever of the two need not share any by its own count."""
+    rnd = random.Random(12)
+    reference = list(range(72))
+    sets = [set(reference)]
+    # 73 shingles with 17 differences, 74 with 4, of which 3 are common; another set makes the group's top 90.
+    common = [1000, 1001, 1002]
+    sets.append(set(reference[8:]) | set(common) | set(range(2000, 2006)))
+    sets.append(set(reference[1:]) | set(common))
+    sets.append(set(reference) | set(range(3000, 3018)))
+    for _ in range(120):
+        out, new = rnd.randint(0, 9), rnd.randint(0, 18)
+        extra = rnd.sample(range(1000, 1030), new) if new else []
+        sets.append(set(rnd.sample(reference, 72 - out)) | set(extra))
+    assert [len(s) for s in sets[:4]] == [72, 73, 74, 90]
+    rows = [(0, i, 72, len(s), sorted(sets[0] ^ s)) for i, s in enumerate(sets) if i]
+    differences = spark.createDataFrame(rows, "r long, x long, n_r long, n long, d array<long>")
+    near = lambda a, b: 100 * len(a & b) >= 80 * len(a | b)
+    # The members that are similar to the reference are in its component.
+    labels = [(i, 0) for i, s in enumerate(sets) if near(sets[0], s)]
+    with_reference = {i for i, _ in labels}
+    found = J._by_differences(differences, spark.createDataFrame(labels, "node long, label long"), 80).collect()
+    want = {
+        (a, b)
+        for b in range(1, len(sets))
+        for a in range(1, b)
+        if near(sets[a], sets[b]) and not {a, b} <= with_reference
+    }
+    assert (1, 2) in want
+    assert {(r.a, r.b) for r in found} == want
+
+
 @pytest.mark.parametrize("seed,hot", [(1, 32), (2, 3)])
 def test_against_all_pairs(docs_of, monkeypatch, seed, hot):
     rows = corpus(seed)

@@ -4,7 +4,9 @@ A text's features are the hashed 3- and 4-byte subwords inside its words, word e
 are averaged, and a linear softmax gives the languages. Embeddings and softmax are trained by
 stochastic gradient descent in numpy, on a bounded sample of labelled rows that the caller sets. A temperature
 calibrates the probabilities on a part of the sample that was not trained on, and texts below a probability
-are rejected; that threshold keeps nearly all texts of the same part.
+are rejected; that threshold keeps nearly all texts of the same part. As probabilities only tell languages from each
+other, texts are also rejected whose subwords are rare in all of them: how familiar a text is, is the mean logarithm of
+how much more frequent its subwords are in the learned texts than if all were alike.
 
 The layers are linear up to the softmax, so for prediction they are multiplied into one table: one number for each
 subword bucket and language, and a text's logits are the mean of its subwords' rows.
@@ -28,8 +30,10 @@ SIZES = (3, 4)
 #: At most about so many labelled rows of each language are drawn to fit the model.
 SAMPLE_PER_LANGUAGE = 500
 EPOCHS, BATCH, RATE, DECAY = 8, 16, 0.5, 1e-6
-#: Of the calibration texts whose language is found, this share may fall below the threshold; it never exceeds MOST.
-REJECTED, MOST = 0.001, 0.5
+#: Of the calibration texts whose language is found, this share may fall below each threshold.
+REJECTED = 0.001
+#: Thresholds are so much of what those texts reach; familiarity counts from that of even subwords.
+MARGIN = 0.9
 SEED = 97
 UNKNOWN = "und"
 BATCH_BYTES = 2 << 20
@@ -85,16 +89,18 @@ class Model:
     bias: np.ndarray
     temperature: float
     threshold: float
+    lift: np.ndarray  # of each bucket: the logarithm of its frequency in the learned texts, over an even one
+    floor: float  # texts that are less familiar are rejected
 
-    def logits(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        """Mean row of each text's subwords, plus the bias."""
+    def logits(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Mean row of each text's subwords, plus the bias; and how familiar the text is, their mean lift."""
         n = len(ends) - 1
         ids, text = subwords(data, ends, len(self.table))
         sums = np.stack(
             [np.bincount(text, self.table[ids, j], n) for j in range(len(self.languages))], axis=1
         )
         counts = np.maximum(np.bincount(text, minlength=n), 1)
-        return sums / counts[:, None] + self.bias
+        return sums / counts[:, None] + self.bias, np.bincount(text, self.lift[ids], n) / counts
 
     def probabilities(self, logits: np.ndarray) -> np.ndarray:
         return softmax(logits / self.temperature)
@@ -136,17 +142,27 @@ def train(features: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, lan
                 b, c = features[i]
                 emb[b] -= rate * 10 * np.outer(c / max(c.sum(), 1), g)
     table = (emb @ out).astype(np.float64)
-    model = Model(languages, table, bias, 1.0, 0.0)
     tested = held if len(held) else order
     logits = np.stack([(c @ table[b]) / max(c.sum(), 1) + bias for b, c in (features[i] for i in tested)])
+    # Separable texts would ask for ever lower temperatures, which make any text certain.
     temperature = min(
-        np.geomspace(0.05, 20, 60),
+        np.geomspace(1, 20, 60),
         key=lambda t: -np.log(softmax(logits / t)[np.arange(len(tested)), labels[tested]] + 1e-12).mean(),
     )
     found = softmax(logits / temperature)
-    right = found.max(axis=1)[found.argmax(axis=1) == labels[tested]]
-    threshold = min(MOST, float(np.quantile(right, REJECTED)) * 0.9) if len(right) else 0.0
-    return Model(languages, table, bias, float(temperature), threshold)
+    good = found.argmax(axis=1) == labels[tested]
+    right = found.max(axis=1)[good]
+    threshold = float(np.quantile(right, REJECTED)) * MARGIN if len(right) else 0.0
+    seen = np.full((k, BUCKETS), 1.0)
+    for i in used:
+        b, c = features[i]
+        seen[labels[i], b] += c
+    # Every language counts alike.
+    lift = np.log((seen / seen.sum(axis=1, keepdims=True)).mean(axis=0) * BUCKETS)
+    familiar = np.array([(c @ lift[b]) / max(c.sum(), 1) for b, c in (features[i] for i in tested[good])])
+    even = float(lift.mean())
+    floor = even + MARGIN * (float(np.quantile(familiar, REJECTED)) - even) if len(familiar) else -np.inf
+    return Model(languages, table, bias, float(temperature), threshold, lift, floor)
 
 
 def fit(df: DataFrame, labelled: Column, text: str = "text", label: str = "lang", key: str = "doc_id", per_language: int = SAMPLE_PER_LANGUAGE) -> Model | None:
@@ -196,7 +212,7 @@ def identify(df: DataFrame, model: Model | None, text: str = "text", carry: list
     """The carried columns with ``lang_pred``, ``score`` (probability, 0 to 1) and ``rejected``.
 
     Every byte of a text counts. A text that is null or has no letter is ``und`` with score 0 and rejected, and so is every
-    text if there is no model. Nothing but the text is looked at. ``carry`` names the columns to return (default: all; a column
+    text if there is no model. Rejected are texts below the model's probability or its familiarity. Nothing but the text is looked at. ``carry`` names the columns to return (default: all; a column
     named like an added one is replaced). Rows are neither moved nor dropped; an empty table gives an empty result.
     """
     ship(df.sparkSession)
@@ -218,10 +234,11 @@ def identify(df: DataFrame, model: Model | None, text: str = "text", carry: list
                 best, score = np.zeros(len(lettered), int), np.zeros(len(lettered))
                 names = (UNKNOWN,)
             else:
-                found = model.probabilities(model.logits(*bytes_of(batch.column(at))))
+                logits, familiar = model.logits(*bytes_of(batch.column(at)))
+                found = model.probabilities(logits)
                 best, names = found.argmax(axis=1), model.languages
                 score = np.where(lettered, found.max(axis=1), 0.0)
-            rejected = ~lettered if model is None else ~lettered | (score < model.threshold)
+            rejected = ~lettered if model is None else ~lettered | (score < model.threshold) | (familiar < model.floor)
             langs = [names[b] if x else UNKNOWN for b, x in zip(best.tolist(), lettered.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carry), pa.array(langs, pa.string()), pa.array(score), pa.array(rejected)],

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
@@ -63,6 +64,23 @@ def test_odd_tables(spark, docs_of):
     assert fit(empty, F.lit(True)) is None and identify(empty, None).collect() == []
 
 
+def test_unlearned_texts_are_rejected(spark, docs_of):
+    rnd = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    junk = [" ".join("".join(rnd.choices(letters, k=rnd.randint(2, 9))) for _ in range(n)) for n in (3, 10, 60) * 20]
+    junk += ["日本語の文章です。", "Привет как дела мир", "Ελληνικά γράμματα εδώ", "한국어 문장"]
+    junk += ["Het was een mooie dag en wij gingen naar het strand", "Hän lähti kotiin myöhään illalla"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for languages in (["de", "en", "es", "fr"], ["de", "en"]):  # with two languages the best of both is never below 0.5
+        some = docs.where(F.col("lang").isin(languages))
+        model = fit(some, ~held_out())
+        out = identify(docs_of(list(enumerate(junk))), model).collect()
+        assert len(out) == len(junk) and all(r.rejected for r in out)
+        clean = identify(some.where(held_out() & F.col("text").rlike(r"\p{L}")), model, carry=["lang"]).collect()
+        assert sum(r.rejected for r in clean) <= 0.02 * len(clean)
+        assert sum(r.lang_pred == r.lang for r in clean) >= 0.98 * len(clean)
+
+
 def test_same_model_twice(spark, predicted):
     again = {r.doc_id: r for r in op4_language_id(spark, SF).collect()}
     assert all(np.isclose(again[i].score, r.score) and again[i].lang_pred == r.lang_pred for i, r in predicted.items())

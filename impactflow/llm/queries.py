@@ -11,6 +11,7 @@ from .mixing import op3_mixing
 from .sharding import op10_sharding
 from .suffix_dedup import op8_suffix_dedup
 from .topk import OP5_SQL, op5_topk
+from .toxicity import op13_toxicity
 from .url_filter import OP6_SQL, op6_url_filter
 from .vector_codes import OP11_SQL, op11_vector_codes
 from .warc import OP2_SQL, op2_warc
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_sharding": op10_sharding,
     "op11_vector_codes": op11_vector_codes,
     "op12_centroids": op12_centroids,
+    "op13_toxicity": op13_toxicity,
 }
 ORACLES = {
     "op1_exact_dedup": OP1_SQL,

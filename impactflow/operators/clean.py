@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as c
@@ -142,10 +142,30 @@ def cleaning_report(
     )
 
 
+def observed_report(
+    spark: SparkSession,
+    seen: Mapping[str, int],
+    rows_in: int,
+    *,
+    dates: Sequence[str] = (),
+    coverage: Sequence[str] = (),
+) -> DataFrame:
+    """The row of ``cleaning_report``, from what ``observe_cleaning`` saw during the write."""
+    counts = [rows_in, seen["rows"], *(seen[f"null_{d}"] for d in dates), *(seen[f"with_{k}"] for k in coverage)]
+    names = ["rows_in", "rows_out", *(f"null_{d}" for d in dates), *(f"with_{k}" for k in coverage)]
+    one = spark.createDataFrame([tuple(counts)], ", ".join(f"`{n}` bigint" for n in names))
+    pct = [F.round(F.try_divide(F.col(f"with_{k}") * F.lit(100.0), "rows_out"), 2).alias(f"{k}_pct") for k in coverage]
+    removed = (F.col("rows_in") - F.col("rows_out")).alias("duplicates_removed")
+    return one.select("rows_out", *(f"null_{d}" for d in dates), *pct, "rows_in", removed)
+
+
 def observe_cleaning(
     df: DataFrame, name: str, *, dates: Sequence[str] = (), coverage: Sequence[str] = ()
 ) -> tuple[DataFrame, Observation]:
-    """Collect row counts while ``df`` is being written, without another pass."""
+    """Collect row counts while ``df`` is being written, without another pass.
+
+    ``df`` must be what is written: below a shuffle a task that runs again would count twice.
+    """
     seen = Observation(name)
     return (
         df.observe(

@@ -1,6 +1,8 @@
 """The batch and streaming jobs, as functions and as a spark-submit entry point.
 
     python -m impactflow.plans.jobs papers    <raw glob> <silver>/papers --reports <folder> --run-id 1 --run-at <time>
+    python -m impactflow.plans.jobs posts     <raw glob> <silver>/posts --ledger <folder> --buckets 64 --reports ...
+    python -m impactflow.plans.jobs retire    <table> <time>
     python -m impactflow.plans.jobs matches   <silver> <target>
     python -m impactflow.plans.jobs gold      <silver> <gold> --as-of 2026-01-01 [--pairs <target>/pairs]
     python -m impactflow.plans.jobs temporal  <silver> <target>
@@ -16,7 +18,7 @@ import argparse
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -25,8 +27,9 @@ from ..operators import clean, expect, marts, matching, scoring, temporal, terms
 from ..session import builder, remove_dir, scratch_dir
 from ..sinks.contract import PAPER_DOCUMENT, PAPER_KEYWORD_LIMITS
 from ..sinks.tables import append_changes, compact, keyed_overwrite, part_report, rebuild, write_parquet
-from ..sources import jsonl
-from ..sources.files import input_inventory, latest_snapshot, scan_parquet
+from ..sinks.versions import create_bucketed, part_folders, read_bucketed, read_table, resolve, retire, upsert_buckets
+from ..sources import jsonl, ledger
+from ..sources.files import input_inventory, inventory_of, latest_snapshot, scan_parquet
 from ..streaming import posts as stream
 
 
@@ -44,9 +47,13 @@ class Source:
     def cleaned(self, records: DataFrame) -> DataFrame:
         return self.clean(records)
 
+    def arrived(self, records: DataFrame) -> DataFrame:
+        """One row per key over the whole input, with its arrival."""
+        return self.dedup(self.cleaned(records), [self.key], [jsonl.ARRIVAL])
+
     def table(self, records: DataFrame) -> DataFrame:
         """One row per key over the whole input."""
-        return self.dedup(self.cleaned(records), [self.key], [jsonl.ARRIVAL]).drop(jsonl.ARRIVAL)
+        return self.arrived(records).drop(jsonl.ARRIVAL)
 
 
 SOURCES = {
@@ -121,21 +128,36 @@ def refresh(
     newest: str | None = None,
     strict: bool = False,
     allowed_invalid: int = 0,
+    read_before: str | None = None,
+    buckets: int = 0,
 ) -> Refreshed:
     """Check, clean and rebuild one source.
 
     ``raw`` is a file, a folder or a glob of them, and must exist. With ``newest``
     ('file' or 'folder') only the last member of the glob is taken. The lines are parsed once, into a scratch
-    table that is removed at the end. Below ``reports`` the run leaves, each under its source and run id: ``validations`` (the rules'
+    table that is removed at the end, and counted as they are written; the cleaned rows likewise. Below ``reports`` the run leaves, each under its source and run id: ``validations`` (the rules'
     results, the last of them on lines that are no records, of which ``allowed_invalid`` may be there), ``rejects`` (those
     lines), ``cleaning`` (lines, records, rows in and out, ...) and ``monitoring`` (a row for each layer). With ``strict`` a
     failed rule stops the job before the table is replaced; the results and rejects are stored then, too.
+
+    With ``read_before``, the folder of a ledger, only files that no earlier refresh has read are taken, and merged into
+    a table of ``buckets`` parts, of which only those with new keys are rewritten; ``silver_table`` reads it. The table then holds what a refresh of
+    all files at once would give, provided that landed files do not change; the reports are about the new files.
     """
     kind = SOURCES[source]
     rule_fields, rules = RULES[source]
     if newest:
         raw = latest_snapshot(spark, raw, folders=newest == "folder")
-    inventory = input_inventory(spark, raw)
+    paths: list[str] = [raw]
+    if read_before:
+        if newest or buckets < 1:
+            raise ValueError("a ledger goes with all files and a number of buckets")
+        files = ledger.new_files(spark, raw, read_before).collect()
+        files = spark.createDataFrame(files, ", ".join(ledger.LAYOUT.split(", ")[:3]))
+        paths = [r["path"] for r in files.select("path").collect()]
+        inventory = inventory_of(files)
+    else:
+        inventory = input_inventory(spark, raw)
     at = F.lit(run_at).cast("timestamp")
 
     def stored(what: str) -> str:
@@ -143,12 +165,13 @@ def refresh(
 
     staging = scratch_dir(spark, f"refresh-{source}")
     try:
-        lines = jsonl.read_lines(spark, raw)
-        write_parquet(jsonl.stage_lines(lines, record=kind.fields, rules=rule_fields), staging)
-        staged = scan_parquet(spark, staging)
-        counts = staged.agg(
-            F.count("*").alias("lines"), F.count_if("is_record").alias("records")
-        ).first()
+        lines = jsonl.read_lines(spark, paths) if paths else jsonl.read_lines(spark, raw).where("false")
+        read = Observation()
+        parsed = jsonl.stage_lines(lines, record=kind.fields, rules=rule_fields)
+        counting = [F.count("*").alias("lines"), F.count_if("is_record").alias("records")]
+        write_parquet(parsed.observe(read, *counting), f"{staging}/lines")
+        staged = scan_parquet(spark, f"{staging}/lines")
+        counts = read.get
         invalid = counts["lines"] - counts["records"]
         staged.where("NOT is_record").select("reject").write.mode("overwrite").text(stored("rejects"))
         suite = rules()
@@ -165,36 +188,58 @@ def refresh(
         if strict:
             expect.require_success(results)
         records = staged.where("is_record").select("record.*", jsonl.ARRIVAL)
-        rebuild(kind.table(records), target)
-        silver = scan_parquet(spark, target)
-        report = clean.cleaning_report(
-            kind.cleaned(records), silver, dates=kind.dates, coverage=kind.coverage
-        ).select(
+        rows_in = kind.cleaned(records).count()
+        if read_before:
+            once, seen = clean.observe_cleaning(
+                kind.arrived(records), f"cleaned-{source}", dates=kind.dates, coverage=kind.coverage
+            )
+            write_parquet(once, f"{staging}/rows")
+            batch = scan_parquet(spark, f"{staging}/rows")
+            if resolve(spark, target) is None:
+                create_bucketed(batch, target, [kind.key], buckets)
+            elif rows_in:
+                upsert_buckets(batch, target, [jsonl.ARRIVAL], kind.dedup)
+            checked = batch
+        else:
+            once, seen = clean.observe_cleaning(
+                kind.table(records), f"cleaned-{source}", dates=kind.dates, coverage=kind.coverage
+            )
+            rebuild(once, target)
+            checked = read_table(spark, target)
+        report = clean.observed_report(spark, seen.get, rows_in, dates=kind.dates, coverage=kind.coverage)
+        report = report.select(
             F.lit(counts["lines"]).alias("lines"),
             F.lit(counts["records"]).alias("records"),
             F.lit(invalid).alias("invalid_lines"),
             "*",
         )
-        rebuild(report, stored("cleaning"))
+        write_parquet(report, stored("cleaning"), mode="overwrite")
+        key_rules = expect.run_suite(checked, [expect.not_null(kind.key), expect.unique(kind.key)])
+        rows = [
+            marts.monitoring_row(inventory, expect.suite_summary(results), source=source, layer="bronze", at=at),
+            marts.monitoring_row(
+                input_inventory(spark, part_folders(spark, target)),
+                expect.suite_summary(key_rules),
+                source=source,
+                layer="silver",
+                at=at,
+            ),
+        ]
+        write_parquet(rows[0].unionByName(rows[1]), stored("monitoring"), mode="overwrite")
     finally:
         remove_dir(spark, staging)
-    key_rules = expect.run_suite(silver, [expect.not_null(kind.key), expect.unique(kind.key)])
-    rows = [
-        marts.monitoring_row(inventory, expect.suite_summary(results), source=source, layer="bronze", at=at),
-        marts.monitoring_row(
-            input_inventory(spark, f"{target.rstrip('/')}/*.parquet"),
-            expect.suite_summary(key_rules),
-            source=source,
-            layer="silver",
-            at=at,
-        ),
-    ]
-    rebuild(rows[0].unionByName(rows[1]), stored("monitoring"))
+    if read_before and paths:
+        ledger.enter(files, read_before, run_id)
     return Refreshed(
         scan_parquet(spark, stored("monitoring")), results, scan_parquet(spark, stored("cleaning"))
     )
 
 
+def silver_table(spark: SparkSession, path: str) -> DataFrame:
+    """A refreshed table, whole or in buckets, without the columns that only merging needs."""
+    return read_bucketed(spark, path).drop(jsonl.ARRIVAL)
+
+
 def citation_matches(papers: DataFrame, citations: DataFrame) -> DataFrame:
     """(paper_id, citation_id): by paper id, then by DOI for the rest."""
     left = papers.select("id", "doi").withColumnRenamed("id", "paper_id")
@@ -263,7 +308,7 @@ def gold_table(
 
 
 def silver_tables(spark: SparkSession, silver: str) -> list[DataFrame]:
-    return [scan_parquet(spark, f"{silver.rstrip('/')}/{t}") for t in ("papers", "citations", "posts")]
+    return [silver_table(spark, f"{silver.rstrip('/')}/{t}") for t in ("papers", "citations", "posts")]
 
 
 def require_scores(scored: DataFrame) -> None:
@@ -297,7 +342,7 @@ def write_matches(spark: SparkSession, silver: str, target: str) -> None:
     base = target.rstrip("/")
     rebuild(citation_matches(papers, citations), f"{base}/pairs")
     rebuild(post_matches(papers, posts), f"{base}/posts")
-    pairs, linked = scan_parquet(spark, f"{base}/pairs"), scan_parquet(spark, f"{base}/posts")
+    pairs, linked = read_table(spark, f"{base}/pairs"), read_table(spark, f"{base}/posts")
     rebuild(matching.three_way_match(pairs, linked, "paper_id", "post_id"), f"{base}/three_way")
     coverage = matching.match_coverage(
         papers.select(F.col("id").alias("paper_id")), citations, pairs, "paper_id", "citation_id"
@@ -316,7 +361,7 @@ def write_temporal(spark: SparkSession, silver: str, target: str) -> None:
 
 def write_terms(spark: SparkSession, silver: str, target: str, n: int = 20) -> None:
     """The ``n`` heaviest terms of each abstract."""
-    papers = scan_parquet(spark, f"{silver.rstrip('/')}/papers")
+    papers = silver_table(spark, f"{silver.rstrip('/')}/papers")
     rebuild(terms.top_terms(terms.tfidf(papers, "id", "abstract"), "id", n), target)
 
 
@@ -325,7 +370,7 @@ def write_documents(spark: SparkSession, silver: str, changes: str, batch_id: in
 
     ``read_current`` gives the index, ``compact`` merges old batches.
     """
-    documents = paper_documents(scan_parquet(spark, f"{silver.rstrip('/')}/papers"))
+    documents = paper_documents(silver_table(spark, f"{silver.rstrip('/')}/papers"))
     keyed = documents.where(F.col("id").isNotNull())
     append_changes(keyed, batch_id, changes)
     parts = documents.withColumn("part", F.substring("id", 1, 1))
@@ -355,13 +400,15 @@ def stream_posts(
 def main(argv: list[str] | None = None) -> None:
     args = argparse.ArgumentParser(prog="impactflow")
     args.add_argument(
-        "job", choices=[*SOURCES, "gold", "matches", "temporal", "terms", "documents", "compact", "stream"]
+        "job", choices=[*SOURCES, "gold", "matches", "temporal", "terms", "documents", "compact", "retire", "stream"]
     )
     args.add_argument("source")
     args.add_argument("target")
     args.add_argument("--reports", help="folder for results, rejects and monitoring of a refresh")
     args.add_argument("--run-id")
     args.add_argument("--run-at", help="time of the run, as a timestamp")
+    args.add_argument("--ledger", help="folder of files read before: read only new ones and merge them")
+    args.add_argument("--buckets", type=int, default=0, help="parts of the table, with --ledger")
     args.add_argument("--lenient", action="store_true", help="rebuild although a rule failed")
     args.add_argument("--as-of")
     args.add_argument("--pairs", help="folder of matched pairs, for gold")
@@ -389,9 +436,10 @@ def main(argv: list[str] | None = None) -> None:
         refresh(
             spark, a.job, a.source, a.target, reports=a.reports, run_id=a.run_id, run_at=a.run_at,
             newest="file" if a.job == "citations" else None, strict=not a.lenient,
+            read_before=a.ledger, buckets=a.buckets,
         )
     elif a.job == "gold":
-        write_gold(spark, a.source, a.target, a.as_of, scan_parquet(spark, a.pairs) if a.pairs else None)
+        write_gold(spark, a.source, a.target, a.as_of, read_table(spark, a.pairs) if a.pairs else None)
     elif a.job == "matches":
         write_matches(spark, a.source, a.target)
     elif a.job == "temporal":
@@ -400,6 +448,8 @@ def main(argv: list[str] | None = None) -> None:
         write_terms(spark, a.source, a.target)
     elif a.job == "documents":
         write_documents(spark, a.source, a.target, a.batch).show()
+    elif a.job == "retire":  # the target is the time before which old versions go
+        retire(spark, a.source, a.target)
     elif a.job == "compact":  # the source is the change folder, the target names its key
         compact(spark, a.source, [a.target], [], scratch_dir(spark, "compact"))
     else:

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...session import scratch_dir
-from ...sources.files import land_raw, scan_parquet
+from ...sinks.versions import read_table
+from ...sources import ledger
+from ...sources.files import land_raw
 from .. import jobs
 from .registry import AS_OF, SCORED_SQL, citations, event_key, papers, query, table
 
@@ -115,9 +117,9 @@ def bronze_to_gold(spark: SparkSession, sf: str) -> DataFrame:
     """Citations reach their papers by id and, for the rest, by DOI."""
     base, _ = refreshed(spark, sf)
     jobs.write_matches(spark, f"{base}/silver", f"{base}/matches")
-    pairs = scan_parquet(spark, f"{base}/matches/pairs")
+    pairs = read_table(spark, f"{base}/matches/pairs")
     jobs.write_gold(spark, f"{base}/silver", f"{base}/gold", AS_OF, pairs)
-    gold = scan_parquet(spark, f"{base}/gold")
+    gold = read_table(spark, f"{base}/gold")
     return gold.select(
         "paper_id",
         "title",
@@ -159,7 +161,7 @@ def source_monitoring(spark: SparkSession, sf: str) -> DataFrame:
     rows = []
     for source, f in found.items():
         bronze = f.results.where("rule = 'expect_lines_to_be_records'").select(F.col("rows").alias("b"))
-        silver = scan_parquet(spark, f"{base}/silver/{source}").agg(F.count("*").alias("s"))
+        silver = read_table(spark, f"{base}/silver/{source}").agg(F.count("*").alias("s"))
         volume = F.when(F.col("layer") == "bronze", bronze.scalar()).otherwise(silver.scalar())
         rows.append(
             f.monitoring.select(
@@ -217,3 +219,59 @@ def paper_documents(spark: SparkSession, sf: str) -> DataFrame:
     return documents.withColumn("categories", F.concat_ws(" ", "categories")).select(
         "id", "title", "abstract", "categories", "update_date", "doi"
     )
+
+
+LANDED = "CASE WHEN event_id % 3 = 0 THEN 'run-1' WHEN event_id % 3 = 1 THEN 'run-2' ELSE 'run-3' END"
+
+
+def landings(spark: SparkSession, sf: str) -> tuple[str, list[jobs.Refreshed]]:
+    """Posts in three landings, refreshed after each one by the ledger, the last time twice; a later landing has newer versions of
+    the users' posts, as the id is the user's."""
+    base, found = scratch_dir(spark, "landings"), []
+    events = table(spark, sf, "events")
+    post = F.struct(
+        F.col("user_id").alias("id"),
+        F.lit("u").alias("by"),
+        F.lit(1720000000).alias("time"),
+        F.lit("story").alias("type"),
+        F.col("event_type").alias("title"),
+        F.col("event_id").alias("score"),
+    )
+    for n in (0, 1, 2, 2):
+        if n == len(found):
+            part = events.where(F.col("event_id") % 3 == n).repartitionByRange(4, "event_id")
+            land_raw(part.sortWithinPartitions("event_id").select(F.to_json(post).alias("value")), f"{base}/raw", f"2024010{n + 1}")
+        found.append(
+            jobs.refresh(
+                spark, "posts", f"{base}/raw/batch=*", f"{base}/silver/posts", reports=f"{base}/reports",
+                run_id=f"run-{len(found) + 1}", run_at=RUN_AT, read_before=f"{base}/ledger", buckets=8,
+            )
+        )
+    return base, found
+
+
+@query(
+    "incremental_refresh",
+    """SELECT user_id AS id, max_by(event_type, (event_id % 3, event_id)) AS title,
+    CAST(max_by(event_id, (event_id % 3, event_id)) AS DOUBLE) AS score FROM events GROUP BY user_id""",
+)
+def incremental_refresh(spark: SparkSession, sf: str) -> DataFrame:
+    """Only new files are read, and merged by buckets: the last landed version of each post."""
+    base, _ = landings(spark, sf)
+    posts = jobs.silver_table(spark, f"{base}/silver/posts")
+    return posts.select("id", "title", F.col("score").cast("double").alias("score"))
+
+
+@query(
+    "refresh_ledger",
+    f"""SELECT {LANDED} AS run_id, true AS has_files, count(*) AS lines FROM events GROUP BY 1
+    UNION ALL SELECT 'run-4', false, 0""",
+)
+def refresh_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line is read by one run only; a run without new files reads nothing."""
+    base, found = landings(spark, sf)
+    rows = [f.report.select(F.lit(f"run-{i}").alias("run_id"), "lines") for i, f in enumerate(found, 1)]
+    entered = ledger.summary(spark, f"{base}/ledger").select("run_id", (F.col("files") > 0).alias("has_files"))
+    return reduce(DataFrame.unionByName, rows).join(entered, "run_id", "left").select(
+        "run_id", F.coalesce("has_files", F.lit(False)).alias("has_files"), "lines"
+    )

@@ -5,13 +5,15 @@ Folders are new ones below the shared checkpoint folder.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...operators.clean import dedup_keep_last
 from ...operators.scoring import gold_projection
 from ...session import scratch_dir
-from ...sinks import contract, tables
+from ...sinks import contract, tables, versions
 from ...sources import files, jsonl
 from .registry import query, table
 from .scoring import GOLD_SQL, scored, shown_gold
@@ -180,7 +182,7 @@ def sink_rebuild(spark: SparkSession, sf: str) -> DataFrame:
         partition_by=["o_orderstatus"],
         only_touched_partitions=True,
     )
-    return files.scan_parquet(spark, folder)
+    return versions.read_table(spark, folder)
 
 
 @query("sink_keyed_overwrite", GOLD_SQL)
@@ -189,7 +191,33 @@ def sink_keyed_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     tables.write_parquet(gold_projection(scored(spark, sf)), staged)
     for _ in range(2):
         tables.keyed_overwrite(files.scan_parquet(spark, staged), target, "paper_id")
-    return shown_gold(files.scan_parquet(spark, target))
+    return shown_gold(versions.read_table(spark, target))
+
+
+@query(
+    "publish_versions",
+    """SELECT 1 AS version, o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL SELECT 2, o_orderkey, o_orderstatus FROM orders
+    UNION ALL SELECT 3, o_orderkey, o_orderstatus FROM orders""",
+)
+def publish_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Three versions of a table, all readable; a fourth fails its check and leaves no trace. The third has new files in
+    one partition only."""
+    folder = scratch_dir(spark, "versions")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    finished = orders.where("o_orderstatus = 'F'")
+    for df, touched in ((finished, False), (orders, False), (finished, True)):
+        versions.publish(df, folder, partition_by=["o_orderstatus"], only_touched_partitions=touched)
+
+    def refuse(_: DataFrame) -> None:
+        raise ValueError("not fit")
+
+    try:
+        versions.publish(finished, folder, partition_by=["o_orderstatus"], check=refuse)
+    except ValueError:
+        pass
+    rows = [versions.read_table(spark, folder, n).select(F.lit(n).alias("version"), "*") for n in versions.versions(spark, folder)]
+    return reduce(DataFrame.unionByName, rows)
 
 
 UPSERT_SQL = """batch AS (
@@ -238,6 +266,28 @@ def upsert_by_key(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "upsert_buckets",
+    f"""WITH {UPSERT_SQL}
+    SELECT c_custkey, CAST(balance AS DOUBLE) AS balance, 'merged' AS part FROM batch
+    UNION ALL SELECT c_custkey, c_acctbal, 'merged' FROM customer
+      WHERE c_custkey NOT IN (SELECT c_custkey FROM batch)
+    UNION ALL SELECT NULL, s_acctbal, 'rejected' FROM supplier""",
+)
+def upsert_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """As ``upsert_by_key``, into a table of buckets; the second time changes nothing."""
+    folder, staged = scratch_dir(spark, "buckets"), scratch_dir(spark, "staged")
+    base, batch = balances(spark, sf)
+    versions.create_bucketed(base, folder, ["c_custkey"], 8)
+    tables.write_parquet(batch, staged)
+    for _ in range(2):
+        done = versions.upsert_buckets(files.scan_parquet(spark, staged), folder, ["version"])
+    merged = versions.read_bucketed(spark, folder).withColumn("part", F.lit("merged"))
+    return merged.unionByName(done.rejects.withColumn("part", F.lit("rejected"))).select(
+        "c_custkey", F.col("balance").cast("double").alias("balance"), "part"
+    )
+
+
 @query(
     "upsert_report",
     f"""WITH {UPSERT_SQL} SELECT count(*) + (SELECT count(*) FROM supplier) AS batch_rows,

@@ -50,6 +50,13 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def listed(spark: SparkSession, glob: str) -> list[tuple[str, int]]:
+    """(path, time of modification in milliseconds) of what matches, none if nothing does; for a few paths."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return [(s.getPath().toString(), s.getModificationTime()) for s in found or ()]
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 

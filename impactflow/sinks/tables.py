@@ -1,4 +1,4 @@
-"""Parquet sinks: plain, rebuilt, keyed and upserted."""
+"""Parquet sinks: plain, rebuilt, keyed, upserted, and change logs."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import dedup_keep_last
 from ..session import remove_dir
+from .versions import publish
 
 BATCH = "batch_id"
 
@@ -39,19 +40,15 @@ def rebuild(
     rows_per_file: int = 0,
     only_touched_partitions: bool = False,
 ) -> None:
-    """Idempotent rebuild: old parts go, new parts come.
+    """Idempotent rebuild: a new version takes the place of the old one, which stays whole until then.
 
     With ``only_touched_partitions`` just the partitions present in ``df`` are
-    replaced.
+    replaced. ``read_table`` reads the result.
     """
-    writer = df.write.mode("overwrite").option("compression", "snappy")
-    if only_touched_partitions:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    if rows_per_file:
-        writer = writer.option("maxRecordsPerFile", rows_per_file)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    publish(
+        df, path, partition_by=partition_by, rows_per_file=rows_per_file,
+        only_touched_partitions=only_touched_partitions,
+    )
 
 
 def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -59,16 +56,26 @@ def repeated_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
 
 
+def require_key_of(df: DataFrame, key: str) -> None:
+    """Stop the job if ``key`` is NULL or repeated; one pass."""
+    counted = df.groupBy(key).agg(F.count("*").alias("n"))
+    found = counted.where((F.col("n") > 1) | F.col(key).isNull()).limit(5).collect()
+    if found:
+        raise ValueError(f"{key} is not a key, for example {[r[0] for r in found]}")
+
+
 def keyed_overwrite(
     df: DataFrame, path: str, key: str, *, format: str = "parquet", **options: str
 ) -> None:
-    """Replace a whole keyed table; fails before writing if ``key`` is NULL or repeated."""
-    bad = repeated_keys(df, [key]).select(key).union(
-        df.where(F.col(key).isNull()).select(key)
-    )
-    found = bad.limit(5).collect()
-    if found:
-        raise ValueError(f"{key} is not a key, for example {[r[0] for r in found]}")
+    """Replace a whole keyed table; the old one stays if ``key`` is NULL or repeated.
+
+    A Parquet table is published as a new version: ``df`` is evaluated once, and what was written is checked before it takes
+    effect. For other formats the check comes before the write, as a connector replaces what it finds.
+    """
+    if format == "parquet" and not options:
+        publish(df, path, check=lambda written: require_key_of(written, key))
+        return
+    require_key_of(df, key)
     df.write.mode("overwrite").format(format).options(**options).save(path)
 
 

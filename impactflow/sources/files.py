@@ -19,11 +19,11 @@ def scan_parquet(
     return reader.parquet(*paths)
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
+def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """One row per file: path, name, size_bytes, modified. Contents are not read."""
     return (
         spark.read.format("binaryFile")
-        .load(path)
+        .load(path if isinstance(path, str) else list(path))
         .select(
             "path",
             F.element_at(F.split("path", "/"), -1).alias("name"),
@@ -33,7 +33,16 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def input_inventory(spark: SparkSession, path: str) -> DataFrame:
+def inventory_of(files: DataFrame) -> DataFrame:
+    """One row over listed files: files, size_bytes, newest."""
+    return files.agg(
+        F.count("*").alias("files"),
+        F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("size_bytes"),
+        F.max("modified").alias("newest"),
+    )
+
+
+def input_inventory(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """One row: files, size_bytes, newest. FileNotFoundError if nothing matches."""
     try:
         files = list_files(spark, path)
@@ -41,11 +50,7 @@ def input_inventory(spark: SparkSession, path: str) -> DataFrame:
         if e.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no input below {path}") from e
         raise
-    return files.agg(
-        F.count("*").alias("files"),
-        F.coalesce(F.sum("size_bytes"), F.lit(0)).alias("size_bytes"),
-        F.max("modified").alias("newest"),
-    )
+    return inventory_of(files)
 
 
 def latest_snapshot(spark: SparkSession, path: str, *, folders: bool = False) -> str:

@@ -9,6 +9,7 @@ import pytest
 from impactflow.plans import jobs
 from impactflow.sinks.contract import PAPER_DOCUMENT
 from impactflow.sinks.tables import read_current
+from impactflow.sinks.versions import read_table
 
 PAPERS = [
     {"id": "2301.1", "title": " A ", "abstract": "x", "categories": "cs.AI cs.LG",
@@ -73,27 +74,27 @@ def test_raw_to_gold(spark, raw):
     assert failed == {"type", "set"}
 
     jobs.write_gold(spark, f"{raw}/silver", f"{raw}/gold", "2026-01-01")
-    gold = spark.read.parquet(f"{raw}/gold").collect()
+    gold = read_table(spark, f"{raw}/gold").collect()
     assert [(r["paper_id"], r["cited_by_count"], r["score_total"]) for r in gold] == [
         ("2301.1", 9, 8.0)
     ]
     assert gold[0]["published_date"] == "2007-04-02"
 
     jobs.write_matches(spark, f"{raw}/silver", f"{raw}/matches")
-    pairs = spark.read.parquet(f"{raw}/matches/pairs")
+    pairs = read_table(spark, f"{raw}/matches/pairs")
     jobs.write_gold(spark, f"{raw}/silver", f"{raw}/gold", "2026-01-01", pairs)
-    gold = {r["paper_id"]: r["cited_by_count"] for r in spark.read.parquet(f"{raw}/gold").collect()}
+    gold = {r["paper_id"]: r["cited_by_count"] for r in read_table(spark, f"{raw}/gold").collect()}
     assert gold == {"2301.1": 9, "2301.2": 4}  # the second by its DOI
-    three = spark.read.parquet(f"{raw}/matches/three_way").collect()
+    three = read_table(spark, f"{raw}/matches/three_way").collect()
     assert [(r["paper_id"], r["citation_id"], r["post_id"]) for r in three] == [("2301.1", "W1", 1)]
-    coverage = spark.read.parquet(f"{raw}/matches/coverage").first()
+    coverage = read_table(spark, f"{raw}/matches/coverage").first()
     assert (coverage["pairs"], coverage["left_rows"], coverage["left_matched"], coverage["right_pct"]) == (2, 3, 2, 100.0)
 
     jobs.write_temporal(spark, f"{raw}/silver", f"{raw}/temporal")
-    growth = spark.read.parquet(f"{raw}/temporal/growth").collect()
+    growth = read_table(spark, f"{raw}/temporal/growth").collect()
     assert {(r["category"], r["year"], r["publication_count"]) for r in growth} == {("cs.AI", 2007, 1), ("cs.LG", 2007, 1)}
     jobs.write_terms(spark, f"{raw}/silver", f"{raw}/terms")
-    assert spark.read.parquet(f"{raw}/terms").count() >= 0
+    assert read_table(spark, f"{raw}/terms").count() >= 0
     for batch in (1, 2, 3, 4):
         parts = jobs.write_documents(spark, f"{raw}/silver", f"{raw}/changes", batch).collect()
         assert [(r["part"], r["rows"], r["rejected"]) for r in parts] == [("2", 3, 0)]
@@ -120,7 +121,7 @@ def test_broken_lines_stop_a_strict_refresh(spark, raw):
     path.write_text("".join(lines))
     with pytest.raises(ValueError, match="records.*47 unexpected"):
         refresh(spark, raw, "papers", "papers", strict=True)
-    assert spark.read.parquet(f"{raw}/silver/papers").count() == 50
+    assert read_table(spark, f"{raw}/silver/papers").count() == 50
     run = "suite=papers/run_id=r1"
     assert spark.read.text(f"{raw}/rep/rejects/{run}").count() == 47
     failed = spark.read.parquet(f"{raw}/rep/validations/{run}").where("NOT success").collect()
@@ -159,7 +160,44 @@ def test_command_line(spark, raw):
         jobs.main(["posts", f"{raw}/raw/posts", f"{raw}/silver/posts", *run])
     jobs.main(["posts", f"{raw}/raw/posts", f"{raw}/silver/posts", *run, "--lenient"])
     jobs.main(["gold", f"{raw}/silver", f"{raw}/gold", "--as-of", "2026-01-01"])
-    assert spark.read.parquet(f"{raw}/gold").count() == 1
+    assert read_table(spark, f"{raw}/gold").count() == 1
     for bad in (["gold", "a", "b"], ["papers", "a", "b"], ["stream", "a", "b", "--checkpoint", "c"]):
         with pytest.raises(SystemExit):
             jobs.main(bad)
+
+
+def landed(spark, raw, n, posts):
+    folder = raw / "raw" / "stream" / f"batch={n}"
+    folder.mkdir(parents=True)
+    (folder / "part-0.json").write_text("".join(json.dumps({"by": "u", "time": 1720000000, "type": "story", "title": "t", **p}) + "\n" for p in posts))
+
+
+def take(spark, raw, run):
+    return jobs.refresh(
+        spark, "posts", f"{raw}/raw/stream/batch=*", f"{raw}/silver/posts", reports=f"{raw}/rep", run_id=run,
+        run_at="2024-01-01", read_before=f"{raw}/ledger", buckets=4,
+    ).report.first()
+
+
+def test_refresh_reads_each_line_once_and_equals_a_full_one(spark, raw, monkeypatch):
+    landed(spark, raw, 1, [{"id": i, "score": 1} for i in range(20)])
+    landed(spark, raw, 3, [{"id": 5, "score": 3}, {"id": 5, "score": 4}])
+    first = take(spark, raw, "a")
+    assert (first["lines"], first["rows_in"], first["rows_out"]) == (22, 22, 20)
+    landed(spark, raw, 2, [{"id": 5, "score": 2}, {"id": 6, "score": 2}, {"id": 99, "score": 2}])  # an older one comes late
+    # The run is lost after its rows were published: the next one reads the same file again.
+    with monkeypatch.context() as m:
+        m.setattr(jobs.ledger, "enter", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            take(spark, raw, "b")
+    assert take(spark, raw, "b")["lines"] == 3
+    none = take(spark, raw, "c")
+    assert (none["lines"], none["rows_in"], none["rows_out"], none["invalid_lines"]) == (0, 0, 0, 0)
+    got = sorted(map(str, jobs.silver_table(spark, f"{raw}/silver/posts").collect()))
+    whole = sorted(map(str, jobs.posts_table(spark, f"{raw}/raw/stream").collect()))
+    assert got == whole and len(got) == 21
+    assert {r["id"]: r["score"] for r in jobs.silver_table(spark, f"{raw}/silver/posts").collect()}[5] == 4
+    entered = {r["run_id"]: r["files"] for r in jobs.ledger.summary(spark, f"{raw}/ledger").collect()}
+    assert entered == {"a": 2, "b": 1}
+    with pytest.raises(ValueError, match="buckets"):
+        jobs.refresh(spark, "posts", "x", "y", reports="z", run_id="1", run_at="2024-01-01", read_before="l")

@@ -73,8 +73,19 @@ def record_id(key: object, digest: bytes) -> str:
 
 
 def _field(value: object) -> str:
-    """A header value on one line: control characters are percent-encoded."""
-    return "".join(f"%{ord(c):02X}" if c < "!" or c == "\x7f" else c for c in str(value))
+    """A header value on one line that holds no version mark: control characters, and the mark's last one, are percent-encoded."""
+    plain = "".join(f"%{ord(c):02X}" if c < "!" or c == "\x7f" else c for c in str(value))
+    mark = VERSION.decode()
+    return plain.replace(mark, f"{mark[:-1]}%{ord(mark[-1]):02X}")
+
+
+def _exact(name: str, value: object | None) -> list[tuple[str, str]]:
+    """The header for a value, and where that is not the value itself, its bytes in base64, which has no dot and so no mark."""
+    if value is None:
+        return []
+    safe = _field(value)
+    bare = name.removeprefix("WARC-").removeprefix("X-")
+    return [(name, safe)] + ([(f"X-{bare}-Base64", base64.b64encode(str(value).encode()).decode())] if safe != str(value) else [])
 
 
 def _record(fields: list[tuple[str, object]], block: bytes) -> bytes:
@@ -90,9 +101,9 @@ def records(
     shared = [
         ("WARC-Record-ID", own),
         ("WARC-Date", DATE),
-        ("WARC-Target-URI", None if url is None else _field(url)),
+        *_exact("WARC-Target-URI", url),
         ("WARC-Payload-Digest", "sha1:" + base32(digest)),
-        ("X-Record-Key", None if key is None else _field(key)),
+        *_exact("X-Record-Key", key),
         ("Content-Type", "application/http; msgtype=response"),
     ]
     status = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
@@ -101,7 +112,7 @@ def records(
             ("WARC-Type", "revisit"),
             ("WARC-Profile", PROFILE),
             ("WARC-Refers-To", record_id(first, digest)),
-            ("X-Refers-To-Key", _field(first)),
+            *_exact("X-Refers-To-Key", first),
         ]
         return [_record([*fields, *shared], status + b"Content-Length: %d\r\n\r\n" % len(payload))]
     block = status + b"Transfer-Encoding: chunked\r\n\r\n" + chunked(payload)
@@ -140,7 +151,10 @@ def write_archives(
 
     A string payload is stored in UTF-8, null as an empty one. Of rows with equal payloads of at least ``revisit_from`` bytes the
     smallest key is the response and the others revisit it; rows that repeat that key are responses too. Rows without a
-    key revisit the smallest key, or are responses where their group has none. Only keys and digests are grouped, with sums that combine before
+    key revisit the smallest key, or are responses where their group has none. Urls and keys may hold anything, the version mark and line ends too,
+    and are read back as they were. Other columns are not read, so their names cannot clash; an empty table gives an empty folder. A payload is held whole by
+    one task, with its framed copy, so it must fit there a few times; long ones are cut into segments. A compressed file is one gzip
+    member, as Spark's text sink writes it. Only keys and digests are grouped, with sums that combine before
     they move, and a payload that a third of all rows have is dealt over many tasks by the join.
     """
     ship(df.sparkSession)
@@ -207,16 +221,24 @@ def parse(raw: bytes) -> dict | None:
         return None
     if len(rest) < length:
         return None
+
+    def exact(name: str) -> str | None:
+        coded = fields.get(f"x-{name.removeprefix('warc-').removeprefix('x-')}-base64")
+        try:
+            return fields.get(name) if coded is None else base64.b64decode(coded, validate=True).decode()
+        except ValueError:
+            return fields.get(name)
+
     return {
         "type": fields.get("warc-type"),
         "record_id": fields.get("warc-record-id"),
         "origin": fields.get("warc-segment-origin-id", fields.get("warc-record-id")),
         "segment": segment,
         "total": total,
-        "key": fields.get("x-record-key"),
-        "uri": fields.get("warc-target-uri"),
+        "key": exact("x-record-key"),
+        "uri": exact("warc-target-uri"),
         "digest": fields.get("warc-payload-digest", "").removeprefix("sha1:") or None,
-        "refers_to": fields.get("x-refers-to-key"),
+        "refers_to": exact("x-refers-to-key"),
         "block": rest[:length],
     }
 
@@ -269,7 +291,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """(key, uri, record_type, payload, payload_bytes, payload_digest, refers_to, complete) of each record.
 
     The digest of a response is that of the payload read; a revisit has no payload, and its digest and length
-    are those it states. ``complete`` is false, and what could not be read null, for a record that is
+    are those it states. A long payload is put together by one task, and archives without records give an empty result. ``complete`` is false, and what could not be read null, for a record that is
     cut off, lacks a segment, misses its total length, or does not match its own digest. Records that are stored more than once are
     returned as often. Only segmented records are moved.
     """

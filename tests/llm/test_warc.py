@@ -73,3 +73,26 @@ def test_framing():
     segments = [parse(r.partition(b"\r\n")[2]) for r in records(1, None, b"q" * 900, b"d" * 20, None, 200)]
     random.Random(1).shuffle(segments)
     assert b"q" * 100 in assemble(segments) and assemble(segments[1:]) is None
+
+
+def test_any_url_and_key_comes_back(spark, docs_of, tmp_path):
+    mark = "WARC/1.1"
+    urls = [f"http://a.org/{mark}", mark, mark * 3, f"{mark}\r\n{mark}\r\n", f"x {mark}", "http://a/%20b%31", f"é {mark}", " lead and trail ", "a\x85b\u2028", "", None, "WARC/1.%31"]
+    keys = [f"k{i}-{u}" for i, u in enumerate(urls)]
+    rows = [(k, u, f"text {i % 9}", 1, "x") for i, (k, u) in enumerate(zip(keys, urls, strict=True))]
+    df = docs_of(rows, "page_id string, url string, html string, digest int, first string")
+    write_archives(df, f"{tmp_path}/w", segment_bytes=60)
+    got = read_archives(spark, f"{tmp_path}/w").collect()
+    assert len(got) == len(rows) and all(r["complete"] for r in got)
+    assert {r["key"]: r["uri"] for r in got} == dict(zip(keys, urls, strict=True))
+    assert {r["refers_to"] for r in got if r["record_type"] == "revisit"} == {min(k for j, k in enumerate(keys) if j % 9 == i) for i in range(3)}
+    raw = b"".join(gzip.decompress(p.read_bytes()) for p in Path(f"{tmp_path}/w").glob("part-*"))
+    assert all(x.startswith(b"WARC-Type") or x.startswith(b"WARC-") for x in raw.split(b"WARC/1.1\r\n")[1:])
+
+
+def test_a_long_payload_in_many_segments(spark, docs_of, tmp_path):
+    text = "long text WARC/1.1 " * 300_000
+    write_archives(docs_of([(1, "u", text), (2, "u", text), (3, "u", "short")], SCHEMA), f"{tmp_path}/w")
+    got = {r["key"]: r for r in read_archives(spark, f"{tmp_path}/w").collect()}
+    assert got["1"]["payload_digest"] == got["2"]["payload_digest"] == sha(text) and got["2"]["refers_to"] == "1"
+    assert bytes(got["1"]["payload"]) == text.encode()

@@ -17,6 +17,7 @@ from ..session import scratch_dir
 _SHIPPED: dict[str, str] = {}
 
 BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
+BYTES, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -24,7 +25,7 @@ def ship(spark: SparkSession) -> None:
     """Put this package on the Python workers' path, wherever the driver found it.
 
     The archive is code only; Spark's own file server hands it to the executors. Whole texts make wide rows, so Arrow
-    batches are held to BATCH_ROWS rows in this session: a task has a few megabytes on either side of the pipe.
+    batches are held to BATCH_ROWS rows and about BATCH_BYTES bytes in this session: a task has a few megabytes on either side of the pipe.
     """
     context = spark.sparkContext
     if _SHIPPED.get("to") != context.applicationId:
@@ -34,6 +35,7 @@ def ship(spark: SparkSession) -> None:
         _SHIPPED["to"] = context.applicationId
     if int(spark.conf.get(BATCH)) > BATCH_ROWS:
         spark.conf.set(BATCH, str(BATCH_ROWS))
+    spark.conf.set(BYTES, str(BATCH_BYTES))
 
 
 def materialise(df: DataFrame, purpose: str) -> DataFrame:

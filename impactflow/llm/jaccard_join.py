@@ -18,7 +18,8 @@ band of its size and in those of the smaller sets it may be similar to.
   sets. As components are asked for, pairs that are connected already are not verified again: every round verifies some links of
   each set, merges, and goes on until no candidate joins two components.
 
-Texts with equal sets are one node throughout. Shingles are compared by 64-bit hashes.
+Texts with equal sets are one node throughout. Candidates are found by 64-bit hashes of shingles, in which every byte is mixed with its place;
+each link is decided on the shingles' words.
 """
 
 from __future__ import annotations
@@ -37,7 +38,7 @@ from pyspark.sql import types as T
 
 from .common import binaries, bytes_of, discard, materialise, partitions_for, read, ship, slices, total_bytes, without
 from .components import components
-from .shingles import mix64, shingle_sets
+from .shingles import mix64, same_shingles, shingle_sets
 
 PERCENT = 80
 #: Sizes of a band lie within this factor.
@@ -46,11 +47,11 @@ FACTOR = 1.5
 HOT = 32
 #: Chance that a set of the same band holds a given element, for the allocation's cost.
 CHANCE = 0.001
-#: Sizes of a class, for hot sets, lie within this factor.
-CLASS = 1.02
-SLICE_BYTES = 4 << 20
+#: Sizes of a class, for hot sets, lie within this factor, over 100 / PERCENT: similar sets are in one class or in neighbouring ones.
+CLASS = 1.26
+SLICE_BYTES = 512 << 10
 #: Index entries a task holds before it deals them out, and bytes of text that one bucket of the index stands for.
-ENTRIES, BUCKET_BYTES = 1 << 20, 8 << 20
+ENTRIES, BUCKET_BYTES = 1 << 19, 8 << 20
 OUTPUT = ("n_shingles", "component_id")
 
 _LOWS = [1]
@@ -190,7 +191,7 @@ def _rows(data: bytes, kind: np.dtype) -> np.ndarray:
 
 
 def _index(df: DataFrame, text: str, key: str, bands: dict[int, Band], buckets: int, percent: int) -> DataFrame:
-    """(bucket, entries): index entries of all sets, packed for each bucket; equal sets of a slice go once.
+    """(bucket, entries): index entries of all sets, packed for each bucket; of equal sets of a task those that follow a smaller node go once.
 
     Each entry tells all of its set that the bucket has to know, so its size does not depend on the number of buckets.
     """
@@ -214,6 +215,7 @@ def _index(df: DataFrame, text: str, key: str, bands: dict[int, Band], buckets:
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         count = 0
+        sent: dict[bytes, int] = {}  # the smallest node that has gone for each set of this task
         for batch in slices(batches, text, SLICE_BYTES):
             tokens, at = shingle_sets(*bytes_of(batch.column(text)))
             nodes = batch.column(key).to_pylist()
@@ -225,6 +227,9 @@ def _index(df: DataFrame, text: str, key: str, bands: dict[int, Band], buckets:
                     if j is None or node < nodes[j]:
                         smallest[same] = i
             for same, i in smallest.items():
+                if sent.get(same, nodes[i] + 1) <= nodes[i]:
+                    continue
+                sent[same] = nodes[i]
                 own = tokens[at[i] : at[i + 1]]
                 for b in bands_for(len(own), percent):
                     entries, filled = entries_of(own, bands[b])
@@ -352,6 +357,13 @@ def _grouped(index: DataFrame, buckets: int, percent: int, hot: int) -> DataFram
     return index.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(group, _GROUPED)
 
 
+def _linked(batch: pa.RecordBatch, one: str, two: str, i: int, percent: int) -> bool:
+    """Are the two texts of a row similar, by their words?"""
+    a, b = (batch.column(c)[i].as_py().encode() for c in (one, two))
+    n, m, both = same_shingles(a, b)
+    return both > 0 and 100 * both >= percent * (n + m - both)
+
+
 def _verify(links: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Those of the links (a, b) whose full sets are similar."""
     both = links.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
@@ -364,7 +376,9 @@ def _verify(links: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                 p, q = x[at[i] : at[i + 1]], y[bt[i] : bt[i + 1]]
                 where = np.minimum(np.searchsorted(q, p), len(q) - 1)
                 both = int((q[where] == p).sum()) if len(p) and len(q) else 0
-                good.append(100 * both >= percent * (len(p) + len(q) - both) and both > 0)
+                alike = 100 * both >= percent * (len(p) + len(q) - both) and both > 0
+                # Hashes only reject; what they let pass is counted on the words.
+                good.append(alike and _linked(batch, "text_a", "text_b", i, percent))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a long, b long").distinct()
@@ -377,40 +391,27 @@ def _size_class(n: F.Column) -> F.Column:
 def _members(grouped: DataFrame, percent: int) -> DataFrame:
     """(entry, node, n): what each set keeps of its hot entries, the rarest it needs.
 
-    Sets of two narrow classes of sizes differ in at most ``bound`` elements, so of two similar ones each has a common entry among
-    its bound + 1 rarest. (With one-deletion neighbourhoods a set keeps none of its hot entries, if it can spare their segments, or else all.) Every set keeps those for each class that its partners can be in; an entry is
-    one of the two classes from here on.
+    A set differs from a similar one in at most ``bound`` elements, whatever the other's size, so each has a common entry among
+    its bound + 1 rarest. (With one-deletion neighbourhoods a set keeps none of its hot entries, if it can spare their segments, or else all.) From here on an
+    entry is one of a class of sizes: a set keeps it for its own class and for the one below, so similar sets, whose classes are the same or neighbours,
+    have one in common.
     """
     rarest = Window.partitionBy("a", "band").orderBy("number", "entry")
     n = F.col("n")
-    own, other = F.col("own"), F.col("other")
-
-    def top(c: F.Column) -> F.Column:
-        return F.floor(F.pow(F.lit(CLASS), c + 1)) + 1
-
-    bound = F.floor((top(own) + top(other)) * F.lit((100 - percent) / (100 + percent)) + F.lit(1e-9))
+    bound = F.floor((n + F.floor(n * 100 / percent)) * F.lit((100 - percent) / (100 + percent)) + F.lit(1e-9))
+    own = _size_class(n)
     return (
         grouped.where("hot")
         .withColumnRenamed("b", "n")
         .withColumn("held", F.count("*").over(Window.partitionBy("a", "band")))
         .withColumn("place", F.row_number().over(rarest))
-        .withColumn("own", _size_class(n))
-        .withColumn(
-            "other",
-            F.explode(
-                F.sequence(_size_class(F.ceil(n * percent / 100)), _size_class(F.floor(n * 100 / percent)))
-            ),
-        )
         .where(
             (F.col("need") == 0)
             | ((F.col("need") > 0) & (F.col("place") <= F.col("held") - (F.col("need") - bound - 1)))
             | ((F.col("need") < 0) & (F.col("held") > -F.col("need") - 1))
         )
-        .select(
-            F.xxhash64("entry", F.least(own, other), F.greatest(own, other)).alias("entry"),
-            F.col("a").alias("node"),
-            "n",
-        )
+        .select("entry", F.col("a").alias("node"), "n", F.explode(F.array(own, own - 1)).alias("class"))
+        .select(F.xxhash64("entry", "class").alias("entry"), "node", "n")
         .distinct()
     )
 
@@ -431,10 +432,14 @@ def _stars(members: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
-def _differences(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(r, x, n_r, n, d): sizes of both sets and the elements that only one of them has."""
+def _differences(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """(r, x, n_r, n, d, near): sizes of both sets, the elements that only one of them has, and whether they are similar by their words."""
     both = pairs.join(texts.toDF("r", "text_r"), "r").join(texts.toDF("x", "text_x"), "x")
 
+    def near(batch: pa.RecordBatch, i: int, n: int, m: int, different: int) -> bool:
+        both = (n + m - different) // 2
+        return both > 0 and 100 * both >= percent * (n + m - both) and _linked(batch, "text_r", "text_x", i, percent)
+
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(slices(batches, "text_r", SLICE_BYTES), "text_x", SLICE_BYTES):
             (p, at), (q, bt) = (shingle_sets(*bytes_of(batch.column(c))) for c in ("text_r", "text_x"))
@@ -451,12 +456,13 @@ def _differences(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     pa.array(np.diff(at)),
                     pa.array(np.diff(bt)),
                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64))),
+                    pa.array([near(batch, i, int(at[i + 1] - at[i]), int(bt[i + 1] - bt[i]), len(f)) for i, f in enumerate(found)], pa.bool_()),
                 ],
-                names=["r", "x", "n_r", "n", "d"],
+                names=["r", "x", "n_r", "n", "d", "near"],
             )
 
     ordered = both.select("r", "x", "text_r", "text_x")
-    return ordered.mapInArrow(differ, "r long, x long, n_r long, n long, d array<long>")
+    return ordered.mapInArrow(differ, "r long, x long, n_r long, n long, d array<long>, near boolean")
 
 
 def _similar(n: F.Column, m: F.Column, different: F.Column, percent: int) -> F.Column:
@@ -474,19 +480,26 @@ def _by_differences(differences: DataFrame, labels: DataFrame, percent: int) ->
     were edited on their own meet nobody. Prefixes depend on the other's number of differences, so they are taken for each class of it.
     """
     share = (100 - percent) / (100 + percent)
-    tops = (
-        differences.groupBy("r")
-        .agg(F.max(F.greatest("n", "n_r")).alias("top"), F.min("n").alias("least"))
+    labelled = materialise(
+        differences.select("r", "x", "n_r", "n", "d", F.size("d").alias("s"))
+        .join(labels.toDF("x", "label"), "x", "left")
         .join(labels.toDF("r", "label_r"), "r", "left")
-        .select("r", "top", "least", F.coalesce("label_r", "r").alias("label_r"))
+        .withColumns({"label": F.coalesce("label", "x"), "label_r": F.coalesce("label_r", "r")}),
+        "jaccard-labelled",
     )
-    known = materialise(
-        differences.select("r", "x", "n", "d", F.size("d").alias("s"))
-        .join(materialise(tops, "jaccard-references"), "r")
-        .join(labels.toDF("x", "label"), "x", "left")
-        .withColumn("label", F.coalesce("label", "x")),
-        "jaccard-known",
+    # A group matters only if it has a member outside its reference's component.
+    tops = (
+        labelled.groupBy("r")
+        .agg(
+            F.max(F.greatest("n", "n_r")).alias("top"),
+            F.min("n").alias("least"),
+            F.bool_or(F.col("label") != F.col("label_r")).alias("open"),
+        )
+        .where("open")
+        .drop("open")
     )
+    known = materialise(labelled.join(materialise(tops, "jaccard-references"), "r"), "jaccard-known")
+    discard(labelled)
     tokens = known.select("r", "x", F.explode("d").alias("t"))
     rarity = tokens.groupBy("r", "t").agg(F.count("*").alias("f"))
     place = Window.partitionBy("r", "x").orderBy("f", "t")
@@ -542,13 +555,16 @@ def _by_differences(differences: DataFrame, labels: DataFrame, percent: int) ->
     two = known.select("r", F.col("x").alias("b"), F.col("n").alias("n_b"), F.col("d").alias("d_b"))
     common = F.size(F.array_intersect("d_a", "d_b"))
     different = F.size("d_a") + F.size("d_b") - 2 * common
-    return (
+    found = materialise(
         pairs.join(one, ["r", "a"])
         .join(two, ["r", "b"])
         .where(_similar(F.col("n_a"), F.col("n_b"), different, percent))
         .select("a", "b")
-        .distinct()
+        .distinct(),
+        "jaccard-by-differences",
     )
+    discard(known, entries)
+    return found
 
 
 def linked_components(
@@ -597,6 +613,7 @@ def linked_components(
     # Hot groups: everybody is compared with one smallest member, which connects most of them; then with
     # the smallest set of the component that the smallest member of each of its groups is in.
     stars = materialise(_stars(members, groups), "jaccard-stars")
+    discard(members, groups)
     links = stars.groupBy(F.col("x").alias("b")).agg(F.min("r").alias("a")).select("a", "b")
     verified = materialise(_verify(links, texts, percent), "jaccard-verified")
     labels = components(verified)
@@ -607,32 +624,46 @@ def linked_components(
         .where("r <> x")
         .distinct()
     )
-    differences = materialise(_differences(references, texts), "jaccard-differences")
-    near = _similar(F.col("n"), F.col("n_r"), F.size("d"), percent)
-    near = differences.where(near).select(F.col("r").alias("a"), F.col("x").alias("b"))
-    verified = materialise(verified.union(near).distinct(), "jaccard-all-verified")
-    labels = components(verified)
+    differences = materialise(_differences(references, texts, percent), "jaccard-differences")
+    discard(stars, labels)
+    near = differences.where("near").select(F.col("r").alias("a"), F.col("x").alias("b"))
+    verified, labels = _merged(verified, near)
     # Candidate pairs: the smallest partner of each set, then a few more, then all that are still apart.
-    open_ = materialise(_apart(open_, labels), "jaccard-candidates")
+    open_ = _replaced(open_, _apart(open_, labels))
     tries = 1
     while open_.limit(1).count():
         order = Window.partitionBy("b").orderBy("a")
         some = open_.withColumn("k", F.row_number().over(order)).where(F.col("k") <= tries).drop("k")
         links = materialise(some, "jaccard-links")
-        good = materialise(_verify(links, texts, percent), "jaccard-verified")
-        verified = materialise(verified.union(good).distinct(), "jaccard-all-verified")
-        labels = components(verified)
-        open_ = materialise(_apart(open_.join(links, ["a", "b"], "left_anti"), labels), "jaccard-candidates")
+        before = labels
+        verified, labels = _merged(verified, _verify(links, texts, percent))
+        open_ = _replaced(open_, _apart(open_.join(links, ["a", "b"], "left_anti"), labels))
+        discard(links, before)
         tries = 16 if tries == 1 else 1 << 30  # what is still apart has to be verified in any case
+    discard(open_)
     # Members of hot groups that are not connected to their reference may be to each other.
     if differences.limit(1).count():
-        verified = materialise(
-            verified.union(_by_differences(differences, labels, percent)).distinct(), "jaccard-all-verified"
-        )
-        labels = components(verified)
+        found = _by_differences(differences, labels, percent)
+        before = labels
+        verified, labels = _merged(verified, _verify(found, texts, percent))
+        discard(found, before)
+    discard(differences, texts, verified)
     return labels
 
 
+def _merged(verified: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All links so far, as a new table, and their components."""
+    both = _replaced(verified, verified.union(more).distinct())
+    return both, components(both)
+
+
+def _replaced(old: DataFrame, new: DataFrame) -> DataFrame:
+    """``new`` as a table, which takes the place of the table it was made from."""
+    out = materialise(new, "jaccard-links")
+    discard(old)
+    return out
+
+
 def _apart(links: DataFrame, labels: DataFrame) -> DataFrame:
     """The links between different components."""
     return (
@@ -652,7 +683,7 @@ def jaccard_join(
     a text of fewer than five words has its whole sequence as its set; a text without words, or null, has none
     and is linked with nothing, so its component is its own identifier. Identifiers are expected to be unique; of rows that share one each has its own size, and the component
     of its own text. Rows without an identifier link with nothing and have no component. ``carry`` names the columns to return (default: all; columns named
-    like the added ones are replaced). An empty table gives an empty result.
+    like the added ones are replaced). A very long text takes about ten times its size in a task. An empty table gives an empty result.
     """
     ship(df.sparkSession)
     df = without(df, [*OUTPUT, "_digest", "_label"])

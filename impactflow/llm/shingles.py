@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 
 from .common import lower_ascii
@@ -14,7 +12,11 @@ _RANDOM = np.random.Generator(np.random.PCG64(20_240_607))
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, np.uint64)
 _PLACE = _RANDOM.integers(1, 1 << 63, WIDTH, np.uint64) | np.uint64(1)
 _LENGTH = _RANDOM.integers(1, 1 << 63, WIDTH + 1, np.uint64)
-_BASE = 0x9E3779B97F4A7C15 ^ 6  # 3 modulo 8, so its powers do not repeat soon
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of words that are hashed at a time.
+BLOCK = 1 << 18
+# What bytes.split takes as space is what separates words here: 0x20 and 0x09 to 0x0D.
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -28,16 +30,46 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2^64."""
-    n = 1 << bits
-    out = []
-    for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-        p = np.full(n, base, np.uint64)
-        p[0] = 1
-        out.append(np.cumprod(p, dtype=np.uint64))
-    return out[0], out[1]
+def _spread(data: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A number for each byte and its place in its word, without a rule that whole words could follow."""
+    return mix64(_BYTE[data] + place.astype(np.uint64) * _STEP)
+
+
+def _word_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Hash of each word from data[first] up to data[last]; a bounded number of bytes is worked on at a time."""
+    out = np.zeros(len(first), np.uint64)
+    a = 0
+    while a < len(first):
+        b = int(np.searchsorted(last, first[a] + BLOCK, "right"))
+        if b <= a:  # a word longer than a block
+            for at in range(int(first[a]), int(last[a]), BLOCK):
+                part = data[at : min(at + BLOCK, int(last[a]))]
+                out[a : a + 1] += _spread(part, np.arange(len(part)) + (at - first[a])).sum(dtype=np.uint64)
+            a += 1
+            continue
+        start, stop = int(first[a]), int(last[b - 1])
+        at = np.arange(stop - start)
+        begin = np.zeros(stop - start, np.int64)
+        begin[first[a:b] - start] = first[a:b] - start
+        sums = np.zeros(stop - start + 1, np.uint64)
+        np.cumsum(_spread(data[start:stop], at - np.maximum.accumulate(begin)), out=sums[1:])
+        out[a:b] = sums[last[a:b] - start] - sums[first[a:b] - start]
+        a = b
+    return mix64(out + (last - first).astype(np.uint64))
+
+
+def words_of(data: bytes) -> list[bytes]:
+    """The words of one text, in lower case as far as A-Z go."""
+    return data.translate(_LOWER).split()
+
+
+def same_shingles(a: bytes, b: bytes) -> tuple[int, int, int]:
+    """Sizes of two texts' sets of shingles and of their intersection, counted on the words themselves."""
+    sets = []
+    for text in (a, b):
+        w = words_of(text)
+        sets.append(set(zip(*(w[i:] for i in range(WIDTH)))) if len(w) >= WIDTH else {tuple(w)} if w else set())
+    return len(sets[0]), len(sets[1]), len(sets[0] & sets[1])
 
 
 def shingle_sets(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -57,10 +89,7 @@ def shingle_sets(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nda
     after[:-1] = word[1:]
     first = np.flatnonzero(word & (~before | begins[:-1]))
     last = np.flatnonzero(word & (~after | begins[1:])) + 1
-    power, inverse = _powers(max(16, int(len(low)).bit_length()))
-    sums = np.zeros(len(low) + 1, np.uint64)
-    np.cumsum(_BYTE[low] * power[: len(low)], out=sums[1:])
-    h = mix64((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64))
+    h = _word_hashes(low, first, last)
     text = np.searchsorted(ends, first, "right") - 1
     words = np.bincount(text, minlength=n)
 

@@ -7,6 +7,7 @@ import pytest
 
 from impactflow.llm import jaccard_join as J
 from tests.llm.test_shingles import brute as shingles
+from tests.llm.test_shingles import thue_morse
 
 SF = "/root/testdata/sf0.001"
 
@@ -151,3 +152,27 @@ def test_query(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.op9_jaccard_join(spark, SF).collect()}
     assert got == brute([tuple(r) for r in docs])
+
+
+def test_complementary_words_are_not_linked(docs_of):
+    a, b = thue_morse(10)
+    rows = [(1, a), (2, b), (3, f"{a} x y z w"), (4, f"{b} x y z w"), (5, a)]
+    got = {r.doc_id: r.component_id for r in J.jaccard_join(docs_of(rows)).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 1}
+
+
+def test_hot_groups_of_mixed_sizes(docs_of):
+    """One passage in texts of many sizes, copies of it, and copies of copies beyond the threshold from it."""
+    rnd = random.Random(21)
+    passage = ["p%d" % i for i in range(60)]
+    rows = []
+    for _ in range(150):
+        own = ["o%d" % rnd.randint(0, 10**6) for _ in range(rnd.choice([0, 0, 3, 8, 14, 20, 40]))]
+        at = rnd.randint(0, len(own))
+        rows.append(own[:at] + edited(rnd, passage, rnd.choice([0, 0.01, 0.03])) + own[at:])
+    for _ in range(6):
+        branch = edited(rnd, passage, 0.08)
+        rows += [edited(rnd, branch, 0.01) for _ in range(8)]
+    docs = [(i, " ".join(r)) for i, r in enumerate(rows)]
+    rnd.shuffle(docs)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_join(docs_of(docs)).collect()} == brute(docs)

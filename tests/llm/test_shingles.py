@@ -6,7 +6,8 @@ import re
 import pyarrow as pa
 
 from impactflow.llm.common import bytes_of
-from impactflow.llm.shingles import shingle_sets
+from impactflow.llm import shingles
+from impactflow.llm.shingles import same_shingles, shingle_sets
 
 
 def brute(text):
@@ -29,3 +30,33 @@ def test_same_equalities_as_the_words():
             mine = set(tokens[at[other] : at[other + 1]].tolist())
             assert len(mine & set(got)) == len(brute(texts[other]) & want)
     assert [len(x) for x in shingle_sets(*bytes_of(pa.array([], pa.string())))] == [0, 1]
+
+
+def thue_morse(bits):
+    word = "a"
+    for _ in range(bits):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_complementary_words_are_different():
+    for bits in (3, 8, 10, 12, 17):
+        a, b = thue_morse(bits)
+        tokens, at = shingle_sets(*bytes_of(pa.array([a, b, a])))
+        assert at.tolist() == [0, 1, 2, 3] and tokens[0] == tokens[2] != tokens[1]
+
+
+def test_words_over_several_blocks(monkeypatch):
+    rnd = random.Random(4)
+    texts = [" ".join("".join(rnd.choices("abC", k=rnd.choice([1, 3, 40, 200]))) for _ in range(rnd.randint(0, 90))) for _ in range(20)]
+    whole = shingle_sets(*bytes_of(pa.array(texts)))
+    monkeypatch.setattr(shingles, "BLOCK", 64)
+    parts = shingle_sets(*bytes_of(pa.array(texts)))
+    assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
+
+
+def test_counts_on_words():
+    rnd = random.Random(5)
+    for _ in range(200):
+        a, b = (" ".join(rnd.choices(["x", "Y", "\x1c", "é"], k=rnd.randint(0, 30))) for _ in range(2))
+        assert same_shingles(a.encode(), b.encode()) == (len(brute(a)), len(brute(b)), len(brute(a) & brute(b)))

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from ..functions.stopwords import ENGLISH
 from .clean import filter_nonblank
-from .joins import salted_join
 
 MIN_TOKEN = 2
 BUCKETS = 1 << 18
@@ -62,9 +61,14 @@ def term_frequency(
     return _count_terms(df, id, text, stop_words, marker=False)
 
 
-def document_frequency(tf: DataFrame) -> DataFrame:
-    """(term, df): in how many documents a term occurs."""
-    return tf.groupBy("term").agg(F.count_if(F.col("tf") >= 0).alias("df"))
+def _salt(id: str, salts: int) -> Column:
+    return F.pmod(F.xxhash64(id), F.lit(salts)).cast("int")
+
+
+def document_frequency(tf: DataFrame, id: str | None = None, salts: int = 1) -> DataFrame:
+    """(term, df): in how many documents a term occurs. With ``id`` also ``_salts``, the bits of the documents' salts."""
+    spread = [] if id is None else [F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), _salt(id, salts))).alias("_salts")]
+    return tf.groupBy("term").agg(F.count_if(F.col("tf") >= 0).alias("df"), *spread)
 
 
 def tfidf(
@@ -79,13 +83,18 @@ def tfidf(
     A marker term in every document makes N the highest document frequency.
     The term counts, the document frequencies and N then all come from the same
     shuffle (ReusedExchange): the texts are read and tokenised once. A very
-    common term is a hot join key, so every term is dealt over ``salts`` tasks; the
-    vocabulary, which is copied for it, is far smaller than the counts. ``id`` is unique.
+    common term is a hot join key, so a term is dealt over up to ``salts`` tasks (62 at most) by its documents. The aggregate that counts
+    a term's documents also notes their salts, and only those copies of the term are made: a term of one document has
+    one, as most of a vocabulary. ``id`` is unique.
     """
+    if not 1 <= salts <= 62:
+        raise ValueError("there are 1 to 62 salts")
     tf = _count_terms(df, id, text, stop_words, marker=True)
-    freq = document_frequency(tf)
+    freq = document_frequency(tf, id, salts)
     n = freq.agg(F.max("df")).scalar()
-    joined = salted_join(tf, freq, ["term"], salts=salts, row_id=[id]).where("tf > 0")
+    dealt = F.filter(F.sequence(F.lit(0), F.lit(salts - 1)), lambda i: F.getbit("_salts", i) == 1)
+    copies = freq.select("term", "df", F.explode(dealt).alias("_m"))
+    joined = tf.where("tf > 0").withColumn("_m", _salt(id, salts)).join(copies, ["term", "_m"])
     idf = F.log((n + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     return joined.select(id, "term", "tf", (F.col("tf") * idf).alias("tfidf"))
 

@@ -9,6 +9,7 @@ from . import (  # noqa: F401
     quality,
     scans,
     scoring,
+    sketched,
     streams,
     temporal,
     terms,

@@ -30,6 +30,7 @@ from ..sinks.tables import append_changes, compact, keyed_overwrite, part_report
 from ..sinks.versions import create_bucketed, part_folders, read_bucketed, read_table, resolve, retire, upsert_buckets
 from ..sources import jsonl, ledger
 from ..sources.files import input_inventory, inventory_of, latest_snapshot, scan_parquet
+from ..streaming import exact
 from ..streaming import posts as stream
 
 
@@ -385,14 +386,18 @@ def stream_posts(
     *,
     state_partitions: int,
     bounded: bool = False,
+    buckets: int = 0,
     **options,
 ) -> StreamingQuery:
     """The posts stream: clean, watermark, first arrival per id, append to Parquet.
 
-    Exact over all time, with state that grows by the ids; ``bounded`` forgets ids behind the watermark.
+    Exact over all time, with state that grows by the ids; ``bounded`` forgets ids behind the watermark. With ``buckets`` it is
+    exact and forgets them: later copies are found in the sink, which is partitioned into so many (``exact.read_once`` reads it).
     """
     own = stream.stream_session(spark, state_partitions)
     cleaned = stream.stream_clean(stream.stream_records(own, source))
+    if buckets:
+        return exact.stream_once(cleaned, target, checkpoint, ["id"], buckets=buckets, **options)
     once = stream.stream_dedup(stream.with_watermark(cleaned), ["id"], bounded=bounded)
     return stream.stream_to_parquet(once, target, checkpoint, **options)
 
@@ -408,7 +413,7 @@ def main(argv: list[str] | None = None) -> None:
     args.add_argument("--run-id")
     args.add_argument("--run-at", help="time of the run, as a timestamp")
     args.add_argument("--ledger", help="folder of files read before: read only new ones and merge them")
-    args.add_argument("--buckets", type=int, default=0, help="parts of the table, with --ledger")
+    args.add_argument("--buckets", type=int, default=0, help="parts of the table, with --ledger, or of a stream's sink")
     args.add_argument("--lenient", action="store_true", help="rebuild although a rule failed")
     args.add_argument("--as-of")
     args.add_argument("--pairs", help="folder of matched pairs, for gold")
@@ -454,7 +459,8 @@ def main(argv: list[str] | None = None) -> None:
         compact(spark, a.source, [a.target], [], scratch_dir(spark, "compact"))
     else:
         stream_posts(
-            spark, a.source, a.target, a.checkpoint, state_partitions=a.state_partitions, bounded=a.bounded
+            spark, a.source, a.target, a.checkpoint,
+            state_partitions=a.state_partitions, bounded=a.bounded, buckets=a.buckets,
         ).awaitTermination()
 
 

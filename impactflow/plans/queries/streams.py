@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from ...session import scratch_dir
 from ...sinks.tables import read_current, write_parquet
 from ...sources.files import land_raw
+from ...streaming import exact as ex
 from ...streaming import posts as st
 from .cleaning import POSTS_CLEAN_SQL, raw_posts
 from .registry import query, table
@@ -146,6 +147,63 @@ def late_data(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def landings(spark: SparkSession, folder: str, parts: list[DataFrame]):
+    """Land parts one after the other, each a single micro-batch of the stream given for it."""
+    for i, part in enumerate(parts):
+        write_parquet(part, f"{folder}/in/part={i}")
+        yield st.stream_files(
+            own_session(spark), f"{folder}/in/*", part.schema, format="parquet", files_per_trigger=1_000_000
+        )
+
+
+@query(
+    "late_rows",
+    f"""WITH n AS (SELECT max(ts) AS newest FROM events)
+    SELECT event_id, event_type, epoch_us(ts) AS micros, 'on_time' AS arrival FROM events
+    UNION ALL SELECT -1 - event_id, event_type, epoch_us(ts),
+      CASE WHEN ts <= date_trunc('milliseconds', newest) - INTERVAL {LATE_DAYS} DAY THEN 'late' ELSE 'on_time' END
+    FROM events, n""",
+)
+def late_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """All events arrive, then copies under new ids: the copies behind the watermark are kept as late rows."""
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    copies = events.withColumn("event_id", -1 - F.col("event_id"))
+    folder = scratch_dir(spark, "late")
+    for stream in landings(spark, folder, [events, copies]):
+        st.finish(
+            ex.stream_split_late(
+                stream, f"{folder}/out", f"{folder}/state", time="ts", lateness=f"{LATE_DAYS} days", available_now=True
+            )
+        )
+    out = ex.read_split(spark, f"{folder}/out", events.schema)
+    micros = F.unix_micros(F.convert_timezone(F.lit("UTC"), F.current_timezone(), "ts").cast("timestamp"))
+    return out.select("event_id", "event_type", micros.alias("micros"), "arrival")
+
+
+@query(
+    "stream_dedup_exact",
+    "SELECT event_id, event_type, value, false AS copied FROM events",
+)
+def stream_dedup_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """All events arrive, then copies half a year and a year younger, when state has forgotten the ids: every event once, as it came first."""
+    events = table(spark, sf, "events").drop("props").withColumn("copied", F.lit(False))
+    parts = [
+        events,
+        *(
+            events.withColumns({"ts": F.col("ts") + F.make_dt_interval(F.lit(days)), "copied": F.lit(True)})
+            for days in (180, 360)
+        ),
+    ]
+    folder = scratch_dir(spark, "once")
+    for stream in landings(spark, folder, parts):
+        st.finish(
+            ex.stream_once(
+                stream, f"{folder}/out", f"{folder}/state", ["event_id"], buckets=16, time="ts", available_now=True
+            )
+        )
+    return ex.read_once(spark, f"{folder}/out", events.schema).select("event_id", "event_type", "value", "copied")
+
+
 @query(
     "stream_upsert",
     f"""WITH {POSTS_CLEAN_SQL} SELECT user_id, event_type, event_id, value FROM last""",

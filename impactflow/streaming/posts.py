@@ -91,7 +91,8 @@ def stream_dedup(df: DataFrame, keys: Sequence[str], *, bounded: bool = False) -
     return df.dropDuplicatesWithinWatermark(keys) if bounded else df.dropDuplicates(keys)
 
 
-def _start(writer, available_now: bool, interval: str) -> StreamingQuery:
+def start(writer, available_now: bool, interval: str) -> StreamingQuery:
+    """Start a query that ends with what is there, or runs on."""
     if available_now:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=interval).start()
@@ -112,7 +113,7 @@ def stream_to_parquet(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
-    return _start(writer, available_now, interval)
+    return start(writer, available_now, interval)
 
 
 def stream_changes(
@@ -133,7 +134,7 @@ def stream_changes(
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
     )
-    return _start(writer, available_now, interval)
+    return start(writer, available_now, interval)
 
 
 def finish(query: StreamingQuery, poll: float = 0.5) -> dict[str, int]:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sinks.bucketed import KEY
 from .joins import spread_nulls
 
 KeyPair = tuple[Column, Column]
@@ -27,6 +28,15 @@ def match_by_key(
     return many.join(one, "_k").select(left_id, right_id)
 
 
+def match_stored(left: DataFrame, right: DataFrame, left_id: str, right_id: str) -> DataFrame:
+    """``match_by_key`` over two key tables (``sinks.bucketed``), joined bucket by bucket as they lie.
+
+    Spark would broadcast a small side; the hint keeps both where they are, whatever their sizes.
+    """
+    key = F.col(KEY)
+    return match_by_key(left.hint("merge"), right.hint("merge"), (key, key), left_id, right_id)
+
+
 def _without(rows: DataFrame, key: Column, taken: DataFrame) -> DataFrame:
     """Rows whose key is not among ``taken`` (_k). Rows without a key stay; they are dealt over many tasks, and
     Spark splits hot keys of the many side of an anti join."""

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ...functions import columns as c
 from ...operators import joins as j
 from ...operators import matching as m
+from ...session import scratch_dir
+from ...sinks.bucketed import read_key_table, write_key_table
 from ..inspect import join_strategy_report
 from .registry import PAGE_URL, event_key, papers, posts, query, table
 
@@ -64,6 +66,24 @@ def match_by_id(spark: SparkSession, sf: str) -> DataFrame:
     return pairs_by_id(spark, sf)
 
 
+STORED_BUCKETS = 16
+
+
+def key_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Labels and pages, each stored by its key and read back."""
+    folder = scratch_dir(spark, "keys")
+    write_key_table(table(spark, sf, "labels").select("doc_id"), f"{folder}/labels", F.col("doc_id"), STORED_BUCKETS)
+    write_key_table(pages(spark, sf), f"{folder}/pages", F.col("url_doc"), STORED_BUCKETS)
+    return read_key_table(spark, f"{folder}/labels"), read_key_table(spark, f"{folder}/pages")
+
+
+@query("match_stored", f"WITH {BY_ID_SQL} SELECT doc_id, page_id FROM by_id")
+def match_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """``match_by_id`` over stored key tables, without an exchange."""
+    labels, linked = key_tables(spark, sf)
+    return m.match_stored(labels, linked, "doc_id", "page_id")
+
+
 @query(
     "unmatched_anti",
     f"""WITH {BY_ID_SQL} SELECT page_id, url FROM p

@@ -9,6 +9,7 @@ is decided by a seeded hash.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -23,6 +24,10 @@ MAX_REPEATS = 3
 SEED = 4_711
 #: Words that are left to the dynamic program at first; what exceeds them is filled greedily before. Where that does not meet the budget, all is fitted.
 WINDOW = 1 << 16
+#: The most that one dynamic program may take: bits of a set of sums, and bits times lengths.
+BITS, WORK = 1 << 28, 1 << 34
+#: Documents that are left open at first where all of them are too many.
+OPEN = 32
 #: Hash ranges that documents of one source and length are dealt over (a power of two).
 RANGES = 256
 OUTPUT = ("size", "source_size", "target", "copies", "taken")
@@ -56,7 +61,8 @@ def fit(
 ) -> np.ndarray:
     """How many documents of each length to take, so that their words come nearest to the budget.
 
-    A proportional share of each length is taken in any case; what comes on top is the nearest there is. Every document is there once.
+    A proportional share of each length is taken in any case; what comes on top is the nearest there is (see ``nearest`` on
+    very many lengths). Every document is there once.
     Only if that cannot meet the budget, a few are taken up to ``spare`` times more.
     """
     take = np.zeros(len(lengths), np.int64)
@@ -83,12 +89,67 @@ def fit(
         off = abs(budget - int(lengths @ best))
         if off <= least(lengths, counts, budget):
             break
-        again = share + knapsack(lengths, there - share, open_)
+        again = share + nearest(lengths, there - share, open_)
         if abs(budget - int(lengths @ again)) < off:
             best = again
     return best
 
 
+def nearest(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """Counts of each length whose sum is nearest to the budget, in bounded time and memory.
+
+    Where the dynamic program over all documents is no larger than WORK and BITS, it is that, and no selection is nearer. Otherwise
+    the documents are filled in longest first but for some that stay open, which the dynamic program swaps in and out; twice as many are left open
+    until the sum meets the budget or the program would exceed WORK. Open are those that bring the greatest common
+    divisor down to that of all, and lengths evenly over all there are: their sums are then dense, as a few dozen documents have more
+    subsets than sums. A program of n lengths and a budget of b units takes n * b / 64 machine words of work, times log n to find
+    the way back, and b / 8 * log n bytes.
+    """
+    counts = np.where(lengths > 0, np.maximum(counts, 0), 0)
+    able = np.flatnonzero(counts)
+    if budget <= 0 or len(able) == 0 or _cost(lengths, counts, budget) <= 1:
+        return knapsack(lengths, counts, budget)
+    divisor, leading = 0, []
+    for i in able.tolist():
+        less = math.gcd(divisor, int(lengths[i]))
+        if less != divisor:
+            leading.append(i)
+        divisor = less
+    stop = least(lengths, counts, budget)
+    best, off, open_ = np.zeros(len(lengths), np.int64), budget, OPEN
+    while True:
+        picked = np.zeros(len(lengths), np.int64)
+        picked[leading] = 1
+        picked[able[np.linspace(0, len(able) - 1, min(open_, len(able))).astype(np.int64)]] = -(-open_ // len(able))
+        picked = np.minimum(picked, counts)
+        filled, left = np.zeros(len(lengths), np.int64), budget - int(picked @ lengths) // 2
+        for i in able[np.argsort(-lengths[able], kind="stable")].tolist():
+            more = min(int(counts[i] - picked[i]), max(left, 0) // int(lengths[i]))
+            filled[i] = more
+            left -= more * int(lengths[i])
+        left = budget - int(filled @ lengths)
+        if open_ > OPEN and _cost(lengths, picked, left) > 1:
+            return best
+        take = filled + knapsack(lengths, picked, left)
+        now = abs(budget - int(take @ lengths))
+        if now < off:
+            best, off = take, now
+        if off <= stop or (picked == counts).all():
+            return best
+        open_ *= 2
+
+
+def _cost(lengths: np.ndarray, counts: np.ndarray, budget: int) -> float:
+    """Work and memory of the dynamic program, 1 where it reaches the most that is allowed."""
+    able = (counts > 0) & (lengths > 0)
+    if budget <= 0 or not able.any():
+        return 0.0
+    unit = int(np.gcd.reduce(lengths[able]))
+    bits = (budget + min(budget, int(lengths[able].max()))) // unit + 1
+    bundles = int(np.ceil(np.log2(counts[able] + 1.0)).sum())
+    return max(bits / BITS, bits * bundles / WORK)
+
+
 def least(lengths: np.ndarray, counts: np.ndarray, budget: int) -> int:
     """What any selection is off the budget at least: all sums are multiples of the lengths' greatest common divisor."""
     unit = int(np.gcd.reduce(lengths[(counts > 0) & (lengths > 0)], initial=0))
@@ -193,7 +254,7 @@ def mix(
     never more than ``most`` times. Within a
     source and length the order is a seeded hash of the ``identity`` columns: equal seeds give equal mixes, and rows that are
     repeated whole are interchangeable. Documents without words belong to every pass but the selection, which they
-    cannot change. Sizes per source and per source and length are the only statistics, over all rows; one small row for each source goes to the driver. An empty table
+    cannot change. Texts are not read, only their sizes: a very long document is a length like others. Sizes per source and per source and length are the only statistics, over all rows; one small row for each source goes to the driver. An empty table
     gives an empty result; columns named like the added ones are replaced.
     """
     spark = df.sparkSession

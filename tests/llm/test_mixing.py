@@ -3,12 +3,15 @@ from __future__ import annotations
 import itertools
 import random
 import re
+import time
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from impactflow.llm.mixing import allot, fit, knapsack, mix, op3_mixing, targets, word_count
+from impactflow.llm import mixing
+from impactflow.llm.mixing import allot, fit, knapsack, mix, nearest, op3_mixing, targets, word_count
 
 SF = "/root/testdata/sf0.001"
 
@@ -86,6 +89,46 @@ def test_greedy_filling_is_not_in_the_way():
     assert fit(np.array([140_000]), np.array([2]), 139_000).tolist() == [1]
 
 
+def test_thousands_of_long_lengths_in_bounded_time():
+    rng = np.random.default_rng(7)
+    for n, step in ((800, 1), (10_000, 1), (10_000, 1000)):
+        lengths = np.sort(rng.choice(np.arange(100_000 // step, (1_000_000 if step == 1 else 20_000_000) // step), n, False)) * step
+        if step > 1:
+            lengths[n // 2] += 1  # one length keeps the divisor at 1
+        counts = np.ones(n, np.int64)
+        whole = int(lengths.sum())
+        for target in (whole // 3 + 1, whole * 19 // 10):
+            tracemalloc.start()
+            start = time.time()
+            passes, chosen = allot(lengths, counts, target, whole, 3)
+            took, (_, peak) = time.time() - start, tracemalloc.get_traced_memory()
+            tracemalloc.stop()
+            assert took < 60 and peak < 1 << 30, (n, step, took, peak)
+            copies = passes + chosen
+            assert (copies >= 0).all() and (copies <= 3).all()
+            assert abs(int(copies @ lengths) - target) <= (0 if step == 1 else step)
+
+
+def test_open_documents_come_as_near_as_all(monkeypatch):
+    rnd = random.Random(8)
+    monkeypatch.setattr(mixing, "OPEN", 2)
+    for trial in range(200):
+        n = rnd.randint(1, 6)
+        lengths = np.array(rnd.sample(range(1, 60), n))
+        counts = np.array([rnd.randint(0, 3) for _ in range(n)])
+        budget = rnd.randint(0, 200)
+        sums = [int(np.dot(c, lengths)) for c in itertools.product(*(range(k + 1) for k in counts))]
+        off = min(abs(s - budget) for s in sums)
+        take = nearest(lengths, counts, budget)
+        assert abs(int(take @ lengths) - budget) == off
+        if trial % 2:  # all the way up from few open ones to all
+            with monkeypatch.context() as m:
+                real = mixing._cost
+                m.setattr(mixing, "_cost", lambda a, c, b, counts=counts: 2.0 if (c == counts).all() and b == budget else real(a, c, b))
+                take = nearest(lengths, counts, budget)
+            assert (take <= counts).all() and (take >= 0).all()
+
+
 def check(rows, out, most=3):
     sizes = defaultdict(int)
     for r in rows:

@@ -5,9 +5,11 @@ and greatest component times the query's. Measured from the least, every contrib
 least zero and has an upper bound. The terms with the greatest bounds are essential: their
 postings (the columns of the shard) are traversed for all vectors, until the bounds of the other terms together
 cannot lift a vector over the k-th best score. The others are probed only for vectors that are still
-competitive. Each shard gives its k best for each query; these are merged.
+competitive. Each shard gives its k best for each query, but for those below the k-th best of shards that the same task has
+searched before; these are merged.
 
-Queries and candidates meet in blocks: every shard sees every block of queries once.
+Queries and candidates meet in blocks: every shard sees every block of queries once. Blocks of queries are copied to groups of shards;
+a shard is moved once at most, and not at all while Spark broadcasts the queries.
 """
 
 from __future__ import annotations
@@ -24,7 +26,9 @@ from .common import materialise, read, ship
 K = 10
 SCALE = 1024
 EVERY = 100
-SHARD_ROWS, QUERY_ROWS, SHARDS_EACH = 4096, 256, 4
+SHARD_ROWS, QUERY_ROWS, SHARDS_EACH = 4096, 256, 64
+#: Queries whose k-th best score so far a task remembers; for others it starts anew.
+REMEMBERED = 1 << 20
 #: Terms that are traversed or probed at a time.
 STEP = 8
 
@@ -46,6 +50,8 @@ def _packed(ids: np.ndarray, lists: list[list[int]]) -> tuple[bytes, bytes, int]
     table = np.zeros((len(lists), width), np.int64)
     for i, x in enumerate(lists):
         table[i, : len(x)] = x
+    if table.size and -(1 << 31) <= table.min() and table.max() < 1 << 31:
+        table = table.astype(np.int32)
     return ids.astype(np.int64).tobytes(), table.tobytes(), width
 
 
@@ -88,18 +94,20 @@ def _blocks(df: DataFrame, rows: int) -> DataFrame:
 
 def _open(ids: bytes, table: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
     i = np.frombuffer(ids, np.int64)
-    return i, np.frombuffer(table, np.int64).reshape(len(i), width)
+    kind = np.int32 if len(table) == 4 * len(i) * width else np.int64
+    return i, np.frombuffer(table, kind).reshape(len(i), width)
 
 
 def maxscore(
-    q: np.ndarray, own: int, ids: np.ndarray, table: np.ndarray, least: np.ndarray, most: np.ndarray, k: int
-) -> tuple[np.ndarray, np.ndarray]:
+    q: np.ndarray, own: int, ids: np.ndarray, table: np.ndarray, least: np.ndarray, most: np.ndarray, k: int,
+    bar: int | None = None,
+) -> tuple[np.ndarray, np.ndarray]:
     """Ids and scores of the k best vectors of a shard for one query, ties to the smaller id.
 
-    ``least`` and ``most`` are the shard's extremes by dimension.
+    ``least`` and ``most`` are the shard's extremes by dimension. Vectors that score below ``bar``, if there is one, are left out.
     """
     width = min(len(q), table.shape[1])
-    q = q[:width]
+    q = q[:width].astype(np.int64)
     low = np.minimum(q * least[:width], q * most[:width])
     gain = np.maximum(q * least[:width], q * most[:width]) - low
     terms = np.argsort(-gain, kind="stable")
@@ -109,9 +117,9 @@ def maxscore(
     partial = np.full(len(alive), base, np.int64)
     # The exact scores of the first few give the score to beat.
     head = alive[: 4 * k]
-    bar = None
     if len(head) >= k:
-        bar = np.partition(table[head, :width] @ q, len(head) - k)[len(head) - k]
+        first = np.partition(table[head, :width] @ q, len(head) - k)[len(head) - k]
+        bar = first if bar is None else max(bar, first)
     for t in range(0, width, STEP):
         some = terms[t : t + STEP]
         partial += table[np.ix_(alive, some)] @ q[some] - low[some].sum()
@@ -140,7 +148,7 @@ def top_k(
     Every row but those with the query's own identifier is a candidate. Components become floor(scale * x). Vectors that
     are null or hold a null or non-finite component take no part, nor do rows without identifier; a shorter vector
     is filled up with zeros, so an empty one scores 0 everywhere. Scores must fit into 64 bits. Of query rows that repeat an identifier the
-    smallest vector asks; repeated candidates are returned as often as they are there. An empty table, or no query, gives an empty result.
+    smallest vector asks; repeated candidates are returned as often as they are there. Other columns of the input, whatever their names, are not read. An empty table, or no query, gives an empty result.
     """
     ship(df.sparkSession)
     vectors = integer_vectors(df, key, vector, scale)
@@ -155,28 +163,33 @@ def top_k(
         _blocks(hashed.repartition("block").sortWithinPartitions("block", "id"), QUERY_ROWS), "topk-query-blocks"
     )
     shards = materialise(_blocks(vectors.withColumn("block", F.lit(0)), SHARD_ROWS), "topk-shards")
-    # A block of queries goes to so many groups of about SHARDS_EACH shards.
+    # A block of queries goes to so many groups of about SHARDS_EACH shards, whose rows meet it as they are read.
     groups = max(1, shards.count() // SHARDS_EACH)
     asking = query_blocks.select(
-        "block",
         F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("shard_group"),
         F.col("ids").alias("q_ids"),
         F.col("table").alias("q_table"),
         F.col("width").alias("q_width"),
     )
-    meet = (
-        shards.withColumn("shard_group", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        .join(asking, ["block", "shard_group"])
-    )
+    dealt = shards.withColumn("shard_group", F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int")).drop("block")
+    meet = dealt.join(asking, "shard_group")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bars: dict[int, int] = {}  # the k-th best score that a query has in some shard of this task
         for batch in batches:
             for row in batch.to_pylist():
                 ids, table = _open(row["ids"], row["table"], row["width"])
                 q_ids, q_table = _open(row["q_ids"], row["q_table"], row["q_width"])
                 least, most = table.min(axis=0), table.max(axis=0)
-                got = [maxscore(v, i, ids, table, least, most, k) for i, v in zip(q_ids, q_table, strict=True)]
+                least, most = least.astype(np.int64), most.astype(np.int64)
+                got = []
+                for i, v in zip(q_ids.tolist(), q_table, strict=True):
+                    found_here = maxscore(v, i, ids, table, least, most, k, bars.get(i))
+                    got.append(found_here)
+                    if len(found_here[1]) == k:
+                        if len(bars) >= REMEMBERED:
+                            bars.clear()
+                        bars[i] = int(found_here[1][-1])
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.repeat(q_ids, [len(a) for a, _ in got])),

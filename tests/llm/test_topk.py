@@ -6,6 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from impactflow.llm import topk
+from impactflow.plans.inspect import plan_text
 from impactflow.llm.topk import maxscore, top_k
 
 SCHEMA = "vec_id long, embedding array<float>"
@@ -57,3 +58,37 @@ def test_maxscore_is_exact():
         i, s = maxscore(q, 3, ids, table, table.min(0), table.max(0), 10)
         want = sorted((-int(v @ q), int(j)) for j, v in zip(ids, table, strict=True) if j != 3)[:10]
         assert [(-int(b), int(a)) for a, b in zip(i, s, strict=True)] == want
+
+
+def test_components_beyond_32_bits(docs_of):
+    rows = [(i, [(-1.0) ** i * 3e6 * (i + 1) if i % 10 else i + 1.0, 0.5]) for i in range(30)]
+    schema = "vec_id long, embedding array<double>"
+    got = {tuple(r) for r in top_k(docs_of(rows, schema), F.col("vec_id") % 10 == 0).collect()}
+    whole = [(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows]
+    want = set()
+    for i, q in whole:
+        if i % 10 == 0:
+            best = sorted((-(q[0] * v[0] + q[1] * v[1]), j) for j, v in whole if j != i)[:10]
+            want |= {(i, r + 1, j, -s) for r, (s, j) in enumerate(best)}
+    assert got == want
+
+
+def test_a_bar_leaves_out_only_what_is_below():
+    rng = np.random.default_rng(5)
+    table = rng.integers(-9, 9, (300, 8)).astype(np.int32)
+    ids = np.arange(300)
+    for bar in (-50, 40, 120, 10_000):
+        q = rng.integers(-9, 9, 8)
+        i, s = maxscore(q, -1, ids, table, table.min(0).astype(int), table.max(0).astype(int), 10, bar)
+        every = sorted((-int(v.astype(int) @ q), int(j)) for j, v in zip(ids, table, strict=True))[:10]
+        assert [(-int(b), int(a)) for a, b in zip(i, s, strict=True) if b >= bar] == [e for e in every if -e[0] >= bar]
+
+
+def test_vectors_are_not_copied_for_blocks_of_queries(docs_of, monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_ROWS", 4)
+    rows = [(i, [float(i), 1.0]) for i in range(200)]
+    df = docs_of(rows, SCHEMA).withColumns({"block": F.lit("x"), "shard_group": F.lit(0), "rank": F.lit(1)})
+    out = top_k(df, F.col("vec_id") % 5 == 0)
+    text = plan_text(out, "formatted")
+    assert text.count("+- Generate") + text.count("* Generate") <= 1  # query blocks only
+    assert {tuple(r) for r in out.collect()} == brute(rows, 10, 5)

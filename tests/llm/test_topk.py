@@ -91,4 +91,4 @@ def test_vectors_are_not_copied_for_blocks_of_queries(docs_of, monkeypatch):
     out = top_k(df, F.col("vec_id") % 5 == 0)
     text = plan_text(out, "formatted")
     assert text.count("+- Generate") + text.count("* Generate") <= 1  # query blocks only
-    assert {tuple(r) for r in out.collect()} == brute(rows, 10, 5)
+    assert {tuple(r) for r in out.collect()} == brute(rows, 5, 10)

@@ -49,6 +49,8 @@ HOT = 32
 CHANCE = 0.001
 #: Sizes of a class, for hot sets, lie within this factor, over 100 / PERCENT: similar sets are in one class or in neighbouring ones.
 CLASS = 1.26
+#: Members of a hot group, besides its reference, that those which it does not connect are compared with.
+CENTRES = 4
 SLICE_BYTES = 512 << 10
 #: Index entries a task holds before it deals them out, and bytes of text that one bucket of the index stands for.
 ENTRIES, BUCKET_BYTES = 1 << 19, 8 << 20
@@ -471,99 +473,174 @@ def _similar(n: F.Column, m: F.Column, different: F.Column, percent: int) -> F.C
     return 100 * both >= percent * (n + m - both)
 
 
-def _by_differences(differences: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between members of hot groups that are not both connected to their reference.
+def _open_groups(differences: DataFrame, labels: DataFrame) -> DataFrame:
+    """(r, x, n, s, label, label_r, top, least, first): members of the groups that have one outside their reference's component.
 
-    Of x and y only their differences to the common reference count: x and y differ in as many elements as the two sets of
-    differences do. So similar ones share at least (|dx| + |dy| - bound) / 2 differences, and with the rarest first each
-    needs only a prefix of its own to find the other. Edits that no other copy shares come first, so members that
-    were edited on their own meet nobody. Prefixes depend on the other's number of differences, so they are taken for each class of it.
+    s is the number of differences to the reference; top and least are the largest and the smallest size in the group. Of the groups that
+    x is in, or is the reference of, first is the largest: two members of another group that have the same one meet there.
     """
-    share = (100 - percent) / (100 + percent)
     labelled = materialise(
-        differences.select("r", "x", "n_r", "n", "d", F.size("d").alias("s"))
+        differences.select("r", "x", "n_r", "n", F.size("d").alias("s"))
         .join(labels.toDF("x", "label"), "x", "left")
         .join(labels.toDF("r", "label_r"), "r", "left")
         .withColumns({"label": F.coalesce("label", "x"), "label_r": F.coalesce("label_r", "r")}),
         "jaccard-labelled",
     )
-    # A group matters only if it has a member outside its reference's component.
-    tops = (
+    tops = materialise(
         labelled.groupBy("r")
         .agg(
             F.max(F.greatest("n", "n_r")).alias("top"),
             F.min("n").alias("least"),
             F.bool_or(F.col("label") != F.col("label_r")).alias("open"),
+            F.count("*").alias("size"),
         )
         .where("open")
-        .drop("open")
+        .drop("open"),
+        "jaccard-references",
     )
-    known = materialise(labelled.join(materialise(tops, "jaccard-references"), "r"), "jaccard-known")
-    discard(labelled)
-    tokens = known.select("r", "x", F.explode("d").alias("t"))
-    rarity = tokens.groupBy("r", "t").agg(F.count("*").alias("f"))
-    place = Window.partitionBy("r", "x").orderBy("f", "t")
-    placed = tokens.join(rarity, ["r", "t"]).withColumn("pos", F.row_number().over(place) - 1).drop("f")
+    known = materialise(labelled.join(tops, "r").drop("n_r"), "jaccard-open")
+    group = F.struct((-F.col("size")).alias("order"), "r")
+    first = known.select("x", group.alias("g")).union(tops.select("r", group)).groupBy("x").agg(F.min("g")["r"].alias("first"))
+    out = materialise(known.drop("size").join(materialise(first, "jaccard-first"), "x"), "jaccard-open")
+    discard(labelled, tops, known)
+    return out
+
+
+def _similar_by_differences(pairs: DataFrame, differences: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (r, a, b) that are similar, by their differences to r, as (a, b)."""
+    one = differences.select("r", F.col("x").alias("a"), F.col("n").alias("n_a"), F.col("d").alias("d_a"))
+    two = differences.select("r", F.col("x").alias("b"), F.col("n").alias("n_b"), F.col("d").alias("d_b"))
+    common = F.size(F.array_intersect("d_a", "d_b"))
+    different = F.size("d_a") + F.size("d_b") - 2 * common
+    return (
+        pairs.join(one, ["r", "a"])
+        .join(two, ["r", "b"])
+        .where(_similar(F.col("n_a"), F.col("n_b"), different, percent))
+        .select("a", "b")
+        .distinct()
+    )
+
+
+def _by_centres(differences: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members outside their reference's component and the group's CENTRES members with the fewest differences.
+
+    A reference is the smallest identifier, so it may be a much edited copy. Those nearest to it are edited less, and
+    connect most of the members that it does not.
+    """
+    known = _open_groups(differences, labels)
+    nearest = Window.partitionBy("r").orderBy("s", "x")
+    centres = materialise(
+        known.withColumn("k", F.row_number().over(nearest))
+        .where(F.col("k") <= CENTRES)
+        .select("r", F.col("x").alias("y"), F.col("label").alias("label_y")),
+        "jaccard-centres",
+    )
+    pairs = (
+        known.where("label <> label_r")
+        .join(centres, "r")
+        .where("label <> label_y")
+        .select("r", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        .distinct()
+    )
+    found = materialise(_similar_by_differences(pairs, differences, percent), "jaccard-by-centres")
+    discard(known, centres)
+    return found
+
+
+def _by_differences(differences: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between members of hot groups that are not both connected to their reference.
+
+    Of x and y only their differences to the common reference count: x and y differ in as many elements as the two sets of
+    differences do. So the numbers of differences of similar ones are near each other: a member takes part only if another component has one
+    within reach, one of the two is outside the reference's, and they do not meet in a larger group. Similar ones share at least (|dx| + |dy| - bound) / 2 differences, and with the rarest first each
+    needs only a prefix of its own to find the other. Edits that no other copy shares come first, so members that
+    were edited on their own meet nobody. A pair that meets has to have as many differences left as it must share.
+    """
+    share = (100 - percent) / (100 + percent)
 
     def bound(n: F.Column, m: F.Column) -> F.Column:
         return F.floor((n + m) * share + 1e-9)
 
-    most = bound(F.col("top"), F.col("top"))
-    width = F.greatest(F.lit(4), F.floor(most / 4))
-    own = F.floor(F.col("s") / width)
-    facts = known.select(
-        "r", "x", "n", "s", "label", "label_r", "top", "least", width.alias("width"), own.alias("own"),
-        F.explode(
-            F.sequence(F.floor(F.greatest(F.lit(0), F.col("s") - most) / width), F.floor((F.col("s") + most) / width))
-        ).alias("class"),
-    ).withColumn(
-        "shared", F.ceil((F.col("s") + F.col("class") * F.col("width") - bound(F.col("n"), F.col("top"))) / 2)
-    )
-    key = ["r", "any", "t", "low", "high"]
-
-    def keyed(rows: DataFrame) -> DataFrame:
-        return rows.withColumns({"low": F.least("own", "class"), "high": F.greatest("own", "class")}).select(
-            *key, "x", "n", "s", "label", "label_r", "pos"
+    def reach(n: F.Column) -> F.Column:
+        """The most that a set of n elements and any similar one of its group differ in."""
+        return bound(n, F.least(F.col("top"), F.floor(n * 100 / percent)))
+
+    known = _open_groups(differences, labels)
+    outside = F.col("label") != F.col("label_r")
+    width = F.greatest(F.lit(4), F.floor(bound(F.col("top"), F.col("top")) / 4))
+    sized = known.withColumns({"width": width, "reach": reach(F.col("n"))}).withColumn("own", F.floor(F.col("s") / F.col("width")))
+    # The classes that a group has; fewer than 50, as s is at most twice the largest size and a width a twentieth of that.
+    classes = materialise(
+        sized.groupBy("r", "own")
+        .agg(
+            F.min("label").alias("low"), F.max("label").alias("high"), F.bool_or(outside).alias("outs"),
+            F.min("first").alias("from"), F.max("first").alias("to"),
         )
-
-    # Where neither need share anything, all of the two classes meet.
-    loose = facts.where("shared <= 0").withColumns(
-        {"any": F.lit(True), "t": F.lit(0).cast("long"), "pos": F.lit(0)}
+        .groupBy("r")
+        .agg(F.collect_list(F.struct("own", "low", "high", "outs", "from", "to")).alias("classes")),
+        "jaccard-classes",
     )
+
+    def met(c: F.Column) -> F.Column:
+        near = c["own"].between(
+            F.floor((F.col("s") - F.col("reach")) / F.col("width")), F.floor((F.col("s") + F.col("reach")) / F.col("width"))
+        )
+        here = (F.col("first") == F.col("r")) | (c["from"] != F.col("first")) | (c["to"] != F.col("first"))
+        return near & here & (c["outs"] | outside) & ((c["low"] != F.col("label")) | (c["high"] != F.col("label")))
+
+    facts = materialise(
+        sized.join(classes, "r").withColumn("class", F.explode(F.transform(F.filter("classes", met), lambda c: c["own"])))
+        .withColumn("shared", F.ceil((F.col("s") + F.col("class") * F.col("width") - F.col("reach")) / 2))
+        .drop("classes"),
+        "jaccard-facts",
+    )
     # Members of the other class decide by their own size and differences. If one of them has to share some, so has
     # whoever it is similar to: then a set that need not share any by its own count is found by each of its differences.
     most_of_other = (F.col("class") + 1) * F.col("width") - 1
-    asked = F.ceil((most_of_other + F.col("own") * F.col("width") - bound(F.col("least"), F.col("top"))) / 2)
+    asked = F.ceil((most_of_other + F.col("own") * F.col("width") - reach(F.col("least"))) / 2)
+    # A prefix depends on the other's number of differences; the longest one holds all others, so each member deals out that one once.
+    about = ["r", "x", "n", "s", "label", "label_r", "first"]
+    by_shared = (
+        facts.where((F.col("shared") > 0) | (asked > 0)).groupBy(*about).agg(F.greatest(F.min("shared"), F.lit(1)).alias("shared"))
+    )
+    # Differences are dealt out for the members that need them only.
+    tokens = (
+        differences.select("r", "x", "d")
+        .join(by_shared.select("r", "x"), ["r", "x"], "left_semi")
+        .select("r", "x", F.explode("d").alias("t"))
+    )
+    rarity = tokens.groupBy("r", "t").agg(F.count("*").alias("f"))
+    place = Window.partitionBy("r", "x").orderBy("f", "t")
+    placed = tokens.join(rarity, ["r", "t"]).withColumn("pos", F.row_number().over(place) - 1).drop("f")
+    key = ["r", "any", "t", "low", "high"]
+
+    columns = [*key, "x", "n", "s", "label", "label_r", "pos", "first"]
+    # Where neither need share anything, all of the two classes meet.
+    loose = facts.where("shared <= 0").withColumns(
+        {"any": F.lit(True), "t": F.lit(0).cast("long"), "pos": F.lit(0), "low": F.least("own", "class"), "high": F.greatest("own", "class")}
+    )
+    no_class = F.lit(0).cast("long")
     tight = (
-        facts.where((F.col("shared") > 0) | (asked > 0))
-        .join(placed, ["r", "x"])
-        .where(F.col("pos") <= F.col("s") - F.greatest(F.col("shared"), F.lit(1)))
-        .withColumn("any", F.lit(False))
+        by_shared.join(placed, ["r", "x"])
+        .where(F.col("pos") <= F.col("s") - F.col("shared"))
+        .withColumns({"any": F.lit(False), "low": no_class, "high": no_class})
     )
-    entries = materialise(keyed(loose).union(keyed(tight)), "jaccard-prefixes")
+    entries = materialise(loose.select(*columns).union(tight.select(*columns)), "jaccard-prefixes")
     probes = entries.where("label <> label_r").drop("label_r")
-    others = entries.drop("label_r").toDF(*key, "y", "m", "z", "label_y", "pos_y")
+    others = entries.drop("label_r").toDF(*key, "y", "m", "z", "label_y", "pos_y", "first_y")
+    most = bound(F.col("n"), F.col("m"))
     left = F.least(F.col("s") - F.col("pos"), F.col("z") - F.col("pos_y"))
-    enough = F.col("any") | (left >= F.ceil((F.col("s") + F.col("z") - bound(F.col("n"), F.col("m"))) / 2))
+    enough = F.col("any") | (left >= F.ceil((F.col("s") + F.col("z") - most) / 2))
+    here = (F.col("first") == F.col("r")) | (F.col("first") != F.col("first_y"))
+    within = F.abs(F.col("s") - F.col("z")) <= most
     pairs = (
         probes.join(others, key)
-        .where((F.col("label") != F.col("label_y")) & enough)
+        .where((F.col("label") != F.col("label_y")) & within & enough & here)
         .select("r", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         .distinct()
     )
-    one = known.select("r", F.col("x").alias("a"), F.col("n").alias("n_a"), F.col("d").alias("d_a"))
-    two = known.select("r", F.col("x").alias("b"), F.col("n").alias("n_b"), F.col("d").alias("d_b"))
-    common = F.size(F.array_intersect("d_a", "d_b"))
-    different = F.size("d_a") + F.size("d_b") - 2 * common
-    found = materialise(
-        pairs.join(one, ["r", "a"])
-        .join(two, ["r", "b"])
-        .where(_similar(F.col("n_a"), F.col("n_b"), different, percent))
-        .select("a", "b")
-        .distinct(),
-        "jaccard-by-differences",
-    )
-    discard(known, entries)
+    found = materialise(_similar_by_differences(pairs, differences, percent), "jaccard-by-differences")
+    discard(known, classes, facts, entries)
     return found
 
 
@@ -641,12 +718,14 @@ def linked_components(
         discard(links, before)
         tries = 16 if tries == 1 else 1 << 30  # what is still apart has to be verified in any case
     discard(open_)
-    # Members of hot groups that are not connected to their reference may be to each other.
-    if differences.limit(1).count():
-        found = _by_differences(differences, labels, percent)
-        before = labels
-        verified, labels = _merged(verified, _verify(found, texts, percent))
-        discard(found, before)
+    # Members of hot groups that are not connected to their reference may be to those nearest to it, or to each other.
+    for more in (_by_centres, _by_differences) if differences.limit(1).count() else ():
+        found = more(differences, labels, percent)
+        if found.limit(1).count():
+            before = labels
+            verified, labels = _merged(verified, _verify(found, texts, percent))
+            discard(before)
+        discard(found)
     discard(differences, texts, verified)
     return labels
 

@@ -115,10 +115,11 @@ def three_way_match(
 ) -> DataFrame:
     """Citation pairs joined with post matches: one row per paper, citation and post.
 
-    The joined rows are made distinct where they are, without another shuffle.
-    Attributes of a post depend on its id.
+    Each side is made distinct before they meet, so the joined rows are, and nothing has to hold or move them
+    afterwards; Spark splits the partitions of papers with many posts. Attributes of a post depend on its id.
     """
-    return pairs.join(post_matches, paper_id).dropDuplicates([*pairs.columns, post_id])
+    posts = post_matches.dropDuplicates([paper_id, post_id])
+    return pairs.dropDuplicates().join(posts, paper_id)
 
 
 def match_coverage(

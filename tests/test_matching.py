@@ -133,6 +133,14 @@ def test_three_way_match_is_distinct(spark):
     ]
 
 
+def test_three_way_match_does_not_move_the_joined_rows(spark):
+    """Rows of a paper multiply in the join; what comes after it must not sort, group or shuffle them."""
+    citation = spark.createDataFrame([("p1", "w1")], "pid string, wid string")
+    posts = spark.createDataFrame([("p1", 1, "t")], "pid string, post int, title string")
+    plan = plan_text(m.three_way_match(citation, posts, "pid", "post"))
+    assert plan.index("Join ") < plan.index("Aggregate")
+
+
 def test_coverage_of_empty_sides(spark):
     left = spark.createDataFrame([], "l int")
     right = spark.createDataFrame([(1,)], "r int")

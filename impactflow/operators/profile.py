@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import SPACES, strip
-from ..sources.jsonl import flag_records, last_entries
+from ..sources.jsonl import flag_records, with_last_entries
 
 # What counts as missing: NULL or an empty value; NULL or ''; NULL or blank.
 EMPTY, NULL_OR_EMPTY_STRING, BLANK = "empty", "null_or_empty_string", "blank"
@@ -76,7 +76,8 @@ def json_field_profile(lines: DataFrame, column: str = "value") -> DataFrame:
     parsed once for both (ReusedExchange).
     """
     parsed = flag_records(lines.select(column), "_record", column, "_text").where("_record")
-    fields = F.coalesce(last_entries("_text"), F.array())
+    parsed = with_last_entries(parsed, "_entries", "_text")
+    fields = F.coalesce("_entries", F.array())
     record = F.struct(
         F.lit(None).cast("string").alias("key"), F.lit(None).cast("variant").alias("value")
     )

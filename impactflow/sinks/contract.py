@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..sources.jsonl import flag_records, last_entries
+from ..sources.jsonl import flag_records, with_last_entries
 
 # The strict document layouts of the two published indexes.
 PAPER_DOCUMENT = {
@@ -88,31 +88,33 @@ def check_records(
     bad field, and then ``record`` has all its values: both come from the same parse. Of a line that is no
     object ``bad_fields`` says so, and ``record`` is NULL.
     """
-    parsed = (
-        flag_records(lines, "_record", column, "_text")
-        .withColumn("_entries", F.explode(F.array(last_entries("_text"))))
-        .drop("_text")
-    )
+    flagged = flag_records(lines, "_record", column, "_text")
+    parsed = with_last_entries(flagged, "_entries", "_text").withColumn("_map", F.map_from_entries("_entries")).drop("_text")
 
-    def value(name: str) -> Column:
-        return F.get(F.filter("_entries", lambda e: e["key"] == name), F.lit(0))["value"]
+    # Each step is unpacked from an array, so that the next one does not take it again for every use.
+    def step(df: DataFrame, name: str, value: Column) -> DataFrame:
+        return df.select("*", F.explode(F.array(value)).alias(name))
 
-    bad, typed = [], []
-    for name, dtype in contract.items():
-        found = value(name)
-        kind = F.regexp_replace(F.schema_of_variant(found), r"\(.*\)", "")
-        cast = F.try_variant_get(found, "$", dtype)
-        wrong = F.coalesce(~kind.isin(_kinds(dtype)) | cast.isNull(), F.lit(True))
-        given = found.isNotNull() & ~F.is_variant_null(found)
+    names = list(contract)
+    found = [F.col(f"_found.`{n}`") for n in names]
+    typed = [F.col(f"_typed.`{n}`") for n in names]
+    parsed = step(parsed, "_found", F.struct(*[F.try_element_at("_map", F.lit(n)).alias(n) for n in names])).drop("_map")
+    casts = [F.try_variant_get(v, "$", contract[n]).alias(n) for n, v in zip(names, found)]
+    parsed = step(parsed, "_typed", F.struct(*casts))
+    bad = []
+    for name, value, cast in zip(names, found, typed):
+        kind = F.regexp_replace(F.schema_of_variant(value), r"\(.*\)", "")
+        wrong = F.coalesce(~kind.isin(_kinds(contract[name])) | cast.isNull(), F.lit(True))
+        given = value.isNotNull() & ~F.is_variant_null(value)
         bad.append(F.when(given & wrong, F.lit(name)))
-        typed.append(cast.alias(name))
+    parsed = step(parsed, "_bad", F.array(*bad))
     unknown = F.transform(
         F.filter("_entries", lambda e: ~e["key"].isin(list(contract))), lambda e: e["key"]
     )
     readable = F.col("_record") & F.col("_entries").isNotNull()
-    fields = F.array_sort(F.array_compact(F.concat(F.array(*bad), unknown)))
+    fields = F.array_sort(F.array_compact(F.concat("_bad", unknown)))
     return parsed.select(
         *lines.columns,
-        F.when(readable, F.struct(*typed)).alias("record"),
+        F.when(readable, F.col("_typed")).alias("record"),
         F.when(readable, fields).otherwise(F.array(F.lit("<not an object>"))).alias("bad_fields"),
     )

@@ -88,14 +88,13 @@ def _bracketed(line: Column) -> Column:
 
 
 def _parsed(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Lines with ``_p``: ``line``, the bracketed parse, and ``spare``, the same by the JSON reader for lines
-    that VARIANT does not take. Unpacking it from an array keeps the conditions and fields that
-    follow from parsing the line again."""
+    """Lines with ``_line``, the bracketed parse, and ``_spare``, the same by the JSON reader for lines
+    that VARIANT does not take. Unpacking each from an array keeps what follows from parsing the line
+    again; the second one reads the first, as both in one array would parse every line twice."""
     bracketed = _bracketed(F.col(column))
-    line = F.try_parse_json(bracketed)
-    spare = F.when(line.isNull(), F.from_json(bracketed, "array<string>", _LENIENT))
-    parse = F.struct(line.alias("line"), spare.alias("spare"))
-    return lines.select("*", F.explode(F.array(parse)).alias("_p"))
+    parsed = lines.select("*", F.explode(F.array(F.try_parse_json(bracketed))).alias("_line"))
+    spare = F.when(F.col("_line").isNull(), F.from_json(bracketed, "array<string>", _LENIENT))
+    return parsed.select("*", F.explode(F.array(spare)).alias("_spare"))
 
 
 def _is_record(line: Column) -> Column:
@@ -105,10 +104,9 @@ def _is_record(line: Column) -> Column:
     anything that follows breaks the array or moves its last element.
     """
     blank = F.lit(" \t\r\n")
-    variant, spare = F.col("_p.line"), F.col("_p.spare")
-    one = (F.try_variant_get(variant, "$[1]", "int") == 0) & F.try_variant_get(
-        variant, "$[2]", "variant"
-    ).isNull()
+    variant, spare = F.col("_line"), F.col("_spare")
+    # As numbers the object is NULL. A path to what is not there would cost more than the parse.
+    one = F.try_variant_get(variant, "$", "array<bigint>") == F.array(F.lit(None).cast("bigint"), F.lit(0).cast("bigint"))
     return F.coalesce(
         F.startswith(F.ltrim(line, blank), F.lit("{"))
         & F.endswith(F.rtrim(line, blank), F.lit("}"))
@@ -126,49 +124,50 @@ def flag_records(
     repeated fields."""
     parsed = _parsed(lines, column).withColumn(flag, _is_record(F.col(column)))
     if text:
-        strict = F.when(F.col("_p.line").isNull(), F.get("_p.spare", 0)).otherwise(F.col(column))
+        strict = F.when(F.col("_line").isNull(), F.get("_spare", 0)).otherwise(F.col(column))
         parsed = parsed.withColumn(text, strict)
-    return parsed.drop("_p")
+    return parsed.drop("_line", "_spare")
 
 
-def last_entries(text: Column | str) -> Column:
-    """Fields of a JSON object as entries (key, value: VARIANT), each name once, with its last value."""
-    entries = F.map_entries(F.from_json(text, "map<string,variant>"))
-    names = F.transform(entries, lambda e: e["key"])
+def with_last_entries(df: DataFrame, name: str, text: str) -> DataFrame:
+    """Add ``name``: fields of the JSON object ``text`` as entries (key, value: VARIANT), each name once, with its
+    last value. The object is unpacked from an array, so that no use of it parses the text again; so are the entries."""
+    parsed = df.select("*", F.explode(F.array(F.from_json(text, "map<string,variant>"))).alias("_object"))
+    entries = F.map_entries("_object")
+    names = F.map_keys("_object")
     backwards = F.reverse(names)
-    return F.when(
-        F.size(F.array_distinct(names)) == F.size(names), entries
-    ).otherwise(
+    once = F.when(F.size(F.array_distinct(names)) == F.size(names), entries).otherwise(
         F.filter(entries, lambda e, i: F.array_position(backwards, e["key"]) == F.size(names) - i)
     )
+    return parsed.select(*df.columns, F.explode(F.array(once)).alias(name))
 
 
-def _fields(fields: Mapping[str, str]) -> list[Column]:
+def _record(fields: Mapping[str, str]) -> Column:
+    """The line's fields as one struct, taken in one pass over the parsed object; NULL if there is none."""
     layout = ", ".join(f"`{name}` {dtype}" for name, dtype in fields.items())
-    spare = F.from_json(F.get("_p.spare", 0), layout, _LENIENT)
-    return [
-        F.when(
-            F.col("_p.line").isNotNull(), F.try_variant_get("_p.line", f"$[0]['{name}']", dtype)
-        )
-        .otherwise(spare[name])
-        .alias(name)
-        for name, dtype in fields.items()
-    ]
+    spare = F.from_json(F.get("_spare", 0), layout, _LENIENT)
+    whole = F.try_variant_get("_line", "$[0]", f"struct<{layout}>")
+    return F.when(F.col("_line").isNotNull(), whole).otherwise(spare)
+
+
+def _unpacked(parsed: DataFrame, record: Column, rest: Sequence[str]) -> DataFrame:
+    """The fields of each record as columns, and the columns in ``rest``. Conditions on the fields that
+    follow do not take the record once more, as it is unpacked from an array."""
+    return parsed.select(F.inline(F.array(record)), *rest)
 
 
 def parse_lines(lines: DataFrame, fields: Mapping[str, str]) -> JsonlScan:
     """Split lines into records and rejects; only JSON objects are records.
 
-    Each line is parsed once, then every field is taken with its own cast, so a
+    Each line is parsed once, then all fields are taken, each with its own cast, so a
     mistyped value nulls that field and nothing else. The result does not depend on
     session settings.
     """
     good = _is_record(F.col("value"))
     parsed = _parsed(lines)
+    rest = [c for c in lines.columns if c != "value"]
     return JsonlScan(
-        records=parsed.where(good).select(
-            *_fields(fields), *[c for c in lines.columns if c != "value"]
-        ),
+        records=_unpacked(parsed.where(good), _record(fields), rest),
         rejects=parsed.where(~good).select(*lines.columns),
         report=parsed.agg(
             F.count("*").alias("lines"),
@@ -185,7 +184,7 @@ def stage_lines(lines: DataFrame, **layouts: Mapping[str, str]) -> DataFrame:
     return _parsed(lines).select(
         good.alias("is_record"),
         F.when(~good, F.col("value")).alias("reject"),
-        *[F.struct(*_fields(fields)).alias(name) for name, fields in layouts.items()],
+        *[_record(fields).alias(name) for name, fields in layouts.items()],
         *[c for c in lines.columns if c != "value"],
     )
 
@@ -194,9 +193,9 @@ def parse_lines_strict(lines: DataFrame, fields: Mapping[str, str]) -> DataFrame
     """Records of lines that must all be JSON objects; the first other line fails
     the job."""
     shown = F.concat(F.lit("not a JSON record: "), F.substring("value", 1, 200))
-    checked = F.when(_is_record(F.col("value")), F.col("_p")).otherwise(F.raise_error(shown))
+    checked = F.when(_is_record(F.col("value")), _record(fields)).otherwise(F.raise_error(shown))
     rest = [c for c in lines.columns if c != "value"]
-    return _parsed(lines).select(checked.alias("_p"), *rest).select(*_fields(fields), *rest)
+    return _unpacked(_parsed(lines), checked, rest)
 
 
 def scan_jsonl(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from impactflow.operators import clean as k
 from impactflow.plans import jobs
+from impactflow.plans.inspect import plan_text
 from impactflow.sinks import contract, tables, versions
 from impactflow.sources import files, jsonl
 
@@ -259,3 +260,29 @@ def test_land_raw_is_replayable(spark, tmp_path):
 def test_head_sample_is_ordered(spark):
     rows = files.head_sample(spark.range(100), [F.desc("id")], 3).collect()
     assert [r["id"] for r in rows] == [99, 98, 97]
+
+
+def test_a_line_is_parsed_once_and_its_fields_taken_in_one_pass(spark, tmp_path):
+    """A parse or a path for every field made a refresh cost several times its lines."""
+    (tmp_path / "a.json").write_text('{"id": "1"}\n')
+    lines = jsonl.read_lines(spark, str(tmp_path / "a.json"))
+    text = plan_text(jsonl.stage_lines(lines, record=jsonl.PAPER_FIELDS, rules={"id": "string"}), "extended")
+    optimized = text.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert optimized.count("parse_json(") + optimized.count("parseJson") == 1
+    assert 1 <= optimized.count("variant_get(") <= 6
+    records = jsonl.parse_lines(lines, jsonl.PAPER_FIELDS).records.where("id <> ''")
+    text = plan_text(records, "extended").split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert "Filter (isnotnull(id" in text and text.count("variant_get(") <= 3
+
+
+def test_what_follows_an_object_makes_it_no_record(spark, tmp_path):
+    lines = [
+        '{"id": "1"}', '{"id": "2"}{}', '{"id": "3"},{}', '{"id": "4"}] {}', '{"id": "5"},0,{}', '{"id": "6"},5] {}',
+        '{"id": {"x": 1}, "versions": 3}', '{"id": null, "versions": [{"created": "a"}, 7]}', '{}',
+    ]
+    (tmp_path / "a.json").write_text("\n".join(lines) + "\n")
+    scan = jsonl.scan_jsonl(spark, str(tmp_path / "a.json"), jsonl.PAPER_FIELDS)
+    got = [(r["id"], r["versions"]) for r in scan.records.orderBy("arrival").collect()]
+    assert [g[0] for g in got] == ["1", '{"x":1}', None, None]
+    assert got[1][1] is None and got[2][1][0]["created"] == "a" and got[2][1][1] is None
+    assert scan.rejects.count() == 5

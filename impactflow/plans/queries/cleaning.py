@@ -417,7 +417,8 @@ def raw_papers(spark: SparkSession, sf: str) -> DataFrame:
             ).alias("versions"),
         )
     )
-    parts = table(spark, sf, "part")
+    # Few bytes and much work a row: the file's own splits would leave it to a few tasks.
+    parts = table(spark, sf, "part").repartition("p_partkey")
     both = parts.withColumn("revision", F.explode(F.array(F.lit(1), F.lit(2))))
     return both.select(record.alias("value"), F.col("revision").alias(jsonl.ARRIVAL))
 

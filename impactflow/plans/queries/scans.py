@@ -328,7 +328,8 @@ def schema_conformance(spark: SparkSession, sf: str) -> DataFrame:
     """Strict document layout: an extra field, wrong kinds (also of an element), a broken line, a
     number and a time that the type cannot hold."""
     kind, third = F.col("event_type"), F.col("event_id") % 3
-    events = table(spark, sf, "events").select(
+    # Few bytes and much work a row: the file's own splits would leave it to a few tasks.
+    events = table(spark, sf, "events").repartition("event_id").select(
         "event_id",
         F.concat(
             F.lit('{"id":"'),

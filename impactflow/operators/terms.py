@@ -29,40 +29,59 @@ def remove_stopwords(tokens: Column | str, words: Sequence[str] = ENGLISH) -> Co
     return F.filter(tokens, lambda t: ~F.lower(t).isin(lowered))
 
 
-def _count_terms(
-    df: DataFrame, id: str, text: str, stop_words: Sequence[str], marker: bool
+def term_frequency(
+    df: DataFrame, id: str, text: str, stop_words: Sequence[str] = ENGLISH
 ) -> DataFrame:
-    """(id, term, tf). With ``marker`` each document also has the term '' with tf 0.
+    """(id, term, tf): one row per document and term.
 
-    Splitting a text that starts with a blank always yields a leading ''. Short
-    tokens and stop words are dropped after the explode, in generated code.
+    The tokens of a document sit in one task, so the map-side combine already
+    yields one row per document and term before the shuffle. Short tokens and stop words are dropped
+    after the explode, in generated code.
     """
-    words = F.split(F.concat(F.lit(" "), F.lower(text)), r"\W+")
+    words = F.split(F.lower(text), r"\W+")
     term = F.col("term")
     keep = F.length(term) >= MIN_TOKEN
     if stop_words:
         keep = keep & ~term.isin([w.lower() for w in stop_words])
-    if marker:
-        keep = keep | (term == "")
-    terms = filter_nonblank(df.select(id, text), text).select(
-        id, F.explode(words).alias("term")
-    )
-    return terms.where(keep).groupBy(id, "term").agg(F.count_if(term != "").alias("tf"))
+    terms = filter_nonblank(df.select(id, text), text).select(id, F.explode(words).alias("term"))
+    return terms.where(keep).groupBy(id, "term").agg(F.count("*").alias("tf"))
 
 
-def term_frequency(
-    df: DataFrame, id: str, text: str, stop_words: Sequence[str] = ENGLISH
-) -> DataFrame:
-    """(id, term, tf): one row per document and term.
+def _salt(id: str, salts: int) -> Column:
+    # Never NULL, and said so: a condition on it would keep its exchange from being reused.
+    return F.coalesce(F.pmod(F.xxhash64(id), F.lit(salts)).cast("int"), F.lit(0))
 
-    The tokens of a document sit in one task, so the map-side combine already
-    yields one row per document and term before the shuffle.
-    """
-    return _count_terms(df, id, text, stop_words, marker=False)
 
+def _counts_by_term(df: DataFrame, id: str, text: str, stop_words: Sequence[str], salts: int) -> DataFrame:
+    """(id, term, _m, tf) with the marker '' (tf 0), dealt by term and the document's salt ``_m``.
 
-def _salt(id: str, salts: int) -> Column:
-    return F.pmod(F.xxhash64(id), F.lit(salts)).cast("int")
+    A text that starts with a blank always yields a leading '', the marker. The words of a row are sorted and counted as runs where they are, so only one row per text and term is moved, and once.
+    """
+    words = F.sort_array(F.split(F.concat(F.lit(" "), F.lower(text)), r"\W+"))
+    # Unpacked from arrays, so that the lambdas below do not sort again for every word.
+    rows = filter_nonblank(df.select(id, text), text).select(id, F.explode(F.array(words)).alias("_w"))
+    ends = F.filter(
+        F.sequence(F.lit(0), F.size("_w") - 1), lambda i: ~F.get("_w", i).eqNullSafe(F.get("_w", i + 1))
+    )
+    rows = rows.select(id, "_w", F.explode(F.array(ends)).alias("_e"))
+    runs = F.transform(
+        "_e",
+        lambda e, i: F.struct(
+            F.coalesce(F.get("_w", e), F.lit("")).alias("term"),
+            (e - F.coalesce(F.get("_e", i - 1), F.lit(-1))).alias("_n"),
+        ),
+    )
+    term = F.col("term")
+    keep = F.length(term) >= MIN_TOKEN
+    if stop_words:
+        keep = keep & ~term.isin([w.lower() for w in stop_words])
+    dealt = (
+        rows.select(id, F.inline(runs))
+        .where(keep | (term == ""))
+        .withColumn("_m", _salt(id, salts))
+        .repartition("term", "_m")
+    )
+    return dealt.groupBy(id, "term", "_m").agg(F.sum(F.when(term != "", F.col("_n")).otherwise(0)).alias("tf"))
 
 
 def document_frequency(tf: DataFrame, id: str | None = None, salts: int = 1) -> DataFrame:
@@ -82,19 +101,21 @@ def tfidf(
 
     A marker term in every document makes N the highest document frequency.
     The term counts, the document frequencies and N then all come from the same
-    shuffle (ReusedExchange): the texts are read and tokenised once. A very
-    common term is a hot join key, so a term is dealt over up to ``salts`` tasks (62 at most) by its documents. The aggregate that counts
+    shuffle (ReusedExchange): the texts are read and tokenised once. It deals the counts by term, as the
+    join with the frequencies needs them, so they are moved once. A very
+    common term is a hot key, so a term is dealt over up to ``salts`` tasks (62 at most) by its documents. The aggregate that counts
     a term's documents also notes their salts, and only those copies of the term are made: a term of one document has
     one, as most of a vocabulary. ``id`` is unique.
     """
     if not 1 <= salts <= 62:
         raise ValueError("there are 1 to 62 salts")
-    tf = _count_terms(df, id, text, stop_words, marker=True)
+    tf = _counts_by_term(df, id, text, stop_words, salts)
     freq = document_frequency(tf, id, salts)
-    n = freq.agg(F.max("df")).scalar()
+    # With the salts, so that N comes from the frequencies' shuffle too.
+    n = freq.agg(F.max(F.struct("df", "_salts"))["df"]).scalar()
     dealt = F.filter(F.sequence(F.lit(0), F.lit(salts - 1)), lambda i: F.getbit("_salts", i) == 1)
     copies = freq.select("term", "df", F.explode(dealt).alias("_m"))
-    joined = tf.where("tf > 0").withColumn("_m", _salt(id, salts)).join(copies, ["term", "_m"])
+    joined = tf.where("tf > 0").join(copies, ["term", "_m"])
     idf = F.log((n + F.lit(1.0)) / (F.col("df") + F.lit(1.0)))
     return joined.select(id, "term", "tf", (F.col("tf") * idf).alias("tfidf"))
 

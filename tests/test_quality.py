@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from impactflow.operators import expect as e
 from impactflow.operators import profile as p
 from impactflow.operators import terms as t
+from impactflow.plans.inspect import plan_text
 
 RULES = {
     "not_null": (e.not_null("c"), "string", ["a"], ["a", None], 1),
@@ -200,3 +201,19 @@ def test_hashed_tfidf_agrees_with_exact_weights(spark):
 def test_top_terms(spark):
     w = spark.createDataFrame([(1, "b", 1.0), (1, "a", 1.0), (1, "c", 0.5)], "id int, term string, tfidf double")
     assert [r["term"] for r in t.top_terms(w, "id", 2).orderBy("rank").collect()] == ["a", "b"]
+
+
+def test_tfidf_moves_its_counts_once(spark):
+    """The texts' counts were shuffled for the frequencies, again for the weights, and a third time for the join."""
+    docs = spark.createDataFrame([(1, "b a b, a c"), (2, "xx yy xx"), (None, "xx"), (2, "yy zz"), (3, " ")], "id bigint, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        weights = t.tfidf(docs, "id", "text", stop_words=())
+        got = {(r["id"], r["term"]): r["tf"] for r in weights.collect()}
+        lines = plan_text(weights).splitlines()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {(2, "xx"): 2, (2, "yy"): 2, (2, "zz"): 1, (None, "xx"): 1}
+    made = [x for before, x in zip(lines, lines[1:]) if "ShuffleQueryStage" in before and "ReusedExchange" not in x]
+    assert sum("REPARTITION_BY_COL" in x for x in made) == 1
+    assert not any("hashpartitioning(id" in x for x in made)

@@ -65,3 +65,8 @@ def test_only_needed_columns_are_read(spark):
 @pytest.mark.parametrize("name", ["impact_top", "tfidf"])
 def test_statistics_reuse_the_shuffles_of_the_main_plan(spark, name):
     assert "ReusedExchange" in final_plan(entry.queries()[name](spark, SF))
+
+
+@pytest.mark.parametrize("name", ["clean_papers", "schema_conformance"])
+def test_lines_of_a_small_file_are_dealt_over_tasks(spark, name):
+    assert "REPARTITION_BY_COL" in plan(spark, name)

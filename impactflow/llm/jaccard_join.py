@@ -13,7 +13,7 @@ band of its size and in those of the smaller sets it may be similar to.
 * Hot subsets, held by more than HOT sets, are allocated nothing where the set has enough rarer ones: each set keeps the
   rarest it needs (bound + 1), in one global order, which is the prefix that any similar pair must
   share. In a group that remains hot no pairs are formed: all are compared with one reference, and those that are not connected to
-  it meet by their rarest differences to it.
+  it meet by their rarest differences to it; there, groups of one family take one reference.
 * Candidates that share fewer subsets than the pigeonhole guarantees for their sizes are dropped; the others are verified on their full
   sets. As components are asked for, pairs that are connected already are not verified again: every round verifies some links of
   each set, merges, and goes on until no candidate joins two components.
@@ -521,6 +521,52 @@ def _similar_by_differences(pairs: DataFrame, differences: DataFrame, percent: i
     )
 
 
+def _regrouped(differences: DataFrame, labels: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The differences of the groups that are still open, with the groups of alike references put together.
+
+    Copies of one text are in as many hot groups as they have hot entries in common, and would deal out their differences in each. A group takes
+    the reference of the largest group whose reference is like its own, so a member is in few groups, however many entries are hot. All members of
+    a group move together, with its reference, so two that met before meet again.
+    """
+    apart = (
+        differences.select("r", "x")
+        .join(labels.toDF("x", "label"), "x", "left")
+        .join(labels.toDF("r", "label_r"), "r", "left")
+        .where(F.coalesce("label", "x") != F.coalesce("label_r", "r"))
+    )
+    known = materialise(differences.join(apart.select("r").distinct(), "r", "left_semi"), "jaccard-known")
+    sizes = materialise(known.groupBy("r").agg(F.count("*").alias("size")), "jaccard-sizes")
+    # Half of the elements of both are common, and the sizes are of one class: what the members share cancels out as before.
+    alike = (3 * F.size("d") <= F.col("n_r") + F.col("n")) & (F.greatest("n_r", "n") <= F.least("n_r", "n") * CLASS)
+    ends = known.where(alike).select("r", F.col("x").alias("q"))
+    ranked = sizes.select("r", F.struct((-F.col("size")).alias("order"), "r").alias("rank"))
+    larger = (
+        ends.union(ends.select("q", "r"))
+        .join(ranked, "r")
+        .join(ranked.toDF("q", "rank_q"), "q")
+        .where("rank_q < rank")
+        .groupBy("r")
+        .agg(F.min("rank_q")["r"].alias("to"))
+    )
+    larger = materialise(larger, "jaccard-larger")
+    moves = materialise(
+        larger.join(larger.toDF("to", "further"), "to", "left").select("r", F.coalesce("further", "to").alias("to")), "jaccard-moves"
+    )
+    pairs = materialise(
+        known.select("r", "x")
+        .join(moves, "r", "left")
+        .select(F.coalesce("to", "r").alias("r"), "x")
+        .union(moves.select("to", "r"))
+        .where("r <> x")
+        .distinct(),
+        "jaccard-regrouped",
+    )
+    new = _differences(pairs.join(known.select("r", "x"), ["r", "x"], "left_anti"), texts, percent)
+    out = materialise(known.join(pairs, ["r", "x"], "left_semi").select(*new.columns).union(new), "jaccard-differences")
+    discard(known, sizes, larger, moves, pairs)
+    return out
+
+
 def _by_centres(differences: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between members outside their reference's component and the group's CENTRES members with the fewest differences.
 
@@ -719,13 +765,13 @@ def linked_components(
         tries = 16 if tries == 1 else 1 << 30  # what is still apart has to be verified in any case
     discard(open_)
     # Members of hot groups that are not connected to their reference may be to those nearest to it, or to each other.
-    for more in (_by_centres, _by_differences) if differences.limit(1).count() else ():
-        found = more(differences, labels, percent)
-        if found.limit(1).count():
-            before = labels
-            verified, labels = _merged(verified, _verify(found, texts, percent))
-            discard(before)
-        discard(found)
+    if differences.limit(1).count():
+        verified, labels = _with_found(verified, labels, _by_centres(differences, labels, percent), texts, percent)
+        every, differences = differences, _regrouped(differences, labels, texts, percent)
+        discard(every)
+        near = differences.where("near").select(F.col("r").alias("a"), F.col("x").alias("b"))
+        verified, labels = _with_found(verified, labels, materialise(_apart(near, labels), "jaccard-near"), texts, percent)
+        verified, labels = _with_found(verified, labels, _by_differences(differences, labels, percent), texts, percent)
     discard(differences, texts, verified)
     return labels
 
@@ -736,6 +782,16 @@ def _merged(verified: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]
     return both, components(both)
 
 
+def _with_found(verified: DataFrame, labels: DataFrame, found: DataFrame, texts: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """All links and their components with those of the links found, a table that nothing else reads, that are similar by their words."""
+    if found.limit(1).count():
+        before = labels
+        verified, labels = _merged(verified, _verify(found, texts, percent))
+        discard(before)
+    discard(found)
+    return verified, labels
+
+
 def _replaced(old: DataFrame, new: DataFrame) -> DataFrame:
     """``new`` as a table, which takes the place of the table it was made from."""
     out = materialise(new, "jaccard-links")

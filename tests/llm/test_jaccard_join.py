@@ -176,3 +176,22 @@ def test_hot_groups_of_mixed_sizes(docs_of):
     docs = [(i, " ".join(r)) for i, r in enumerate(rows)]
     rnd.shuffle(docs)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_join(docs_of(docs)).collect()} == brute(docs)
+
+
+def test_a_member_deals_out_its_differences_once_for_its_family(docs_of, monkeypatch):
+    """Copies of one text are in many hot groups; the pairs with references must not grow with the number of these."""
+    rnd = random.Random(31)
+    base = ["b%d" % i for i in range(120)]
+    docs = [(i, " ".join(edited(rnd, base, rnd.choice([0.02, 0.05, 0.08, 0.1])))) for i in range(240)]
+    seen = []
+    by_differences = J._by_differences
+
+    def counted(differences, labels, percent):
+        seen.append((differences.count(), differences.select("x").distinct().count()))
+        return by_differences(differences, labels, percent)
+
+    monkeypatch.setattr(J, "_by_differences", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_join(docs_of(docs)).collect()}
+    assert got == brute(docs)
+    ((pairs, members),) = seen
+    assert members > 50 and pairs <= 1.5 * members

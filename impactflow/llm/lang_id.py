@@ -36,7 +36,8 @@ REJECTED = 0.001
 MARGIN = 0.9
 SEED = 97
 UNKNOWN = "und"
-BATCH_BYTES = 2 << 20
+#: Bytes of text that are worked on at a time; a task's arrays take about a hundred times as many, and a worker keeps what it has once taken.
+BATCH_BYTES = 512 << 10
 OUTPUT = ("lang_pred", "score", "rejected")
 
 # ASCII letters in lower case, bytes of other letters as they are, all else a space.

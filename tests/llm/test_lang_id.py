@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from impactflow.llm.common import bytes_of
-from impactflow.llm.lang_id import fit, held_out, identify, op4_language_id, subwords
+from impactflow.llm.lang_id import BATCH_BYTES, fit, held_out, identify, op4_language_id, subwords
 
 SF = "/root/testdata/sf0.01"
 
@@ -47,6 +47,22 @@ def test_subwords_stay_inside_words_and_texts():
     assert count(["ab cd"])[0] == sorted(count(["ab"])[0] + count(["cd"])[0])
 
 
+def test_memory_of_a_slice():
+    """What a task holds beside its rows: the arrays of one slice of texts."""
+    import tracemalloc
+
+    rnd = random.Random(5)
+    text = " ".join("".join(rnd.choices("abcdefgh", k=rnd.randint(2, 9))) for _ in range(BATCH_BYTES // 6))[:BATCH_BYTES]
+    data, ends = np.frombuffer(text.encode(), np.uint8), np.arange(0, len(text) + 1, 1024)
+    tracemalloc.start()
+    try:
+        subwords(data[: ends[-1]], ends, 1 << 14)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 48 << 20
+
+
 def test_odd_tables(spark, docs_of):
     schema = "doc_id long, text string, lang string, SCORE string"
     rows = [(i, t * 5, lang, "x") for i in range(40) for t, lang in (("the cat and dog ", "en"), ("der hund und ", "de"))]

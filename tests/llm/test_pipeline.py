@@ -101,3 +101,46 @@ def test_empty_table(spark, tmp_path):
 @pytest.mark.parametrize("name", [n for n, _ in P.STAGES])
 def test_names(name):
     assert name.isidentifier()
+
+
+def moved_bytes(df):
+    """Bytes that the last job of a table moves between its stages."""
+    df.collect()
+    nodes, total = [df._jdf.queryExecution().executedPlan()], 0
+    while nodes:
+        node = nodes.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            nodes.append(node.executedPlan())
+            continue
+        if kind.endswith("QueryStageExec"):
+            nodes.append(node.plan())
+            continue
+        if kind == "ShuffleExchangeExec":
+            total += node.metrics().apply("dataSize").value()
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+@pytest.mark.parametrize("stage", [P.drop_exact_copies, P.drop_near_copies])
+def test_dedup_moves_only_what_goes(spark, tmp_path, stage):
+    """The texts that stay are not moved to be joined with the decisions, and not written to scratch either."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(400)) for i in range(300)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    rows += [(1000 + i, (texts[i] + " end").upper() if stage is P.drop_near_copies else texts[i].upper(), "en", "s", 1) for i in range(6)]
+    rows += [(7, texts[7], "en", "s", 2)] * 2 + [(None, texts[8], "en", "s", 1), (8000, None, None, "s", 0), (8001, "", None, "s", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")  # as at size, where no list of decisions is small enough
+    try:
+        out = stage(spark, docs, SF)
+        got = Counter(r.doc_id for r in out.collect())
+        moved = moved_bytes(out)
+    finally:
+        spark.conf.set(name, before)
+    want = Counter(range(300)) + (Counter([8000]) if stage is P.drop_exact_copies else Counter([7, 7, None, 8000, 8001]))
+    assert got == want
+    assert moved < sum(len(t) for t in texts) / 4

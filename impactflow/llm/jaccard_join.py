@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 
 from .common import binaries, bytes_of, discard, materialise, partitions_for, read, ship, slices, total_bytes, without
 from .components import components
+from .listed import only_listed
 from .shingles import mix64, same_shingles, shingle_sets
 
 PERCENT = 80
@@ -732,7 +733,8 @@ def linked_components(
     discard(grouped, hot_of)
 
     active = open_.select(F.col("a").alias("node")).union(open_.select("b")).union(members.select("node")).distinct()
-    texts = materialise(docs.join(materialise(active, "jaccard-active"), "node", "left_semi"), "jaccard-texts")
+    # A join would move every text of the table to find these.
+    texts = materialise(only_listed(docs, materialise(active, "jaccard-active"), ["node"]), "jaccard-texts")
     # Hot groups: everybody is compared with one smallest member, which connects most of them; then with
     # the smallest set of the component that the smallest member of each of its groups is in.
     stars = materialise(_stars(members, groups), "jaccard-stars")

@@ -195,3 +195,28 @@ def test_a_member_deals_out_its_differences_once_for_its_family(docs_of, monkeyp
     assert got == brute(docs)
     ((pairs, members),) = seen
     assert members > 50 and pairs <= 1.5 * members
+
+
+def test_texts_of_candidates_only_are_moved(docs_of, spark, monkeypatch, tmp_path):
+    """The texts that are compared are picked in the scan: with lists too large to be broadcast no other text is moved."""
+    from tests.llm.test_pipeline import moved_bytes
+
+    texts = [" ".join(f"w{i}x{j}" for j in range(400)) for i in range(200)]
+    docs_of([*enumerate(texts), *((1000 + i, texts[i] + " end") for i in range(5))]).write.parquet(f"{tmp_path}/docs")
+    moved = {}
+
+    def materialise(df, purpose, made=J.materialise):
+        if purpose == "jaccard-texts":
+            moved[purpose] = moved_bytes(df)
+        return made(df, purpose)
+
+    monkeypatch.setattr(J, "materialise", materialise)
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        out = J.jaccard_join(spark.read.parquet(f"{tmp_path}/docs"), carry=["doc_id"]).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert {r.doc_id: r.component_id for r in out} == {i: i % 1000 for i in [*range(200), *range(1000, 1005)]}
+    assert moved["jaccard-texts"] < sum(map(len, texts)) / 4

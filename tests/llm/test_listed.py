@@ -32,6 +32,8 @@ def test_against_plain_python(spark, monkeypatch, most):
     got = [tuple(r) for r in out.collect()]
     assert not Counter(got) - Counter(rows)
     assert Counter((a, b) for a, b, _ in got) == taken_out(rows, names)
+    picked = L.only_listed(df, listed, ["a", "b"]).collect()
+    assert Counter(map(tuple, picked)) == Counter(r for r in rows if r[:2] in names)
 
 
 def test_empty(spark):

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, materialise, read, ship, slices, without
+from .common import binaries, frugal, materialise, read, ship, slices, without
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -88,6 +88,7 @@ def stitch(tail: list[int], head: list[int]) -> int | None:
 def _add_ids(df: DataFrame, text: str, outs: list[str], ranks: str, pattern: str) -> DataFrame:
     """Replace the text column by its ids and, if ``outs`` names a second column, what they decode to."""
 
+    @frugal
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks, pattern)
         for batch in slices(batches, text, BATCH_BYTES):
@@ -109,6 +110,7 @@ def _chunks(df: DataFrame, text: str, chunk: int, overlap: int) -> DataFrame:
     rest = [c for c in df.columns if c not in (text, "_row")]
     packed = df.select("_row", F.struct(F.lit(0).alias("_"), *rest).alias("_rest"), F.col(text).alias("_text"))
 
+    @frugal
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
@@ -144,6 +146,7 @@ def _chunks(df: DataFrame, text: str, chunk: int, overlap: int) -> DataFrame:
 def _with_boundaries(chunks: DataFrame, chunk: int, overlap: int, ranks: str, pattern: str) -> DataFrame:
     """Add the boundaries in the part shared with the chunk before and with the chunk after."""
 
+    @frugal
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks, pattern)
         for batch in batches:
@@ -173,6 +176,7 @@ def _stitches(chunks: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("_no", "_head", "_tail"))).alias("_all")
     )
 
+    @frugal
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
@@ -206,6 +210,7 @@ def _encode_long(df: DataFrame, text: str, outs: list[str], chunk: int, overlap:
         )
     )
 
+    @frugal
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
@@ -224,6 +229,7 @@ def _encode_long(df: DataFrame, text: str, outs: list[str], chunk: int, overlap:
     )
     lists = pieces.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("_segment", "_ids"))).alias("_all"))
 
+    @frugal
     def concat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks, pattern)
         for batch in batches:
@@ -286,6 +292,7 @@ def decode(
     df = without(df, [out])
     carry = [c for c in (df.columns if carry is None else carry) if c in df.columns]
 
+    @frugal
     def bytes_for(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(ranks, pattern)
         for batch in batches:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import shutil
 import tempfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
 from pathlib import Path
 
 import numpy as np
@@ -114,6 +116,30 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, most: int) -> Iterator[
             start = stop
 
 
+def frugal(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same work on the batches of a task, at whose end the worker gives what it has freed back to the system.
+
+    A worker process stays for the tasks that follow, of other stages too. Else it would keep the most that any of them
+    has taken, in pieces that do not fit the next, beside the executor's heap.
+    """
+
+    @wraps(work)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    """Return freed memory of Arrow's and of the C library's allocator to the system."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
+        trim(0)
+
+
 def binaries(values: list[bytes]) -> pa.Array:
     return pa.array(values, pa.binary())
 

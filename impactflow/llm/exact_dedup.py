@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, bytes_of, lower_ascii, materialise, read, ship, without
+from .common import binaries, bytes_of, frugal, lower_ascii, materialise, read, ship, without
 
 PREFIX = 64
 OUTPUT = ("keep_id", "group_size", "kept", "text_sha256")
@@ -35,6 +35,7 @@ def _normalised(batch: pa.RecordBatch, text: str) -> list[bytes]:
 
 
 def _with_keys(df: DataFrame, text: str) -> DataFrame:
+    @frugal
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = _normalised(batch, text)
@@ -58,6 +59,7 @@ def _numbered(df: DataFrame, text: str, carry: list[str]) -> DataFrame:
     normalised text of the first and of the last row.
     """
 
+    @frugal
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: bytes | None = None
         group, held = -1, None

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import binaries, bytes_of, discard, materialise, partitions_for, read, ship, slices, total_bytes, without
+from .common import binaries, bytes_of, discard, frugal, materialise, partitions_for, read, ship, slices, total_bytes, without
 from .components import components
 from .listed import only_listed
 from .shingles import mix64, same_shingles, shingle_sets
@@ -158,6 +158,7 @@ def bands_for(n: int, percent: int = PERCENT) -> range:
 def describe(df: DataFrame, text: str, carry: list[str]) -> DataFrame:
     """The carried columns, ``n_shingles`` of each text's set, and ``_digest``, which equal sets share."""
 
+    @frugal
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, SLICE_BYTES):
             tokens, at = shingle_sets(*bytes_of(batch.column(text)))
@@ -215,6 +216,7 @@ def _index(df: DataFrame, text: str, key: str, bands: dict[int, Band], buckets:
                 [pa.array(names[a : a + 64], pa.int32()), binaries(blobs[a : a + 64])], names=["bucket", "entries"]
             )
 
+    @frugal
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         count = 0
@@ -337,6 +339,7 @@ def _group(rows: np.ndarray, percent: int, hot: int) -> pa.RecordBatch | None:
 def _grouped(index: DataFrame, buckets: int, percent: int, hot: int) -> DataFrame:
     """Pairs (a, b, band, number of shared entries in the bucket, how many they need) and members of hot groups."""
 
+    @frugal
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, blobs = None, []
         unpack = zstandard.ZstdDecompressor()
@@ -371,6 +374,7 @@ def _verify(links: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Those of the links (a, b) whose full sets are similar."""
     both = links.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
 
+    @frugal
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(slices(batches, "text_a", SLICE_BYTES), "text_b", SLICE_BYTES):
             (x, at), (y, bt) = (shingle_sets(*bytes_of(batch.column(c))) for c in ("text_a", "text_b"))
@@ -443,6 +447,7 @@ def _differences(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
         both = (n + m - different) // 2
         return both > 0 and 100 * both >= percent * (n + m - both) and _linked(batch, "text_r", "text_x", i, percent)
 
+    @frugal
     def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(slices(batches, "text_r", SLICE_BYTES), "text_x", SLICE_BYTES):
             (p, at), (q, bt) = (shingle_sets(*bytes_of(batch.column(c))) for c in ("text_r", "text_x"))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bytes_of, lower_ascii, read, ship, slices, without
+from .common import bytes_of, frugal, lower_ascii, read, ship, slices, without
 
 BUCKETS, DIM = 1 << 14, 16
 SIZES = (3, 4)
@@ -184,6 +184,7 @@ def fit(df: DataFrame, labelled: Column, text: str = "text", label: str = "lang"
         share = F.when(F.col(label) == lang, F.lit(min(1.0, per_language / n))).otherwise(share)
     sample = known.where(unit < share).select(F.col(key).cast("string").alias("key"), F.col(label).alias("label"), F.col(text).alias("text"))
 
+    @frugal
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH_BYTES):
             data, ends = bytes_of(batch.column("text"))
@@ -227,6 +228,7 @@ def identify(df: DataFrame, model: Model | None, text: str = "text", carry: list
         F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("_lettered"),
     )
 
+    @frugal
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, at, BATCH_BYTES):
             lettered = batch.column("_lettered").to_numpy(zero_copy_only=False)

@@ -13,7 +13,7 @@ import math
 from collections.abc import Callable, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -283,22 +283,25 @@ def mix(
     sums = sorted(sums, key=lambda r: (r["_none"], r["_name"]))
     sizes = [int(r["s"]) for r in sums]
     wanted = targets(sizes, [weights(i) for i in range(len(sums))], most)
+    # As an Arrow table, a list would be pickled in Python workers of its own, which stay beside those of the other steps.
+    kinds = {"_none": pa.bool_(), "_name": pa.string(), "source_size": pa.int64(), "target": pa.float64()}
+    facts = [[r["_none"] for r in sums], [r["_name"] for r in sums], sizes, [float(t) for t in wanted]]
     table = spark.createDataFrame(
-        [(r["_none"], r["_name"], s, float(t)) for r, s, t in zip(sums, sizes, wanted, strict=True)],
-        "_none boolean, _name string, source_size long, target double",
+        pa.table([pa.array(v, k) for v, k in zip(facts, kinds.values(), strict=True)], names=list(kinds))
     )
 
-    def choose(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("size", ignore_index=True)
-        whole, target = int(group["source_size"][0]), float(group["target"][0])
-        lengths, counts = group["size"].to_numpy(np.int64), group["n"].to_numpy(np.int64)
+    def choose(group: pa.Table) -> pa.Table:
+        group = group.sort_by("size")
+        whole, target = group["source_size"][0].as_py(), group["target"][0].as_py()
+        lengths, counts = (group[c].to_numpy().astype(np.int64) for c in ("size", "n"))
         passes, chosen = allot(lengths, counts, round(target), whole, most)
-        return group[["_none", "_name", "size"]].assign(passes=passes + chosen // counts, chosen=chosen % counts)
+        out = group.select(["_none", "_name", "size"]).append_column("passes", pa.array(passes + chosen // counts, pa.int32()))
+        return out.append_column("chosen", pa.array(chosen % counts, pa.int64()))
 
     chosen = materialise(
         by_length.join(table, ["_none", "_name"])
         .groupBy("_none", "_name")
-        .applyInPandas(choose, "_none boolean, _name string, size long, passes int, chosen long"),
+        .applyInArrow(choose, "_none boolean, _name string, size long, passes int, chosen long"),
         "mixing-chosen",
     )
     # The selection takes the documents of a length in the order of their hashes: whole ranges first.

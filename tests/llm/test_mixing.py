@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from impactflow.llm import mixing
 from impactflow.llm.mixing import allot, fit, knapsack, mix, nearest, op3_mixing, targets, word_count
+from impactflow.plans.inspect import plan_text
 
 SF = "/root/testdata/sf0.001"
 
@@ -187,3 +188,13 @@ def test_query(spark):
     want = water(*zip(*[(sum(w["words"] for w in rows if w["source"] == s), (5, 2, 1)[i % 3]) for i, s in enumerate(sorted(target))], strict=True))
     for s, t in zip(sorted(target), want, strict=True):
         assert abs(target[s] - t) < 1e-3 and abs(sums[s] - t) <= 10
+
+
+def test_the_sources_table_needs_no_python_workers(spark):
+    """A list of rows would come as an RDD, which each executor pickles in a second kind of Python workers."""
+    docs = spark.range(0, 200).selectExpr("id AS doc_id", "if(id % 4 = 3, NULL, concat('s', id % 4)) AS source", "id % 7 AS words")
+    mixed = mix(docs, F.col("words"), ["doc_id"])
+    plan = plan_text(mixed)
+    assert "LocalTableScan" in plan and "ExistingRDD" not in plan
+    sums = mixed.groupBy("source").agg(F.max("target").alias("t"), F.sum("taken").alias("n")).collect()
+    assert len(sums) == 4 and all(abs(r.t - r.n) < 1 for r in sums)
